@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusweave.llm import sharding
+from corpusweave.llm import decontamination, quality_rules, sharding
 
-_MODULES = [sharding]
+_MODULES = [quality_rules, decontamination, sharding]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
