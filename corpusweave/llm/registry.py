@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusweave.llm import decontamination, quality_rules, sharding
+from corpusweave.llm import decontamination, packing, quality_rules, sharding
 
-_MODULES = [quality_rules, decontamination, sharding]
+_MODULES = [quality_rules, packing, decontamination, sharding]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
