@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusweave.llm import decontamination, packing, pii, quality_rules, sharding
+from corpusweave.llm import decontamination, packing, pii, quality_rules, sharding, toxicity
 
-_MODULES = [quality_rules, packing, decontamination, pii, sharding]
+_MODULES = [quality_rules, packing, decontamination, toxicity, pii, sharding]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
