@@ -20,11 +20,12 @@ WINDOW = 1024
 END_ID = 0
 #: Texts are cut where the byte-level pre-tokeniser can't join: before white space that follows anything else, and
 #: between a run of letters and punctuation.
-_UNIT = re.compile(r"[ \n]*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[.,!&%$*|])|[ \n]*[^ \n]+|[ \n]+$")
+_UNIT = re.compile(r"[ \n]*+[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?=[.,!&%$*|])|[ \n]*+[^ \n]++|[ \n]+$")
 #: White space other than blank and line feed: such texts are encoded whole.
-_OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
-#: Encoded units that a worker remembers.
-_REMEMBER = 600_000
+_OTHER_SPACE = re.compile("[\t\r\f\v\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Encoded units that a worker remembers, and those encoded as one string.
+_REMEMBER = 1_200_000
+_AT_ONCE = 2000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -43,19 +44,64 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.seen: dict[str, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)  # each character of a byte-level token is a byte
+        for token, i in vocab.items():
+            self.bytes_of[i] = len(token)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, units: list[str]) -> None:
+        """Encodes units that begin with white space and end without as one string, cut again by the bytes of its tokens."""
+        joined = [u for u in units if u[0] in " \n" and u[-1] not in " \n"]
+        alone = [u for u in units if u[0] not in " \n" or u[-1] in " \n"]
+        self.seen.update(zip(alone, self._encode(alone), strict=True))
+        for i in range(0, len(joined), _AT_ONCE):
+            part = joined[i : i + _AT_ONCE]
+            (ids,) = self._encode(["".join(part)])
+            upto = np.cumsum(self.bytes_of[np.frombuffer(ids, "<u4")])
+            ends = np.cumsum([len(u.encode()) for u in part])
+            cuts = np.searchsorted(upto, ends)
+            if not np.array_equal(upto[cuts], ends):
+                self.seen.update(zip(part, self._encode(part), strict=True))
+                continue
+            at = 0
+            for unit, end in zip(part, (4 * cuts + 4).tolist(), strict=True):
+                self.seen[unit] = ids[at:end]
+                at = end
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        units = [None if _OTHER_SPACE.search(t) else _UNIT.findall(t) for t in texts]
-        new = list(set().union(*filter(None, units)) - self.seen.keys())
-        if len(self.seen) + len(new) > _REMEMBER:
+        if len(self.seen) > _REMEMBER:
             self.seen.clear()
-            new = list(set().union(*filter(None, units)))
-        self.seen.update(zip(new, self._encode(new), strict=True))
-        whole = iter(self._encode([t for t, u in zip(texts, units, strict=True) if u is None]))
-        return [next(whole) if u is None else b"".join(map(self.seen.__getitem__, u)) for u in units]
+        out: list = [None] * len(texts)
+        whole, open_texts, new = [], [], set()
+        for k, text in enumerate(texts):
+            if _OTHER_SPACE.search(text):
+                whole.append(k)
+                continue
+            units = _UNIT.findall(text)
+            ids = list(map(self.seen.get, units))
+            if None in ids:
+                at, missing = -1, []
+                try:
+                    while True:
+                        at = ids.index(None, at + 1)
+                        missing.append(at)
+                except ValueError:
+                    pass
+                new.update(map(units.__getitem__, missing))
+                open_texts.append((k, units, ids, missing))
+            else:
+                out[k] = b"".join(ids)
+        self._learn(list(new))
+        for k, units, ids, missing in open_texts:
+            for at in missing:
+                ids[at] = self.seen[units[at]]
+            out[k] = b"".join(ids)
+        for k, ids in zip(whole, self._encode([texts[k] for k in whole]), strict=True):
+            out[k] = ids
+        return out
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
