@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusweave.llm.boosting import BoostedTrees, fit_platt, sigmoid
@@ -316,9 +316,13 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents"), with_text=False)
     said = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)))
     base = F.filter("spans", lambda s: s.score == 1.0)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *(F.size(F.filter(base, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in KINDS),
+        *map(count, KINDS),
         F.sha2(said(base), 256).alias("base_sha256"),
         said(F.col("spans")).alias("spans"),
     )
