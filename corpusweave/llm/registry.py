@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusweave.llm import decontamination, packing, pii, quality_classifier, quality_rules, sharding, toxicity
+from corpusweave.llm import decontamination, ngram_join, packing, pii, quality_classifier, quality_rules, sharding, toxicity
 
-_MODULES = [quality_rules, quality_classifier, packing, decontamination, toxicity, pii, sharding]
+_MODULES = [ngram_join, quality_rules, quality_classifier, packing, decontamination, toxicity, pii, sharding]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
