@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -131,6 +130,30 @@ def matchers(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
 SCHEMA = "doc_id long, n_words long, n_hit long, items array<string>"
 
 
+def _hits(batch: pa.RecordBatch, text_col: str, found: list) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, list[set[str]]]]:
+    """Slices of a batch, and for each of their texts the number of words, of hit words, and the items."""
+    at = batch.schema.get_field_index(text_col)
+    parts = list(slices([batch], text_col))
+    one = len(found) == 1
+    for group in [[p] for p in parts] if one else [parts]:
+        words = [Words(p.column(at), ALNUM) for p in group] if one else [None] * len(group)
+        marks: list = [None] * len(group)
+        names: list[list[set[str]]] = [[set() for _ in range(p.num_rows)] for p in group]
+        for b in found:
+            search = b.value if one else b.load_from_path(b._path)  # of several blocks one is in memory at a time
+            for k, p in enumerate(group):
+                w = words[k] or Words(p.column(at), ALNUM)
+                if marks[k] is None:
+                    marks[k] = (np.zeros(len(w.hash) + 1, np.int32), w.first)
+                for first, m, number in search.find(w):
+                    marks[k][0][first] += 1
+                    marks[k][0][first + m] -= 1
+                    names[k][w.doc[first]] |= search.owners[number]
+        for p, (edge, first), own in zip(group, marks, names, strict=True):
+            hit = np.concatenate([[0], np.cumsum(np.cumsum(edge)[:-1] > 0)])
+            yield p, np.diff(first), hit[first[1:]] - hit[first[:-1]], own
+
+
 def scan(docs: DataFrame, found: list, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Words of every document, those inside an occurrence of a test string, and the items it came from, as strings in order.
 
@@ -141,30 +164,26 @@ def scan(docs: DataFrame, found: list, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [(p, Words(p.column(1), ALNUM)) for p in slices([batch])] if len(found) == 1 else [(p, None) for p in slices([batch])]
-            marks: list = [None] * len(parts)
-            names: list[list[set[str]]] = [[set() for _ in range(p.num_rows)] for p, _ in parts]
-            for b in found:
-                search = b.value if len(found) == 1 else b.load_from_path(b._path)  # of several blocks one is in memory at a time
-                for k, (p, words) in enumerate(parts):
-                    words = words or Words(p.column(1), ALNUM)
-                    if marks[k] is None:
-                        marks[k] = (np.zeros(len(words.hash) + 1, np.int32), words.first)
-                    for first, m, number in search.find(words):
-                        marks[k][0][first] += 1
-                        marks[k][0][first + m] -= 1
-                        names[k][words.doc[first]] |= search.owners[number]
-            for (p, _), (edge, first), own in zip(parts, marks, names, strict=True):
-                hit = np.concatenate([[0], np.cumsum(np.cumsum(edge)[:-1] > 0)])
+            for part, n_words, n_hit, items in _hits(batch, "text", found):
                 yield pa.RecordBatch.from_arrays(
-                    [p.column(0), pa.array(np.diff(first)), pa.array(hit[first[1:]] - hit[first[:-1]]), pa.array([sorted(x) for x in own], pa.list_(pa.string()))],
-                    ["doc_id", "n_words", "n_hit", "items"],
+                    [part.column(0), pa.array(n_words), pa.array(n_hit), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], ["doc_id", "n_words", "n_hit", "items"]
                 )
 
     docs = id_text(docs, id_col, text_col)
     return docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
 
 
+def drop_contaminated(docs: DataFrame, found: list, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, in whose text no test string occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, _, n_hit, _ in _hits(batch, text_col, found):
+                yield part.filter(pa.array(n_hit == 0))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
     hits = scan(table(spark, sf_dir, "documents"), matchers(table(spark, sf_dir, "benchmark")))
@@ -174,10 +193,6 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sha_of(items: Iterable[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
-
-
 _WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 ORACLE_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusweave.llm.common import SPACED, Words, cut_lineage, id_text, mix, partitions, slices, table, window_hashes
@@ -461,6 +461,21 @@ def jaccard_components(docs: DataFrame, how: Join = Join(), id_col: str = "doc_i
     return with_words.union(sized.where("n = 0").select("doc_id", F.col("n"), "doc_id"))
 
 
+def keep_first(docs: DataFrame, how: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each component the document with the smallest id, with all its columns; of repeated rows one.
+
+    A component whose documents all have no id keeps them all, as does every document without words.
+    """
+    found = jaccard_components(docs, how, id_col, text_col)
+    same = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id"))
+    kept = docs.join(same, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if again.isEmpty():
+        return kept
+    own = F.struct(F.col(id_col), F.xxhash64(text_col), F.when(F.col(id_col).isNull(), F.monotonically_increasing_id()))
+    return kept.withColumn("_row", own).dropDuplicates(["_row"]).drop("_row")
+
+
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents: 4-word shingles, Jaccard similarity of at least 0.85."""
     return jaccard_components(table(spark, sf_dir, "documents"))
