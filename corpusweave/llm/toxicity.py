@@ -228,9 +228,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, folds: int =
 
     counts = texts.mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
     p, n = F.col("t") / (F.col("t") + F.col("c")), F.col("t") + F.col("c")
-    low = (p + 1 / (2 * n) - F.sqrt((p * (1 - p) + 1 / (4 * n)) / n)) / (1 + 1 / n)  # Wilson's lower bound at one deviation
-    best = counts.where((F.col("t") >= 3) & (low >= 0.7)).orderBy(F.desc("t"), "c", "feature").limit(MOST_ENTRIES).collect()
-    posterior = {r.feature: (r.t + 2 * prior) / (r.t + r.c + 2) for r in best}
+    z2 = 0.64
+    low = (p + z2 / (2 * n) - F.sqrt(z2 * (p * (1 - p) + z2 / (4 * n)) / n)) / (1 + z2 / n)  # Wilson's lower bound at 0.8 deviations
+    best = counts.where((F.col("t") >= 2) & (low >= 0.7)).orderBy(F.desc("t"), "c", "feature").limit(MOST_ENTRIES).collect()
+    posterior = {r.feature: (r.t + 0.5 * prior) / (r.t + r.c + 0.5) for r in best}
     strength = {r.feature: (r.t * math.log(posterior[r.feature] / prior) + r.c * math.log((1 - posterior[r.feature]) / (1 - prior)), not r.feature.endswith("*"), len(r.feature), r.feature) for r in best}
     strong = docs.sparkSession.sparkContext.broadcast(strength)
 
