@@ -1,15 +1,569 @@
-"""The registered queries of the registry engine, each with its SQL."""
+"""The registered queries of the registry engine, each with its SQL.
+
+The driver's tables hold no code lists, so every operator runs on tables of the same shape: orders and events as ranked records, pages as
+items with URIs, parts as items with texts, nations and regions as a hierarchy.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusweave.functions import scalars, temporal, text, uris
+from corpusweave.operators import audit, dedup, reports, resolve, triples
+from corpusweave.operators import score as scoring
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable:
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _day(c: str):
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+def _headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as headers of their customer's list: F is published, O ready, P updating; urgent orders are open-ended."""
+    state = F.when(F.col("o_orderstatus") == "F", "PUBLISHED").when(F.col("o_orderstatus") == "O", "READY_TO_PUBLISH").otherwise("UPDATING")
+    return _t(spark, sf, "orders").select(
+        F.col("o_custkey").alias("code"), F.col("o_orderkey").alias("id"), state.alias("codelistState"), _day("o_orderdate").alias("validFrom"),
+        F.when(~F.col("o_orderpriority").startswith("1"), _day("o_orderdate")).alias("effectiveTo"), F.when(F.col("o_orderpriority").startswith("5"), "true").alias("temporal"), F.lit("true").alias("base"),
+    )
+
+
+_HEADERS = """h AS (SELECT o_custkey AS code, o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 3 END AS state, o_orderdate::DATE AS vf,
+ CASE WHEN o_orderpriority LIKE '1%' THEN NULL ELSE o_orderdate::DATE END AS et, CASE WHEN o_orderpriority LIKE '5%' THEN 1 ELSE 0 END AS temporal FROM orders)"""
+_HEADER_ORDER = "state, et DESC NULLS FIRST, vf DESC, temporal, id DESC"
+_ORDER = lambda: dedup.registry_order("codelistState", "effectiveTo", "validFrom", "temporal", "id")
+
+
+# Ranked choice and duplicates
+
+
+@query(f"WITH {_HEADERS} SELECT code, id, vf::VARCHAR AS valid_from, state FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY {_HEADER_ORDER}) AS rn FROM h) WHERE rn = 1")
+def ranked_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    best = dedup.best_per_key(_headers(spark, sf), "code", _ORDER())
+    return best.select("code", "id", F.col("validFrom").alias("valid_from"), scalars.state_rank("codelistState").alias("state"))
+
+
+@query("""SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'view' THEN 1 ELSE 99 END,
+ coalesce(CASE WHEN value < 100 THEN value END, 0) DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
+def ranked_dedup_null_rank(spark: SparkSession, sf: str) -> DataFrame:
+    state = F.when(F.col("event_type") == "purchase", "PUBLISHED").when(F.col("event_type") == "view", "READY_TO_PUBLISH")
+    value = F.coalesce(F.when(F.col("value") < 100, F.col("value")), F.lit(0.0))  # no value ranks as 0
+    return dedup.select_best(_t(spark, sf, "events").withColumn("u", F.col("user_id").cast("string")), "u", [scalars.state_rank(state), value.desc(), F.desc("event_id")]).select("user_id", "event_id")
+
+
+_CANONICAL = "state = 0 AND temporal = 0 AND et IS NULL"
+
+
+def _issues(spark: SparkSession, sf: str) -> DataFrame:
+    day = lambda c: F.unix_date(scalars.iso_date(c))
+    key = F.struct(scalars.state_rank("codelistState"), F.coalesce(-day("effectiveTo"), F.lit(-(10**8))), -day("validFrom"), scalars.truthy("temporal").cast("int"), -F.col("id"))
+    return dedup.duplicate_issues(_headers(spark, sf), "code", dedup.current_header("codelistState", "temporal", "base", "effectiveTo"), key, F.struct("id", "codelistState"))
+
+
+@query(f"WITH {_HEADERS} SELECT code, CASE WHEN count(*) FILTER ({_CANONICAL}) > 1 THEN 'conflict' ELSE 'shadow' END AS kind, count(*) AS n FROM h GROUP BY code HAVING count(*) > 1")
+def duplicate_classification(spark: SparkSession, sf: str) -> DataFrame:
+    return _issues(spark, sf).select("code", "kind", F.size("candidates").cast("long").alias("n"))
+
+
+@query(f"WITH {_HEADERS} SELECT code, arg_min(id, rn) AS selected, string_agg(id::VARCHAR, ',' ORDER BY rn) AS candidates FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY {_HEADER_ORDER}) AS rn FROM h) GROUP BY code HAVING count(*) > 1")
+def duplicate_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return _issues(spark, sf).select("code", F.col("selected.id").alias("selected"), F.array_join(F.transform("candidates", lambda x: x["id"].cast("string")), ",").alias("candidates"))
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
+def last_writer_wins(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.last_wins(_t(spark, sf, "events"), "user_id", F.col("ts"), F.col("event_id")).select("user_id", "event_id", "event_type")
+
+
+# Values in force
+
+
+def _entries(df: DataFrame, key: str, order: str, **fields) -> DataFrame:
+    """Entries of each key as an array in order; a key's entries are few, as the values of one attribute are."""
+    entry = F.struct(*(fields[n].cast("string").alias(n) for n in ("language", "value", "effectiveFrom", "effectiveTo")))
+    return df.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("k"), entry.alias("e")))), lambda x: x["e"]).alias("entries"))
+
+
+@query("""WITH e AS (SELECT l_orderkey AS k, l_linenumber AS i, l_partkey AS v, l_shipdate::DATE AS f, l_linestatus = 'O' AS open FROM lineitem)
+SELECT k, v::VARCHAR AS value FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY open DESC, f DESC, i) AS rn FROM e) WHERE rn = 1""")
+def current_or_latest(spark: SparkSession, sf: str) -> DataFrame:
+    end = F.when(F.col("l_linestatus") != "O", _day("l_shipdate"))
+    lines = _entries(_t(spark, sf, "lineitem"), "l_orderkey", "l_linenumber", language=F.lit(None), value=F.col("l_partkey"), effectiveFrom=_day("l_shipdate"), effectiveTo=end)
+    return lines.select(F.col("l_orderkey").alias("k"), temporal.current_or_latest("entries")["value"].alias("value"))
+
+
+_LANG = """e AS (SELECT o_custkey AS k, o_orderkey AS i, CASE WHEN o_orderpriority LIKE '1%' THEN 'SK' WHEN o_orderpriority LIKE '2%' THEN 'sk' WHEN o_orderpriority LIKE '3%' THEN 'en' WHEN o_orderpriority LIKE '4%' THEN '' ELSE 'de' END AS lang,
+ CASE WHEN o_orderstatus = 'P' THEN ' ' ELSE ' t' || o_orderkey END AS v, o_orderdate::DATE AS f, o_orderstatus = 'O' AS open FROM orders), c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, lang ORDER BY open DESC, f DESC, i) AS rn FROM e) WHERE rn = 1)"""
+
+
+def _languages(spark: SparkSession, sf: str) -> DataFrame:
+    p = lambda d: F.col("o_orderpriority").startswith(d)
+    lang = F.when(p("1"), "SK").when(p("2"), "sk").when(p("3"), "en").when(p("4"), "").otherwise("de")
+    value = F.when(F.col("o_orderstatus") == "P", " ").otherwise(F.concat(F.lit(" t"), F.col("o_orderkey").cast("string")))
+    return _entries(_t(spark, sf, "orders"), "o_custkey", "o_orderkey", language=lang, value=value, effectiveFrom=_day("o_orderdate"), effectiveTo=F.when(F.col("o_orderstatus") != "O", _day("o_orderdate")))
+
+
+@query(f"WITH {_LANG} SELECT k, string_agg(lang || '=' || v, ';' ORDER BY lang COLLATE BINARY) AS chosen FROM c GROUP BY k".replace(" COLLATE BINARY", ""))
+def current_per_language(spark: SparkSession, sf: str) -> DataFrame:
+    chosen = F.transform(temporal.current_per_language("entries"), lambda x: F.concat(x["language"], F.lit("="), x["value"]))
+    return _languages(spark, sf).select(F.col("o_custkey").alias("k"), F.array_join(chosen, ";").alias("chosen"))
+
+
+@query(f"""WITH {_LANG}, m AS (SELECT k, CASE WHEN lang = '' THEN 'und' ELSE lower(lang) END AS l, lang, trim(v) AS v FROM c WHERE trim(v) <> '')
+SELECT k, arg_max(v, lang) FILTER (l = 'sk') AS name_sk, max(v) FILTER (l = 'en') AS name_en, max(v) FILTER (l = 'und') AS name_und FROM (SELECT DISTINCT o_custkey AS k FROM orders) LEFT JOIN m USING (k) GROUP BY k""")
+def language_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    return _languages(spark, sf).select(F.col("o_custkey").alias("k"), *temporal.language_columns("name", "entries", ("sk", "en", "und")))
+
+
+@query("SELECT o_orderkey, coalesce(max(CASE WHEN l_quantity > 25 THEN l_shipdate END), max(o_orderdate))::DATE::VARCHAR AS last_modified FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
+def max_with_default(spark: SparkSession, sf: str) -> DataFrame:
+    last = _t(spark, sf, "lineitem").where("l_quantity > 25").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("last"))
+    return _t(spark, sf, "orders").join(last, "o_orderkey", "left").select("o_orderkey", _day(F.coalesce("last", "o_orderdate")).alias("last_modified"))
+
+
+# URIs
+
+_PARTS = "'^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\\?[^#]*)?(#.*)?$'"
+_P = lambda c, i: f"regexp_extract({c}, {_PARTS}, {i})"
+_NORM = lambda c: f"CASE WHEN regexp_matches({c}, '^https?://[^/?#]+') THEN lower({_P(c, 1)}) || '://' || {_P(c, 2)} || regexp_replace({_P(c, 3)}, '/+', '/', 'g') || {_P(c, 4)} || {_P(c, 5)} END"
+_BASE = lambda c: f"{_P(c, 1)} || '://' || {_P(c, 2)} || CASE WHEN regexp_replace(regexp_replace({_P(c, 3)}, '/+$', ''), '[^/]*$', '') = '' THEN '/' ELSE regexp_replace(regexp_replace({_P(c, 3)}, '/+$', ''), '[^/]*$', '') END"
+_TAIL = lambda c: f"regexp_extract(regexp_replace({c}, '/+$', ''), '[^/]*$')"
+_MESSY = "CASE page_id % 5 WHEN 0 THEN '  ' || replace(url, '.example', '.Example') || ' ' WHEN 1 THEN regexp_replace(url, '(example[.][a-z]+)/', '\\1//x///') WHEN 2 THEN replace(url, 'http', 'ftp') ELSE url END"
+
+
+def _messy(spark: SparkSession, sf: str) -> DataFrame:
+    u, k = F.col("url"), F.col("page_id") % 5
+    messy = F.when(k == 0, F.concat(F.lit("  "), F.replace(u, F.lit(".example"), F.lit(".Example")), F.lit(" "))).when(k == 1, F.regexp_replace(u, "(example[.][a-z]+)/", "$1//x///")).when(k == 2, F.replace(u, F.lit("http"), F.lit("ftp"))).otherwise(u)
+    return _t(spark, sf, "pages").select("page_id", messy.alias("u"))
+
+
+@query(f"SELECT page_id, {_NORM('t')} AS uri, CASE WHEN regexp_matches(t, '^https?://[^/?#]+') THEN lower({_P('t', 1)}) || '://' || {_P('t', 2)} || regexp_replace(regexp_replace({_P('t', 3)}, '/+', '/', 'g'), '/$', '') || {_P('t', 4)} || {_P('t', 5)} END AS http_uri FROM (SELECT page_id, trim({_MESSY}) AS t FROM pages)")
+def uri_normalize(spark: SparkSession, sf: str) -> DataFrame:
+    return _messy(spark, sf).select("page_id", uris.normalize_uri("u").alias("uri"), uris.normalize_http_uri("u").alias("http_uri"))
+
+
+@query(f"SELECT page_id, {_BASE('url')} AS base, {_TAIL('url')} AS tail, regexp_extract(regexp_replace(url, '[/#]+$', ''), '[^/#]*$') AS local, {_P('url', 2)} AS host FROM pages")
+def uri_parts(spark: SparkSession, sf: str) -> DataFrame:
+    return _t(spark, sf, "pages").select("page_id", uris.uri_base("url").alias("base"), uris.uri_tail("url").alias("tail"), uris.local_name("url").alias("local"), uris.part("url", 2).alias("host"))
+
+
+@query("""WITH r AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url ELSE 'c' || page_id END AS k, CASE WHEN page_id % 6 = 0 THEN url WHEN page_id % 7 = 0 THEN ' ' END AS u FROM pages),
+m AS (SELECT *, page_id % 3 = 0 AND page_id % 6 <> 0 AS recovered, regexp_replace(split_part(split_part(url, '#', 1), '?', 1), '/$', '') || regexp_extract(url, '[?#].*$') AS n FROM r JOIN pages USING (page_id))
+SELECT page_id, CASE WHEN recovered THEN regexp_extract(regexp_replace(n, '[/#]+$', ''), '[^/#]*$') ELSE k END AS code, CASE WHEN recovered THEN n ELSE nullif(trim(u), '') END AS uri, recovered FROM m""")
+def uri_identity_repair(spark: SparkSession, sf: str) -> DataFrame:
+    i = F.col("page_id")
+    rows = _t(spark, sf, "pages").select("page_id", F.when(i % 3 == 0, F.col("url")).otherwise(F.concat(F.lit("c"), i.cast("string"))).alias("k"), F.when(i % 6 == 0, F.col("url")).when(i % 7 == 0, " ").alias("u"))
+    return rows.select("page_id", uris.identity("k", "u").alias("x")).select("page_id", "x.code", "x.uri", "x.recovered")
+
+
+_PORTAL = "CASE page_id % 4 WHEN 0 THEN 'https://data.gov.sk/def/' || page_id || '/' WHEN 1 THEN 'https://data.gov.sk/def/ontology/' || page_id || '/' WHEN 2 THEN 'https://data.gov.sk/set/codelist/CL' || page_id || '/' ELSE url END"
+
+
+@query(f"""WITH b AS (SELECT page_id, {_PORTAL} AS b FROM pages), x AS (SELECT *, {_P('b', 2)} LIKE '%data.gov.sk' AS inside, list_filter(string_split({_P('b', 3)}, '/'), lambda s: s <> '') AS parts FROM b)
+SELECT page_id, CASE WHEN inside AND parts[1] = 'def' AND len(parts) = 2 THEN 'data_gov_def_simple' WHEN inside AND parts[1] = 'def' AND len(parts) >= 3 THEN 'data_gov_def_namespaced' WHEN inside AND parts[1:2] = ['set', 'codelist'] AND len(parts) = 3 THEN 'data_gov_set_codelist' ELSE 'external_other' END AS kind, parts[-1] AS label FROM x""")
+def uri_classify(spark: SparkSession, sf: str) -> DataFrame:
+    i = F.col("page_id")
+    s = lambda a: F.concat(F.lit(a), i.cast("string"), F.lit("/"))
+    base = F.when(i % 4 == 0, s("https://data.gov.sk/def/")).when(i % 4 == 1, s("https://data.gov.sk/def/ontology/")).when(i % 4 == 2, s("https://data.gov.sk/set/codelist/CL")).otherwise(F.col("url"))
+    return _t(spark, sf, "pages").select("page_id", uris.classify_base(base).alias("x")).select("page_id", "x.kind", "x.label")
+
+
+_LIST = "regexp_extract(url, 'example[.]([a-z]+)/', 1)"
+
+
+def _page_items(spark: SparkSession, sf: str) -> DataFrame:
+    i = F.col("page_id")
+    return _t(spark, sf, "pages").select("page_id", F.regexp_extract("url", "example[.]([a-z]+)/", 1).alias("list"), F.when(i % 11 != 0, i.cast("string")).alias("code"), F.when(i % 13 == 0, "x/1").when(i % 17 != 0, F.col("url")).alias("uri"))
+
+
+_ITEMS = f"i AS (SELECT page_id, {_LIST} AS list, CASE WHEN page_id % 11 <> 0 THEN page_id::VARCHAR END AS code, CASE WHEN page_id % 13 = 0 THEN 'x/1' WHEN page_id % 17 <> 0 THEN url END AS uri FROM pages)"
+
+
+@query(f"WITH {_ITEMS}, b AS (SELECT list, {_BASE('uri')} AS base, count(*) AS n FROM i WHERE uri LIKE 'http%' GROUP BY ALL) SELECT list, base, n FROM (SELECT *, row_number() OVER (PARTITION BY list ORDER BY n DESC, length(base), base) AS rn FROM b) WHERE rn = 1")
+def choose_best_base(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.choose_best_base(_page_items(spark, sf), "list", "uri").select("list", "base", "n")
+
+
+@query(f"WITH {_ITEMS} SELECT list, count(*) AS total, count(*) FILTER (code IS NULL) AS missing_code, count(*) FILTER (uri IS NULL) AS missing_uri, count(*) FILTER (uri NOT LIKE 'http%') AS invalid, count(DISTINCT CASE WHEN uri LIKE 'http%' THEN {_BASE('uri')} END) AS bases FROM i GROUP BY list")
+def infer_pattern_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.infer_pattern(_page_items(spark, sf), "list", "code", "uri").select("list", "total", "missing_code", "missing_uri", "invalid", "bases")
+
+
+_AUDITED = """a AS (SELECT page_id, 'https://data.gov.sk/def/x/' AS p, CASE WHEN page_id % 9 <> 0 THEN page_id::VARCHAR END AS k, CASE page_id % 8 WHEN 0 THEN NULL WHEN 1 THEN 'x/1' WHEN 2 THEN 'https://data.gov.sk/def//x/' || page_id WHEN 3 THEN 'https://data.gov.sk/def/x' WHEN 4 THEN 'https://data.gov.sk/def/y/' || page_id
+ WHEN 5 THEN 'https://data.gov.sk/def/x/z' || page_id WHEN 6 THEN url ELSE 'https://data.gov.sk/def/x/' || page_id || '/' END AS u FROM pages), n AS (SELECT *, """ + _NORM("u") + """ AS now, p || k AS want FROM a)"""
+_CATEGORY = f"""CASE WHEN k IS NULL OR u IS NULL THEN 'skipped' WHEN now IS NULL THEN 'invalid' WHEN now = want THEN 'ok' WHEN regexp_replace(now, '/+$', '') = regexp_replace(p, '/+$', '') THEN 'missing_tail'
+ WHEN {_TAIL('now')} = {_TAIL('want')} AND {_BASE('now')} <> {_BASE('want')} THEN 'base_mismatch' WHEN {_TAIL('now')} <> {_TAIL('want')} AND {_BASE('now')} = {_BASE('want')} THEN 'tail_mismatch' ELSE 'mismatch' END"""
+
+
+@query(f"WITH {_AUDITED} SELECT page_id, {_CATEGORY} AS category FROM n")
+def uri_audit(spark: SparkSession, sf: str) -> DataFrame:
+    i = F.col("page_id")
+    s = lambda a, b="": F.concat(F.lit(a), i.cast("string"), F.lit(b))
+    x = "https://data.gov.sk/def/x/"
+    u = F.when(i % 8 == 0, None).when(i % 8 == 1, "x/1").when(i % 8 == 2, s("https://data.gov.sk/def//x/")).when(i % 8 == 3, x[:-1]).when(i % 8 == 4, s("https://data.gov.sk/def/y/")).when(i % 8 == 5, s(x + "z")).when(i % 8 == 6, F.col("url")).otherwise(s(x, "/"))
+    rows = _t(spark, sf, "pages").select("page_id", F.when(i % 9 != 0, i.cast("string")).alias("k"), u.alias("u"))
+    return rows.select("page_id", audit.audit_category(F.lit(x), "k", "u").alias("category"))
+
+
+@query("SELECT page_id, nullif(trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '\\s+', ' ', 'g')), '') AS title, contains(html, 'rdf:type') AS has_rdf_type FROM pages")
+def html_inspect(spark: SparkSession, sf: str) -> DataFrame:
+    return _t(spark, sf, "pages").select("page_id", audit.inspect_page("html", F.lit(200), r"(?is)<title[^>]*>(.*?)</title>").alias("p")).select("page_id", "p.title", "p.has_rdf_type")
+
+
+# Texts
+
+_NT = lambda c: f"nullif(replace(trim(regexp_replace(lower(replace({c}, chr(160), ' ')), '\\s+', ' ', 'g')), 'ß', 'ss'), '')"
+
+
+@query(f"SELECT doc_id, length({_NT('text')}) AS n, md5({_NT('text')}) AS h FROM documents")
+def text_normalize(spark: SparkSession, sf: str) -> DataFrame:
+    return _t(spark, sf, "documents").select("doc_id", text.normalize_text("text").alias("t")).select("doc_id", F.length("t").cast("long").alias("n"), F.md5("t").alias("h"))
+
+
+_STOP = "(" + ", ".join(f"'{w}'" for w in text.STOP_TOKENS) + ")"
+_TOKENS = lambda c: f"list_filter(list_distinct(regexp_extract_all({_NT(c)}, '[0-9A-Za-zÀ-ž.]+')), lambda t: length(t) >= 2 AND t NOT IN {_STOP})"
+
+
+@query(f"SELECT token, count(*) AS n FROM (SELECT unnest({_TOKENS('text')}) AS token FROM benchmark) GROUP BY token")
+def tokenize_stop(spark: SparkSession, sf: str) -> DataFrame:
+    return _t(spark, sf, "benchmark").select(F.explode(text.tokenize("text")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+_CLEAN = lambda c: f"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim({c}), '^["'']+|["'']+$', '', 'g'), '^[-•·*]+ *', ''), '(?i)^pozri +', ''), ' +', ' ', 'g'), '^[ ,;:]+|[ ,;:]+$', '', 'g')"""
+_CLUED = "'- pozri ' || p_name || '; \"' || p_brand || '\",, ' || p_type || ' ,' || p_name"
+_CLUES = f"list_filter(list_transform(regexp_split_to_array(raw, '[,;\\n\\r\\t]+'), lambda x: {_CLEAN('x')}), lambda x: x <> '')"
+
+
+@query(f"SELECT p_partkey, array_to_string({_CLUES}, '|') AS clues FROM (SELECT p_partkey, {_CLUED} AS raw FROM part)")
+def split_clues(spark: SparkSession, sf: str) -> DataFrame:
+    raw = F.concat(F.lit("- pozri "), "p_name", F.lit('; "'), "p_brand", F.lit('",, '), "p_type", F.lit(" ,"), "p_name")
+    return _t(spark, sf, "part").select("p_partkey", F.array_join(text.split_clues(raw), "|").alias("clues"))
+
+
+@query("SELECT p_partkey, array_to_string(['http://e/x' || p_size, 'CL' || lpad(p_partkey::VARCHAR, 6, '0'), '01.' || (10 + p_size), (1000 + p_partkey)::VARCHAR], '|') AS refs FROM part")
+def explicit_refs(spark: SparkSession, sf: str) -> DataFrame:
+    i, n = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    raw = F.concat(F.lit("viz http://e/x"), n, F.lit(" a CL"), F.lpad(i, 6, "0"), F.lit(", 01."), (10 + F.col("p_size")).cast("string"), F.lit("; abc "), (1000 + F.col("p_partkey")).cast("string"), F.lit(" CL"), F.lpad(i, 6, "0"))
+    return _t(spark, sf, "part").select("p_partkey", F.array_join(text.explicit_refs(raw), "|").alias("refs"))
+
+
+@query("""WITH x AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'ICO: ' || c_custkey WHEN 1 THEN 'https://data.gov.sk/id/legal-subject/' || c_custkey WHEN 2 THEN 'no digits' ELSE '1234567890' END AS raw FROM customer)
+SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN lpad(c_custkey::VARCHAR, 8, '0') WHEN 1 THEN c_custkey::VARCHAR END AS identifier, CASE c_custkey % 4 WHEN 0 THEN 'CL' || lpad(c_custkey::VARCHAR, 6, '0') WHEN 1 THEN 'a' || c_custkey END AS other FROM x""")
+def external_identifier(spark: SparkSession, sf: str) -> DataFrame:
+    i = F.col("c_custkey")
+    s = i.cast("string")
+    raw = F.when(i % 4 == 0, F.concat(F.lit("ICO: "), s)).when(i % 4 == 1, F.concat(F.lit("https://data.gov.sk/id/legal-subject/"), s)).when(i % 4 == 2, "no digits").otherwise("1234567890")
+    raw2 = F.when(i % 4 == 0, F.concat(F.lit("abc def CL"), F.lpad(s, 6, "0"))).when(i % 4 == 1, F.concat(F.lit("a"), s)).when(i % 4 == 2, "no digits").otherwise("ftp://x/y")
+    return _t(spark, sf, "customer").select("c_custkey", uris.external_identifier(raw, F.lit("https://data.gov.sk/id/legal-subject/")).alias("identifier"), uris.external_identifier(raw2, F.lit("http://ex")).alias("other"))
+
+
+@query("""WITH e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, ts FROM events)
+SELECT event_id, CASE k % 4 WHEN 0 THEN k WHEN 1 THEN k END AS whole, CASE k % 6 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN false END AS flag,
+ CASE WHEN k % 3 < 2 THEN strftime(ts, '%Y-%m-%d') END AS day, CASE k % 5 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 99 END AS rank FROM e""")
+def parse_scalars(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("k")
+    s = k.cast("string")
+    pick = lambda n, *options: F.element_at(F.array(*options), (k % n + 1).cast("int"))
+    t = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    rows = _t(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    return rows.select(
+        "event_id", scalars.maybe_int(pick(4, s, F.concat(F.lit("  "), s), F.concat(s, F.lit(".0")), F.lit("x"))).alias("whole"),
+        scalars.parse_bool(pick(6, *map(F.lit, ("Yes", " 1", "N", "false", "maybe", "")))).alias("flag"),
+        scalars.iso_date(pick(3, F.concat(t, F.lit("-05:00")), F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "yyyy/M/d"))).cast("string").alias("day"),
+        scalars.state_rank(pick(5, *map(F.lit, ("PUBLISHED", " READY_TO_PUBLISH ", "ISVS_PROCESSING", "UPDATING", "OTHER")))).alias("rank"),
+    )
+
+
+_UUID = "regexp_replace(md5({}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})', '\\1-\\2-\\3-\\4-')"
+
+
+@query(f"SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN {_UUID.format(chr(39) + 'b' + chr(39) + ' || c_custkey')} END AS owner, CASE WHEN c_custkey % 4 = 0 THEN lpad(c_custkey::VARCHAR, 6, '1') WHEN c_custkey % 4 = 1 THEN lpad(c_custkey::VARCHAR, 10, '1') END AS ico FROM customer")
+def uuid_last(spark: SparkSession, sf: str) -> DataFrame:
+    i = F.col("c_custkey")
+    s = i.cast("string")
+    uuid = lambda a: F.regexp_replace(F.md5(F.concat(F.lit(a), s)), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
+    manager = F.when(i % 3 > 0, F.concat(F.lit("A:"), uuid("a"), F.lit(" B:"), uuid("b"))).otherwise("nobody")
+    spaced = lambda x: F.concat(F.substring(x, 1, 3), F.lit(" "), F.substring(x, 4, 20))
+    ico = F.when(i % 4 == 0, spaced(F.lpad(s, 6, "1"))).when(i % 4 == 1, spaced(F.lpad(s, 10, "1"))).when(i % 4 == 2, "12345").otherwise("12345x")
+    return _t(spark, sf, "customer").select("c_custkey", scalars.owner_uuid(manager).alias("owner"), scalars.sanitize_ico(ico).alias("ico"))
+
+
+@query("SELECT c_custkey, lpad(c_custkey::VARCHAR, 8, '0') AS number, c_custkey % 2 = 0 AS looks FROM customer")
+def ico_sanitize(spark: SparkSession, sf: str) -> DataFrame:
+    s = F.col("c_custkey").cast("string")
+    return _t(spark, sf, "customer").select("c_custkey", scalars.normalize_ico(F.concat(F.lit("no "), s)).alias("number"), scalars.looks_like_ico(F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit(" "), s)).otherwise(F.concat(s, F.lit("a")))).alias("looks"))
+
+
+@query("SELECT conv_id, string_agg(role, ',' ORDER BY first) AS roles FROM (SELECT conv_id, role, min(turn) AS first FROM conversations GROUP BY ALL) GROUP BY conv_id")
+def ordered_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    turns = _t(spark, sf, "conversations").groupBy("conv_id", "role").agg(F.min("turn").alias("turn"))  # before the turns of a conversation are gathered
+    roles = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"])
+    return turns.groupBy("conv_id").agg(roles.alias("roles")).select("conv_id", F.array_join(scalars.unique_nonempty("roles"), ",").alias("roles"))
+
+
+# Resolution: parts are items with a name, a code (brand and size) and a URI
+
+
+def _part_items(spark: SparkSession, sf: str) -> DataFrame:
+    code = F.concat(F.replace("p_brand", F.lit("Brand#"), F.lit("B")), F.lit("."), F.col("p_size").cast("string"))
+    uri = F.concat(F.lit("https://data.gov.sk/def/part/"), F.col("p_partkey").cast("string"))
+    return _t(spark, sf, "part").select(F.col("p_partkey").alias("id"), code.alias("item_code"), uri.alias("item_uri"), F.lit(None).cast("string").alias("item_uri_raw"), F.col("p_name").alias("name_sk"), F.col("p_type").alias("codelist_code"))
+
+
+_CODE = "replace(p_brand, 'Brand#', 'B') || '.' || p_size"
+_KEYS = f"""k AS (SELECT DISTINCT * FROM (SELECT 'uri' AS kind, 'https://data.gov.sk/def/part/' || p_partkey AS key, p_partkey AS id FROM part UNION ALL SELECT 'code', {_CODE}, p_partkey FROM part
+ UNION ALL SELECT 'code', p_partkey::VARCHAR, p_partkey FROM part UNION ALL SELECT 'text', p_name, p_partkey FROM part UNION ALL SELECT 'text', lower({_CODE}), p_partkey FROM part)),
+ one AS (SELECT kind, key, min(id) AS id FROM k GROUP BY kind, key HAVING count(*) = 1)"""
+
+
+@query(f"WITH {_KEYS}, c AS (SELECT key, count(*) AS n FROM k WHERE kind = 'code' GROUP BY key) SELECT p_partkey, CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'unique' ELSE 'ambiguous' END AS match FROM part LEFT JOIN c ON key = CASE WHEN p_partkey % 10 = 0 THEN 'zzz' ELSE {_CODE} END")
+def singleton_match(spark: SparkSession, sf: str) -> DataFrame:
+    items = _part_items(spark, sf)
+    counts = resolve.item_keys(items, ["item_code", "name_sk"]).where("kind = 'code'").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    asked = items.select(F.col("id").alias("p_partkey"), F.when(F.col("id") % 10 == 0, "zzz").otherwise(F.col("item_code")).alias("key"))
+    return asked.join(counts, "key", "left").select("p_partkey", F.when(F.col("n").isNull(), "none").when(F.col("n") == 1, "unique").otherwise("ambiguous").alias("match"))
+
+
+def _asked(spark: SparkSession, sf: str) -> DataFrame:
+    i = F.col("id")
+    raw = F.when(i % 4 == 0, F.upper("name_sk")).when(i % 4 == 1, F.col("item_code")).when(i % 4 == 2, F.concat(F.lit(" "), "item_uri")).otherwise(F.concat(F.lit("http://elsewhere/"), i.cast("string")))
+    return _part_items(spark, sf).select(i.alias("source_id"), F.lit("includes").alias("relation"), F.lit(0).alias("pos"), F.lit("*").alias("scope"), raw.alias("raw_value"))
+
+
+@query(f"""WITH {_KEYS} SELECT p_partkey AS source_id, coalesce(u.id, c.id, x.id, t.id) AS target_id FROM part
+ LEFT JOIN one u ON u.kind = 'uri' AND p_partkey % 4 = 2 AND u.key = 'https://data.gov.sk/def/part/' || p_partkey LEFT JOIN one c ON c.kind = 'code' AND p_partkey % 4 = 1 AND c.key = {_CODE}
+ LEFT JOIN one x ON x.kind = 'code' AND p_partkey % 4 >= 2 AND x.key = p_partkey::VARCHAR LEFT JOIN one t ON t.kind = 'text' AND t.key = CASE WHEN p_partkey % 4 = 0 THEN p_name WHEN p_partkey % 4 = 1 THEN lower({_CODE}) END WHERE coalesce(u.id, c.id, x.id, t.id) IS NOT NULL""")
+def cascade_resolve(spark: SparkSession, sf: str) -> DataFrame:
+    keys = resolve.item_keys(_part_items(spark, sf), ["item_code", "name_sk"])
+    return resolve.resolve_values(_asked(spark, sf), keys).select("source_id", "target_id")
+
+
+@query("""WITH g AS (SELECT p_name, p_brand, p_type, min(p_partkey) AS id, count(*) AS n FROM part GROUP BY ALL), b AS (SELECT p_brand, count(*) AS nb, min(p_partkey) AS bid FROM part GROUP BY ALL), m AS (SELECT p_name, count(*) AS nm, min(p_partkey) AS mid FROM part GROUP BY ALL),
+ t AS (SELECT p_type, count(*) AS nt, min(p_partkey) AS tid FROM part GROUP BY ALL)
+SELECT p_partkey AS source_id, g.id AS target_id FROM part JOIN g USING (p_name, p_brand, p_type) WHERE g.n = 1""")
+def clue_intersection(spark: SparkSession, sf: str) -> DataFrame:
+    parts = _t(spark, sf, "part")
+    items = parts.select(F.col("p_partkey").alias("id"), F.lit(None).cast("string").alias("item_code"), F.lit(None).cast("string").alias("item_uri"), F.lit(None).cast("string").alias("item_uri_raw"), "p_name", "p_brand", "p_type")
+    raw = parts.select(F.col("p_partkey").alias("source_id"), F.lit("includes").alias("relation"), F.lit(0).alias("pos"), F.lit("*").alias("scope"), F.concat_ws("; ", "p_name", F.upper("p_brand"), "p_type").alias("raw_value"))
+    return resolve.resolve_values(raw, resolve.item_keys(items, ["p_name", "p_brand", "p_type"])).select("source_id", "target_id")
+
+
+def _nation_items(spark: SparkSession, sf: str) -> DataFrame:
+    nations = _t(spark, sf, "nation").select((F.col("n_nationkey") + 100).cast("long").alias("id"), F.lit("NATIONS").alias("codelist_code"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("item_code"), F.col("n_name").alias("name_sk"))
+    regions = _t(spark, sf, "region").select(F.col("r_regionkey").cast("long").alias("id"), F.lit("REGIONS").alias("codelist_code"), F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("item_code"), F.col("r_name").alias("name_sk"))
+    uri = F.concat(F.lit("https://data.gov.sk/def/"), F.lower("codelist_code"), F.lit("/"), "item_code")
+    absent = [F.lit(None).cast("string").alias(c) for c in resolve.TEXT_FIELDS if c not in ("item_code", "name_sk")]
+    return nations.unionByName(regions).select("*", uri.alias("item_uri"), F.lit(None).cast("string").alias("item_uri_raw"), *absent)
+
+
+def _hierarchy(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    named = _t(spark, sf, "nation").join(F.broadcast(_t(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))  # five regions
+    i = F.col("n_nationkey")
+    value = F.when(i % 5 == 0, F.concat(F.lit("pozri "), "r_name", F.lit(", R"), F.col("r_regionkey").cast("string"))).when(i % 5 == 1, F.lower("r_name")).when(i % 5 == 2, "R0 R1").when(i % 5 == 3, "zzz").otherwise(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")))
+    raw = named.select((i + 100).cast("long").alias("source_id"), F.lit("includes").alias("relation"), F.lit(0).alias("pos"), value.alias("raw_value"))
+    return resolve.resolve_configured(raw, _nation_items(spark, sf), {"NATIONS": "REGIONS"})
+
+
+@query("SELECT (n_nationkey + 100)::BIGINT AS source_id, 'includes' AS relation, n_regionkey::BIGINT AS target_id FROM nation WHERE n_nationkey % 5 IN (0, 1, 4)")
+def configured_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
+    return _hierarchy(spark, sf)["edges"].select("source_id", "relation", "target_id")
+
+
+@query("SELECT (n_nationkey + 100)::BIGINT AS source_id, CASE n_nationkey % 5 WHEN 2 THEN 'multiple_matches_in_configured_parent' ELSE 'no_match_in_configured_parent' END AS reason, CASE n_nationkey % 5 WHEN 2 THEN '0,1' ELSE '' END AS candidates FROM nation WHERE n_nationkey % 5 IN (2, 3)")
+def hierarchy_issues(spark: SparkSession, sf: str) -> DataFrame:
+    return _hierarchy(spark, sf)["no_match"].select("source_id", "reason", F.array_join(F.transform("candidates", lambda x: x.cast("string")), ",").alias("candidates"))
+
+
+def _nation_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return _t(spark, sf, "nation").select((F.col("n_nationkey") + 100).cast("long").alias("source_id"), F.lit("includes").alias("relation"), F.col("n_regionkey").cast("long").alias("target_id"), F.lit(0).alias("ord"))
+
+
+@query("SELECT (n_nationkey + 100)::BIGINT AS source_id, n_regionkey::BIGINT AS target_id FROM nation WHERE n_nationkey % 3 <> 0 AND n_regionkey <> 2")
+def emitted_edges(spark: SparkSession, sf: str) -> DataFrame:
+    items = _nation_items(spark, sf).where("NOT (codelist_code = 'NATIONS' AND (id - 100) % 3 = 0) AND NOT (codelist_code = 'REGIONS' AND id = 2)")
+    return resolve.emitted(_nation_edges(spark, sf), items).select("source_id", "target_id")
+
+
+@query("SELECT p_partkey, p_type FROM part WHERE p_type NOT IN ('ECONOMY', 'SMALL')")
+def ignored_codes(spark: SparkSession, sf: str) -> DataFrame:
+    ignore = spark.createDataFrame([("ECONOMY",), ("SMALL",)], "p_type string")
+    return _t(spark, sf, "part").join(F.broadcast(ignore), "p_type", "left_anti").select("p_partkey", "p_type")  # two rows
+
+
+_IRI = lambda list_, key: f"'https://data.gov.sk/def/{list_}/' || {key}"
+_NU, _RU = _IRI("nations", "'N' || n_nationkey"), _IRI("regions", "'R' || n_regionkey")
+
+
+@query(f"SELECT {_NU} AS s, 'http://purl.org/dc/terms/isPartOf' AS p, {_RU} AS o FROM nation UNION ALL SELECT {_RU}, 'http://purl.org/dc/terms/hasPart', {_NU} FROM nation")
+def inverse_edges(spark: SparkSession, sf: str) -> DataFrame:
+    relations = {"includes": {"predicate": "dct:isPartOf", "inversePredicate": "dct:hasPart"}}
+    return triples.edge_triples(_nation_edges(spark, sf), None, _nation_items(spark, sf), relations).select("s", "p", "o")
+
+
+@query("""WITH v(base, p) AS (VALUES ('http://', 'a'), ('https://', 'b'), ('https://www.', 'c'), ('https://m.', 'd')) SELECT page_id, max_by(p, length(base)) AS predicate FROM pages LEFT JOIN v ON starts_with(url, base) GROUP BY page_id""")
+def longest_prefix_predicate(spark: SparkSession, sf: str) -> DataFrame:
+    edges = _t(spark, sf, "pages").select(F.col("page_id").alias("source_id"), F.lit("includes").alias("relation"), F.col("url").alias("uri"))
+    found = resolve.with_external_predicate(edges, {"http://": "a", "https://": {"includes": "b", "default": "x"}, "https://www.": {"default": "c", "excludes": "y"}, "https://m.": "d"})
+    return found.select(F.col("source_id").alias("page_id"), "predicate")
+
+
+@query("SELECT p_brand AS code, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS types FROM part WHERE p_name IN (SELECT p_name FROM part WHERE p_size > 45) GROUP BY p_brand")
+def code_class_map(spark: SparkSession, sf: str) -> DataFrame:
+    parts = _t(spark, sf, "part")
+    typed = parts.join(parts.where("p_size > 45").select("p_name").distinct(), "p_name", "left_semi")
+    return typed.groupBy(F.col("p_brand").alias("code")).agg(F.array_join(F.array_sort(F.collect_set("p_type")), ",").alias("types"))
+
+
+# Scores: benchmark items against the parts of their bucket, by words in common
+
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    items = _t(spark, sf, "benchmark").select("item_id", F.slice(F.array_sort(text.tokenize("text")), 1, 6).alias("x"), (F.col("item_id") % 20).alias("b"))
+    others = _t(spark, sf, "benchmark").select(F.col("item_id").alias("other"), text.tokenize("text").alias("y"), (F.col("item_id") % 20).alias("b"))
+    return items.join(others, "b").where("item_id <> other").select("item_id", "other", scoring._least(4, 1.25, scoring._common("x", "y")).alias("score"))
+
+
+_SCORED = f"""a AS (SELECT item_id, list_sort({_TOKENS('text')}) AS y FROM benchmark), s AS (SELECT a.item_id, b.item_id AS other, least(4.0::DOUBLE, 1.25::DOUBLE * len(list_intersect(a.y[1:6], b.y))) AS score FROM a JOIN a AS b ON a.item_id % 20 = b.item_id % 20 AND a.item_id <> b.item_id)"""
+
+
+@query(f"WITH {_SCORED} SELECT item_id, other, score FROM s")
+def candidate_score(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored(spark, sf)
+
+
+@query(f"""WITH {_SCORED}, r AS (SELECT *, row_number() OVER w AS rn, score - lead(score) OVER w AS margin, count(*) OVER (PARTITION BY item_id) AS n FROM s WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, other))
+SELECT item_id, other, score, margin, n = 1 OR (score >= 6 AND coalesce(margin, 0) >= 1.5) AS recommended, CASE WHEN n = 1 THEN round(least(0.99, 0.55 + 0.04 * score), 3) END AS confidence FROM r WHERE rn = 1""")
+def rank_margin_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    ranked = scoring.rank(_scored(spark, sf), ["item_id"], id_col="other")
+    return ranked.where("rank = 1").select("item_id", "other", "score", "margin", "recommended", "confidence")
+
+
+# Triples
+
+_TRIPLES = f"""t AS (SELECT {_NU} AS s, 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type' AS p, 'http://www.w3.org/2004/02/skos/core#Concept' AS o, 'iri' AS o_kind, NULL AS o_lang, NULL AS o_dtype FROM nation
+ UNION SELECT {_NU}, 'http://www.w3.org/2004/02/skos/core#notation', 'N' || n_nationkey, 'literal', NULL, NULL FROM nation UNION SELECT {_NU}, 'http://www.w3.org/2004/02/skos/core#prefLabel', n_name, 'literal', 'sk', NULL FROM nation
+ UNION SELECT {_NU}, 'http://purl.org/dc/terms/isPartOf', {_RU}, 'iri', NULL, NULL FROM nation
+ UNION SELECT {_NU}, 'https://data.gov.sk/def/ontology/egov/logicalOrder', n_nationkey::VARCHAR, 'literal', NULL, 'http://www.w3.org/2001/XMLSchema#integer' FROM nation)"""
+
+
+def _nation_triples(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _t(spark, sf, "nation").select(F.concat(F.lit("https://data.gov.sk/def/nations/N"), F.col("n_nationkey").cast("string")).alias("s"), "n_name", F.col("n_nationkey").alias("k"), F.concat(F.lit("https://data.gov.sk/def/regions/R"), F.col("n_regionkey").cast("string")).alias("r"))
+    out = [
+        triples.constant("rdf:type", "skos:Concept"), triples.text("skos:notation", F.concat(F.lit("N"), F.col("k").cast("string"))), triples.text("skos:prefLabel", F.col("n_name"), "sk"),
+        triples.ref("dct:isPartOf", F.col("r")), triples.text("egov:logicalOrder", F.col("k"), dtype="xsd:integer"), triples.text("skos:note", F.lit(None)),
+    ]
+    return triples.unpivot(rows.withColumn("code", F.lit("NATIONS")), out).select(*triples.COLUMNS).distinct()
+
+
+@query(f"WITH {_TRIPLES} SELECT * FROM t")
+def triples_nation(spark: SparkSession, sf: str) -> DataFrame:
+    return _nation_triples(spark, sf)
+
+
+_OBJECT = "CASE WHEN o_kind = 'iri' THEN '<' || o || '>' ELSE '\"' || o || '\"' || coalesce('@' || o_lang, '^^<' || o_dtype || '>', '') END"
+
+
+@query(f"WITH {_TRIPLES} SELECT '<' || s || '> <' || p || '> ' || {_OBJECT} || ' .' AS line FROM t")
+def ntriples_text(spark: SparkSession, sf: str) -> DataFrame:
+    return triples.ntriples(_nation_triples(spark, sf))
+
+
+@query(f"WITH {_TRIPLES}, x AS (SELECT s, '<' || p || '> ' || {_OBJECT} AS po FROM t) SELECT '<' || s || '>' AS subject, '<' || s || '> ' || string_agg(po, ' ;\n    ' ORDER BY po) || ' .' AS block FROM x GROUP BY s")
+def turtle_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return triples.turtle_blocks(_nation_triples(spark, sf), [])
+
+
+# Reports: customers as lists, orders as their issues
+
+
+def _codes(spark: SparkSession, sf: str) -> DataFrame:
+    orders = _t(spark, sf, "orders")
+    issues = orders.where("o_totalprice > 300000").select(F.col("o_custkey").alias("code"), F.when(F.col("o_orderstatus") == "F", "error").otherwise("warning").alias("level"), F.col("o_orderkey").cast("string").alias("message"))
+    dup = lambda p, k: orders.where(F.col("o_orderpriority").startswith(p) & (F.col("o_totalprice") < 20000)).select(F.col("o_custkey").alias("code"), F.when(F.col("o_orderstatus") == "F", "conflict").otherwise(k).alias("kind"))
+    processed = _t(spark, sf, "customer").select(F.col("c_custkey").alias("code"), (F.col("c_acctbal") > 0).alias("ttl_created"), (F.col("c_nationkey") != 3).alias("integration_ok"))
+    return reports.per_code(processed, issues, dup("1", "shadow"), dup("2", "shadow"))
+
+
+_CODES = """o AS (SELECT o_custkey AS code, count(*) FILTER (o_totalprice > 300000 AND o_orderstatus <> 'F') AS w, count(*) FILTER (o_totalprice > 300000 AND o_orderstatus = 'F') AS e,
+ count(*) FILTER (o_totalprice < 20000 AND o_orderpriority LIKE '1%' AND o_orderstatus <> 'F') AS hs, count(*) FILTER (o_totalprice < 20000 AND o_orderpriority LIKE '1%' AND o_orderstatus = 'F') AS hc,
+ count(*) FILTER (o_totalprice < 20000 AND o_orderpriority LIKE '2%' AND o_orderstatus <> 'F') AS s, count(*) FILTER (o_totalprice < 20000 AND o_orderpriority LIKE '2%' AND o_orderstatus = 'F') AS c FROM orders GROUP BY 1),
+ x AS (SELECT c_custkey AS code, c_acctbal > 0 AS made, c_nationkey <> 3 AS ok, coalesce(w, 0) AS w, coalesce(e, 0) AS e, coalesce(hs, 0) AS hs, coalesce(hc, 0) AS hc, coalesce(s, 0) AS s, coalesce(c, 0) AS c FROM customer LEFT JOIN o ON code = c_custkey)"""
+
+
+@query(f"""WITH {_CODES} SELECT count(*) AS "totalProcessed", count(*) FILTER (made) AS "ttlCreated", count(*) FILTER (NOT made) AS "ttlFailed", count(*) FILTER (w > 0) AS "withWarnings", count(*) FILTER (e > 0) AS "withErrors", count(*) FILTER (NOT ok) AS "integrationFailures",
+ sum(hs)::BIGINT AS "duplicateHeaderShadows", sum(s)::BIGINT AS "duplicateItemShadows", sum(hc)::BIGINT AS "duplicateHeaderConflicts", sum(c)::BIGINT AS "duplicateItemConflicts" FROM x""")
+def report_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.summary(_codes(spark, sf))
+
+
+@query(f"WITH {_CODES} SELECT code, w > 0 OR NOT ok OR hs + s > 0 AS in_warnings, e > 0 OR hc + c > 0 AS in_errors FROM x")
+def per_code_routing(spark: SparkSession, sf: str) -> DataFrame:
+    return _codes(spark, sf).select("code", "in_warnings", "in_errors")
+
+
+@query("""SELECT count(*) FILTER (event_type = 'error') AS "total5xx", count(DISTINCT CASE WHEN event_type = 'error' THEN props END) AS "uniqueUrls", count(DISTINCT CASE WHEN event_type = 'error' THEN user_id END) AS "affectedCodelists" FROM events""")
+def http5xx_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.http_5xx(_t(spark, sf, "events").select(F.col("user_id").alias("code"), F.col("props").alias("url"), F.when(F.col("event_type") == "error", 503).otherwise(200).alias("status")))
+
+
+@query("SELECT event_id FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY")
+def fresh_rows(spark: SparkSession, sf: str) -> DataFrame:
+    from corpusweave.sources.bronze import fresh
+
+    events = _t(spark, sf, "events").select("event_id", F.col("ts").alias("modified"))
+    return fresh(events.crossJoin(F.broadcast(events.agg(F.max("modified").alias("now")))), 86_400, F.col("now")).select("event_id")  # one row
+
+
+@query("""SELECT n_nationkey, 'https://api.example.org/api/integration/read/codelist/' || n_name AS xml_url, 'https://api.example.org/api/codelist-repo/codelists/codelistheaders/' || n_nationkey AS header_url,
+ 'https://api.example.org/api/codelist-repo/codelists/codelistheaders/' || n_name || '/codelistitems?language=sk&pageNumber=1&perPage=10000&sortBy=itemCode&ascending=true&lang=sk' AS items_url FROM nation""")
+def request_urls(spark: SparkSession, sf: str) -> DataFrame:
+    from corpusweave.sources.bronze import request_urls as urls
+
+    return _t(spark, sf, "nation").select("n_nationkey", *urls("https://api.example.org/", "n_name", "n_nationkey"))
+
+
+@query("SELECT r_regionkey AS code, string_agg(n_nationkey::VARCHAR, ',' ORDER BY n_nationkey) AS neighbours FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY 1")
+def referenced_codes(spark: SparkSession, sf: str) -> DataFrame:
+    nation = _t(spark, sf, "nation")
+    items = nation.select((F.col("n_nationkey") + 100).cast("long").alias("id"), (F.col("n_nationkey") + 100).alias("codelist_code")).union(_t(spark, sf, "region").select(F.col("r_regionkey").cast("long"), F.col("r_regionkey")))
+    near = triples.neighbours(_nation_edges(spark, sf), items).where("code < 100")
+    return near.select("code", F.array_join(F.transform("neighbours", lambda x: (x - 100).cast("string")), ",").alias("neighbours"))
+
+
+_FAMILY = "list_filter(string_split(regexp_replace(u, '/+$', ''), '/'), lambda x: true)"
+
+
+@query(f"""WITH f AS (SELECT page_id, url || CASE WHEN page_id % 2 = 0 THEN '-detail/' ELSE '' END AS u FROM pages), x AS (SELECT page_id, nullif(CASE WHEN u LIKE '%/' THEN ({_FAMILY})[-1] ELSE ({_FAMILY})[-2] END, '') AS family FROM f)
+SELECT page_id, family, array_to_string(list_filter(list_distinct_in_order, lambda t: t NOT IN {_STOP}), ',') AS tokens, CASE WHEN family LIKE '%-detail' THEN regexp_replace(family, '-detail$', '') END AS parent
+FROM (SELECT *, list_filter(regexp_split_to_array(lower(family), '[-_/]+'), lambda t: t <> '') AS list_distinct_in_order FROM x)""")
+def families(spark: SparkSession, sf: str) -> DataFrame:
+    """URI families of pages, with their tokens and parents."""
+    p = _t(spark, sf, "pages").select("page_id", uris.uri_family(F.concat("url", F.when(F.col("page_id") % 2 == 0, "-detail/").otherwise(""))).alias("family"))
+    return p.select("page_id", "family", F.array_join(uris.family_tokens("family"), ",").alias("tokens"), uris.family_parent("family").alias("parent"))
+
