@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from corpusweave.functions.scalars import col, iso_timestamp, nonblank, state_rank, truthy
 
 _MIN = -(1 << 63)
+# What a report says of duplicates.
+HEADER_REASONS = {"conflict": "multiple current published non-temporal base headers", "shadow": "one canonical base header plus non-canonical shadow variants"}
+ITEM_REASONS = {"conflict": "multiple current published non-temporal items", "shadow": "one canonical item plus non-canonical shadow variants"}
 
 
 def registry_order(state: str, effective_to: str, valid_from: str, temporal: str, row_id: str, pos: str | None = None) -> list[Column]:
@@ -33,19 +36,18 @@ def select_best(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return best_per_key(df.where(~blank), key, order).unionByName(df.where(blank))
 
 
-def duplicate_issues(df: DataFrame, key: str, canonical: Column, order_key: Column, row: Column) -> DataFrame:
+def duplicate_issues(df: DataFrame, key: str, canonical: Column, order_key: Column, row: Column, reasons: dict[str, str] = HEADER_REASONS) -> DataFrame:
     """Of each key with several rows: whether more than one is canonical (conflict) or not (shadow), and the rows in order.
 
     order_key: a struct that sorts as the ranking does. The rows of a key are gathered, so a key's rows must fit a task: duplicates
     of one registry code are few.
     """
-    reason = {"conflict": "several current published records", "shadow": "superseded records beside the selected one"}
     got = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(canonical).alias("n_canonical"), F.array_sort(F.collect_list(F.struct(order_key.alias("k"), row.alias("row")))).alias("all")
     ).where("n > 1")
     kind = F.when(F.col("n_canonical") > 1, "conflict").otherwise("shadow")
     return got.select(
-        key, kind.alias("kind"), F.when(kind == "conflict", reason["conflict"]).otherwise(reason["shadow"]).alias("reason"),
+        key, kind.alias("kind"), F.when(kind == "conflict", reasons["conflict"]).otherwise(reasons["shadow"]).alias("reason"),
         F.col("all")[0]["row"].alias("selected"), F.transform("all", lambda x: x["row"]).alias("candidates"),
     )
 
