@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that are worked on at once (one longer text makes a slice of its own).
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 #: Odd multiplier of the rolling word hash modulo 2**64, and its inverse.
 _MUL = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_MUL, -1, 1 << 64)
@@ -25,8 +25,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows of long texts in each Arrow batch than Spark's default, which both the JVM and the Python worker hold."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def tidied(run: Callable) -> Callable:
+    """The task function, which gives memory that its worker no longer needs back to the system in the end."""
+
+    def with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return with_end
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns that an operator reads, under fixed names."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
@@ -82,7 +106,7 @@ def by_slices(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], text_col: s
             if out is not None and out.num_rows:
                 yield out
 
-    return run
+    return tidied(run)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

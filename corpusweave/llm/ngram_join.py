@@ -23,17 +23,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusweave.llm.common import SPACED, Words, cut_lineage, id_text, mix, partitions, slices, table, window_hashes
+from corpusweave.llm.common import SPACED, Words, cut_lineage, id_text, mix, partitions, slices, table, tidied, window_hashes
 from corpusweave.llm.components import components
 
 
 @dataclass(frozen=True)
 class Join:
-    """Shingles of `words` words; a link is 100 * intersection >= percent * union. The rest bounds memory, not results."""
+    """Shingles of `words` words; a link is 100 * intersection >= percent * union. The rest bounds memory, not results.
+
+    common: prefixes are so long that similar sets have at least this many shingles of theirs in common (or all they need).
+    """
 
     words: int = 4
     percent: int = 85
-    sketch_bits: int = 22
+    common: int = 8
+    listed: int = 64
+    sketch_bits: int = 24
     block_sets: int = 256
     block_shingles: int = 1_000_000
     filter_bits: int = 26
@@ -44,11 +49,11 @@ class Join:
 
     def probe_prefix(self, n):
         """Prefix within which a set meets every similar set of at most its size."""
-        return n - (-(-self.percent * n // 100)) + 1
+        return n - (-(-self.percent * n // 100)) + self.common
 
     def index_prefix(self, n):
         """Prefix within which a set meets every similar set of at least its size."""
-        return n - (-(-2 * self.percent * n // (100 + self.percent))) + 1
+        return n - (-(-2 * self.percent * n // (100 + self.percent))) + self.common
 
 
 _FEW = np.zeros(0, np.uint64)
@@ -87,11 +92,11 @@ def _sets_and_counts(docs: DataFrame, how: Join, bits: int) -> DataFrame:
             yield _rows([np.zeros(n, np.int32), part.column(0), [a for a, _ in sigs], [b for _, b in sigs], [len(s) for s in sets], [None] * n])
         task = TaskContext.get().partitionId()
         size = min(_BLOCK, len(count))
-        parts = [p for p in enumerate(count.reshape(-1, size)) if p[1].any()]
+        parts = [p for p in enumerate(np.minimum(count, 255).astype(np.uint8).reshape(-1, size)) if p[1].any()]
         k = len(parts)
         yield _rows([np.ones(k, np.int32), [None] * k, [i for i, _ in parts], [task] * k, [None] * k, [zlib.compress(p.tobytes(), 1) for _, p in parts]])
 
-    return docs.mapInArrow(run, "kind int, doc_id long, s1 long, s2 long, n long, counts binary")
+    return docs.mapInArrow(tidied(run), "kind int, doc_id long, s1 long, s2 long, n long, counts binary")
 
 
 def _rows(columns: list) -> pa.RecordBatch:
@@ -99,11 +104,12 @@ def _rows(columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["kind", "doc_id", "s1", "s2", "n", "counts"])
 
 
-def _add_sketches(parts: DataFrame, tasks: int) -> DataFrame:
-    """Sums the tasks' sketches part by part, up to 32 at a time, so that no group grows with the input."""
+def _add_sketches(parts: DataFrame, tasks: int, size: int) -> DataFrame:
+    """Sums the tasks' sketches (a byte a counter) part by part, up to 32 at a time, so that no group grows with the input."""
 
     def add(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(zlib.decompress(c), np.uint32).astype(np.uint64) for c in group["counts"].to_pylist())
+        parts = [zlib.decompress(c) for c in group["counts"].to_pylist()]
+        total = sum(np.frombuffer(c, np.uint8 if len(c) == size else np.uint32).astype(np.uint64) for c in parts)
         counts = zlib.compress(np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
         return pa.table({"at": group["at"].slice(0, 1), "task": group["task"].slice(0, 1), "counts": pa.array([counts], pa.binary())})
 
@@ -130,7 +136,7 @@ class Order:
 def _order(parts: DataFrame, tasks: int, bits: int) -> Order:
     level = np.zeros(1 << bits, np.uint8)
     size = min(_BLOCK, 1 << bits)
-    for row in _add_sketches(parts, tasks).toLocalIterator():  # 2**bits counters in all
+    for row in _add_sketches(parts, tasks, size).toLocalIterator():  # 2**bits counters in all
         c = np.frombuffer(zlib.decompress(row.counts), np.uint32)
         level[row.at * size : (row.at + 1) * size] = np.minimum(8 * np.log2(1.0 + c), 255)
     return Order(level, bits)
@@ -160,56 +166,49 @@ def _postings(docs: DataFrame, how: Join, order) -> DataFrame:
                     ["token", "s1", "s2", "n", "place"],
                 )
 
-    return docs.mapInArrow(run, "token long, s1 long, s2 long, n int, place int")
+    return docs.mapInArrow(tidied(run), "token long, s1 long, s2 long, n int, place int")
+
+
+_SHARED = ["token", "s1", "s2", "n", "place", "l1", "l2", "ln"]
 
 
 def _shared(postings: DataFrame, n: int) -> DataFrame:
-    """Postings, each class once, of tokens that more than one class has, with the token's first class as leader.
+    """Postings, each class once, of tokens that more than one class has, beside the row of the token's leader: the class
+    with the fewest rarer shingles, as the text has that others are copies of.
 
-    The rows stream by in order of token and class; only the last one is held.
+    The rows stream by in order of token and place; only the last one and its leader are held.
     """
-    names = ["token", "s1", "s2", "n", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((5, 0), np.int64)  # the last row, whose token may go on
-        leader: tuple[int, int, int] | None = None  # token and class of the leader of a token that went on
+        leader = np.zeros(5, np.int64)  # the first row of its token
+        on = False  # whether the token of `held` was told of before, so that its row isn't alone
         for batch in batches:
-            rows = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names])], axis=1)
-            if rows.shape[1] < 2:
-                held = rows
-                continue
+            rows = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _SHARED[:5]])], axis=1)
             new = np.concatenate([[True], (rows[:3, 1:] != rows[:3, :-1]).any(0)])
             rows = rows[:, new]
-            if rows.shape[1] < 2:
-                held = rows
-                continue
             first = np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])
-            start = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-            lead = rows[1:3, start]
-            if leader is not None and leader[0] == rows[0, 0]:
+            lead = rows[:, np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))]
+            if on:
                 own = rows[0] == leader[0]
-                lead[0, own], lead[1, own] = leader[1], leader[2]
+                lead[:, own] = leader[:, None]
+                first[0] = False
             alone = first & np.concatenate([first[1:], [False]])
-            if leader is not None and leader[0] == rows[0, 0]:
-                alone[0] = False
-            alone[-1] = True  # told with the next batch
-            if not first[-1] or (leader is not None and leader[0] == rows[0, -1]):
-                leader = (int(rows[0, -1]), int(lead[0, -1]), int(lead[1, -1]))
-            else:
-                leader = None
-            held = rows[:, -1:]
-            out = np.concatenate([rows, lead])[:, ~alone]
+            tell = ~alone
+            tell[-1] = False  # told with the next rows
+            out = np.concatenate([rows, lead[1:4]])[:, tell]
+            held, leader, on = rows[:, -1:], lead[:, -1].copy(), not first[-1]
             if out.shape[1]:
                 yield _shared_rows(out)
-        if leader is not None and held.shape[1]:
-            yield _shared_rows(np.concatenate([held, [[leader[1]], [leader[2]]]]))
+        if on:
+            yield _shared_rows(np.concatenate([held, leader[1:4, None]]))
 
-    out = postings.repartition(n, "token").sortWithinPartitions("token", "s1", "s2").mapInArrow(run, "token long, s1 long, s2 long, n int, place int, l1 long, l2 long")
-    return out
+    rows = postings.repartition(n, "token").sortWithinPartitions("token", "place", "s1", "s2")
+    return rows.mapInArrow(tidied(run), "token long, s1 long, s2 long, n int, place int, l1 long, l2 long, ln int")
 
 
 def _shared_rows(x: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32) if k in (3, 4) else c) for k, c in enumerate(x)], ["token", "s1", "s2", "n", "place", "l1", "l2"])
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32) if k in (3, 4, 7) else c) for k, c in enumerate(x)], _SHARED)
 
 
 @dataclass
@@ -339,7 +338,7 @@ def _join_blocks(rows: DataFrame, how: Join, n: int, all_pairs: bool) -> DataFra
         yield told()
 
     rows = rows.repartition(n, "b1", "b2", "salt").sortWithinPartitions("b1", "b2", "salt")
-    found = rows.mapInArrow(run, "u1 long, u2 long, v1 long, v2 long")
+    found = rows.mapInArrow(tidied(run), "u1 long, u2 long, v1 long, v2 long")
     return found.select(F.struct(F.col("u1").alias("s1"), F.col("u2").alias("s2")).alias("u"), F.struct(F.col("v1").alias("s1"), F.col("v2").alias("s2")).alias("v"))
 
 
@@ -356,7 +355,7 @@ def _id_filter(ids: DataFrame, bits: int, expected: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int64()), pa.array([p for _, p in parts], pa.binary())], ["at", "bits"])
 
     out = np.zeros(((1 << bits) // size, size // 8), np.uint8)
-    for row in ids.where("id IS NOT NULL").mapInArrow(run, "at long, bits binary").toLocalIterator():
+    for row in ids.where("id IS NOT NULL").mapInArrow(tidied(run), "at long, bits binary").toLocalIterator():
         out[row.at] |= np.frombuffer(row.bits, np.uint8)
     return np.unpackbits(out.reshape(-1)).view(bool)
 
@@ -384,7 +383,7 @@ def _ordered_sets(docs: DataFrame, how: Join, order, wanted) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64()), pa.array(list(out.values()), pa.binary())], ["s1", "s2", "shingles"])
 
-    return docs.mapInArrow(run, "s1 long, s2 long, shingles binary")
+    return docs.mapInArrow(tidied(run), "s1 long, s2 long, shingles binary")
 
 
 def _verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, how: Join, order, n: int, all_pairs: bool) -> DataFrame:
@@ -400,6 +399,42 @@ def _verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, how: Join, or
     return _join_blocks(sets.join(places, ["s1", "s2"]), how, n, all_pairs)
 
 
+def _verify_some(docs: DataFrame, pairs: DataFrame, classes: DataFrame, how: Join, order, n: int) -> DataFrame | None:
+    """Links of each leader with its members; None if there are no pairs, so that no text is read again."""
+    pairs = cut_lineage(pairs)
+    return None if pairs.isEmpty() else cut_lineage(_verify(docs, pairs, classes, how, order, n, False))
+
+
+def _joined(part_of: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Components after more links between their nodes or others."""
+    if links is None:
+        return part_of
+    end = lambda c: part_of.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))
+    between = links.join(end("u"), "u", "left").join(end("v"), "v", "left").select(F.coalesce("u_of", "u").alias("u"), F.coalesce("v_of", "v").alias("v"))
+    merged = components(between).select(F.col("node").alias("component"), F.col("component").alias("final"))
+    old = part_of.join(merged, "component", "left").select("node", F.coalesce("final", "component").alias("component"))
+    new = merged.select(F.col("component").alias("node"), F.col("final").alias("component")).join(part_of, "node", "left_anti")
+    return cut_lineage(old.union(new))
+
+
+def _enough(postings: DataFrame, how: Join) -> DataFrame:
+    """Without classes that have fewer of these tokens than a similar set has in common with them."""
+    least = f"least({how.common}L, ceil({how.percent}L * n / 100))"
+    return postings.join(postings.groupBy("s1", "s2", "n").agg(F.count(F.lit(1)).alias("c")).where(f"c >= {least}").select("s1", "s2"), ["s1", "s2"], "left_semi")
+
+
+def _open(named: DataFrame, part_of: DataFrame, how: Join) -> DataFrame:
+    """The postings, with their class's component, of tokens that several components have, and of classes with enough of them."""
+    named = named.join(part_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    tokens = named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
+    return cut_lineage(_enough(named.join(tokens, "token", "left_semi"), how))
+
+
+def _need(percent: int, a: str, b: str) -> str:
+    """SQL: the intersection that sets of sizes a and b need at least."""
+    return f"ceil({percent}L * ({a} + {b}) / {100 + percent})"
+
+
 def jaccard_components(docs: DataFrame, how: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach) of every document, one row for each input row.
 
@@ -418,42 +453,52 @@ def jaccard_components(docs: DataFrame, how: Join = Join(), id_col: str = "doc_i
     order = spark.sparkContext.broadcast(_order(first.where("kind = 1"), first.rdd.getNumPartitions(), bits))  # 2**bits bytes
     classes = sized.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("least_id"))
 
+    p = how.percent
     shared = cut_lineage(_shared(_postings(docs, how, order), n))
     sig = lambda a, b: F.struct(F.col(a).alias("s1"), F.col(b).alias("s2"))
+    # What this leaves out, because a token's leader was another class, the pairs below bring back.
     chosen = (
-        shared.where((F.col("s1") != F.col("l1")) | (F.col("s2") != F.col("l2")))
-        .groupBy("s1", "s2", "n", "l1", "l2").agg(F.count(F.lit(1)).alias("common"))
-        .groupBy("s1", "s2", "n").agg(F.max_by(F.struct("l1", "l2"), F.struct("common", "l1", "l2")).alias("l"))
+        shared.where(f"(s1 <> l1 OR s2 <> l2) AND 100L * least(n, ln) >= {p}L * greatest(n, ln)")
+        .groupBy("s1", "s2", "n", "l1", "l2", "ln").agg(F.count(F.lit(1)).alias("c"))
+        .where(f"c >= least({how.common}L, {_need(p, 'n', 'ln')})")
+        .groupBy("s1", "s2", "n").agg(F.max_by(F.struct("l1", "l2"), F.struct("c", "l1", "l2")).alias("l"))
         .select("s1", "s2", "n", "l.l1", "l.l2")
     )
-    links = cut_lineage(_verify(docs, chosen, classes, how, order, n, True))
+    links = cut_lineage(_verify(docs, cut_lineage(chosen), classes, how, order, n, True))
     part_of = components(links)
 
-    # What the blocks left open: pairs with a prefix token in common whose components differ.
-    named = shared.select("token", "s1", "s2", "n", "place", sig("s1", "s2").alias("node")).join(part_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_tokens = named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
-    named = cut_lineage(named.join(open_tokens, "token").select("token", "s1", "s2", "n", "place", "component"))
-    x, y = named.alias("x"), named.alias("y")
-    p = how.percent
+    # What the blocks left open: pairs with prefix tokens in common whose components differ. Each class lists its first open
+    # tokens, so that a pair comes up at the first one only, and only if what is left of the sets can still make it similar.
+    named = _open(shared.select("token", "s1", "s2", "n", "place", sig("s1", "s2").alias("node")), part_of, how)
+    lists = (
+        named.groupBy("s1", "s2").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("all"))
+        .select("s1", "s2", (F.size("all") > how.listed).alias("cut"), F.slice("all", 1, how.listed).alias("first"))
+        .select("s1", "s2", "cut", F.col("first.token").alias("tokens"), F.col("first.place").alias("places"))
+    )
+    listed = named.join(lists, ["s1", "s2"])
+    c, need = "size(array_intersect(x.tokens, y.tokens))", _need(p, "x.n", "y.n")
+    at = lambda side: f"try_element_at({side}.places, cast(array_position({side}.tokens, try_element_at(array_intersect(x.tokens, y.tokens), -1)) AS int))"
+    # All that the sets have in common up to the last listed token in common is listed, so what follows it bounds the rest. If the
+    # lists have nothing in common, the set whose list ends first has nothing in common with the other up to there.
     pairs = (
-        x.join(
-            y,
+        listed.alias("x")
+        .join(
+            listed.alias("y"),
             F.expr(
                 f"""x.token = y.token AND x.component <> y.component AND (x.n < y.n OR x.n = y.n AND (x.s1 < y.s1 OR x.s1 = y.s1 AND x.s2 < y.s2))
-                AND 100L * x.n >= {p}L * y.n AND x.place <= x.n - ceil({2 * p}L * x.n / {100 + p}) AND y.place <= y.n - ceil({p}L * y.n / 100)
-                AND {100 + p}L * (1 + least(x.n - x.place, y.n - y.place)) >= {p}L * (x.n + y.n)"""
+                AND 100L * x.n >= {p}L * y.n AND x.place < x.n - ceil({2 * p}L * x.n / {100 + p}) + {how.common} AND y.place < y.n - ceil({p}L * y.n / 100) + {how.common}
+                AND coalesce(try_element_at(array_intersect(x.tokens, y.tokens), 1), x.token) = x.token
+                AND CASE WHEN {c} = 0 THEN greatest(x.n - element_at(x.places, -1), y.n - element_at(y.places, -1)) - 1 >= {need}
+                    ELSE (x.cut OR y.cut OR {c} >= least({how.common}L, {need})) AND {c} + least(x.n - 1 - {at('x')}, y.n - 1 - {at('y')}) >= {need} END"""
             ),
         )
         .select(F.col("x.s1").alias("l1"), F.col("x.s2").alias("l2"), F.col("y.s1").alias("s1"), F.col("y.s2").alias("s2"), F.col("y.n").alias("n"))
         .distinct()
     )
-    more = _verify(docs, cut_lineage(pairs), classes, how, order, n, False)
-    of = part_of.select(F.col("node").alias("u"), F.col("component").alias("cu"))
-    more = more.join(of, "u", "left").select(F.coalesce("cu", "u").alias("u"), "v").join(of.select(F.col("u").alias("v"), F.col("cu").alias("cv")), "v", "left").select("u", F.coalesce("cv", "v").alias("v"))
-    merged = components(cut_lineage(more)).select(F.col("node").alias("component"), F.col("component").alias("final"))
+    part_of = _joined(part_of, _verify_some(docs, pairs, classes, how, order, n))
     named_class = (
-        classes.withColumn("node", sig("s1", "s2")).join(part_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        .join(merged, "component", "left").select("s1", "s2", "least_id", F.coalesce("final", "component").alias("component"))
+        classes.withColumn("node", sig("s1", "s2")).join(part_of, "node", "left")
+        .select("s1", "s2", "least_id", F.coalesce("component", "node").alias("component"))
     )
     least = named_class.groupBy("component").agg(F.min("least_id").alias("component_id"))
     named_class = cut_lineage(named_class.join(least, "component").select("s1", "s2", "component_id"))
@@ -464,11 +509,11 @@ def jaccard_components(docs: DataFrame, how: Join = Join(), id_col: str = "doc_i
 def keep_first(docs: DataFrame, how: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each component the document with the smallest id, with all its columns; of repeated rows one.
 
-    A component whose documents all have no id keeps them all, as does every document without words.
+    Documents without words are all kept, and so are those without an id, which nothing tells apart.
     """
     found = jaccard_components(docs, how, id_col, text_col)
-    same = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id"))
-    kept = docs.join(same, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    same = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id"))
+    kept = docs.join(same, docs[id_col] == F.col("_kept_id"), "left_semi").unionByName(docs.where(docs[id_col].isNull()))
     again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     if again.isEmpty():
         return kept
