@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusweave.llm.common import ALNUM, Words, id_text, mix, slices, table
+from corpusweave.llm.common import ALNUM, Words, id_text, mix, slices, small_batches, table, tidied
 
 WINDOW = 10
 #: UTF-8 bytes of benchmark text whose search tables are held at once; a larger benchmark is searched block by block.
@@ -170,18 +170,19 @@ def scan(docs: DataFrame, found: list, id_col: str = "doc_id", text_col: str = "
                 )
 
     docs = id_text(docs, id_col, text_col)
-    return docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").mapInArrow(tidied(run), SCHEMA)
 
 
 def drop_contaminated(docs: DataFrame, found: list, text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, in whose text no test string occurs."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, _, n_hit, _ in _hits(batch, text_col, found):
                 yield part.filter(pa.array(n_hit == 0))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

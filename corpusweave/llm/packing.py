@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusweave.llm.common import cut_lineage, id_text, slices, table
+from corpusweave.llm.common import cut_lineage, id_text, slices, table, tidied
 
 WINDOW = 1024
 END_ID = 0
@@ -26,6 +26,8 @@ _OTHER_SPACE = re.compile("[\t\r\f\v\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u
 #: Encoded units that a worker remembers, and those encoded as one string.
 _REMEMBER = 1_200_000
 _AT_ONCE = 2000
+#: UTF-8 bytes of texts that are encoded in one go.
+ENCODED_BYTES = 2_000_000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -115,7 +117,7 @@ def pieces(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[byt
         part = TaskContext.get().partitionId()
         count = np.zeros(window + 1, np.int64)
         tail = np.array([end_id], "<u4").tobytes()
-        for batch in slices(batches):
+        for batch in slices(batches, most=ENCODED_BYTES):
             out = []
             for doc, ids in zip(batch.column(0).to_pylist(), encode([t or "" for t in batch.column(1).to_pylist()]), strict=True):
                 ids += tail
@@ -131,7 +133,7 @@ def pieces(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[byt
     docs = id_text(docs)
     schema = PIECES + ", ids array<bigint>" * with_ids
     names = [x.split()[0] for x in schema.split(", ")]
-    return docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").mapInArrow(tidied(run), schema)
 
 
 class OpenWindows:

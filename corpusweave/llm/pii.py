@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusweave.llm.boosting import BoostedTrees, fit_platt, sigmoid
-from corpusweave.llm.common import by_slices, id_text, table
+from corpusweave.llm.common import by_slices, id_text, small_batches, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents, the first by a hash of text and id, whose spans the trees learn from.
@@ -292,6 +292,7 @@ def find(docs: DataFrame, model: PiiModel | None = None, id_col: str = "doc_id",
 
 def redact_rows(docs: DataFrame, model: PiiModel, text_col: str = "text") -> DataFrame:
     """The rows with their texts redacted and all other columns as they are."""
+    small_batches(docs.sparkSession)
     model, schema = docs.sparkSession.sparkContext.broadcast(model), docs.schema
     at = docs.columns.index(text_col)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusweave.llm.boosting import sigmoid
-from corpusweave.llm.common import by_slices, byte_table, id_text, mix, slices, span_hashes, table, text_bytes
+from corpusweave.llm.common import by_slices, byte_table, id_text, mix, slices, span_hashes, table, text_bytes, tidied
 from corpusweave.llm.labels import fold, training_sample
 
 #: Labelled rows that the network is fitted on, about, at most.
@@ -79,7 +79,7 @@ def context_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(row[at]) for row in total)], ["at", *(f"d{i}" for i in range(SIZE))])
 
     dims = [f"d{i}" for i in range(SIZE)]
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(run, ", ".join(f"{c} long" for c in ["at", *dims]))
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(tidied(run), ", ".join(f"{c} long" for c in ["at", *dims]))
     rows = rows.groupBy("at").agg(*(F.sum(c).alias(c) for c in dims)).toArrow()  # a row a bucket
     out = np.zeros((WORDS + SHAPES, SIZE))
     out[rows["at"].to_numpy()] = np.stack([rows[c].to_numpy() for c in dims], axis=1)

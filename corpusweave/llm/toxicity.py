@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusweave.llm.common import by_slices, id_text, slices, table
+from corpusweave.llm.common import by_slices, id_text, slices, small_batches, table, tidied
 from corpusweave.llm.labels import fold, training_sample
 
 #: Labelled rows that the lexicon is learned from, about, at most.
@@ -112,7 +112,7 @@ def count_characters(docs: DataFrame, text_col: str = "text") -> CharModel:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # at most n**3 rows
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(tidied(run), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # at most n**3 rows
     counts = np.zeros(n**3, np.int64)
     counts[rows["at"].to_numpy()] = rows["n"].to_numpy()
     return CharModel(counts)
@@ -226,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, folds: int =
                 yield flush()
         yield flush()
 
-    counts = texts.mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
+    counts = texts.mapInArrow(tidied(count), "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
     p, n = F.col("t") / (F.col("t") + F.col("c")), F.col("t") + F.col("c")
     z2 = 0.64
     low = (p + z2 / (2 * n) - F.sqrt(z2 * (p * (1 - p) + z2 / (4 * n)) / n)) / (1 + z2 / n)  # Wilson's lower bound at 0.8 deviations
@@ -243,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, folds: int =
                     wins[max(own, key=strong.value.__getitem__)] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(wins), pa.string()), pa.array(list(wins.values()), pa.int64())], ["feature", "wins"])
 
-    wins = texts.where("y > 0").mapInArrow(explain, "feature string, wins long").groupBy("feature").agg(F.sum("wins").alias("wins")).collect()  # at most MOST_ENTRIES
+    wins = texts.where("y > 0").mapInArrow(tidied(explain), "feature string, wins long").groupBy("feature").agg(F.sum("wins").alias("wins")).collect()  # at most MOST_ENTRIES
     sample.unpersist()
     clean = {r.feature: r.c for r in best}
     kept = {r.feature: posterior[r.feature] for r in wins if r.wins >= 2 and r.wins >= 0.7 * (r.wins + clean[r.feature])}
@@ -268,6 +268,7 @@ def score(docs: DataFrame, model: Toxicity, id_col: str = "doc_id", text_col: st
 
 def drop_toxic(docs: DataFrame, model: Toxicity, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, whose text scores below the threshold."""
+    small_batches(docs.sparkSession)
     shared, at, of = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col), {}
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
