@@ -25,6 +25,8 @@ from corpusweave.llm.labels import fold, training_sample
 FIT_ROWS = 50_000
 #: Entries of the lexicon, at most.
 MOST_ENTRIES = 20_000
+#: Characters of a written token that may be a disguised word, at most.
+MOST_WRITTEN = 80
 #: Symbols of the character model: word edge, letters, and one for all else.
 ALPHABET = " abcdefghijklmnopqrstuvwxyzàáâäæçèéêëìíîïñòóôöœùúûüß\0"
 #: What a written character may stand for besides itself.
@@ -72,11 +74,11 @@ class CharModel:
         p3 = (c3 + 5 * p2) / (c3.sum(2, keepdims=True) + 5)
         self.logp = np.log(p3)
 
-    def decode(self, seen: str) -> str:
-        """The likeliest intended word for the written one: Viterbi over (last two symbols), one column for each run of equal
+    def decode(self, seen: str, best: int = 8) -> list[str]:
+        """The likeliest intended words for the written one, best first: list Viterbi over (last two symbols), one column for each run of equal
         characters; a run of a letter may stand for one or two of it."""
         logp, runs = self.logp, [m[0] for m in re.finditer(r"(.)\1*", seen)]
-        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        paths: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
         for run in runs:
             c = run[0]
             options = [(c, -0.1)] if c.isalpha() else []
@@ -84,18 +86,18 @@ class CharModel:
             if not options:
                 options = [(c, -0.1)]
             forms = [(m * k, cost - (0.7 * (len(run) - k if len(run) < 3 else 0.3 * k))) for m, cost in options for k in range(1, min(len(run), 2) + 1)]
-            new: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in paths.items():
+            new: dict[tuple[int, int], list[tuple[float, str]]] = {}
+            for (a, b), found in paths.items():
                 for form, cost in forms:
-                    x, y, s = a, b, score + cost
+                    x, y, s = a, b, cost
                     for ch in form:
                         z = _INDEX.get(ch, _OTHER)
                         s += logp[x, y, z]
                         x, y = y, z
-                    if (x, y) not in new or s > new[x, y][0]:
-                        new[x, y] = (s, text + form)
-            paths = new
-        return max(((s + logp[a, b, 0], t) for (a, b), (s, t) in paths.items()))[1]
+                    new.setdefault((x, y), []).extend((score + s, text + form) for score, text in found)
+            paths = {k: sorted(v, reverse=True)[:best] for k, v in new.items()}
+        ends = sorted(((s + logp[a, b, 0], t) for (a, b), found in paths.items() for s, t in found), reverse=True)
+        return [t for _, t in ends[:best]]
 
 
 def count_characters(docs: DataFrame, text_col: str = "text") -> CharModel:
@@ -124,7 +126,7 @@ class Restorer:
     def __init__(self, model: CharModel, remember: int = 200_000):
         self.model, self.remember, self.seen = model, remember, {}
 
-    def word(self, written: str) -> str:
+    def word(self, written: str) -> list[str]:
         if (out := self.seen.get(written)) is None:
             if len(self.seen) >= self.remember:
                 self.seen.clear()
@@ -138,20 +140,22 @@ class Restorer:
             s = m[0].strip("\"'([")
             t = s.rstrip(_EDGE)
             for x in {t, s} if t != s else {t}:
-                if 3 <= len(x) <= 24 and sum(map(str.isalpha, x)) * 2 >= len(x):
-                    out.append(self.word(x))
+                if 3 <= len(x) <= 24 and sum(map(str.isalpha, x)) * 3 >= len(x):
+                    out.extend(self.word(x))
         for m in _APART.finditer(low):
-            out.append(self.word(re.sub(r"[ ._\-*~/]", "", m[0])))
+            out.extend(self.word(re.sub(r"[ ._\-*~/]", "", m[0])))
         for m in _RUN.finditer(low):
             if len(m[0]) <= 80:
-                out.append(self.word(m[0]))
+                out.extend(self.word(m[0]))
         return out
 
     def words(self, text: str | None) -> set[str]:
         low = (text or "").lower()
         out = {w.strip(_EDGE) for w in set(low.split())}
         if _SUSPECT.search(low):
-            out.update(self.restored(low))
+            # Runs say no more beyond three, and no disguised word is longer than MOST_WRITTEN: the patterns stay linear in the text.
+            short = re.sub(r"(.)\1{3,}", r"\1\1\1", low)
+            out.update(self.restored(" ".join(w for w in short.split() if len(w) <= MOST_WRITTEN)))
         return out
 
 
