@@ -17,6 +17,7 @@ from corpusweave.operators import score as scoring
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
+_WITHOUT_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(sql: str | None) -> Callable:
@@ -29,10 +30,20 @@ def query(sql: str | None) -> Callable:
     return add
 
 
+def query_without_sql(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+    """A query that the tests hold against brute force."""
+    _WITHOUT_SQL[f.__name__] = f
+    return f
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
 
+def queries_without_sql() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_WITHOUT_SQL)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
@@ -464,6 +475,23 @@ def rank_margin_confidence(spark: SparkSession, sf: str) -> DataFrame:
     return ranked.where("rank = 1").select("item_id", "other", "score", "margin", "recommended", "confidence")
 
 
+def text_candidates(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """texts: id, text. Candidates (each pair of items with a token in common, whatever the token) and items for scoring.rank_candidates."""
+    absent = ["codelist_uri_pattern", "item_uri", "item_uri_raw", *scoring._CODELIST_FIELDS, *(c for c in resolve.TEXT_FIELDS if c != "note_sk")]
+    items = texts.select(F.col("id").cast("long").alias("id"), F.col("text").alias("note_sk"), *(F.lit(None).cast("string").alias(c) for c in absent))
+    keys = items.select("id", F.explode(text.tokenize("note_sk")).alias("token"))
+    pairs = keys.withColumnRenamed("id", "source_id").join(keys.withColumnRenamed("id", "item_id"), "token").where("source_id <> item_id").select("source_id", "item_id").distinct()
+    raw = items.select(F.col("id").alias("source_id"), F.lit("includes").alias("relation"), F.lit(0).alias("pos"), F.col("note_sk").alias("raw_value"))
+    return pairs.join(raw, "source_id"), items
+
+
+@query_without_sql
+def candidate_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    """All candidates of all benchmark items, by all terms of the score over whole token sets."""
+    ranked = scoring.rank_candidates(*text_candidates(_t(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")))
+    return ranked.select(F.col("source_id").alias("item_id"), F.col("item_id").alias("other"), "score", "rank", "margin", "recommended", "confidence")
+
+
 # Triples
 
 _TRIPLES = f"""t AS (SELECT {_NU} AS s, 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type' AS p, 'http://www.w3.org/2004/02/skos/core#Concept' AS o, 'iri' AS o_kind, NULL AS o_lang, NULL AS o_dtype FROM nation
