@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,10 +24,14 @@ from corpusweave.llm.common import by_slices, id_text, small_batches, table
 KINDS = ("email", "ip", "card", "phone")
 #: Documents, the first by a hash of text and id, whose spans the trees learn from.
 FIT_DOCUMENTS = 4000
+#: Candidates whose features are held at once.
+BLOCK = 20_000
 #: Of added spans, the least precision on held-out candidates that a kind's threshold must reach.
 PRECISION = 0.98
 
-_SOME = re.compile(r"[0-9@]|[(\[{<] ?(?:at|AT)\b|\b(?:dot|DOT)\b")
+#: Every base span and every candidate has one of these.
+_SOME = re.compile(r"[0-9@]|\b(?:at|AT)\b", re.ASCII)
+_AT_WORD = re.compile(r"\b(?:at|AT)\b", re.ASCII)
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A match can't start inside a run of digits: at the run's first digit it would have been found or have failed alike.
@@ -81,15 +86,25 @@ def _order(span: tuple) -> tuple:
 
 _AT = r"(?: ?[(\[{<] ?(?:at|AT|@) ?[)\]}>] ?| (?:at|AT) )"
 _DOT = r"(?: ?[(\[{<] ?(?:dot|DOT|\.) ?[)\]}>] ?| (?:dot|DOT) |\.)"
-#: High-recall generators of candidates; all lengths are bounded.
-GENERATORS = {
-    "email": re.compile(
-        rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{{0,63}}(?:{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,4}}| ?@ ?[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,4}})(?![A-Za-z0-9-])"
-    ),
-    "ip": re.compile(r"(?<![0-9A-Za-z.])[0-9]{1,3}(?: ?(?:\.|[(\[{] ?(?:\.|dot) ?[)\]}]) ?[0-9]{1,3}){3}(?![0-9A-Za-z])"),
-    "card": re.compile(r"(?<![0-9A-Za-z])[0-9](?:[\x20./ ·_-]{0,3}[0-9]){11,18}(?![0-9A-Za-z])"),
-    "phone": re.compile(r"(?<![0-9A-Za-z])(?:00|\+ ?)?[(]?[0-9](?:[\x20()./ -]{0,2}[0-9]){6,14}(?![0-9A-Za-z])"),
+_EMAIL = re.compile(
+    rf"(?<![A-Za-z0-9._%+-])([A-Za-z0-9][A-Za-z0-9._%+-]{{0,63}})(?:{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,4}}| ?@ ?[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,4}})(?![A-Za-z0-9-])"
+)
+#: An address may end before any of these after its second label.
+_NEXT_LABEL = re.compile(rf"{_DOT}(?=[A-Za-z0-9-])")
+#: Forms of the kinds made of digit groups; all lengths are bounded.
+FORMS = {
+    "ip": re.compile(r"[0-9]{1,3}(?: ?(?:\.|[(\[{] ?(?:\.|dot) ?[)\]}]) ?[0-9]{1,3}){3}"),
+    "card": re.compile(r"[0-9](?:[\x20./ ·_-]{0,3}[0-9]){11,18}"),
+    "phone": re.compile(r"(?:00|\+ ?)?[(]?[0-9](?:[\x20()./ -]{0,2}[0-9]){6,14}"),
 }
+#: Least and most digits of those kinds, and the most characters between two digit groups of any.
+DIGITS = {"ip": (4, 12), "card": (12, 19), "phone": (7, 17)}
+MOST_GAP = 9
+_GROUP = re.compile(r"[0-9]+")
+_ALNUM = frozenset("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+_BEFORE_PHONE = re.compile(r"(?:\+ ?)?[(]?\Z")
+_DIGITS_BEFORE = re.compile(r"([0-9]+)([\x20./ ·_()-]{1,3})\Z")
+_DIGITS_AFTER = re.compile(r"([\x20./ ·_()-]{1,3})([0-9]+)")
 #: Words before a span that speak for a kind.
 CUES = {
     "email": re.compile(r"mail|contact|write|kontakt|correo|courriel", re.I),
@@ -99,18 +114,66 @@ CUES = {
 }
 
 
+def _email_candidates(text: str) -> Iterator[tuple[int, int]]:
+    """From every local part, the longest address and those that end at an earlier label."""
+    m = _EMAIL.search(text)
+    while m:
+        yield m.span()
+        for label in _NEXT_LABEL.finditer(text, m.end(1), m.end()):
+            if label.start() > m.end(1) and (n := _EMAIL.match(text, m.start(), label.start())) and n.end() == label.start():
+                yield m.start(), label.start()
+        m = _EMAIL.search(text, m.end(1))
+
+
+def _number_candidates(text: str) -> Iterator[tuple[str, int, int]]:
+    """Every span from one digit group to another that has the form of a kind, each at most 19 groups long."""
+    groups = [m.span() for m in _GROUP.finditer(text)]
+    for first, (start, _) in enumerate(groups):
+        if start and text[start - 1] in _ALNUM:
+            continue
+        head = _BEFORE_PHONE.search(text, max(0, start - 3), start).start()
+        opened = start - (start > 0 and text[start - 1] == "(")
+        n, last = 0, start
+        for a, end in groups[first : first + 19]:
+            n += end - a
+            if a - last > MOST_GAP or n > 19:
+                break
+            last = end
+            if n < 4 or text[end : end + 1] in _ALNUM:
+                continue
+            for kind, (least, most) in DIGITS.items():
+                if least <= n <= most:
+                    for begin in sorted({head, opened, start}) if kind == "phone" else (start,):
+                        if FORMS[kind].fullmatch(text, begin, end):
+                            yield kind, begin, end
+
+
 def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Proposed spans, which may overlap each other but no base span."""
+    taken = _merged(taken)
     out = []
-    for kind, pattern in GENERATORS.items():
-        if kind == "email" and "@" not in text and not re.search(r"\b(?:at|AT)\b", text):
-            continue
-        for m in pattern.finditer(text):
-            if all(m.end() <= s or m.start() >= e for _, s, e in taken):
-                out.append((kind, *m.span()))
+    if "@" in text or _AT_WORD.search(text):
+        out += [("email", s, e) for s, e in _email_candidates(text) if _free(taken, s, e)]
+    return out + [c for c in _number_candidates(text) if _free(taken, c[1], c[2])]
+
+
+def _merged(spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """Places that the spans take, in order and without overlaps."""
+    out = []
+    for s, e in sorted(x[1:3] for x in spans):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
     return out
 
 
+def _free(taken: list[tuple[int, int]], start: int, end: int) -> bool:
+    """If no place of a list as from _merged overlaps the span."""
+    k = bisect_right(taken, (start, end))
+    return (k == 0 or taken[k - 1][1] <= start) and (k == len(taken) or taken[k][0] >= end)
+
+
 def features(text: str, span: tuple[str, int, int]) -> list[float]:
     """Format and context of one candidate."""
     kind, start, end = span
@@ -121,6 +184,8 @@ def features(text: str, span: tuple[str, int, int]) -> list[float]:
     parts = [int(g) for g in re.findall(r"[0-9]+", s)[:8] if len(g) < 10]
     hosts = re.split(r"[^A-Za-z0-9]+", s)
     tld = hosts[-1] if hosts else ""
+    left, right = _DIGITS_BEFORE.search(before), _DIGITS_AFTER.match(after)
+    inner = set(re.findall(r"(?<=[0-9])[^0-9]+(?=[0-9])", s))
     return [
         *(float(kind == k) for k in KINDS),
         len(s), len(digits), len(groups), max(groups, default=0), min(groups, default=0), groups[0] if groups else 0, groups[-1] if groups else 0,
@@ -131,6 +196,7 @@ def features(text: str, span: tuple[str, int, int]) -> list[float]:
         len(tld) if tld.isalpha() else 0, float(any(c.isdigit() for c in s)), float("." in s and kind == "email"),
         float(before[-1:].isalnum()), float(before[-1:] in "$€£#%=\"'"), float(after[:1] in "%€$°\"'"), float(after[:1].isalnum()),
         float(bool(CUES[kind].search(before))), float(bool(re.search(r"version|v\.?$|no\.?$|nr\.?$|#|isbn|license", before.strip(), re.I))),
+        len(left[1]) if left else 0, len(right[2]) if right else 0, float(bool(left and left[2] in inner)), float(bool(right and right[1] in inner)), len(inner), float(bool(_NEXT_LABEL.match(after))),
         float(bool(re.match(r"(?:1[89]|20)[0-9][0-9][-./]", s))), float(bool(re.search(r"[-./](?:1[89]|20)[0-9][0-9]$", s))),
     ]
 
@@ -153,6 +219,12 @@ def _rewritings(kind: str, s: str, rng: random.Random) -> list[str]:
     return [rng.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"00{digits}", f"00 {digits[:-10]} {a} {b} {c}", f"0{a} {b}{c}"])]
 
 
+def _beside(near: list[tuple[str, str]], s: str, rng: random.Random) -> tuple[str, str, str]:
+    before, after = rng.choice(near)
+    mix = lambda t: re.sub("[0-9]", lambda _: rng.choice("0123456789"), t)
+    return mix(before), s, mix(after)
+
+
 def _examples(rows: list[str], rng: random.Random) -> Iterator[tuple[str, tuple[str, int, int], int]]:
     """(text, candidate, label): rewritten personal data in its own context; look-alikes, corrupted data and other numbers."""
     def at(before: str, s: str, after: str, kind: str, label: int) -> Iterator[tuple[str, tuple[str, int, int], int]]:
@@ -169,13 +241,13 @@ def _examples(rows: list[str], rng: random.Random) -> Iterator[tuple[str, tuple[
         head = rng.choice("3456") + pick(14)
         return next(head + c for c in "0123456789" if luhn(head + c))
 
-    contexts, seeds = [("", ""), ("tel ", " "), ("of the ", " and the "), ("on ", ", in "), ("", ".")], []
+    contexts, seeds = [("", ""), ("tel ", " "), ("of the ", " and the "), ("on ", ", in "), ("", "."), ("room 12 ", ""), ("", " 24 hours"), ("", " 12/26"), ("", " 123"), ("no. 7 ", " 3 x")], []
     for text in rows:
         spans = base_spans(text)
         seeds += [(text[max(0, s - 24) : s], k, text[s:e], text[e : e + 12]) for k, s, e in spans]
         for span in candidates(text, spans):  # what the base patterns don't have in plain prose is hardly ever personal
             yield text, span, 0
-    contexts += [(b, a) for b, _, _, a in seeds[:400]]
+    near, contexts = contexts[5:], contexts + [(b, a) for b, _, _, a in seeds[:400]]
     for i in range(600):
         b, a = contexts[rng.randrange(len(contexts))]
         host = f"{rng.choice(['mail', 'example', 'post', 'uni-x', 'mx.corp'])}{rng.choice(['', '', pick(1)])}.{rng.choice(['com', 'org', 'net', 'de', 'fr', 'es', 'sk', 'info'])}"
@@ -195,6 +267,10 @@ def _examples(rows: list[str], rng: random.Random) -> Iterator[tuple[str, tuple[
     for b, kind, s, a in seeds:
         for t in _rewritings(kind, s, rng):
             yield from at(b, t, a, kind, 1)
+            if kind in ("card", "phone"):  # with another number beside it
+                yield from at(*_beside(near, t, rng), kind, 1)
+        if kind == "card":
+            yield from at(*_beside(near, " ".join(digits_of(s)[i : i + 4] for i in range(0, len(digits_of(s)), 4)), rng), kind, 1)
 
 
 @dataclass
@@ -208,8 +284,15 @@ class PiiModel:
         return sigmoid(self.slope * self.trees.raw(x) + self.intercept)
 
     def spans(self, texts: list[str]) -> list[list[tuple[str, int, int, float]]]:
-        """All spans of each text with their scores (1 for the base). Of accepted candidates that overlap, the best stays."""
-        out, todo, rows = [], [], []
+        """All spans of each text with their scores (1 for the base). Of accepted candidates that overlap, the best stays, of equal ones the longest."""
+        out, todo, rows, good = [], [], [], []
+
+        def judge() -> None:
+            if rows:
+                good.extend((k, c, p) for (k, c), p in zip(todo, self.scores(np.array(rows, float)), strict=True) if p >= self.thresholds[c[0]])
+            todo.clear()
+            rows.clear()
+
         for k, text in enumerate(texts):
             found = base_spans(text) if _SOME.search(text) else []
             out.append([(*s, 1.0) for s in found])
@@ -217,10 +300,16 @@ class PiiModel:
                 for c in candidates(text, found):
                     todo.append((k, c))
                     rows.append(features(text, c))
-        if rows:
-            for (k, (kind, s, e)), p in sorted(zip(todo, self.scores(np.array(rows, float)), strict=True), key=lambda x: (x[0][0], -x[1], x[0][1][1], -x[0][1][2])):
-                if p >= self.thresholds[kind] and all(e <= a or s >= b for _, a, b, _ in out[k]):
-                    out[k].append((kind, s, e, min(float(p), 0.999999)))  # 1 marks the base
+                    if len(rows) >= BLOCK:
+                        judge()
+        judge()
+        taken = {}
+        for k, (kind, s, e), p in sorted(good, key=lambda x: (x[0], -x[2], x[1][1] - x[1][2], x[1][1])):
+            if k not in taken:
+                taken = {k: _merged([x[:3] for x in out[k]])}
+            if _free(taken[k], s, e):
+                insort(taken[k], (s, e))
+                out[k].append((kind, s, e, min(float(p), 0.999999)))  # 1 marks the base
         return [sorted(x, key=_order) for x in out]
 
 
