@@ -38,9 +38,18 @@ _DISGUISE = "0-9@$!|+(€£*#%&каеосі"
 _EDGE = ".,;:!?\"'()[]{}«»“”…|*#%&$-_~"
 #: Letters with a disguised character among them; single characters set apart; three of one letter in a row.
 _MIXED = re.compile(rf"(?<!\S)[\"'(\[]*(?=[^\W_]*[{_DISGUISE}]+[^\W\d_])[\w@$!|+(€£*#%&]{{3,24}}|(?<!\S)[\"'(\[]*[^\W\d_]+[{_DISGUISE}][\w@$!|+(€£*#%&]{{0,24}}")
-_APART = re.compile(r"(?<![\w@$])[\w@$!|+€*](?:[ ._\-*~/][\w@$!|+€*]){2,23}(?![\w@$])")
+_BETWEEN = r"(?: [._\-*~/] |[ ._\-*~/])"
+_ALONE = r"[\w@$!|+€*](?![^\W_]|[@$])"
+_APART = re.compile(rf"(?<![^\W_])(?<![@$]){_ALONE}(?>(?:{_BETWEEN}{_ALONE}){{2,}})")
+_NEXT = re.compile(rf"{_BETWEEN}({_ALONE})")
 _RUN = re.compile(r"\w*([^\W\d_])\1\1\w*")
-_SUSPECT = re.compile(rf"[{_DISGUISE}]|(?<!\w)\w[ ._\-*~/]\w[ ._\-*~/]\w(?!\w)|([^\W\d_])\1\1")
+#: Holds wherever _MIXED or _RUN does; _HINT wherever _APART does, in a text with single blanks (from its first separator on).
+_SUSPECT = re.compile(rf"[{_DISGUISE}]|([^\W\d_])\1\1")
+_HINT = re.compile(rf"[ ._\-*~/]{_ALONE}{_BETWEEN}{_ALONE}")
+#: Letters of a word among characters set apart, at most: the most of a lexicon's word.
+MOST_LETTERS = 40
+#: Readings kept at each character, and how far below the likeliest reading from its start on a word may lie.
+BEAM, MARGIN = 12, 12.0
 _INDEX = {c: i for i, c in enumerate(ALPHABET)}
 _OTHER = len(ALPHABET) - 1
 
@@ -125,6 +134,7 @@ class Restorer:
 
     def __init__(self, model: CharModel, remember: int = 200_000):
         self.model, self.remember, self.seen = model, remember, {}
+        self.logp = model.logp.tolist()
 
     def word(self, written: str) -> list[str]:
         if (out := self.seen.get(written)) is None:
@@ -133,6 +143,37 @@ class Restorer:
             out = self.seen[written] = self.model.decode(written)
         return out
 
+    def starting(self, seen: str, k: int) -> list[list[tuple[float, str]]]:
+        """For each end from k + 1 on, the likeliest words of seen[k:end], best first."""
+        logp, out, beam = self.logp, [], [(0.0, "", 0, 0)]
+        for i in range(k, min(len(seen), k + MOST_LETTERS)):
+            c = seen[i]
+            options = [(m, -1.5 if c.isalpha() else -0.4) for m in MEANT.get(c, "")]
+            if c.isalpha() or not options:
+                options.append((c, -0.1))
+            new = [(score + cost + logp[a][b][z], text + m, b, z) for m, cost in options for z in [_INDEX.get(m, _OTHER)] for score, text, a, b in beam]
+            if i > k and c == seen[i - 1]:  # a letter drawn out
+                new += [(score - 0.7, text, a, b) for score, text, a, b in beam]
+            beam = sorted(new, reverse=True)[:BEAM]
+            out.append([(score + logp[a][b][0], text) for score, text, a, b in beam])
+        return out
+
+    def apart(self, seen: str) -> list[str]:
+        """Words that characters set apart may spell: a word edge may stand between any two of them. At every start, every end is tried;
+        those words stay with which the rest of the run reads not far less likely than at best."""
+        key = "\0" + seen
+        if (out := self.seen.get(key)) is None:
+            if len(self.seen) >= self.remember:
+                self.seen.clear()
+            n = len(seen)
+            after, kept = [-math.inf] * n + [0.0], {}
+            for k in reversed(range(n)):
+                found = [(s + after[j], t) for j, words in enumerate(self.starting(seen, k), k + 1) for s, t in words]
+                after[k] = max(found)[0]
+                kept.update((t, 0) for s, t in found if len(t) >= 3 and s >= after[k] - MARGIN)
+            out = self.seen[key] = list(kept)
+        return out
+
     def restored(self, low: str) -> list[str]:
         """Intended words of the disguised tokens of a lower-cased text."""
         out = []
@@ -142,23 +183,30 @@ class Restorer:
             for x in {t, s} if t != s else {t}:
                 if 3 <= len(x) <= 24 and sum(map(str.isalpha, x)) * 3 >= len(x):
                     out.extend(self.word(x))
-        for m in _APART.finditer(low):
-            out.extend(self.word(re.sub(r"[ ._\-*~/]", "", m[0])))
         for m in _RUN.finditer(low):
             if len(m[0]) <= 80:
                 out.extend(self.word(m[0]))
         return out
 
     def words(self, text: str | None) -> set[str]:
-        low = (text or "").lower()
-        out = {w.strip(_EDGE) for w in set(low.split())}
-        if _SUSPECT.search(low):
+        tokens = (text or "").lower().split()
+        out = {w.strip(_EDGE) for w in set(tokens)}
+        flat = " ".join(tokens)
+        if _HINT.search(flat):
+            for m in _APART.finditer(flat):
+                out.update(self.apart(_letters(m[0])))
+        if _SUSPECT.search(flat):
             # Runs say no more beyond three, and no disguised word is longer than MOST_WRITTEN: the patterns stay linear in the text.
-            short = re.sub(r"(.)\1{3,}", r"\1\1\1", low)
+            short = re.sub(r"(.)\1{3,}", r"\1\1\1", flat)
             out.update(self.restored(" ".join(w for w in short.split() if len(w) <= MOST_WRITTEN)))
         return out
 
 
+def _letters(run: str) -> str:
+    """The characters that a match of _APART sets apart."""
+    return run[0] + "".join(m[1] for m in _NEXT.finditer(run, 1))
+
+
 #: Lengths of word beginnings that are features beside whole words; a beginning carries a final *.
 BEGINNINGS = (4, 5, 6)
 
