@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import warnings
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -201,6 +202,23 @@ def features(text: str, span: tuple[str, int, int]) -> list[float]:
     ]
 
 
+_DATE = re.compile(r"(?:1[89]|20)[0-9]{2}([-./ ])(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])|(?:0?[1-9]|[12][0-9]|3[01])([-./ ])(?:0?[1-9]|1[0-2])\2(?:1[89]|20)[0-9]{2}|(?:1[89]|20)[0-9]{2} ?[-/] ?(?:1[89]|20)[0-9]{2}")
+_VERSION = re.compile(r"(?:\bversion|\bv\.?|\bisbn|\brelease)[\s:]*$", re.I)
+
+
+def clearly_other(text: str, span: tuple[str, int, int]) -> bool:
+    """If a candidate can't be of its kind: dates, versions, failed Luhn sums, parts of an address beyond 255, endings that are no word."""
+    kind, start, end = span
+    s, named = text[start:end], bool(_VERSION.search(text, max(0, start - 12), start))
+    if kind == "card":
+        return not luhn(digits_of(s))
+    if kind == "ip":
+        return named or any(int(g) > 255 for g in re.findall(r"[0-9]+", s))
+    if kind == "phone":
+        return named or bool(_DATE.fullmatch(s))
+    return not re.search(r"(?<![A-Za-z0-9])[A-Za-z]{2,}\Z", s)
+
+
 def _rewritings(kind: str, s: str, rng: random.Random) -> list[str]:
     """Other ways in which people write the personal data of a base span."""
     if kind == "email":
@@ -245,8 +263,9 @@ def _examples(rows: list[str], rng: random.Random) -> Iterator[tuple[str, tuple[
     for text in rows:
         spans = base_spans(text)
         seeds += [(text[max(0, s - 24) : s], k, text[s:e], text[e : e + 12]) for k, s, e in spans]
-        for span in candidates(text, spans):  # what the base patterns don't have in plain prose is hardly ever personal
-            yield text, span, 0
+        for span in candidates(text, spans):  # the others have no label: they may be personal data that the base patterns miss
+            if clearly_other(text, span):
+                yield text, span, 0
     near, contexts = contexts[5:], contexts + [(b, a) for b, _, _, a in seeds[:400]]
     for i in range(600):
         b, a = contexts[rng.randrange(len(contexts))]
@@ -333,12 +352,16 @@ def fit(rows: list[str], seed: int = 0) -> PiiModel:
         precision = np.cumsum(label[order]) / np.arange(1, len(order) + 1)
         good = np.flatnonzero(precision >= PRECISION)
         thresholds[kind] = max(0.5, float(q[order][good[-1]])) if len(good) else 2.0
+        if not len(good):
+            warnings.warn(f"{kind}: no threshold reaches a precision of {PRECISION} on held-out examples, so no such spans are added to the base", stacklevel=2)
     return PiiModel(trees, slope, intercept, thresholds)
 
 
 def train(docs: DataFrame, most: int = FIT_DOCUMENTS) -> PiiModel:
     """A model from at most `most` of the documents that may hold personal data (a bounded sample of those whose text has a
-    digit or @, chosen by a hash, so the same rows always give the same model) and from generated examples."""
+    digit or @, chosen by a hash, so the same rows always give the same model) and from generated examples. Texts of over 20,000
+    characters aren't learned from, to bound what goes to the driver; spans are looked for in all texts. Of the sample's own
+    candidates only those count, as negatives, that are clearly something else (clearly_other)."""
     rows = (
         docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= 20_000))
         .select("text").orderBy(F.xxhash64("text"), "text").limit(most).collect()

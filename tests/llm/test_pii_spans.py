@@ -47,3 +47,24 @@ def test_addresses_overlap():
     text = "a at b.cc at d.ee (dot) f"
     found = {text[s:e] for _, s, e in pii.candidates(text, [])}
     assert {"a at b.cc", "b.cc at d.ee", "b.cc at d.ee (dot) f"} <= found
+
+
+REAL = "phone me on (359) 555-5478 or 044 20 7946 0958 today, card 4041.8949.7460.8795, write to ann (at) mail (dot) com"
+
+
+def test_unlabelled_candidates_are_no_negatives():
+    labels = {(k, t[s:e]) for t, (k, s, e), _ in pii._examples([REAL], random.Random(0)) if t == REAL}
+    assert not {("phone", "(359) 555-5478"), ("phone", "044 20 7946 0958"), ("card", "4041.8949.7460.8795"), ("email", "ann (at) mail (dot) com")} & labels
+    labels = [t[s:e] for t, (_, s, e), y in pii._examples(["on 2024-05-01 with 4041.8949.7460.8796"], random.Random(0)) if t.startswith("on 2024") and y == 0]
+    assert {"2024-05-01", "4041.8949.7460.8796"} <= set(labels)
+
+
+def test_much_real_data_is_still_found():
+    model = pii.fit([f"Ring {200 + i} {300 + i} {4000 + i} for more." for i in range(500)])
+    assert [s[0] for s in model.spans(["Ring 359 555 5478 for more."])[0]] == ["phone"]
+
+
+def test_missing_threshold_is_reported(monkeypatch):
+    monkeypatch.setattr(pii, "PRECISION", 2.0)
+    with pytest.warns(UserWarning, match="email: no threshold"):
+        pii.fit([])
