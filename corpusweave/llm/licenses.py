@@ -23,18 +23,43 @@ SENTENCES = {
     "bsd-grant": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
     "bsd-source": ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"],
     "bsd-binary": ["Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"],
+    "bsd-asis": [f'THIS SOFTWARE IS PROVIDED BY {who} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED' for who in ("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT HOLDER AND CONTRIBUTORS", "THE REGENTS AND CONTRIBUTORS", "THE AUTHOR AND CONTRIBUTORS")],
+    "isc-grant": [f"Permission to use, copy, modify, {w} distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies" for w in ("and/or", "and")],
+    "unlicense": ["This is free and unencumbered software released into the public domain"],
+    "mpl-2": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "Mozilla Public License Version 2.0", "Mozilla Public License, version 2.0"],
+    "gpl-2-later": [f"This program is free software{c} you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version" for c in ";:"],
+    "lgpl-2.1-later": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version"],
+    "lgpl-3-later": [f"This {w} is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version" for w in ("program", "library")],
+    "agpl-3-later": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"],
+    "apache-2-text": ["Apache License Version 2.0, January 2004"],
+    "gpl-2-text": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "gpl-3-text": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "lgpl-2.1-text": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "lgpl-3-text": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "agpl-3-text": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
     "cc-by-nc-4": ["Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
     "cc-by-4": ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
     "cc0": ["Licensed under CC0 1.0", "This work is dedicated to the public domain under CC0 1.0"],
     "reserved": ["All rights reserved"],
 }
+#: A clause with a name in it: how it begins and ends.
+NAMED = {"bsd-names": ("Neither the name of", "contributors may be used to endorse or promote products derived from this software without specific prior written permission")}
 #: Rules in order: the licence that an ordered run of sentence identifiers stands for; longer runs come first.
 RULES = [
     ("MIT", ["mit-name", "mit-grant", "mit-notice", "asis"]), ("MIT", ["mit-grant", "mit-notice", "asis"]), ("MIT", ["mit-grant", "mit-notice"]), ("MIT", ["mit-grant"]), ("MIT", ["mit-name"]),
     ("Apache-2.0", ["apache-2", "apache-copy"]), ("Apache-2.0", ["apache-2"]), ("GPL-3.0-or-later", ["gpl-later"]), ("GPL-3.0-only", ["gpl-3"]),
-    ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]), ("CC-BY-NC-4.0", ["cc-by-nc-4"]), ("CC-BY-4.0", ["cc-by-4"]), ("CC0-1.0", ["cc0"]), ("proprietary", ["reserved"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-asis"]), ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
+    ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-asis"]), ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
+    ("ISC", ["isc-grant"]), ("Unlicense", ["unlicense"]), ("MPL-2.0", ["mpl-2"]), ("GPL-2.0-or-later", ["gpl-2-later"]), ("LGPL-2.1-or-later", ["lgpl-2.1-later"]), ("LGPL-3.0-or-later", ["lgpl-3-later"]), ("AGPL-3.0-or-later", ["agpl-3-later"]),
+    ("Apache-2.0", ["apache-2-text"]), ("GPL-2.0-only", ["gpl-2-text"]), ("GPL-3.0-only", ["gpl-3-text"]), ("LGPL-2.1-only", ["lgpl-2.1-text"]), ("LGPL-3.0-only", ["lgpl-3-text"]), ("AGPL-3.0-only", ["agpl-3-text"]), ("CC-BY-NC-4.0", ["cc-by-nc-4"]), ("CC-BY-4.0", ["cc-by-4"]), ("CC0-1.0", ["cc0"]), ("proprietary", ["reserved"]),
 ]
-_HINT = re.compile(r"licen[sc]e|permission|redistribut|copyright notice|software is provided|rights reserved|public domain", re.I)
+_HINT = re.compile(r"licen[sc]e|permission|redistribut|copyright notice|software is provided|rights reserved|public domain|free software", re.I)
+#: Other sentences that may stand between two of a rule's. The name of a licence counts to the text only next to it.
+MOST_BETWEEN = 3
+_NEXT_TO = frozenset(["mit-name"])
+#: Signs of comments and of indents, then a list's number or bullet, before a line; signs of comments after it.
+_PREFIX = re.compile(r"^[ \t]*(?:(?:<!--|/\*+|\*+/?|//+[!/]?|#+|;+|--+|%+|>+|dnl\b|(?i:rem)\b)[ \t]*)?(?:\(?(?:[0-9]{1,2}|[a-z])[.)][ \t]+|[-*•][ \t]+)?", re.M)
+_SUFFIX = re.compile(r"[ \t]*(?:\*+/|-->)[ \t]*$", re.M)
 _END = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -46,25 +71,65 @@ def normalised(sentence: str) -> str:
 KNOWN = {normalised(s): k for k, forms in SENTENCES.items() for s in forms}
 
 
+#: All beginnings of known sentences, word by word.
+_BEGUN = {" ".join(w[:n]) for w in map(str.split, KNOWN) for n in range(1, len(w) + 1)}
+_NAMED = {k: (normalised(a), normalised(b)) for k, (a, b) in NAMED.items()}
+_NAMED_LENGTH = 600
+
+
+def _named(sentence: str) -> tuple[str, bool]:
+    """The clause of NAMED that a sentence is, and whether it may become one."""
+    for k, (first, last) in _NAMED.items():
+        if sentence.startswith(first) and len(sentence) <= _NAMED_LENGTH:
+            return (k if sentence.endswith(last) else ""), True
+    return "", False
+
+
 def sentences(text: str) -> list[str]:
-    """The known sentences' identifiers in order of appearance, '' for any other sentence. A sentence may run over line ends."""
+    """The known sentences' identifiers in order of appearance, '' for any other sentence. A sentence may run over line ends, comment
+    signs and full stops inside it: the longest run of pieces that is a known sentence counts."""
+    text = _PREFIX.sub("", _SUFFIX.sub("", text))
     flat = re.sub(r"[ \t\r\f\v]*\n(?=[a-z(])", " ", text)
-    return [KNOWN.get(normalised(s), "") for s in _END.split(flat) if s.strip()]
+    pieces = [x for s in _END.split(flat) if s.strip() for x in [normalised(s)] if x]
+    out, at = [], 0
+    while at < len(pieces):
+        found, size, joined = "", 1, ""
+        for n, piece in enumerate(pieces[at:], 1) if pieces[at] in _BEGUN or _named(pieces[at])[1] else [(1, pieces[at])]:
+            joined = f"{joined} {piece}".lstrip()
+            named, more = _named(joined)
+            if known := KNOWN.get(joined) or named:
+                found, size = known, n
+            if joined not in _BEGUN and not more:
+                break
+        out.append(found)
+        at += size
+    return out
+
+
+def _matched(ids: list[str], at: int, run: list[str]) -> int:
+    """Where a rule's sentences end if they begin at a place, with at most MOST_BETWEEN others between two of them; 0: they don't."""
+    for k, want in enumerate(run):
+        most = 0 if k == 0 or run[k - 1] in _NEXT_TO else MOST_BETWEEN
+        between = 0
+        while at < len(ids) and not ids[at] and between < most:
+            at, between = at + 1, between + 1
+        if at >= len(ids) or ids[at] != want:
+            return 0
+        at += 1
+    return at
 
 
 def scan(text: str | None) -> list[tuple[str, list[str]]]:
-    """Licences found, with their sentence identifiers, from left to right without overlaps. Copyright lines and other sentences
-    between two of a rule's sentences end its run."""
+    """Licences found, with their sentence identifiers, from left to right without overlaps. A few other sentences may stand between two
+    of a rule's, but a copyright line after a licence's name makes the name a find of its own."""
     if not text or not _HINT.search(text):
         return []
     ids, out, at = sentences(text), [], 0
     while at < len(ids):
-        rule = next(((name, run) for name, run in RULES if ids[at] and ids[at : at + len(run)] == run), None)
+        rule, end = next(((r, e) for r in RULES if ids[at] and (e := _matched(ids, at, r[1]))), (None, 0))
         if rule:
             out.append(rule)
-            at += len(rule[1])
-        else:
-            at += 1
+        at = end or at + 1
     return out
 
 
