@@ -54,6 +54,14 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name like the given one that none of the columns has, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
     jsc = spark.sparkContext._jsc.sc()

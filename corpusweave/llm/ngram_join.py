@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from corpusweave.llm.common import SPACED, Words, cut_lineage, id_text, mix, partitions, slices, table, tidied, window_hashes
+from corpusweave.llm.common import SPACED, Words, cut_lineage, id_text, mix, partitions, slices, table, tidied, unused, window_hashes
 from corpusweave.llm.components import components
 
 
@@ -32,12 +33,13 @@ class Join:
     """Shingles of `words` words; a link is 100 * intersection >= percent * union. The rest bounds memory, not results.
 
     common: prefixes are so long that similar sets have at least this many shingles of theirs in common (or all they need).
+    hot: of a shingle that so many texts have, rows are salted.
     """
 
     words: int = 4
     percent: int = 85
     common: int = 8
-    listed: int = 64
+    hot: int = 8192
     sketch_bits: int = 24
     block_sets: int = 256
     block_shingles: int = 1_000_000
@@ -80,7 +82,7 @@ _BLOCK = 1 << 14
 
 
 def _sets_and_counts(docs: DataFrame, how: Join, bits: int) -> DataFrame:
-    """A row of each document (kind 0: its signature and size) and of each part of each task's sketch (kind 1)."""
+    """A row of each document (kind 0: its text's hash, signature and size) and of each part of each task's sketch (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(1 << bits, np.uint32)
@@ -89,27 +91,39 @@ def _sets_and_counts(docs: DataFrame, how: Join, bits: int) -> DataFrame:
             sigs = [signature(s) if len(s) else (None, None) for s in sets]
             np.add.at(count, (np.concatenate([_FEW, *sets]) >> np.uint64(64 - bits)).astype(np.int64), 1)
             n = part.num_rows
-            yield _rows([np.zeros(n, np.int32), part.column(0), [a for a, _ in sigs], [b for _, b in sigs], [len(s) for s in sets], [None] * n])
+            yield _rows([np.zeros(n, np.int32), part.column(0), part.column(2), [a for a, _ in sigs], [b for _, b in sigs], [len(s) for s in sets], [None] * n])
         task = TaskContext.get().partitionId()
         size = min(_BLOCK, len(count))
         parts = [p for p in enumerate(np.minimum(count, 255).astype(np.uint8).reshape(-1, size)) if p[1].any()]
         k = len(parts)
-        yield _rows([np.ones(k, np.int32), [None] * k, [i for i, _ in parts], [task] * k, [None] * k, [zlib.compress(p.tobytes(), 1) for _, p in parts]])
+        yield _rows([np.ones(k, np.int32), [None] * k, [None] * k, [i for i, _ in parts], [task] * k, [None] * k, [_packed(p) for _, p in parts]])
 
-    return docs.mapInArrow(tidied(run), "kind int, doc_id long, s1 long, s2 long, n long, counts binary")
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(tidied(run), "kind int, doc_id long, text_hash long, s1 long, s2 long, n long, counts binary")
+
+
+def _packed(counters: np.ndarray) -> bytes:
+    """Byte counters as compressed bit planes: most counters are small, so all but the lowest planes vanish."""
+    return zlib.compress(np.packbits(np.unpackbits(counters.reshape(-1, 1), axis=1).T).tobytes(), 1)
+
+
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    """The byte counters of _packed, or sums as _add_sketches passes them on."""
+    raw = np.frombuffer(zlib.decompress(data), np.uint8)
+    if len(raw) > size:
+        return raw.view(np.uint32).astype(np.uint64)
+    return np.packbits(np.unpackbits(raw).reshape(8, size).T, axis=1).reshape(-1).astype(np.uint64)
 
 
 def _rows(columns: list) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["kind", "doc_id", "s1", "s2", "n", "counts"])
+    kinds = [pa.int32(), *[pa.int64()] * 5, pa.binary()]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["kind", "doc_id", "text_hash", "s1", "s2", "n", "counts"])
 
 
 def _add_sketches(parts: DataFrame, tasks: int, size: int) -> DataFrame:
     """Sums the tasks' sketches (a byte a counter) part by part, up to 32 at a time, so that no group grows with the input."""
 
     def add(group: pa.Table) -> pa.Table:
-        parts = [zlib.decompress(c) for c in group["counts"].to_pylist()]
-        total = sum(np.frombuffer(c, np.uint8 if len(c) == size else np.uint32).astype(np.uint64) for c in parts)
+        total = sum(_unpacked(c, size) for c in group["counts"].to_pylist())
         counts = zlib.compress(np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
         return pa.table({"at": group["at"].slice(0, 1), "task": group["task"].slice(0, 1), "counts": pa.array([counts], pa.binary())})
 
@@ -127,23 +141,32 @@ class Order:
 
     level: np.ndarray
     bits: int
+    hot: int
+
+    def salts(self, shingles: np.ndarray, by: int) -> np.ndarray:
+        """0 for most shingles. The rows of one that very many texts hold are dealt over as many salts, from 1 on, as keep each group
+        bounded; `by` tells a class from others."""
+        over = self.level[(shingles >> np.uint64(64 - self.bits)).astype(np.int64)].astype(np.int64) - self.hot
+        return np.where(over < 0, 0, 1 + by % (1 << np.maximum(over // 8 + 1, 0)))
 
     def __call__(self, shingles: np.ndarray) -> np.ndarray:
         """The sorted hashes, rare first."""
         return shingles[np.argsort(self.level[(shingles >> np.uint64(64 - self.bits)).astype(np.int64)], kind="stable")]
 
 
-def _order(parts: DataFrame, tasks: int, bits: int) -> Order:
-    level = np.zeros(1 << bits, np.uint8)
+def _order(parts: DataFrame, tasks: int, bits: int, hot: int) -> Order:
+    """hot: a shingle in so many texts at least, and in 64 times as many as a counter counts on average, is hot."""
+    level, total = np.zeros(1 << bits, np.uint8), 0
     size = min(_BLOCK, 1 << bits)
-    for row in _add_sketches(parts, tasks, size).toLocalIterator():  # 2**bits counters in all
+    for row in _add_sketches(parts, tasks, size).coalesce(8).toLocalIterator():  # 2**bits counters in all
         c = np.frombuffer(zlib.decompress(row.counts), np.uint32)
+        total += int(c.sum(dtype=np.uint64))
         level[row.at * size : (row.at + 1) * size] = np.minimum(8 * np.log2(1.0 + c), 255)
-    return Order(level, bits)
+    return Order(level, bits, min(int(8 * np.log2(1.0 + max(hot, 64 * total / (1 << bits)))), 255))
 
 
 def _postings(docs: DataFrame, how: Join, order) -> DataFrame:
-    """The prefix of each class: token, class, size and place. A task tells each class once."""
+    """The prefix of each class: token, its salt and place in one number, class and size. A task tells each class once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -161,54 +184,54 @@ def _postings(docs: DataFrame, how: Join, order) -> DataFrame:
                 k = [len(t) for t in tokens]
                 place = np.concatenate([np.arange(x) for x in k])
                 sig = np.repeat(np.array(sigs), k, axis=0)
+                salt = np.concatenate([order.value.salts(t, s[0]) for t, s in zip(tokens, sigs, strict=True)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(sig[:, 0]), pa.array(sig[:, 1]), pa.array(np.repeat(size, k).astype(np.int32)), pa.array(place.astype(np.int32))],
-                    ["token", "s1", "s2", "n", "place"],
+                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(salt << 32 | place), pa.array(sig[:, 0]), pa.array(sig[:, 1]), pa.array(np.repeat(size, k).astype(np.int32))],
+                    ["token", "at", "s1", "s2", "n"],
                 )
 
-    return docs.mapInArrow(tidied(run), "token long, s1 long, s2 long, n int, place int")
+    return docs.mapInArrow(tidied(run), "token long, at long, s1 long, s2 long, n int")
 
 
-_SHARED = ["token", "s1", "s2", "n", "place", "l1", "l2", "ln"]
+_SHARED = ["token", "salt", "s1", "s2", "n", "place", "l1", "l2", "ln"]
 
 
 def _shared(postings: DataFrame, n: int) -> DataFrame:
     """Postings, each class once, of tokens that more than one class has, beside the row of the token's leader: the class
-    with the fewest rarer shingles, as the text has that others are copies of.
+    with the fewest rarer shingles, as the text has that others are copies of. Each salt of a hot token has a leader of its own.
 
-    The rows stream by in order of token and place; only the last one and its leader are held.
+    The rows stream by in order of token, salt and place; only the last one and its leader are held.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((5, 0), np.int64)  # the last row, whose token may go on
-        leader = np.zeros(5, np.int64)  # the first row of its token
-        on = False  # whether the token of `held` was told of before, so that its row isn't alone
+        held = np.zeros((6, 0), np.int64)  # the last row, whose group may go on
+        leader = np.zeros(6, np.int64)  # the first row of its group
+        on = False  # whether it isn't the first of its group
         for batch in batches:
-            rows = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _SHARED[:5]])], axis=1)
-            new = np.concatenate([[True], (rows[:3, 1:] != rows[:3, :-1]).any(0)])
-            rows = rows[:, new]
-            first = np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])
+            token, at, s1, s2, size = (batch.column(c).to_numpy().astype(np.int64) for c in range(5))
+            rows = np.concatenate([held, np.stack([token, at >> 32, s1, s2, size, at & 0xFFFFFFFF])], axis=1)
+            rows = rows[:, np.concatenate([[True], (rows[:4, 1:] != rows[:4, :-1]).any(0)])]
+            first = np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(0)])
             lead = rows[:, np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))]
             if on:
-                own = rows[0] == leader[0]
-                lead[:, own] = leader[:, None]
+                lead[:, (rows[:2] == leader[:2, None]).all(0)] = leader[:, None]
                 first[0] = False
             alone = first & np.concatenate([first[1:], [False]])
-            tell = ~alone
+            tell = ~alone | (rows[1] > 0)  # other salts have the token too
             tell[-1] = False  # told with the next rows
-            out = np.concatenate([rows, lead[1:4]])[:, tell]
+            out = np.concatenate([rows, lead[2:5]])[:, tell]
             held, leader, on = rows[:, -1:], lead[:, -1].copy(), not first[-1]
             if out.shape[1]:
                 yield _shared_rows(out)
-        if on:
-            yield _shared_rows(np.concatenate([held, leader[1:4, None]]))
+        if on or held[1].any():
+            yield _shared_rows(np.concatenate([held, leader[2:5, None]]))
 
-    rows = postings.repartition(n, "token").sortWithinPartitions("token", "place", "s1", "s2")
-    return rows.mapInArrow(tidied(run), "token long, s1 long, s2 long, n int, place int, l1 long, l2 long, ln int")
+    rows = postings.repartition(n, "token", F.shiftright("at", 32)).sortWithinPartitions("token", "at", "s1", "s2")
+    return rows.mapInArrow(tidied(run), "token long, salt int, s1 long, s2 long, n int, place int, l1 long, l2 long, ln int")
 
 
 def _shared_rows(x: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32) if k in (3, 4, 7) else c) for k, c in enumerate(x)], _SHARED)
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32) if k in (1, 4, 5, 8) else c) for k, c in enumerate(x)], _SHARED)
 
 
 @dataclass
@@ -355,7 +378,7 @@ def _id_filter(ids: DataFrame, bits: int, expected: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int64()), pa.array([p for _, p in parts], pa.binary())], ["at", "bits"])
 
     out = np.zeros(((1 << bits) // size, size // 8), np.uint8)
-    for row in ids.where("id IS NOT NULL").mapInArrow(tidied(run), "at long, bits binary").toLocalIterator():
+    for row in ids.where("id IS NOT NULL").coalesce(32).mapInArrow(tidied(run), "at long, bits binary").toLocalIterator():
         out[row.at] |= np.frombuffer(row.bits, np.uint8)
     return np.unpackbits(out.reshape(-1)).view(bool)
 
@@ -405,29 +428,43 @@ def _verify_some(docs: DataFrame, pairs: DataFrame, classes: DataFrame, how: Joi
     return None if pairs.isEmpty() else cut_lineage(_verify(docs, pairs, classes, how, order, n, False))
 
 
-def _joined(part_of: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Components after more links between their nodes or others."""
-    if links is None:
-        return part_of
-    end = lambda c: part_of.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))
-    between = links.join(end("u"), "u", "left").join(end("v"), "v", "left").select(F.coalesce("u_of", "u").alias("u"), F.coalesce("v_of", "v").alias("v"))
-    merged = components(between).select(F.col("node").alias("component"), F.col("component").alias("final"))
-    old = part_of.join(merged, "component", "left").select("node", F.coalesce("final", "component").alias("component"))
-    new = merged.select(F.col("component").alias("node"), F.col("final").alias("component")).join(part_of, "node", "left_anti")
-    return cut_lineage(old.union(new))
-
+def _open(shared: DataFrame, part_of: DataFrame, how: Join) -> DataFrame:
+    """A row of each class that may be similar to one of another component: its open tokens, those that several components have, by
+    place, and the rarest of these, one of which a similar set shares.
 
-def _enough(postings: DataFrame, how: Join) -> DataFrame:
-    """Without classes that have fewer of these tokens than a similar set has in common with them."""
-    least = f"least({how.common}L, ceil({how.percent}L * n / 100))"
-    return postings.join(postings.groupBy("s1", "s2", "n").agg(F.count(F.lit(1)).alias("c")).where(f"c >= {least}").select("s1", "s2"), ["s1", "s2"], "left_semi")
+    What stands in a prefix and isn't open is in no set of another component, so a token behind more misses than a similar set may
+    have can't help. A similar set has `common` of the rest (or all it needs), so it has one of the rest without any `common` - 1
+    of them: the most frequent by exact counts are left out. A hot token counts as open, and as the most frequent.
+    """
+    sig = F.struct("s1", "s2")
+    named = shared.select("token", "salt", "s1", "s2", "n", "place", sig.alias("node")).join(part_of, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("node")
+    group = Window.partitionBy("token", "salt")  # of bounded size, as hot tokens are salted
+    opened = (
+        named.select("*", F.min("component").over(group).alias("a"), F.max("component").over(group).alias("b"), F.count(F.lit(1)).over(group).alias("held_by"))
+        .where("a <> b OR salt > 0").withColumn("held_by", F.when(F.col("salt") > 0, F.lit(1 << 40)).otherwise(F.col("held_by")))
+    )
+    least = f"least({how.common}, cast(ceil({how.percent}L * n / 100) AS int))"
+    return cut_lineage(
+        opened.groupBy("s1", "s2", "n", "component").agg(F.sort_array(F.collect_list(F.struct("place", "token", "held_by"))).alias("all"))
+        .withColumn("all", F.expr(f"filter(all, (x, i) -> x.place - i <= n - ceil({how.percent}L * n / 100))")).where(f"size(all) >= {least}")
+        .select("s1", "s2", "n", "component", "all.place", "all.token", F.expr(f"slice(array_sort(transform(all, (x, i) -> struct(x.held_by AS held_by, x.token AS token, x.place AS place, x.place - i AS missed))), 1, size(all) - {least} + 1)").alias("rare"))
+    )
 
 
-def _open(named: DataFrame, part_of: DataFrame, how: Join) -> DataFrame:
-    """The postings, with their class's component, of tokens that several components have, and of classes with enough of them."""
-    named = named.join(part_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    tokens = named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
-    return cut_lineage(_enough(named.join(tokens, "token", "left_semi"), how))
+def _candidates(opened: DataFrame, how: Join) -> DataFrame:
+    """Pairs of open classes (l1, l2: the smaller set; s1, s2, n) of different components that share as much of their prefixes as similar sets do."""
+    need, lead = _need(how.percent, "x.n", "y.n"), ["s1", "s2", "n", "component"]
+    rare = opened.select(*lead, F.explode("rare").alias("r")).select(*lead, "r.token", "r.place", "r.missed")
+    near = lambda t: f"{t}.place < {t}.n - {need} + {how.common} AND {t}.missed <= {t}.n - {need}"
+    pairs = (
+        rare.alias("x")
+        .join(rare.alias("y"), F.expr(f"x.token = y.token AND x.component <> y.component AND (x.n < y.n OR x.n = y.n AND (x.s1 < y.s1 OR x.s1 = y.s1 AND x.s2 < y.s2)) AND 100L * x.n >= {how.percent}L * y.n AND {near('x')} AND {near('y')}"))
+        .select(F.col("x.s1").alias("l1"), F.col("x.s2").alias("l2"), F.col("y.s1").alias("s1"), F.col("y.s2").alias("s2")).distinct()
+    )
+    own = opened.select(F.col("s1").alias("l1"), F.col("s2").alias("l2"), F.struct("n", "place", "token").alias("x"))
+    other = opened.select("s1", "s2", F.struct("n", "place", "token").alias("y"))
+    prefix = lambda t: f"slice({t}.token, 1, size(filter({t}.place, p -> p < {t}.n - {need} + {how.common})))"
+    return pairs.join(own, ["l1", "l2"]).join(other, ["s1", "s2"]).where(f"size(array_intersect({prefix('x')}, {prefix('y')})) >= least({how.common}L, {need})").select("l1", "l2", "s1", "s2", F.col("y.n").alias("n"))
 
 
 def _need(percent: int, a: str, b: str) -> str:
@@ -435,13 +472,8 @@ def _need(percent: int, a: str, b: str) -> str:
     return f"ceil({percent}L * ({a} + {b}) / {100 + percent})"
 
 
-def jaccard_components(docs: DataFrame, how: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id that links reach) of every document, one row for each input row.
-
-    Null or empty text, or white space alone: no shingles, linked with nothing, a component of its own. Fewer words than a shingle: the
-    whole sequence is the only shingle. Repeated rows and equal texts: one class, and so one component. Null id: takes part
-    in links; its component is named by the others, or null if there are none. Empty input: no rows.
-    """
+def _rows_by_component(docs: DataFrame, how: Join, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_hash, n, component (a class; null without words) and component_id of every input row."""
     spark = docs.sparkSession
     docs = id_text(docs, id_col, text_col)
     docs = docs.select(docs.doc_id.cast("long").alias("doc_id"), "text")
@@ -450,12 +482,11 @@ def jaccard_components(docs: DataFrame, how: Join = Join(), id_col: str = "doc_i
     n = max(partitions(spark), 1)
     first = cut_lineage(_sets_and_counts(docs, how, bits))
     sized = first.where("kind = 0")
-    order = spark.sparkContext.broadcast(_order(first.where("kind = 1"), first.rdd.getNumPartitions(), bits))  # 2**bits bytes
+    order = spark.sparkContext.broadcast(_order(first.where("kind = 1"), first.rdd.getNumPartitions(), bits, how.hot))  # 2**bits bytes
     classes = sized.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("least_id"))
 
     p = how.percent
     shared = cut_lineage(_shared(_postings(docs, how, order), n))
-    sig = lambda a, b: F.struct(F.col(a).alias("s1"), F.col(b).alias("s2"))
     # What this leaves out, because a token's leader was another class, the pairs below bring back.
     chosen = (
         shared.where(f"(s1 <> l1 OR s2 <> l2) AND 100L * least(n, ln) >= {p}L * greatest(n, ln)")
@@ -466,59 +497,48 @@ def jaccard_components(docs: DataFrame, how: Join = Join(), id_col: str = "doc_i
     )
     links = cut_lineage(_verify(docs, cut_lineage(chosen), classes, how, order, n, True))
     part_of = components(links)
+    # What the blocks left open: pairs with prefix tokens in common whose components differ.
+    more = _verify_some(docs, _candidates(_open(shared, part_of, how), how), classes, how, order, n)
+    if more is not None:
+        part_of = components(part_of.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
+    named = classes.withColumn("node", F.struct("s1", "s2")).join(part_of, "node", "left").select("s1", "s2", "least_id", F.coalesce("component", "node").alias("component"))
+    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    named = cut_lineage(named.join(least, "component").select("s1", "s2", "component", "component_id"))
+    columns = ["doc_id", "text_hash", "n", "component", "component_id"]
+    without = sized.where("n = 0").withColumn("component", F.lit(None).cast(named.schema["component"].dataType)).withColumn("component_id", F.col("doc_id"))
+    return sized.where("n > 0").join(named, ["s1", "s2"]).select(*columns).union(without.select(*columns))
 
-    # What the blocks left open: pairs with prefix tokens in common whose components differ. Each class lists its first open
-    # tokens, so that a pair comes up at the first one only, and only if what is left of the sets can still make it similar.
-    named = _open(shared.select("token", "s1", "s2", "n", "place", sig("s1", "s2").alias("node")), part_of, how)
-    lists = (
-        named.groupBy("s1", "s2").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("all"))
-        .select("s1", "s2", (F.size("all") > how.listed).alias("cut"), F.slice("all", 1, how.listed).alias("first"))
-        .select("s1", "s2", "cut", F.col("first.token").alias("tokens"), F.col("first.place").alias("places"))
-    )
-    listed = named.join(lists, ["s1", "s2"])
-    c, need = "size(array_intersect(x.tokens, y.tokens))", _need(p, "x.n", "y.n")
-    at = lambda side: f"try_element_at({side}.places, cast(array_position({side}.tokens, try_element_at(array_intersect(x.tokens, y.tokens), -1)) AS int))"
-    # All that the sets have in common up to the last listed token in common is listed, so what follows it bounds the rest. If the
-    # lists have nothing in common, the set whose list ends first has nothing in common with the other up to there.
-    pairs = (
-        listed.alias("x")
-        .join(
-            listed.alias("y"),
-            F.expr(
-                f"""x.token = y.token AND x.component <> y.component AND (x.n < y.n OR x.n = y.n AND (x.s1 < y.s1 OR x.s1 = y.s1 AND x.s2 < y.s2))
-                AND 100L * x.n >= {p}L * y.n AND x.place < x.n - ceil({2 * p}L * x.n / {100 + p}) + {how.common} AND y.place < y.n - ceil({p}L * y.n / 100) + {how.common}
-                AND coalesce(try_element_at(array_intersect(x.tokens, y.tokens), 1), x.token) = x.token
-                AND CASE WHEN {c} = 0 THEN greatest(x.n - element_at(x.places, -1), y.n - element_at(y.places, -1)) - 1 >= {need}
-                    ELSE (x.cut OR y.cut OR {c} >= least({how.common}L, {need})) AND {c} + least(x.n - 1 - {at('x')}, y.n - 1 - {at('y')}) >= {need} END"""
-            ),
-        )
-        .select(F.col("x.s1").alias("l1"), F.col("x.s2").alias("l2"), F.col("y.s1").alias("s1"), F.col("y.s2").alias("s2"), F.col("y.n").alias("n"))
-        .distinct()
-    )
-    part_of = _joined(part_of, _verify_some(docs, pairs, classes, how, order, n))
-    named_class = (
-        classes.withColumn("node", sig("s1", "s2")).join(part_of, "node", "left")
-        .select("s1", "s2", "least_id", F.coalesce("component", "node").alias("component"))
-    )
-    least = named_class.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named_class = cut_lineage(named_class.join(least, "component").select("s1", "s2", "component_id"))
-    with_words = sized.where("n > 0").join(named_class, ["s1", "s2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return with_words.union(sized.where("n = 0").select("doc_id", F.col("n"), "doc_id"))
+
+def jaccard_components(docs: DataFrame, how: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id that links reach) of every document, one row for each input row.
+
+    Null or empty text, or white space alone: no shingles, linked with nothing, a component of its own. Fewer words than a shingle: the
+    whole sequence is the only shingle. Repeated rows and equal texts: one class, and so one component. Null id: takes part
+    in links; its component is named by the others, or null if there are none. Empty input: no rows.
+    """
+    return _rows_by_component(docs, how, id_col, text_col).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_first(docs: DataFrame, how: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of each component the document with the smallest id, with all its columns; of repeated rows one.
+    """Of each component the document with the smallest id, with all its columns.
 
-    Documents without words are all kept, and so are those without an id, which nothing tells apart.
+    Rows with the same id and text: one of them. Rows with the same id whose texts differ: each goes by its own component; if they are in one
+    whose smallest id they bear, one of them stays. Documents without words are all kept, and so are those without an id, which nothing
+    tells apart. Extra columns may have any names.
     """
-    found = jaccard_components(docs, how, id_col, text_col)
-    same = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id"))
-    kept = docs.join(same, docs[id_col] == F.col("_kept_id"), "left_semi").unionByName(docs.where(docs[id_col].isNull()))
-    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    if again.isEmpty():
-        return kept
-    own = F.struct(F.col(id_col), F.xxhash64(text_col), F.when(F.col(id_col).isNull(), F.monotonically_increasing_id()))
-    return kept.withColumn("_row", own).dropDuplicates(["_row"]).drop("_row")
+    rows = _rows_by_component(docs, how, id_col, text_col).where("n > 0 AND doc_id = component_id")
+    per = rows.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    chosen = cut_lineage(per.groupBy("component").agg(F.min(F.struct("text_hash", "doc_id", "rows")).alias("r")).select("r.*"))
+    names: list[str] = []
+    for _ in range(3):
+        names.append(unused("kept", [*docs.columns, *names]))
+    key, text_hash, mark = names
+    own = docs.withColumn(key, F.col(id_col).cast("long")).withColumn(text_hash, F.xxhash64(text_col))
+    ones = chosen.select(F.col("doc_id").alias(key), F.col("text_hash").alias(text_hash)).distinct().withColumn(mark, F.lit(True))
+    kept = own.join(ones, [key, text_hash], "left").where(F.col(mark) | F.col(key).isNull() | F.col(text_col).isNull() | ~F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
+    if not chosen.where("rows > 1").isEmpty():
+        kept = kept.withColumn(mark, F.struct(key, text_hash, F.when(F.col(mark).isNull(), F.monotonically_increasing_id()))).dropDuplicates([mark])
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 from corpusweave.llm import ngram_join
 from corpusweave.llm.components import components
@@ -64,6 +65,57 @@ def test_same_as_brute_force(frame, seed, how):
     assert got(jaccard_components(frame(rows), how)) == brute(rows, how.words, how.percent)
 
 
+def with_passage(seed, n=70):
+    """Near copies of longer texts, most of which hold one passage that takes up much of them, and a sentence that all have."""
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(400))
+    passage, out = [word() for _ in range(90)], []
+    for _ in range(n):
+        if out and rng.random() < 0.5:
+            w = list(rng.choice(out))
+            for _ in range(rng.randrange(8)):
+                w[rng.randrange(len(w))] = word()
+        else:
+            w = [word() for _ in range(rng.choice([5, 20, 30, 60]))] + passage[: rng.choice([0, 60, 90, 90])]
+        out.append(w)
+    return [(i, " ".join([*w, "they all end alike here"])) for i, w in enumerate(out)]
+
+
+@pytest.mark.parametrize("how", [Join(hot=2), Join(hot=2, common=2, block_sets=4, sketch_bits=10), Join(words=5, percent=80, common=16), Join(words=2, percent=70)])
+def test_common_passages_same_as_brute_force(frame, how):
+    rows = with_passage(how.words)
+    assert got(jaccard_components(frame(rows), how)) == brute(rows, how.words, how.percent)
+
+
+def test_hot_tokens_are_dealt_over_salts():
+    level = np.zeros(1 << 10, np.uint8)
+    level[5] = 120
+    order = ngram_join.Order(level, 10, 104)
+    shingles = np.array([5 << 54, 6 << 54], np.uint64)
+    found = {tuple(order.salts(shingles, k).tolist()) for k in range(-20, 20)}
+    assert found == {(1 + k, 0) for k in range(8)}
+
+
+def test_sketch_parts_round_trip():
+    rng = np.random.default_rng(1)
+    for size in (1 << 10, 1 << 14):
+        c = rng.integers(0, 256, size).astype(np.uint8)
+        assert (ngram_join._unpacked(ngram_join._packed(c), size) == c).all()
+
+
+def test_keep_first_goes_by_row(spark):
+    a, b = " ".join(WORDS), " ".join(reversed(WORDS))
+    near = " ".join([*WORDS * 3, "end"])
+    rows = [(1, a, "x", 1), (5, b, "y", 2), (5, a, "z", 3), (7, near, "n", 4), (7, " ".join(WORDS * 3), "m", 5), (8, b, "w", 6), (9, None, "v", 7), (9, None, "v", 8), (None, a, "u", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _kept_id string, _row int").withColumn("kept", F.lit(1))
+    kept = keep_first(docs)
+    assert kept.columns == docs.columns
+    out = sorted(r._row for r in kept.collect())
+    assert len([k for k in out if k in (4, 5)]) == 1 and [k for k in out if k not in (4, 5)] == [1, 2, 7, 8, 9]
+    again = keep_first(docs.union(docs).where("_row < 4"))
+    assert sorted((r.doc_id, r._kept_id) for r in again.collect()) == [(1, "x"), (5, "y")]
+
+
 def test_odd_rows(frame, odd_texts):
     assert got(jaccard_components(frame(odd_texts))) == brute(odd_texts)
     kept = keep_first(frame(odd_texts))
@@ -102,8 +154,9 @@ def test_tree_finds_all_links():
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 140)] + [(7, 7), (None, 3), (139, 200)]
-    out = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
-    assert out == {**{i: 0 for i in range(31)}, **{k: 100 for k in [*range(100, 140), 200]}}
+    for few in (0, 1000):
+        out = dict(components(spark.createDataFrame(edges, "u long, v long"), few=few).collect())
+        assert out == {**{i: 0 for i in range(31)}, **{k: 100 for k in [*range(100, 140), 200]}}
 
 
 def test_query(spark):
