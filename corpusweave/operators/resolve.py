@@ -28,9 +28,10 @@ def item_keys(items: DataFrame, texts: list[str] | None = None, scope: Column |
     )
 
 
-def singletons(keys: DataFrame) -> DataFrame:
-    """Keys that one item alone has. A key that very many share, such as '01', shrinks to one row before any join."""
-    return keys.groupBy("scope", "kind", "key").agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("item_id")).where("n = 1").drop("n")
+def key_sizes(keys: DataFrame) -> DataFrame:
+    """scope, kind, key, n (items that have it) and alone (one of them). A key that very many share, such as '01', shrinks to one row
+    before any join."""
+    return keys.groupBy("scope", "kind", "key").agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("alone"))
 
 
 def _probes(value: str) -> Column:
@@ -43,34 +44,54 @@ def resolve_values(raw: DataFrame, keys: DataFrame) -> DataFrame:
 
     First the whole value: as URI, code, URI tail, text; the first that one item alone has. Else, of two clues or more between commas
     and the like, the one item that all can mean, or that each of two or more means alone. Else every URI or code inside
-    the text that one item alone has.
+    the text that one item alone has. Equal values of a scope are worked out once.
     """
-    one = singletons(keys)
-    probe = raw.select(*_KEY, "scope", F.explode(_probes("raw_value")).alias("p")).select(*_KEY, "scope", "p.*").where("key IS NOT NULL")
-    whole = probe.join(one, ["scope", "kind", "key"]).groupBy(*_KEY).agg(F.min_by("item_id", "prio").alias("target_id"))
-    rest = raw.join(whole, _KEY, "left_anti")
-
-    clues = rest.select(*_KEY, "scope", split_clues("raw_value").alias("c")).where(F.size("c") >= 2).select(*_KEY, "scope", F.posexplode("c").alias("cpos", "clue"))
-    meant = (
-        clues.select(*_KEY, "cpos", "scope", F.explode(_probes("clue")).alias("p")).select(*_KEY, "cpos", "scope", "p.kind", "p.key").where("key IS NOT NULL")
-        .join(keys, ["scope", "kind", "key"]).select(*_KEY, "cpos", "item_id").distinct()
-    )
-    per_clue = meant.groupBy(*_KEY, "cpos").agg(F.count(F.lit(1)).alias("items"), F.min("item_id").alias("alone"))
-    evidence = per_clue.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("clues"), F.count_if(F.col("items") == 1).alias("single"), F.countDistinct(F.when(F.col("items") == 1, F.col("alone"))).alias("n_alone"), F.min(F.when(F.col("items") == 1, F.col("alone"))).alias("alone")).where("clues >= 2")
-    shared = meant.groupBy(*_KEY, "item_id").agg(F.count(F.lit(1)).alias("in_clues")).join(evidence, _KEY).where("in_clues = clues").groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("common")).where("n = 1")
-    by_clues = (
-        evidence.join(shared, _KEY, "left")
-        .select(*_KEY, F.coalesce("common", F.when((F.col("n_alone") == 1) & (F.col("single") >= 2), F.col("alone"))).alias("target_id")).where("target_id IS NOT NULL")
+    value, key = ["scope", "raw_value"], ["scope", "kind", "key"]
+    values = raw.select(*value).where("raw_value IS NOT NULL").distinct()
+    sized = key_sizes(keys)
+    one = sized.where("n = 1").select(*key, F.col("alone").alias("item_id"))
+    probe = values.select(*value, F.explode(_probes("raw_value")).alias("p")).select(*value, "p.prio", "p.kind", "p.key").where("key IS NOT NULL")
+    whole = probe.join(one, key).groupBy(*value).agg(F.min_by("item_id", "prio").alias("target_id"))
+    refs = values.select(*value, F.posexplode(explicit_refs("raw_value")).alias("rpos", "ref"))
+    probe = refs.select(*value, "rpos", F.explode(F.array(F.struct(F.lit(1).alias("prio"), F.lit("uri").alias("kind"), normalize_uri("ref").alias("key")), F.struct(F.lit(2).alias("prio"), F.lit("code").alias("kind"), F.coalesce(normalized_tail("ref"), "ref").alias("key")))).alias("p"))
+    refs = (
+        probe.select(*value, "rpos", "p.*").where("key IS NOT NULL").join(one, key)
+        .groupBy(*value, "rpos").agg(F.min_by("item_id", "prio").alias("target_id")).groupBy(*value, "target_id").agg(F.min("rpos").alias("ord"))
     )
+    stage = lambda k, df: df.select(*value, F.struct(F.lit(k).alias("stage"), "target_id", (F.col("ord") if k == 2 else F.lit(0)).alias("ord")).alias("t"))
+    found = stage(0, whole).unionByName(stage(1, _by_clues(values, keys, sized))).unionByName(stage(2, refs)).groupBy(*value).agg(F.min("t.stage").alias("first"), F.collect_list("t").alias("t"))
+    found = found.select(*value, F.explode(F.filter("t", lambda x: x["stage"] == F.col("first"))).alias("t")).select(*value, "t.target_id", "t.ord")
+    return raw.select(*_KEY, *value).join(found, value).select(*_KEY, "target_id", "ord")
 
-    left = rest.join(by_clues, _KEY, "left_anti").select(*_KEY, "scope", F.posexplode(explicit_refs("raw_value")).alias("rpos", "ref"))
-    probe = left.select(*_KEY, "scope", "rpos", F.explode(F.array(F.struct(F.lit(1).alias("prio"), F.lit("uri").alias("kind"), normalize_uri("ref").alias("key")), F.struct(F.lit(2).alias("prio"), F.lit("code").alias("kind"), F.coalesce(normalized_tail("ref"), "ref").alias("key")))).alias("p"))
-    refs = (
-        probe.select(*_KEY, "scope", "rpos", "p.*").where("key IS NOT NULL").join(one, ["scope", "kind", "key"])
-        .groupBy(*_KEY, "rpos").agg(F.min_by("item_id", "prio").alias("target_id")).groupBy(*_KEY, "target_id").agg(F.min("rpos").alias("ord"))
+
+def _by_clues(values: DataFrame, keys: DataFrame, sized: DataFrame) -> DataFrame:
+    """scope, raw_value and target_id of the values whose clues together mean one item.
+
+    A clue means every item that has one of its keys; clues that mean none don't count. Only the items of a value's rarest clue are looked
+    at, and those with the same asked keys as one: where two share all of them, neither is the one item.
+    """
+    value, key = ["scope", "raw_value"], ["scope", "kind", "key"]
+    clues = values.select(*value, split_clues("raw_value").alias("c")).where(F.size("c") >= 2).select(*value, F.posexplode("c").alias("cpos", "clue"))
+    found = clues.select(*value, "cpos", F.explode(_probes("clue")).alias("p")).select(*value, "cpos", "p.kind", "p.key").where("key IS NOT NULL").distinct().join(sized, key)
+    per_clue = found.groupBy(*value, "cpos").agg(
+        F.sum("n").alias("most"), F.collect_list(F.struct("kind", "key")).alias("keys"), F.when((F.max("n") == 1) & (F.min("alone") == F.max("alone")), F.min("alone")).alias("alone")
+    )
+    evidence = per_clue.groupBy(*value).agg(
+        F.count(F.lit(1)).alias("clues"), F.count("alone").alias("single"), F.min("alone").alias("least"), F.max("alone").alias("most_alone"),
+        F.collect_list("keys").alias("all"), F.min_by("keys", F.struct("most", "cpos")).alias("rarest"),
+    ).where("clues >= 2")
+    same = (
+        keys.join(found.select(*key).distinct(), key, "left_semi").groupBy("scope", "item_id").agg(F.sort_array(F.collect_list(F.struct("kind", "key"))).alias("has"))
+        .groupBy("scope", "has").agg(F.count(F.lit(1)).alias("items"), F.min("item_id").alias("item_id"))
+    )
+    holders = same.select("*", F.explode("has").alias("k")).select("scope", "k.kind", "k.key", "has", "items", "item_id")
+    common = (
+        evidence.select(*value, "all", F.explode("rarest").alias("k")).select(*value, "all", "k.kind", "k.key").join(holders, key)
+        .where(F.forall("all", lambda c: F.arrays_overlap(c, "has"))).select(*value, "item_id", "items").distinct()
+        .groupBy(*value).agg(F.sum("items").alias("items"), F.min("item_id").alias("common")).where("items = 1")
     )
-    first = lambda df: df.select(*_KEY, "target_id", F.lit(0).alias("ord"))
-    return first(whole).unionByName(first(by_clues)).unionByName(refs)
+    agreed = F.when((F.col("least") == F.col("most_alone")) & (F.col("single") >= 2), F.col("least"))
+    return evidence.join(common, value, "left").select(*value, F.coalesce("common", agreed).alias("target_id")).where("target_id IS NOT NULL")
 
 
 def resolve_configured(raw: DataFrame, items: DataFrame, hierarchy: dict[str, str], predicates: dict | None = None) -> dict[str, DataFrame]:
@@ -164,4 +185,4 @@ def emitted(edges: DataFrame, items: DataFrame, target: str | None = "target_id"
     return out.join(ids, out[target] == ids.id, "left_semi") if target else out
 
 
-__all__ = ["item_keys", "singletons", "resolve_values", "resolve_configured", "resolve_globally", "lookup_organisations", "with_external_predicate", "emitted", "uri_tail"]
+__all__ = ["item_keys", "key_sizes", "resolve_values", "resolve_configured", "resolve_globally", "lookup_organisations", "with_external_predicate", "emitted", "uri_tail"]
