@@ -18,15 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusweave.llm.common import by_slices, id_text, slices, small_batches, table, tidied
+from corpusweave.llm.common import by_slices, cut_lineage, id_text, slices, small_batches, table, tidied
 from corpusweave.llm.labels import fold, training_sample
 
 #: Labelled rows that the lexicon is learned from, about, at most.
 FIT_ROWS = 50_000
-#: Entries of the lexicon, at most.
-MOST_ENTRIES = 20_000
-#: Characters of a written token that may be a disguised word, at most.
-MOST_WRITTEN = 80
+#: Letters of a word that the lexicon may hold whole. A longer word has its beginnings as features.
+MOST_LETTERS = 40
 #: Symbols of the character model: word edge, letters, and one for all else.
 ALPHABET = " abcdefghijklmnopqrstuvwxyzàáâäæçèéêëìíîïñòóôöœùúûüß\0"
 #: What a written character may stand for besides itself.
@@ -36,18 +34,19 @@ MEANT = {
 }
 _DISGUISE = "0-9@$!|+(€£*#%&каеосі"
 _EDGE = ".,;:!?\"'()[]{}«»“”…|*#%&$-_~"
-#: Letters with a disguised character among them; single characters set apart; three of one letter in a row.
-_MIXED = re.compile(rf"(?<!\S)[\"'(\[]*(?=[^\W_]*[{_DISGUISE}]+[^\W\d_])[\w@$!|+(€£*#%&]{{3,24}}|(?<!\S)[\"'(\[]*[^\W\d_]+[{_DISGUISE}][\w@$!|+(€£*#%&]{{0,24}}")
+_LETTER = r"[^\W\d_]"
+#: A written word with a disguised character beside a letter, or three of one letter in a row.
+_DISGUISED = re.compile(rf"{_LETTER}[{_DISGUISE}]|[{_DISGUISE}]{_LETTER}|({_LETTER})\1\1")
+_WRITTEN = re.compile(rf"(?<!\S)\S*?(?:{_LETTER}[{_DISGUISE}]|[{_DISGUISE}]{_LETTER}|({_LETTER})\1\1)\S*")
+#: Where a written word may consist of several.
+_INNER = re.compile(r"[-_./,;:~|\\…–—]+")
+_DRAWN_OUT = re.compile(r"(.)\1{3,}")
 _BETWEEN = r"(?: [._\-*~/] |[ ._\-*~/])"
 _ALONE = r"[\w@$!|+€*](?![^\W_]|[@$])"
 _APART = re.compile(rf"(?<![^\W_])(?<![@$]){_ALONE}(?>(?:{_BETWEEN}{_ALONE}){{2,}})")
 _NEXT = re.compile(rf"{_BETWEEN}({_ALONE})")
-_RUN = re.compile(r"\w*([^\W\d_])\1\1\w*")
-#: Holds wherever _MIXED or _RUN does; _HINT wherever _APART does, in a text with single blanks (from its first separator on).
-_SUSPECT = re.compile(rf"[{_DISGUISE}]|([^\W\d_])\1\1")
+#: Holds wherever _APART does, in a text with single blanks (from its first separator on).
 _HINT = re.compile(rf"[ ._\-*~/]{_ALONE}{_BETWEEN}{_ALONE}")
-#: Letters of a word among characters set apart, at most: the most of a lexicon's word.
-MOST_LETTERS = 40
 #: Readings kept at each character, and how far below the likeliest reading from its start on a word may lie.
 BEAM, MARGIN = 12, 12.0
 _INDEX = {c: i for i, c in enumerate(ALPHABET)}
@@ -175,17 +174,19 @@ class Restorer:
         return out
 
     def restored(self, low: str) -> list[str]:
-        """Intended words of the disguised tokens of a lower-cased text."""
+        """Intended words of the disguised tokens of a lower-cased text: of each token and of its parts between hyphens and the like. Of more
+        than MOST_LETTERS characters, only the beginning is decoded, as only beginnings are features of such a word."""
         out = []
-        for m in _MIXED.finditer(low):
-            s = m[0].strip("\"'([")
+        for written in {m[0] for m in _WRITTEN.finditer(low)}:
+            s = _DRAWN_OUT.sub(r"\1\1\1", written).strip("\"'([{<«“”")  # runs say no more beyond three
             t = s.rstrip(_EDGE)
-            for x in {t, s} if t != s else {t}:
-                if 3 <= len(x) <= 24 and sum(map(str.isalpha, x)) * 3 >= len(x):
+            forms = {t, *_INNER.split(t)}
+            if len(s) == len(t) + 1:  # a last sign may stand for a letter
+                forms.add(s)
+            for x in forms:
+                x = x[: MOST_LETTERS + 1]
+                if len(x) >= 3 and _DISGUISED.search(x) and sum(map(str.isalpha, x)) * 3 >= len(x):
                     out.extend(self.word(x))
-        for m in _RUN.finditer(low):
-            if len(m[0]) <= 80:
-                out.extend(self.word(m[0]))
         return out
 
     def words(self, text: str | None) -> set[str]:
@@ -194,11 +195,8 @@ class Restorer:
         flat = " ".join(tokens)
         if _HINT.search(flat):
             for m in _APART.finditer(flat):
-                out.update(self.apart(_letters(m[0])))
-        if _SUSPECT.search(flat):
-            # Runs say no more beyond three, and no disguised word is longer than MOST_WRITTEN: the patterns stay linear in the text.
-            short = re.sub(r"(.)\1{3,}", r"\1\1\1", flat)
-            out.update(self.restored(" ".join(w for w in short.split() if len(w) <= MOST_WRITTEN)))
+                out.update(self.apart(_DRAWN_OUT.sub(r"\1\1\1", _letters(m[0]))))
+        out.update(self.restored(flat))
         return out
 
 
@@ -212,8 +210,8 @@ BEGINNINGS = (4, 5, 6)
 
 
 def features(words: Iterable[str]) -> set[str]:
-    long = {w for w in words if 3 <= len(w) <= 40}
-    return long.union(*({w[:n] + "*" for w in long if len(w) > n} for n in BEGINNINGS))
+    long = {w for w in words if len(w) >= 3}
+    return {w for w in long if len(w) <= MOST_LETTERS}.union(*({w[:n] + "*" for w in long if len(w) > n} for n in BEGINNINGS))
 
 
 @dataclass
@@ -248,9 +246,10 @@ def _joined(docs: DataFrame, sample: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, folds: int = 3, held: int = 1, label: str = "toxic") -> Toxicity:
     """Counts characters over all documents, then learns which words mark toxic texts from labelled rows whose fold isn't held out.
 
-    First, documents with each word or beginning are counted by label. Then each toxic text is put down to its strongest
-    candidate alone, and candidates go whose own texts don't outweigh the clean ones with them: words that merely stand in
-    copies of a toxic text, beginnings that owe their count to one word.
+    First, documents with each word or beginning are counted by label; equal toxic texts count once. Then each toxic text is put down to
+    its strongest candidate alone, so that of words that merely stand in copies of a toxic text one stays at most. Words stay that
+    explain two texts or more, and beginnings whose own texts also outweigh the clean ones with them: those that owe their
+    count to one word go.
     """
     docs = id_text(docs)
     chars = docs.sparkSession.sparkContext.broadcast(count_characters(docs))
@@ -259,46 +258,45 @@ def train(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, folds: int =
     if not known.toxic:
         return Toxicity(chars.value, {}, 0.0)
     prior = known.toxic / known.n
-    texts = _joined(docs, sample)
+    texts = _joined(docs, sample).withColumn("k", F.xxhash64("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, found = Restorer(chars.value), (Counter(), Counter())
+        """Rows of features with the clean texts that have them, and of each toxic text with each of its features."""
+        restorer, clean, toxic = Restorer(chars.value), Counter(), []
 
-        def flush() -> pa.RecordBatch:
-            keys = list(found[0].keys() | found[1].keys())
-            out = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in found)], ["feature", "clean", "toxic"])
-            for c in found:
-                c.clear()
-            return out
+        def told() -> pa.RecordBatch:
+            rows = [*((f, n, None) for f, n in clean.items()), *toxic]
+            clean.clear()
+            toxic.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.int64()))], ["feature", "clean", "k"])
 
         for part in slices(batches):
-            for text, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                found[y > 0].update(features(restorer.words(text)))
-            if len(found[0]) + len(found[1]) > 300_000:
-                yield flush()
-        yield flush()
-
-    counts = texts.mapInArrow(tidied(count), "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
+            for text, y, k in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                found = features(restorer.words(text))
+                if y > 0:
+                    toxic.extend((f, 0, k) for f in found)
+                else:
+                    clean.update(found)
+            if len(clean) + len(toxic) > 300_000:
+                yield told()
+        yield told()
+
+    rows = cut_lineage(texts.select("text", "y", "k").mapInArrow(tidied(count), "feature string, clean long, k long"))
+    counts = rows.groupBy("feature").agg(F.sum("clean").alias("c"), F.countDistinct("k").alias("t")).where("t >= 2")
     p, n = F.col("t") / (F.col("t") + F.col("c")), F.col("t") + F.col("c")
     z2 = 0.64
     low = (p + z2 / (2 * n) - F.sqrt(z2 * (p * (1 - p) + z2 / (4 * n)) / n)) / (1 + z2 / n)  # Wilson's lower bound at 0.8 deviations
-    best = counts.where((F.col("t") >= 2) & (low >= 0.7)).orderBy(F.desc("t"), "c", "feature").limit(MOST_ENTRIES).collect()
-    posterior = {r.feature: (r.t + 0.5 * prior) / (r.t + r.c + 0.5) for r in best}
-    strength = {r.feature: (r.t * math.log(posterior[r.feature] / prior) + r.c * math.log((1 - posterior[r.feature]) / (1 - prior)), not r.feature.endswith("*"), len(r.feature), r.feature) for r in best}
-    strong = docs.sparkSession.sparkContext.broadcast(strength)
-
-    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, wins = Restorer(chars.value), Counter()
-        for part in slices(batches):
-            for text, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                if y > 0 and (own := strong.value.keys() & features(restorer.words(text))):
-                    wins[max(own, key=strong.value.__getitem__)] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(wins), pa.string()), pa.array(list(wins.values()), pa.int64())], ["feature", "wins"])
-
-    wins = texts.where("y > 0").mapInArrow(tidied(explain), "feature string, wins long").groupBy("feature").agg(F.sum("wins").alias("wins")).collect()  # at most MOST_ENTRIES
+    posterior = (F.col("t") + 0.5 * prior) / (F.col("t") + F.col("c") + 0.5)
+    whole = ~F.col("feature").endswith("*")
+    strength = F.struct(F.col("t") * F.log(posterior / prior) + F.col("c") * F.log((1 - posterior) / (1 - prior)), whole, F.length("feature"), "feature")
+    able = cut_lineage(counts.where(low >= 0.7).select("feature", "c", posterior.alias("posterior"), strength.alias("strength")))
+    wins = (
+        rows.where("k IS NOT NULL").join(able, "feature").groupBy("k").agg(F.max_by("feature", "strength").alias("feature"))
+        .groupBy("feature").agg(F.count(F.lit(1)).alias("wins")).where("wins >= 2")
+    )
+    best = wins.join(able, "feature").where(whole | (F.col("wins") >= 0.7 * (F.col("wins") + F.col("c")))).select("feature", "posterior").collect()  # at most half as many as toxic texts in the sample
     sample.unpersist()
-    clean = {r.feature: r.c for r in best}
-    kept = {r.feature: posterior[r.feature] for r in wins if r.wins >= 2 and r.wins >= 0.7 * (r.wins + clean[r.feature])}
+    kept = {r.feature: r.posterior for r in best}
     return Toxicity(chars.value, kept, prior * 0.1)
 
 
@@ -307,7 +305,7 @@ def score(docs: DataFrame, model: Toxicity, id_col: str = "doc_id", text_col: st
 
     Null or empty text: the floor, well below any threshold. Null id and repeated rows: kept. Empty input: no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_ENTRIES and the alphabet
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by FIT_ROWS and the alphabet
     of = {}
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:

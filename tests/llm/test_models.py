@@ -87,8 +87,10 @@ def toxic(spark):
 def test_toxicity_held_out(spark):
     df = toxicity.op8_toxicity(spark, SF01).cache()
     rows, right = held_out(spark, df, "toxic")
-    assert len(rows) > 90 and right > 0.93  # some words of the few toxic texts held out are in none of the others
-    clean = [r for r in rows if r.toxic == 0]
+    assert len(rows) > 90 and right > 0.93
+    clean, bad = [r for r in rows if r.toxic == 0], [r for r in rows if r.toxic == 1]
+    # 12 of 18: of the others, three hold no insult at all and three only words that no two of the 33 toxic texts learned from hold.
+    assert sum(r.predicted for r in bad) >= 0.66 * len(bad)
     assert sum(r.predicted for r in clean) <= 0.03 * len(clean)
     assert df.where("score < 0 OR score > 1 OR score IS NULL").count() == 0 and df.count() == 1000
 
@@ -101,6 +103,26 @@ def test_restores_disguises(toxic):
         assert score(f"Thand the {t} of er") < 0.7, t
 
 
+def test_disguises_in_tokens_of_any_length(toxic):
+    score = toxic.scorer()
+    for t in ["1d10t-" + "a" * 90, "you-1d10t-you-1d10t-you-1d10t", "/".join(["plain"] * 50 + ["1d10t"]), "x y z " * 60 + "i d i o t " + "q w e " * 60, "i" * 300 + "diot", "an 1d10t" + "!" * 200]:
+        assert score(f"Thand the {t} of er") >= 0.7, t
+    for t in ["a1" * 200_000, "ab1-" * 100_000, "x " * 100_000, "1" * 500_000, "é!" * 100_000]:
+        assert score(t) < 0.7
+
+
+def test_copies_of_a_toxic_text_count_once(spark):
+    rng = random.Random(3)
+    prose = [" ".join(rng.choice(WORDS) for _ in range(40)) for _ in range(60)]
+    copied = " ".join(f"rare{k}word" for k in range(60))
+    rows = [(i, f"{copied} {i}") for i in range(20)] + [(100 + i, t) for i, t in enumerate(prose)]
+    rows += [(200 + i, f"{t} {INSULTS[i % 2]}") for i, t in enumerate(prose[:20])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 100 or i >= 200)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert set(INSULTS[:2]) <= set(model.entries) and len([w for w in model.entries if w.startswith("rare")]) <= 1
+
+
 def test_character_counts_cover_everything(spark, frame):
     model = toxicity.count_characters(frame([(1, "ab ab"), (2, None), (3, "é")]))
     n = len(toxicity.ALPHABET)
