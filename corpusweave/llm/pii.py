@@ -23,8 +23,8 @@ from corpusweave.llm.boosting import BoostedTrees, fit_platt, sigmoid
 from corpusweave.llm.common import by_slices, id_text, small_batches, table
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents, the first by a hash of text and id, whose spans the trees learn from.
-FIT_DOCUMENTS = 4000
+#: Documents, chosen by a hash of their texts, whose spans the trees learn from, about; and of each of these, the spans of a kind and label at most.
+FIT_DOCUMENTS, FIT_SPANS = 4000, 40
 #: Candidates whose features are held at once.
 BLOCK = 20_000
 #: Of added spans, the least precision on held-out candidates that a kind's threshold must reach.
@@ -88,9 +88,9 @@ def _order(span: tuple) -> tuple:
 _AT = r"(?: ?[(\[{<] ?(?:at|AT|@) ?[)\]}>] ?| (?:at|AT) )"
 _DOT = r"(?: ?[(\[{<] ?(?:dot|DOT|\.) ?[)\]}>] ?| (?:dot|DOT) |\.)"
 _EMAIL = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])([A-Za-z0-9][A-Za-z0-9._%+-]{{0,63}})(?:{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,4}}| ?@ ?[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,4}})(?![A-Za-z0-9-])"
+    rf"(?<![A-Za-z0-9._%+-])([A-Za-z0-9][A-Za-z0-9._%+-]{{0,63}})(?:{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,126}}| ?@ ?[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,126}})(?![A-Za-z0-9-])"
 )
-#: An address may end before any of these after its second label.
+#: An address may end before any of these after its second label. (Labels and their number are as long as addresses allow.)
 _NEXT_LABEL = re.compile(rf"{_DOT}(?=[A-Za-z0-9-])")
 #: Forms of the kinds made of digit groups; all lengths are bounded.
 FORMS = {
@@ -243,8 +243,26 @@ def _beside(near: list[tuple[str, str]], s: str, rng: random.Random) -> tuple[st
     return mix(before), s, mix(after)
 
 
-def _examples(rows: list[str], rng: random.Random) -> Iterator[tuple[str, tuple[str, int, int], int]]:
-    """(text, candidate, label): rewritten personal data in its own context; look-alikes, corrupted data and other numbers."""
+def observed(text: str) -> list[tuple[str, str, str, str, int]]:
+    """(kind, text before, span, text after, label) of a text's base spans (1) and of its candidates that are clearly something else (0), up to
+    FIT_SPANS of each kind and label, spread evenly over the text. The other candidates have no label: they may be personal data that the
+    base patterns miss."""
+    base = base_spans(text)
+    groups: dict[tuple[str, int], list] = {}
+    for c in base:
+        groups.setdefault((c[0], 1), []).append(c)
+    for c in candidates(text, base):
+        if clearly_other(text, c):
+            groups.setdefault((c[0], 0), []).append(c)
+    return [
+        (k, text[max(0, s - 24) : s], text[s:e], text[e : e + 12], label)
+        for (_, label), found in groups.items() for k, s, e in found[:: -(-len(found) // FIT_SPANS)]
+    ]
+
+
+def _examples(rows: list[tuple[str, str, str, str, int]], rng: random.Random) -> Iterator[tuple[str, tuple[str, int, int], int]]:
+    """(text, candidate, label) from rows as of `observed`: rewritten personal data in its own context; look-alikes, corrupted data and other
+    numbers."""
     def at(before: str, s: str, after: str, kind: str, label: int) -> Iterator[tuple[str, tuple[str, int, int], int]]:
         text = f"{before}{s}{after}"
         for k, i, j in candidates(text, []):
@@ -260,12 +278,11 @@ def _examples(rows: list[str], rng: random.Random) -> Iterator[tuple[str, tuple[
         return next(head + c for c in "0123456789" if luhn(head + c))
 
     contexts, seeds = [("", ""), ("tel ", " "), ("of the ", " and the "), ("on ", ", in "), ("", "."), ("room 12 ", ""), ("", " 24 hours"), ("", " 12/26"), ("", " 123"), ("no. 7 ", " 3 x")], []
-    for text in rows:
-        spans = base_spans(text)
-        seeds += [(text[max(0, s - 24) : s], k, text[s:e], text[e : e + 12]) for k, s, e in spans]
-        for span in candidates(text, spans):  # the others have no label: they may be personal data that the base patterns miss
-            if clearly_other(text, span):
-                yield text, span, 0
+    for kind, before, span, after, label in rows:
+        if label:
+            seeds.append((before, kind, span, after))
+        else:
+            yield f"{before}{span}{after}", (kind, len(before), len(before) + len(span)), 0
     near, contexts = contexts[5:], contexts + [(b, a) for b, _, _, a in seeds[:400]]
     for i in range(600):
         b, a = contexts[rng.randrange(len(contexts))]
@@ -332,8 +349,8 @@ class PiiModel:
         return [sorted(x, key=_order) for x in out]
 
 
-def fit(rows: list[str], seed: int = 0) -> PiiModel:
-    """Trees from two thirds of the examples; calibration and thresholds from the rest."""
+def fit(rows: list[tuple[str, str, str, str, int]], seed: int = 0) -> PiiModel:
+    """Trees from two thirds of the examples; calibration and thresholds from the rest. rows: as of `observed`."""
     rng = random.Random(seed)
     made = list(_examples(rows, rng))
     rng.shuffle(made)
@@ -358,15 +375,22 @@ def fit(rows: list[str], seed: int = 0) -> PiiModel:
 
 
 def train(docs: DataFrame, most: int = FIT_DOCUMENTS) -> PiiModel:
-    """A model from at most `most` of the documents that may hold personal data (a bounded sample of those whose text has a
-    digit or @, chosen by a hash, so the same rows always give the same model) and from generated examples. Texts of over 20,000
-    characters aren't learned from, to bound what goes to the driver; spans are looked for in all texts. Of the sample's own
-    candidates only those count, as negatives, that are clearly something else (clearly_other)."""
-    rows = (
-        docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= 20_000))
-        .select("text").orderBy(F.xxhash64("text"), "text").limit(most).collect()
-    )
-    return fit([r.text for r in rows])
+    """A model from about `most` of the distinct texts with a digit or @ (a sample by a hash of the text, so the same rows always give the
+    same model), whatever their length, and from generated examples. Of the sample's own candidates only those count, as negatives, that
+    are clearly something else (clearly_other). To the driver go at most FIT_SPANS short snippets of each kind and label of a text."""
+    h = F.xxhash64("text")
+    able = docs.where(F.col("text").rlike("[0-9@]")).select("text")
+    n = able.agg(F.approx_count_distinct(h)).first()[0]
+    part = F.shiftrightunsigned(h, 11) * F.lit(2.0**-53)
+    texts = able.where(part < most / max(n, 1)).distinct()
+
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [r for t in part.column(0).to_pylist() for r in observed(t)]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int32() if i == 4 else pa.string()) for i in range(5)], ["kind", "before", "span", "after", "label"])
+
+    small_batches(docs.sparkSession)
+    found = texts.mapInArrow(by_slices(run), "kind string, before string, span string, after string, label int").collect()
+    return fit(sorted(map(tuple, found)))
 
 
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
