@@ -51,16 +51,22 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's result is written in the shared folder and read again."""
+    """All stages over documents; each stage's result is written in the shared folder and read again, and deleted once the next one is there
+    (the last one when the session ends)."""
     from uuid import uuid4
 
     from corpusweave.llm.common import checkpoint_dir
 
     place = f"{checkpoint_dir(spark)}/pipeline-{uuid4().hex}"
+    path = lambda k: spark._jvm.org.apache.hadoop.fs.Path(f"{place}/{k}" if k is not None else place)
+    files = path(None).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.deleteOnExit(path(None))
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{place}/{k}")
             docs = spark.read.parquet(f"{place}/{k}")
+            if k:
+                files.delete(path(k - 1), True)
     return docs

@@ -63,11 +63,14 @@ def unused(name: str, columns: list[str]) -> str:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
+    """The shared folder named by spark.checkpoint.dir; one of our own only where that is unset in local mode, as in tests. On a cluster
+    it must be set, as a folder of one machine's would lose data."""
     jsc = spark.sparkContext._jsc.sc()
     if not jsc.getCheckpointDir().isDefined():
         named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if not named:
+            if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             import tempfile
 
             named = os.path.join(tempfile.gettempdir(), "corpusweave-checkpoints")

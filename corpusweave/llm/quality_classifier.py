@@ -174,7 +174,8 @@ class Quality:
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, folds: int = 5, held: int = 0, label: str = "quality") -> Quality:
-    """Word vectors from all documents, then a network from labelled rows whose fold isn't held out."""
+    """Word vectors from all documents, then a network from labelled rows whose fold isn't held out. Of documents that share a labelled id
+    one is learned from."""
     docs = id_text(docs)
     vectors = docs.sparkSession.sparkContext.broadcast(word_vectors(context_vectors(docs)))
     sample = training_sample(labels, label, fold(folds) != held, most)  # of bounded size
@@ -184,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, folds: int =
         x = pool(part.column(1), vectors.value)
         return pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in x], pa.binary()), part.column(2)], ["doc_id", "x", "y"])
 
-    rows = texts.mapInArrow(by_slices(run), "doc_id long, x binary, y int").toArrow().sort_by([("doc_id", "ascending"), ("x", "ascending")])
+    rows = texts.mapInArrow(by_slices(run), "doc_id long, x binary, y int").groupBy("doc_id").agg(F.min("x").alias("x"), F.max("y").alias("y")).toArrow().sort_by([("doc_id", "ascending"), ("x", "ascending")])
     x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(-1, POOLED)
     return Quality(vectors.value, fit(x, np.minimum(rows["y"].to_numpy(), 1)))
 
