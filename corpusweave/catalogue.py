@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusweave.functions import scalars, temporal, text, uris
-from corpusweave.operators import audit, dedup, reports, resolve, triples
+from corpusweave.operators import audit, dedup, ontology, reports, resolve, triples
 from corpusweave.operators import score as scoring
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +112,35 @@ def last_writer_wins(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.last_wins(_t(spark, sf, "events"), "user_id", F.col("ts"), F.col("event_id")).select("user_id", "event_id", "event_type")
 
 
+def _raw_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as items of their customer's list, coded by priority; priority 3 has no code."""
+    state = F.when(F.col("o_orderstatus") == "F", "PUBLISHED").when(F.col("o_orderstatus") == "O", "READY_TO_PUBLISH").otherwise("UPDATING")
+    return _t(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("code"), F.when(F.col("o_orderpriority").startswith("3"), " ").otherwise(F.col("o_orderpriority")).alias("itemCode"), F.lit(None).cast("string").alias("itemUri"),
+        F.col("o_orderkey").alias("id"), state.alias("codelistItemState"), F.when(F.col("o_totalprice") > 200000, "true").alias("temporal"), F.when(F.col("o_totalprice") < 50000, False).alias("published"),
+        _day("o_orderdate").alias("validFrom"), F.when(F.col("o_totalprice") < 150000, _day("o_orderdate")).alias("effectiveTo"), F.lit(0).alias("pos"),
+    )
+
+
+_RAW_ITEMS = """i AS (SELECT o_custkey::VARCHAR AS code, CASE WHEN o_orderpriority LIKE '3%' THEN ' ' ELSE o_orderpriority END AS item_code, o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 3 END AS state, o_orderdate::DATE AS vf,
+ CASE WHEN o_totalprice < 150000 THEN o_orderdate::DATE END AS et, CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END AS temporal, o_totalprice >= 50000 AS published FROM orders)"""
+
+
+@query(f"WITH {_RAW_ITEMS} SELECT code, item_code, id FROM (SELECT *, row_number() OVER (PARTITION BY code, item_code ORDER BY {_HEADER_ORDER}) AS rn FROM i) WHERE rn = 1 OR item_code = ' '")
+def best_items(spark: SparkSession, sf: str) -> DataFrame:
+    from corpusweave.plans.registry import selected_items
+
+    return selected_items(_raw_items(spark, sf))[0].select("code", F.col("itemCode").alias("item_code"), "id")
+
+
+@query(f"""WITH {_RAW_ITEMS} SELECT code, item_code, CASE WHEN count(*) FILTER (state = 0 AND temporal = 0 AND published) > 1 THEN 'conflict' ELSE 'shadow' END AS kind, count(*) AS n, arg_min(id, rn) AS selected
+FROM (SELECT *, row_number() OVER (PARTITION BY code, item_code ORDER BY {_HEADER_ORDER}) AS rn FROM i WHERE item_code <> ' ') GROUP BY code, item_code HAVING count(*) > 1""")
+def item_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    from corpusweave.plans.registry import selected_items
+
+    return selected_items(_raw_items(spark, sf))[1].select("code", F.col("itemCode").alias("item_code"), "kind", F.size("candidates").cast("long").alias("n"), F.col("selected.id").alias("selected"))
+
+
 # Values in force
 
 
@@ -423,8 +452,9 @@ def emitted_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT p_partkey, p_type FROM part WHERE p_type NOT IN ('ECONOMY', 'SMALL')")
 def ignored_codes(spark: SparkSession, sf: str) -> DataFrame:
-    ignore = spark.createDataFrame([("ECONOMY",), ("SMALL",)], "p_type string")
-    return _t(spark, sf, "part").join(F.broadcast(ignore), "p_type", "left_anti").select("p_partkey", "p_type")  # two rows
+    from corpusweave.plans.registry import without_ignored
+
+    return without_ignored(_t(spark, sf, "part"), ["ECONOMY", "SMALL"], "p_type").select("p_partkey", "p_type")
 
 
 _IRI = lambda list_, key: f"'https://data.gov.sk/def/{list_}/' || {key}"
@@ -444,35 +474,62 @@ def longest_prefix_predicate(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("source_id").alias("page_id"), "predicate")
 
 
-@query("SELECT p_brand AS code, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS types FROM part WHERE p_name IN (SELECT p_name FROM part WHERE p_size > 45) GROUP BY p_brand")
+@query("""WITH n AS (SELECT lower(p_type) AS graph, replace(p_name, ' ', '-') AS local, replace(p_brand, 'Brand#', 'CL') AS code, p_size FROM part), c AS (SELECT DISTINCT graph, local FROM n WHERE p_size > 45), h AS (SELECT DISTINCT graph, local, code FROM n)
+SELECT code, string_agg(DISTINCT 'https://e/x/' || local, ',' ORDER BY 'https://e/x/' || local) AS uris, string_agg(DISTINCT graph || ':' || local, ',' ORDER BY graph || ':' || local) AS qnames, string_agg(DISTINCT graph, ',' ORDER BY graph) AS ontologies FROM h JOIN c USING (graph, local) GROUP BY code""")
 def code_class_map(spark: SparkSession, sf: str) -> DataFrame:
-    parts = _t(spark, sf, "part")
-    typed = parts.join(parts.where("p_size > 45").select("p_name").distinct(), "p_name", "left_semi")
-    return typed.groupBy(F.col("p_brand").alias("code")).agg(F.array_join(F.array_sort(F.collect_set("p_type")), ",").alias("types"))
+    """Part names as classes of an ontology for each type, with brands as code lists; that a name is a class is said in other rows of its ontology."""
+    rows = _t(spark, sf, "part").select(F.lower("p_type").alias("graph"), F.concat(F.lit("https://e/x/"), F.replace("p_name", F.lit(" "), F.lit("-"))).alias("s"), "p_size", F.concat(F.lit("https://e/set/codelist/"), F.replace("p_brand", F.lit("Brand#"), F.lit("CL")), F.lit("/")).alias("list"))
+    said = lambda df, p, o: df.select("graph", "s", F.lit(triples.iri(p)).alias("p"), o.alias("o"))
+    found = ontology.class_map(said(rows, "dct:source", F.col("list")).unionByName(said(rows.where("p_size > 45"), "rdf:type", F.lit(triples.iri("owl:Class")))))
+    return found.select("code", *(F.array_join(c, ",").alias(n) for c, n in (("item_type_uris", "uris"), ("item_type_qnames", "qnames"), ("ontologies", "ontologies"))))
+
 
+# Scores: nations refer to regions by name, code or URI; every region is a candidate of every nation
 
-# Scores: benchmark items against the parts of their bucket, by words in common
 
+def _profiled(spark: SparkSession, sf: str) -> DataFrame:
+    detail = F.col("codelist_code") == "NATIONS"
+    lists = {"codelist_uri_pattern": F.when(detail, "https://data.gov.sk/def/nations-detail/").otherwise("https://data.gov.sk/def/nations/"), "codelist_name_sk": F.when(detail, "Krajiny detail").otherwise("Krajiny")}
+    return _nation_items(spark, sf).withColumns(lists | {c: F.lit(None).cast("string") for c in scoring._CODELIST_FIELDS if c not in lists})
 
-def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    items = _t(spark, sf, "benchmark").select("item_id", F.slice(F.array_sort(text.tokenize("text")), 1, 6).alias("x"), (F.col("item_id") % 20).alias("b"))
-    others = _t(spark, sf, "benchmark").select(F.col("item_id").alias("other"), text.tokenize("text").alias("y"), (F.col("item_id") % 20).alias("b"))
-    return items.join(others, "b").where("item_id <> other").select("item_id", "other", scoring._least(4, 1.25, scoring._common("x", "y")).alias("score"))
 
+def _ranked(spark: SparkSession, sf: str) -> DataFrame:
+    items = _profiled(spark, sf)
+    named = _t(spark, sf, "nation").join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    code = F.concat(F.lit("R"), F.col("r_regionkey").cast("string"))
+    value = F.when(F.col("n_nationkey") % 3 == 0, F.col("r_name")).when(F.col("n_nationkey") % 3 == 1, code).otherwise(F.concat(F.lit("https://data.gov.sk/def/regions/"), code))
+    raw = named.select((F.col("n_nationkey") + 100).cast("long").alias("source_id"), F.lit("includes").alias("relation"), F.lit(0).alias("pos"), value.alias("raw_value"), F.lit("REGIONS").alias("codelist_code"))
+    return scoring.rank_candidates(raw.join(items.select(F.col("id").alias("item_id"), "codelist_code"), "codelist_code").drop("codelist_code"), items)
 
-_SCORED = f"""a AS (SELECT item_id, list_sort({_TOKENS('text')}) AS y FROM benchmark), s AS (SELECT a.item_id, b.item_id AS other, least(4.0::DOUBLE, 1.25::DOUBLE * len(list_intersect(a.y[1:6], b.y))) AS score FROM a JOIN a AS b ON a.item_id % 20 = b.item_id % 20 AND a.item_id <> b.item_id)"""
 
+_RANKED = f"""v AS (SELECT (n_nationkey + 100)::BIGINT AS source_id, CASE n_nationkey % 3 WHEN 0 THEN r_name WHEN 1 THEN 'R' || r_regionkey ELSE 'https://data.gov.sk/def/regions/R' || r_regionkey END AS raw FROM nation JOIN region ON n_regionkey = r_regionkey),
+ c AS (SELECT r_regionkey::BIGINT AS item_id, 'R' || r_regionkey AS code, 'https://data.gov.sk/def/regions/R' || r_regionkey AS uri, lower(r_name) AS name, list_distinct(list_concat({_TOKENS("'R' || r_regionkey")}, {_TOKENS('r_name')})) AS tokens FROM region),
+ s AS (SELECT source_id, item_id, 9.25::DOUBLE + CASE WHEN raw = uri THEN 15 ELSE 0 END + CASE WHEN raw = code THEN 6 ELSE 0 END + CASE WHEN lower(raw) IN (lower(code), name) THEN 8 ELSE 0 END + least(2.0::DOUBLE, 0.75::DOUBLE * len(list_intersect({_TOKENS('raw')}, tokens))) AS score FROM v, c)"""
 
-@query(f"WITH {_SCORED} SELECT item_id, other, score FROM s")
+
+@query(f"WITH {_RANKED} SELECT source_id, item_id, score FROM s")
 def candidate_score(spark: SparkSession, sf: str) -> DataFrame:
-    return _scored(spark, sf)
+    return _ranked(spark, sf).select("source_id", "item_id", "score")
 
 
-@query(f"""WITH {_SCORED}, r AS (SELECT *, row_number() OVER w AS rn, score - lead(score) OVER w AS margin, count(*) OVER (PARTITION BY item_id) AS n FROM s WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, other))
-SELECT item_id, other, score, margin, n = 1 OR (score >= 6 AND coalesce(margin, 0) >= 1.5) AS recommended, CASE WHEN n = 1 THEN round(least(0.99, 0.55 + 0.04 * score), 3) END AS confidence FROM r WHERE rn = 1""")
+@query(f"""WITH {_RANKED}, r AS (SELECT *, row_number() OVER w AS rn, score - lead(score) OVER w AS margin FROM s WINDOW w AS (PARTITION BY source_id ORDER BY score DESC, item_id))
+SELECT source_id, item_id, score, margin, score >= 6 AND margin >= 1.5 AS recommended, CASE WHEN score >= 6 AND margin >= 1.5 THEN round(least(0.99, 0.45 + 0.05 * score + 0.08 * margin), 3) END AS confidence FROM r WHERE rn = 1""")
 def rank_margin_confidence(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = scoring.rank(_scored(spark, sf), ["item_id"], id_col="other")
-    return ranked.where("rank = 1").select("item_id", "other", "score", "margin", "recommended", "confidence")
+    return _ranked(spark, sf).where("rank = 1").select("source_id", "item_id", "score", "margin", "recommended", "confidence")
+
+
+@query("""WITH n AS (SELECT (n_nationkey + 100)::BIGINT AS source_id, n_nationkey % 5 AS k, n_nationkey AS i, n_regionkey::BIGINT AS region FROM nation)
+SELECT source_id, 'edge' AS kind, region AS target_id FROM n WHERE k IN (0, 1, 4) UNION ALL SELECT source_id, 'edge', unnest([0, 1])::BIGINT FROM n WHERE k = 2
+UNION ALL SELECT source_id, 'no_match', NULL FROM n WHERE k = 3 AND i < 12 UNION ALL SELECT source_id, 'ambiguous_text', 0::BIGINT FROM n WHERE k = 3 AND i >= 12""")
+def global_resolution(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations' references among all items: by clues, name, code or two codes; to nothing; and to a text that all regions have."""
+    items = _profiled(spark, sf).withColumn("note_sk", F.when(F.col("codelist_code") == "REGIONS", "shared by all"))
+    named = _t(spark, sf, "nation").join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    i, code = F.col("n_nationkey"), F.concat(F.lit("R"), F.col("r_regionkey").cast("string"))
+    value = F.when(i % 5 == 0, F.concat(F.lit("pozri "), "r_name", F.lit(", "), code)).when(i % 5 == 1, F.lower("r_name")).when(i % 5 == 2, "R0 R1").when(i % 5 == 4, code).when(i < 12, "zzz").otherwise("Shared  by all")
+    found = resolve.resolve_globally(named.select((i + 100).cast("long").alias("source_id"), F.lit("includes").alias("relation"), F.lit(0).alias("pos"), value.alias("raw_value")), items)
+    row = lambda df, kind, target: df.select("source_id", kind.alias("kind"), target.cast("long").alias("target_id"))
+    return row(found["edges"], F.lit("edge"), F.col("target_id")).unionByName(row(found["no_match"], F.col("reason"), F.lit(None))).unionByName(row(found["ambiguous"], F.col("reason"), F.col("top_id")))
 
 
 def text_candidates(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -494,37 +551,90 @@ def candidate_ranking(spark: SparkSession, sf: str) -> DataFrame:
 
 # Triples
 
-_TRIPLES = f"""t AS (SELECT {_NU} AS s, 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type' AS p, 'http://www.w3.org/2004/02/skos/core#Concept' AS o, 'iri' AS o_kind, NULL AS o_lang, NULL AS o_dtype FROM nation
- UNION SELECT {_NU}, 'http://www.w3.org/2004/02/skos/core#notation', 'N' || n_nationkey, 'literal', NULL, NULL FROM nation UNION SELECT {_NU}, 'http://www.w3.org/2004/02/skos/core#prefLabel', n_name, 'literal', 'sk', NULL FROM nation
- UNION SELECT {_NU}, 'http://purl.org/dc/terms/isPartOf', {_RU}, 'iri', NULL, NULL FROM nation
- UNION SELECT {_NU}, 'https://data.gov.sk/def/ontology/egov/logicalOrder', n_nationkey::VARCHAR, 'literal', NULL, 'http://www.w3.org/2001/XMLSchema#integer' FROM nation)"""
+def _published_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Regions as published code lists."""
+    k, none = F.col("r_regionkey"), F.lit(None).cast("string")
+    code, start = F.concat(F.lit("R"), k.cast("string")), F.date_add(F.lit("2020-01-01").cast("date"), k)
+    return _t(spark, sf, "region").select(
+        code.alias("code"), F.concat(F.lit("https://data.gov.sk/set/codelist/"), code).alias("uri"), start.alias("valid_from"), F.when(k % 2 == 0, start).alias("effective_from"), F.when(k == 3, F.date_add(start, 9)).alias("effective_to"),
+        F.date_add(start, 3).alias("last_modified"), F.when(k < 3, F.lpad(k.cast("string"), 8, "0")).alias("publisher_ico"), F.concat(F.lit("https://data.gov.sk/def/"), code, F.lit("/")).alias("uri_pattern"),
+        F.array(F.concat(F.lit("src"), k.cast("string")), F.lit("all")).alias("source_values"), F.col("r_name").alias("name_sk"), none.alias("name_en"), none.alias("label_sk"), F.lower("r_name").alias("label_en"),
+        F.when(k == 4, F.lit('a "b"\n\\c')).alias("note_sk"), F.lit("").alias("note_en"),
+    )
+
+
+def _published_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations as items of their region's list."""
+    k, r, none = F.col("n_nationkey"), F.concat(F.lit("R"), F.col("n_regionkey").cast("string")), F.lit(None).cast("string")
+    code, start = F.concat(F.lit("N"), k.cast("string")), F.date_add(F.lit("2021-01-01").cast("date"), k)
+    return _t(spark, sf, "nation").select(
+        r.alias("codelist_code"), code.alias("item_code"), F.concat(F.lit("https://data.gov.sk/def/"), r, F.lit("/"), code).alias("item_uri"), F.when(k % 4 != 0, start).alias("valid_from"),
+        F.when(k % 2 == 0, F.date_add(start, 30)).alias("effective_from"), F.when(k % 6 == 0, F.date_add(start, 60)).alias("effective_to"), k.cast("long").alias("logical_order"), F.when(k % 3 < 2, k % 3 == 0).alias("legislative_validity"),
+        F.when(k % 2 == 0, F.array(F.lit("https://e/Kind"))).otherwise(F.array().cast("array<string>")).alias("item_type_uris"), F.col("n_name").alias("name_sk"), none.alias("name_en"), none.alias("label_sk"), none.alias("label_en"),
+        none.alias("note_sk"), F.when(k % 5 == 0, F.concat("n_name", F.lit('\n"q" \\'))).alias("note_en"),
+    )
+
 
+def _triples_sql(table: str, rows: list[tuple]) -> str:
+    """SQL of triples without null objects. rows: subject, predicate, object, kind, then the language or the data type."""
+    return " UNION ALL ".join(
+        f"SELECT {s} AS s, '{triples.iri(p)}' AS p, ({o})::VARCHAR AS o, '{kind}' AS o_kind, {repr(more) if kind == 'literal' and len(more) == 2 else 'NULL'} AS o_lang, {repr(triples.iri(more)) if len(more) > 2 else 'NULL'} AS o_dtype FROM {table} WHERE ({o}) IS NOT NULL"
+        for s, p, o, kind, more in rows
+    )
 
-def _nation_triples(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _t(spark, sf, "nation").select(F.concat(F.lit("https://data.gov.sk/def/nations/N"), F.col("n_nationkey").cast("string")).alias("s"), "n_name", F.col("n_nationkey").alias("k"), F.concat(F.lit("https://data.gov.sk/def/regions/R"), F.col("n_regionkey").cast("string")).alias("r"))
-    out = [
-        triples.constant("rdf:type", "skos:Concept"), triples.text("skos:notation", F.concat(F.lit("N"), F.col("k").cast("string"))), triples.text("skos:prefLabel", F.col("n_name"), "sk"),
-        triples.ref("dct:isPartOf", F.col("r")), triples.text("egov:logicalOrder", F.col("k"), dtype="xsd:integer"), triples.text("skos:note", F.lit(None)),
-    ]
-    return triples.unpivot(rows.withColumn("code", F.lit("NATIONS")), out).select(*triples.COLUMNS).distinct()
 
+def _period_sql(s: str, start: str, end: str) -> list[tuple]:
+    node, some = f"'_:' || sha256({s} || '|timeValidity')", f"coalesce({start}, {end}) IS NOT NULL"
+    return [(s, "egov:timeValidity", f"CASE WHEN {some} THEN {node} END", "bnode", ""), (node, "rdf:type", f"CASE WHEN {some} THEN '{triples.iri('dct:PeriodOfTime')}' END", "iri", ""), (node, "dcat:startDate", start, "literal", "xsd:date"), (node, "dcat:endDate", end, "literal", "xsd:date")]
 
-@query(f"WITH {_TRIPLES} SELECT * FROM t")
+
+_LISTS = """l AS (SELECT *, root || '/' || vf::VARCHAR AS version, CASE WHEN k % 2 = 0 THEN vf END AS ef, CASE WHEN k = 3 THEN vf + 9 END AS et FROM (SELECT r_regionkey AS k, r_name, 'https://data.gov.sk/set/codelist/R' || r_regionkey AS root, DATE '2020-01-01' + r_regionkey AS vf FROM region))"""
+_CODELIST_TRIPLES = _triples_sql("l", [
+    *((s, "rdf:type", f"'{triples.iri(c)}'", "iri", "") for s in ("root", "version") for c in ("dcat:Dataset", "skos:ConceptScheme")), ("root", "dct:type", f"'{triples.CODE_LIST}'", "iri", ""), ("root", "dcat:theme", f"'{triples.THEME}'", "iri", ""),
+    ("root", "dcat:hasVersion", "version", "iri", ""), ("root", "dcat:hasCurrentVersion", "version", "iri", ""), ("root", "egov:uriPattern", "'https://data.gov.sk/def/R' || k || '/*'", "literal", ""),
+    *((s, p, o, "literal", t) for s in ("root", "version") for p, o, t in (("dct:title", "r_name", "sk"), ("rdfs:label", "lower(r_name)", "en"), ("skos:note", "CASE WHEN k = 4 THEN 'a \"b\"' || chr(10) || '\\c' END", "sk"))),
+    ("version", "dcat:isVersionOf", "root", "iri", ""), ("version", "prov:wasDerivedFrom", f"'{triples.SOURCE_SYSTEM}'", "iri", ""), ("version", "dcat:version", "vf", "literal", "xsd:string"), ("version", "dcat:distribution", "version || '.rdf'", "iri", ""),
+    ("version", "dct:issued", "vf", "literal", "xsd:date"), ("version", "dct:modified", "vf + 3", "literal", "xsd:date"), ("version", "dct:publisher", f"CASE WHEN k < 3 THEN '{triples.PUBLISHERS}' || lpad(k::VARCHAR, 8, '0') END", "iri", ""),
+    *_period_sql("version", "ef", "et"), ("root", "dct:source", "'src' || k", "literal", ""), ("root", "dct:source", "'all'", "literal", ""),
+])
+_NATIONS = """i AS (SELECT *, CASE WHEN k % 4 <> 0 THEN d END AS vf, CASE WHEN k % 2 = 0 THEN d + 30 END AS ef, CASE WHEN k % 6 = 0 THEN d + 60 END AS et FROM (SELECT n_nationkey AS k, n_name, 'https://data.gov.sk/def/R' || n_regionkey || '/N' || n_nationkey AS s, DATE '2021-01-01' + n_nationkey AS d,
+ 'https://data.gov.sk/set/codelist/R' || n_regionkey AS root, DATE '2020-01-01' + n_regionkey AS lvf FROM nation))"""
+_ITEM_TRIPLES = _triples_sql("i", [
+    ("s", "rdf:type", f"'{triples.iri('skos:Concept')}'", "iri", ""), ("s", "skos:notation", "'N' || k", "literal", ""), ("s", "skos:topConceptOf", "root", "iri", ""), ("s", "skos:inScheme", "root || '/' || lvf::VARCHAR", "iri", ""),
+    ("s", "skos:prefLabel", "n_name", "literal", "sk"), ("s", "skos:note", "CASE WHEN k % 5 = 0 THEN n_name || chr(10) || '\"q\" \\' END", "literal", "en"), ("s", "dct:issued", "coalesce(vf, ef)", "literal", "xsd:date"), *_period_sql("s", "ef", "et"),
+    ("s", "egov:logicalOrder", "k", "literal", "xsd:integer"), ("s", "leg:legallyRecognized", "CASE k % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END", "literal", "xsd:boolean"), ("s", "rdf:type", "CASE WHEN k % 2 = 0 THEN 'https://e/Kind' END", "iri", ""),
+])
+
+
+@query(f"WITH {_LISTS} {_CODELIST_TRIPLES}")
+def codelist_triples(spark: SparkSession, sf: str) -> DataFrame:
+    return triples.codelist_triples(_published_lists(spark, sf)).select(*triples.COLUMNS)
+
+
+@query(f"WITH {_NATIONS} {_ITEM_TRIPLES}")
 def triples_nation(spark: SparkSession, sf: str) -> DataFrame:
-    return _nation_triples(spark, sf)
+    return triples.item_triples(_published_items(spark, sf), _published_lists(spark, sf)).select(*triples.COLUMNS)
+
+
+_TERM = lambda c: f"CASE WHEN starts_with({c}, '_:') THEN {c} ELSE '<' || {c} || '>' END"
+_ESCAPED = "replace(replace(replace(o, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n')"
+_OBJECT = f"CASE WHEN o_kind <> 'literal' THEN {_TERM('o')} ELSE '\"' || {_ESCAPED} || '\"' || coalesce('@' || o_lang, '^^<' || o_dtype || '>', '') END"
+_ALL_TRIPLES = f"WITH {_LISTS}, {_NATIONS}, t AS ({_CODELIST_TRIPLES} UNION ALL {_ITEM_TRIPLES})"
 
 
-_OBJECT = "CASE WHEN o_kind = 'iri' THEN '<' || o || '>' ELSE '\"' || o || '\"' || coalesce('@' || o_lang, '^^<' || o_dtype || '>', '') END"
+def _all_triples(spark: SparkSession, sf: str) -> DataFrame:
+    lists = _published_lists(spark, sf)
+    return triples.codelist_triples(lists).unionByName(triples.item_triples(_published_items(spark, sf), lists)).select(*triples.COLUMNS)
 
 
-@query(f"WITH {_TRIPLES} SELECT '<' || s || '> <' || p || '> ' || {_OBJECT} || ' .' AS line FROM t")
+@query(f"{_ALL_TRIPLES} SELECT {_TERM('s')} || ' <' || p || '> ' || {_OBJECT} || ' .' AS line FROM t")
 def ntriples_text(spark: SparkSession, sf: str) -> DataFrame:
-    return triples.ntriples(_nation_triples(spark, sf))
+    return triples.ntriples(_all_triples(spark, sf))
 
 
-@query(f"WITH {_TRIPLES}, x AS (SELECT s, '<' || p || '> ' || {_OBJECT} AS po FROM t) SELECT '<' || s || '>' AS subject, '<' || s || '> ' || string_agg(po, ' ;\n    ' ORDER BY po) || ' .' AS block FROM x GROUP BY s")
+@query(f"{_ALL_TRIPLES}, x AS (SELECT {_TERM('s')} AS subject, '<' || p || '> ' || {_OBJECT} AS po FROM t) SELECT subject, subject || ' ' || string_agg(po, ' ;\n    ' ORDER BY po) || ' .' AS block FROM x GROUP BY subject")
 def turtle_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    return triples.turtle_blocks(_nation_triples(spark, sf), [])
+    return triples.turtle_blocks(_all_triples(spark, sf), [])
 
 
 # Reports: customers as lists, orders as their issues

@@ -68,6 +68,11 @@ def selected_items(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     return best, issues.select("key.code", "key.itemCode", "kind", "reason", "selected", "candidates")
 
 
+def without_ignored(lists: DataFrame, ignore: list[str], key: str = "code") -> DataFrame:
+    """The lists that the configuration doesn't keep from publication. Its codes are few, so they go into the filter."""
+    return lists.where(F.col(key).isNull() | ~F.col(key).isin(*ignore)) if ignore else lists
+
+
 def _order_key(state: str):
     """The registry order as one struct that sorts ascending."""
     from corpusweave.functions.scalars import iso_timestamp, state_rank
@@ -107,8 +112,7 @@ def run(bronze: Bronze, config: Config = Config(), options: Options = Options())
         found = resolve.resolve_globally(raw, all_items, bronze.ci, pick_top=options.pick_top)
         found["external_edges"] = found["external_edges"].withColumn("uri", F.concat(F.lit(triples.PUBLISHERS), "identifier")).withColumn("predicate", F.lit(None).cast("string"))
     found = {name: settled(df) for name, df in found.items()}
-    ignore = F.broadcast(bronze.headers.sparkSession.createDataFrame([(c,) for c in config.ignore] or [(None,)], "code string"))  # one row an ignored list
-    lists = whole.join(ignore, "code", "left_anti")
+    lists = without_ignored(whole, [*config.ignore])
     emitted = all_items.join(lists.select(F.col("code").alias("codelist_code")), "codelist_code", "left_semi")
     edges, external = resolve.emitted(found["edges"], emitted), resolve.emitted(found["external_edges"], emitted, None)
     graph, unpublished = triples.graph(lists, emitted, edges, external, config.relations)
