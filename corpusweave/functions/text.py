@@ -26,15 +26,16 @@ def squeeze(c: Column | str) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(col(c), " ", " "), r"(?U)\s+", " "))
 
 
-def normalize_text(c: Column | str) -> Column:
-    """Squeezed and folded for comparison; blank is null. Folding is lower case and ß as ss (casefold() has all of Unicode)."""
-    return F.nullif(F.regexp_replace(F.lower(squeeze(c)), "ß", "ss"), F.lit(""))
+def casefold(c: Column | str) -> Column:
+    """Full Unicode case folding, as far as the JVM's Unicode version goes: lower case of the upper case, which spells out ß, ligatures and the
+    like, but for the dotless i, which stays, and sigma, which has one lower case. Cherokee folds to its small letters."""
+    upper = F.upper(F.translate(col(c), "ıẞ", "\ue000ß"))
+    return F.translate(F.lower(F.translate(upper, "Σ", "σ")), "\ue000", "ı")
 
 
-@F.pandas_udf(StringType())
-def casefold(s: pd.Series) -> pd.Series:
-    """Full Unicode case folding, where the approximation above won't do."""
-    return s.map(lambda x: None if x is None else x.casefold())
+def normalize_text(c: Column | str) -> Column:
+    """Squeezed and case-folded for comparison; blank is null."""
+    return F.nullif(casefold(squeeze(c)), F.lit(""))
 
 
 @F.pandas_udf(StringType())

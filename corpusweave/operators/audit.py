@@ -72,7 +72,7 @@ def audit(items: DataFrame, patterns: DataFrame, pages: DataFrame | None = None,
     pages (url, status, body): what dereferencing found, if it was done. A mismatch that the expected URI's page supports, having the
     item's label where the present one's page hasn't, says so. strict makes errors of warnings and so blocks the list.
     """
-    out = items.join(F.broadcast(patterns.select(key, F.col("base").alias("pattern"))), key).withColumn("category", audit_category("pattern", code, uri)).where("category NOT IN ('skipped', 'ok')")
+    out = items.join(patterns.select(key, F.col("base").alias("pattern")), key).withColumn("category", audit_category("pattern", code, uri)).where("category NOT IN ('skipped', 'ok')")
     out = out.withColumn("expected_uri", F.concat("pattern", nonblank(code))).withColumn("normalized_uri", normalize_uri(uri))
     supported = F.lit(False)
     if pages is not None:

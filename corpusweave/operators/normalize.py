@@ -35,8 +35,8 @@ def normalize_codelists(headers: DataFrame, patterns: DataFrame, publishers: Dat
     ontology: code and its class arrays. Rows without a start date can't be published and are left to `undated`."""
     start, end = nonblank("effectiveFrom"), nonblank("effectiveTo")
     out = (
-        headers.join(F.broadcast(patterns.select("code", F.col("base").alias("uri_pattern"), F.col("label").alias("item_prefix"))), "code", "left")
-        .join(publishers, "code", "left").join(last_item, "code", "left").join(F.broadcast(ontology), "code", "left")
+        headers.join(patterns.select("code", F.col("base").alias("uri_pattern"), F.col("label").alias("item_prefix")), "code", "left")
+        .join(publishers, "code", "left").join(last_item, "code", "left").join(ontology, "code", "left")
     )
     return out.where(iso_date("validFrom").isNotNull()).select(
         "code", F.coalesce(nonblank("uri"), F.concat(F.lit(CODELIST_ROOT), "code")).alias("uri"),

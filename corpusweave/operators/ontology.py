@@ -107,6 +107,19 @@ def jsonld_nodes(triples: DataFrame) -> DataFrame:
     return per.groupBy("graph", "s").agg(body.alias("body")).select("graph", "s", F.concat(F.lit('{"@id":'), quoted(F.col("s")), F.lit(","), "body", F.lit("}")).alias("node"))
 
 
+def jsonld_documents(triples: DataFrame) -> DataFrame:
+    """graph and its document: the ontology's context and all node objects. A graph is what one file holds, which one task has parsed whole."""
+    import json
+
+    template, name = json.dumps(context("\0")), json.dumps("\0")[1:-1]
+    nodes = jsonld_nodes(triples).groupBy("graph").agg(F.array_join(F.array_sort(F.collect_list("node")), ",\n").alias("nodes"))
+    return nodes.select("graph", F.concat(F.lit('{"@context":'), F.replace(F.lit(template), F.lit(name), F.col("graph")), F.lit(',"@graph":['), "nodes", F.lit("]}")).alias("document"))
+
+
 def write_jsonld(triples: DataFrame, path: str) -> None:
-    """One node object a line, a folder for each graph."""
-    jsonld_nodes(triples).repartition("graph").sortWithinPartitions("graph", "s").select("graph", "node").write.mode("overwrite").partitionBy("graph").text(path)
+    """A document for each graph, in a folder of its own."""
+    jsonld_documents(triples).repartition("graph").write.mode("overwrite").partitionBy("graph").text(path)
+
+
+def no_triples(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], _SCHEMA)

@@ -37,6 +37,26 @@ def http_5xx(log: DataFrame) -> DataFrame:
     return log.where("status BETWEEN 500 AND 599").agg(F.count(F.lit(1)).alias("total5xx"), F.countDistinct("url").alias("uniqueUrls"), F.countDistinct("code").alias("affectedCodelists"))
 
 
+def write_http_5xx(log: DataFrame, path: str) -> None:
+    """Entries (code, stage, url, status, reason) and their counts, as JSON."""
+    entries = log.where("status BETWEEN 500 AND 599")
+    entries.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/entries")
+    http_5xx(log).write.mode("overwrite").json(f"{path}/summary")
+
+
+def hierarchy_issues(found: DataFrame) -> DataFrame:
+    """One row for each source item with what wasn't resolved, by relation and place. found: source_id, relation, pos and more."""
+    issue = F.struct("relation", "pos", *(c for c in found.columns if c not in ("source_id", "relation", "pos")))
+    return found.groupBy("source_id").agg(F.sort_array(F.collect_list(F.struct(F.struct("relation", "pos").alias("k"), issue.alias("v")))).alias("x")).select("source_id", F.transform("x", lambda e: e["v"]).alias("issues"))
+
+
+def write_hierarchy_issues(tables: dict[str, DataFrame], path: str) -> None:
+    """What wasn't resolved and what was ambiguous, a JSON line for each source item."""
+    for name in ("no_match", "ambiguous"):
+        if name in tables:
+            hierarchy_issues(tables[name]).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{name}")
+
+
 def write_reports(codes: DataFrame, path: str) -> None:
     """A JSON line for each code, under warnings and errors; nulls are kept."""
     for name in ("warnings", "errors"):

@@ -137,16 +137,18 @@ def with_external_predicate(edges: DataFrame, predicates: dict[str, str | dict[s
 
 
 def lookup_organisations(raw: DataFrame, ci: DataFrame, attribute: str) -> DataFrame:
-    """Values of up to eight digits that exactly one organisation's attribute has, as external targets; without a URI none."""
+    """Values of up to eight digits that exactly one organisation's attribute has, as external targets; without a URI none. Of the
+    configuration items only organisations (PO) take part."""
     from corpusweave.functions.scalars import ci_attribute, looks_like_ico
 
     wanted = raw.where(looks_like_ico("raw_value")).select(*_KEY, "raw_value", normalize_ico("raw_value").alias("number"))
-    hits = ci.select("uuid", F.col("type").alias("citype"), normalize_ico(ci_attribute("attributes", attribute)).alias("number"), ci_attribute("attributes", "Gen_Profil_nazov", "name").alias("name"), ci_attribute("attributes", "EA_Profil_PO_ico").alias("ico"))
-    one = hits.where("number IS NOT NULL").groupBy("number").agg(F.count(F.lit(1)).alias("n"), *(F.min(c).alias(c) for c in ("uuid", "citype", "name", "ico"))).where("n = 1 AND ico IS NOT NULL")
+    # The attributes of an organisation.
+    hits = ci.select("uuid", F.coalesce(nonblank("type"), F.lit("PO")).alias("citype"), normalize_ico(ci_attribute("attributes", attribute)).alias("number"), ci_attribute("attributes", "Gen_Profil_nazov", "Gen_Profil_anglicky_nazov").alias("name"), ci_attribute("attributes", "EA_Profil_PO_ico").alias("ico"))
+    one = hits.where("number IS NOT NULL AND citype = 'PO'").groupBy("number").agg(F.count(F.lit(1)).alias("n"), *(F.min(c).alias(c) for c in ("uuid", "citype", "name", "ico"))).where("n = 1 AND ico IS NOT NULL")
     return wanted.join(one, "number").select(*_KEY, "raw_value", F.lit("legal_subject").alias("kind"), F.col("ico").alias("identifier"), "name", "citype", "uuid", F.lit("ico_lookup").alias("matched_via"), F.lit(attribute).alias("matched_attribute"))
 
 
-def resolve_globally(raw: DataFrame, items: DataFrame, ci: DataFrame | None = None, attribute: str = "EA_Profil_PO_ico", pick_top: bool = False) -> dict[str, DataFrame]:
+def resolve_globally(raw: DataFrame, items: DataFrame, ci: DataFrame | None = None, attribute: str = "Gen_Profil_kod_metais", pick_top: bool = False) -> dict[str, DataFrame]:
     """edges, external_edges, no_match and ambiguous over all items: all targets of a value count; values without any are looked up
     as organisations, and then scored against what their text may mean. pick_top also accepts recommended candidates."""
     from corpusweave.operators.score import rank_candidates
@@ -165,11 +167,11 @@ def resolve_globally(raw: DataFrame, items: DataFrame, ci: DataFrame | None = No
         .select(*_KEY, "raw_value", "scope", F.explode(_probes("clue")).alias("p")).select(*_KEY, "raw_value", "scope", "p.kind", "p.key").where("key IS NOT NULL")
         .join(keys, ["scope", "kind", "key"])
     )
-    ranked = rank_candidates(possible.select(*_KEY, "raw_value", "item_id").distinct(), items)
+    ranked = rank_candidates(possible.select(*_KEY, "raw_value", "item_id").distinct(), items, with_signals=True)
     kinds = possible.groupBy(*_KEY).agg(*(F.countDistinct(F.when(F.col("kind") == k, F.col("item_id"))).alias(k) for k in ("code", "uri", "text")))
     top = ranked.where("rank = 1").join(kinds, _KEY)
     reason = F.when(F.col("code") > 1, "ambiguous_code").when(F.col("uri") > 1, "ambiguous_uri").when(F.col("text") > 1, "ambiguous_text").otherwise("ambiguous_match")
-    ambiguous = top.select(*_KEY, "raw_value", reason.alias("reason"), F.col("item_id").alias("top_id"), "score", "margin", "recommended", "confidence", "n_candidates")
+    ambiguous = top.select(*_KEY, "raw_value", reason.alias("reason"), F.col("item_id").alias("top_id"), "score", "margin", "recommended", "confidence", "n_candidates", "signals")
     no_match = left.join(top.select(*_KEY), _KEY, "left_anti").select(*_KEY, "raw_value", F.lit("no_match").alias("reason"))
     edges = found.select("source_id", "relation", "target_id", F.struct("pos", "ord").alias("ord"))
     if pick_top:

@@ -13,10 +13,11 @@ _CODELIST_FIELDS = ["codelist_name_sk", "codelist_name_en", "codelist_label_sk",
 
 
 def profiles(items: DataFrame) -> DataFrame:
-    """What scoring needs of each item, worked out once an item and not once a candidate pair."""
+    """What scoring needs of each item, worked out once an item and not once a candidate pair. The family is that of its list's
+    pattern, or else of its URI."""
     from corpusweave.operators.resolve import TEXT_FIELDS
 
-    family = uri_family("codelist_uri_pattern")
+    family = uri_family(F.coalesce(nonblank("codelist_uri_pattern"), F.col("item_uri")))
     return items.select(
         "id", F.array_compact(F.array(normalize_uri("item_uri"), normalize_uri("item_uri_raw"))).alias("uris"),
         F.array_distinct(F.array_compact(F.array(nonblank("item_code"), normalized_tail("item_uri"), normalized_tail("item_uri_raw")))).alias("codes"),
@@ -60,6 +61,31 @@ def score(raw: str = "raw_value", s: str = "s", c: str = "c") -> Column:
     return sum((F.coalesce(p, F.lit(0.0)) for p in points), F.lit(0.0))
 
 
+def signals(raw: str = "raw_value", s: str = "s", c: str = "c") -> Column:
+    """What the points of score() are for, as labels with the words that count."""
+    f = lambda side, name: F.col(f"{side}.{name}")
+    has = lambda array, x: F.coalesce(F.array_contains(array, x), F.lit(False))
+    some = lambda label, words_, most: F.when(F.size(words_) > 0, F.concat(F.lit(f"{label}:"), F.array_join(F.slice(F.array_sort(words_), 1, most), ",")))
+    each = lambda *labels: F.array_compact(F.array(*labels))
+    both = lambda a, b: F.coalesce(F.array_intersect(a, b), F.array().cast("array<string>"))
+    tail = normalized_tail(raw)
+    lists = both(without_details(f(s, "list_tokens")), without_details(f(c, "list_tokens")))
+    details = lambda side: F.arrays_overlap(f(side, "list_tokens"), words(DETAIL_TOKENS))
+    # The labels.
+    whole = each(
+        F.when(has(f(c, "uris"), normalize_uri(raw)), "uri_exact"), F.when(has(f(c, "codes"), nonblank(raw)), "code_exact"),
+        F.when(has(f(c, "codes"), tail) & (tail != strip(raw)), "uri_tail_exact"), F.when(has(f(c, "norms"), normalize_text(raw)), "text_exact"),
+    )
+    clues = F.flatten(F.transform(split_clues(raw), lambda x: each(F.when(has(f(c, "norms"), normalize_text(x)), F.concat(F.lit("clue_text:"), x)), some("clue_tokens", both(tokenize(x), f(c, "tokens")), 4))))
+    rest = each(
+        some("source_text_exact", both(f(s, "norms"), f(c, "norms")), 2), some("source_token_overlap", both(f(s, "tokens"), f(c, "tokens")), 4), some("codelist_token_overlap", lists, 4),
+        F.when(details(s) & ~details(c) & (F.size(lists) > 0), "codelist_parent_name_match"),
+        some("family_token_overlap", both(without_details(f(s, "family_tokens")), without_details(f(c, "family_tokens"))), 4),
+        F.when(f(s, "family_parent") == f(c, "family"), F.concat(F.lit("family_parent_match:"), f(s, "family"), F.lit("->"), f(c, "family"))),
+    )
+    return F.concat(whole, clues, rest)
+
+
 def rank(df: DataFrame, keys: list[str], score_col: str = "score", id_col: str = "item_id") -> DataFrame:
     """rank, margin over the next, recommended and confidence. A lone candidate is always recommended; the first of several from 6
     points and a margin of 1.5 on."""
@@ -72,9 +98,11 @@ def rank(df: DataFrame, keys: list[str], score_col: str = "score", id_col: str =
     return out.withColumn("recommended", F.coalesce(sure, F.lit(False))).withColumn("confidence", F.round(confidence, 3))
 
 
-def rank_candidates(candidates: DataFrame, items: DataFrame) -> DataFrame:
-    """candidates: source_id, relation, pos, raw_value, item_id."""
+def rank_candidates(candidates: DataFrame, items: DataFrame, with_signals: bool = False) -> DataFrame:
+    """candidates: source_id, relation, pos, raw_value, item_id. with_signals adds what the points are for."""
     p = profiles(items)
     as_struct = lambda name, key: p.select(F.col("id").alias(key), F.struct(*(x for x in p.columns if x != "id")).alias(name))
     scored = candidates.join(as_struct("s", "source_id"), "source_id").join(as_struct("c", "item_id"), "item_id").withColumn("score", score())
+    if with_signals:
+        scored = scored.withColumn("signals", signals())
     return rank(scored.drop("s", "c"), ["source_id", "relation", "pos"])

@@ -152,16 +152,32 @@ def ntriples(triples: DataFrame) -> DataFrame:
     return triples.select(*(c for c in triples.columns if c == "code"), F.concat(_subject(), F.lit(" <"), "p", F.lit("> "), _term("o_kind", "o"), F.lit(" .")).alias("line"))
 
 
-def turtle_blocks(triples: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """A Turtle block for each subject: predicates and objects in order. One subject's triples are gathered, not a graph's."""
-    po = F.concat(F.lit("<"), "p", F.lit("> "), _term("o_kind", "o"))
+def short(c: str) -> Column:
+    """An IRI as a prefixed name, if it is in one of the namespaces and the rest is plain; else in angle brackets."""
+    local = lambda ns: F.substring(c, F.lit(len(ns) + 1), F.length(c))
+    names = [F.when(F.col(c).startswith(ns) & local(ns).rlike("^[A-Za-z][A-Za-z0-9_-]*$"), F.concat(F.lit(f"{p}:"), local(ns))) for p, ns in PREFIXES.items()]
+    return F.coalesce(*names, F.concat(F.lit("<"), c, F.lit(">")))
+
+
+def turtle_blocks(triples: DataFrame, keys: list[str] | None = None, prefixed: bool = False) -> DataFrame:
+    """A Turtle block for each subject: predicates and objects in order. One subject's triples are gathered, not a graph's. prefixed: names of
+    the known namespaces are prefixed, which asks for prefix_lines above."""
+    object_ = F.when(F.col("o_kind") == "iri", short("o")).otherwise(_term("o_kind", "o")) if prefixed else _term("o_kind", "o")
+    po = F.concat(short("p") if prefixed else F.concat(F.lit("<"), "p", F.lit(">")), F.lit(" "), object_)
     keys = keys if keys is not None else [c for c in triples.columns if c == "code"]
     return triples.groupBy(*keys, _subject().alias("subject")).agg(F.array_join(F.array_sort(F.collect_list(po)), " ;\n    ").alias("body")).select(*keys, "subject", F.concat("subject", F.lit(" "), "body", F.lit(" .")).alias("block"))
 
 
-def write_turtle(triples: DataFrame, path: str) -> None:
-    """Turtle text, a folder for each code list."""
-    turtle_blocks(triples).repartition("code").sortWithinPartitions("code", "subject").select("code", "block").write.mode("overwrite").partitionBy("code").text(path)
+def prefix_lines() -> str:
+    return "\n".join(f"@prefix {p}: <{ns}> ." for p, ns in PREFIXES.items())
+
+
+def write_turtle(triples: DataFrame, path: str, per_file: int = 500_000) -> None:
+    """Turtle text with prefixes, a folder for each code list; a large list has a file for every `per_file` triples, about."""
+    files = triples.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / per_file).cast("int").alias("files"))
+    blocks = turtle_blocks(triples, ["code"], prefixed=True).join(files, "code").select("code", F.pmod(F.xxhash64("subject"), F.col("files")).cast("int").alias("file"), "subject", "block")
+    heads = files.select("code", F.explode(F.sequence(F.lit(0), F.col("files") - 1)).alias("file"), F.lit("").alias("subject"), F.lit(prefix_lines()).alias("block"))
+    heads.union(blocks).repartition("code", "file").sortWithinPartitions("code", "file", "subject").select("code", "block").write.mode("overwrite").partitionBy("code").text(path)
 
 
 def neighbours(edges: DataFrame, items: DataFrame) -> DataFrame:

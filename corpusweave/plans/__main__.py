@@ -1,4 +1,4 @@
-"""python -m corpusweave.plans: a registry run over raw documents in folders."""
+"""python -m corpusweave.plans: a registry run over raw documents in folders, fetched before if asked for."""
 
 from __future__ import annotations
 
@@ -7,12 +7,14 @@ import argparse
 
 def options(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description=__doc__)
-    p.add_argument("--data-root", required=True, help="folder with headers, details, items, ci (JSON) and ontology (RDF/XML)")
+    p.add_argument("--data-root", required=True, help="folder with headers, details, items, ci (JSON), ontology (RDF/XML) and, if there, pages and integration (JSON lines)")
     p.add_argument("--out", required=True)
     p.add_argument("--config")
     p.add_argument("--mode", choices=["configured", "global"], default="configured")
     p.add_argument("--pick-top-hierarchy-match", action="store_true")
     p.add_argument("--strict-uri-audit", action="store_true")
+    p.add_argument("--fetch", metavar="ROOT", help="address of the registry, whose integration documents of all headers' lists are asked for")
+    p.add_argument("--cache-max-age-seconds", type=int, default=86_400, help="fetched documents are asked for again when older than this")
     return p.parse_args(argv)
 
 
@@ -20,20 +22,33 @@ def main(argv: list[str] | None = None) -> None:
     from pyspark.sql import SparkSession
     from pyspark.sql import functions as F
 
-    from corpusweave.operators.ontology import class_map, read_rdf_xml
+    from corpusweave.operators import ontology
     from corpusweave.plans.registry import Bronze, Options, run, write
     from corpusweave.sources import bronze, config
 
     o = options(argv)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     root = o.data_root
+    optional = lambda name, schema: spark.read.schema(schema).json(f"{root}/{name}") if bronze.exists(spark, f"{root}/{name}") else None
+    headers = bronze.read_headers(spark, f"{root}/headers")
     details = spark.read.schema(bronze.DETAIL).option("multiLine", True).json(f"{root}/details")
-    ci = spark.read.schema("uuid string, type string, attributes array<struct<name:string,value:string>>").option("multiLine", True).json(f"{root}/ci")
+    if bronze.exists(spark, f"{root}/ontology"):
+        triples = ontology.read_rdf_xml(spark, [f"{root}/ontology"])
+    else:
+        print(f"warning: no ontologies in {root}/ontology; items get no further types")
+        triples = ontology.no_triples(spark)
+    classes = ontology.class_map(triples)
+    integration = optional("integration", "code string, url string, status int, reason string, body string")
+    if o.fetch:
+        asked = headers.select("code", F.col("id").cast("string").alias("id")).where("code IS NOT NULL").dropDuplicates(["code"]).select("code", bronze.request_urls(o.fetch)[0].alias("url"))
+        integration = bronze.fetch_cached(asked, f"{root}/cache", o.cache_max_age_seconds)
     tables = run(
-        Bronze(bronze.read_headers(spark, f"{root}/headers"), details.where(F.col("code").isNotNull()), bronze.read_items(spark, f"{root}/items"), ci, class_map(read_rdf_xml(spark, [f"{root}/ontology"]))),
+        Bronze(headers, details.where(F.col("code").isNotNull()), bronze.read_items(spark, f"{root}/items"), bronze.read_ci(spark, f"{root}/ci"), classes, optional("pages", "url string, status int, body string"), integration),
         config.load(o.config), Options(o.mode, o.strict_uri_audit, o.pick_top_hierarchy_match),
     )
     write(tables, o.out)
+    ontology.write_jsonld(triples, f"{o.out}/jsonld")
+    classes.write.mode("overwrite").json(f"{o.out}/ontology_map")
 
 
 if __name__ == "__main__":

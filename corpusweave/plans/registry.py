@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusweave.functions.scalars import nonblank, truthy
 from corpusweave.operators import audit, dedup, normalize, reports, resolve, triples
+from corpusweave.sources.bronze import failures, integration_status
 from corpusweave.sources.config import Config
 
 
 @dataclass(frozen=True)
 class Bronze:
-    """headers, details (one row a code), items (with code and pos), ci, ontology (code and class arrays), pages (or None)."""
+    """headers, details (one row a code), items (with code and pos), ci, ontology (code and class arrays); or None: pages (url, status, body),
+    integration (code, url, status, reason, body) and requests (code, stage, url, status, reason) as they were answered."""
 
     headers: DataFrame
     details: DataFrame
@@ -22,6 +25,8 @@ class Bronze:
     ci: DataFrame
     ontology: DataFrame
     pages: DataFrame | None = None
+    integration: DataFrame | None = None
+    requests: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -35,13 +40,16 @@ class Options:
 
 def settled(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder that spark.checkpoint.dir names (one of our own only where that is unset), so that
-    later steps neither repeat this one nor depend on the executors that ran it."""
+    later steps neither repeat this one nor depend on the executors that ran it. On a cluster it must be named."""
     import os
     import tempfile
 
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "corpusweave-checkpoints"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "corpusweave-checkpoints"))
     return df.checkpoint(eager=True)
 
 
@@ -82,7 +90,7 @@ def _order_key(state: str):
 
 
 def run(bronze: Bronze, config: Config = Config(), options: Options = Options()) -> dict[str, DataFrame]:
-    """codelists, items, edges, external_edges, no_match, (ambiguous,) triples, issues, header_issues, item_issues, codes, summary.
+    """codelists, items, edges, external_edges, no_match, (ambiguous,) triples, issues, header_issues, item_issues, codes, summary, http_log.
 
     A list fails without a start date, a base header or a valid item URI, or if strict auditing finds anything; ignored lists take part
     in the resolution but aren't published.
@@ -97,6 +105,10 @@ def run(bronze: Bronze, config: Config = Config(), options: Options = Options())
     said = lambda df, message: df.select("code", F.lit("error").alias("level"), F.lit(message).alias("message"))
     issues = audited.select("code", "level", "message").unionByName(normalize.undated(details)).unionByName(said(patterns.where("base IS NULL"), "No valid item URI to infer the pattern from"))
     issues = issues.unionByName(patterns.where("bases > 1").select("code", F.lit("warning").alias("level"), F.concat(F.lit("Several URI bases: "), F.col("bases").cast("string")).alias("message")))
+    integration = None
+    if bronze.integration is not None:
+        integration = settled(integration_status(bronze.integration.join(details.select("code"), "code", "left_semi")))
+        issues = issues.unionByName(integration.where("message IS NOT NULL").select("code", F.lit("warning").alias("level"), "message"))
     issues = settled(issues)
     failed = issues.where("level = 'error'").select("code").distinct()
     owners = normalize.publisher_icos(details, bronze.ci)
@@ -119,9 +131,26 @@ def run(bronze: Bronze, config: Config = Config(), options: Options = Options())
     graph = settled(graph)
     issues = issues.unionByName(unpublished)
     made = graph.select("code").distinct().withColumn("ttl_created", F.lit(True))
-    processed = details.select("code").join(made, "code", "left").select("code", F.coalesce("ttl_created", F.lit(False)).alias("ttl_created"), F.lit(True).alias("integration_ok"))
+    processed = details.select("code").join(made, "code", "left").select("code", F.coalesce("ttl_created", F.lit(False)).alias("ttl_created"))
+    if integration is not None:
+        processed = processed.join(integration.groupBy("code").agg(F.bool_and("ok").alias("integration_ok")), "code", "left").withColumn("integration_ok", F.coalesce("integration_ok", F.lit(True)))
+    else:
+        processed = processed.withColumn("integration_ok", F.lit(True))
     codes = reports.per_code(processed, issues, header_issues.select("code", "kind"), item_issues.select("code", "kind"))
-    return {**found, "codelists": lists, "items": emitted, "edges": edges, "external_edges": external, "triples": graph, "issues": issues, "header_issues": header_issues, "item_issues": item_issues, "codes": codes, "summary": reports.summary(codes)}
+    return {**found, "codelists": lists, "items": emitted, "edges": edges, "external_edges": external, "triples": graph, "issues": issues, "header_issues": header_issues, "item_issues": item_issues, "codes": codes, "summary": reports.summary(codes), "http_log": http_log(bronze)}
+
+
+def http_log(bronze: Bronze) -> DataFrame:
+    """Server errors of all that was asked for: code, stage, url, status, reason. A page belongs to no list."""
+    asked = []
+    if bronze.requests is not None:
+        asked.append(bronze.requests)
+    if bronze.integration is not None:
+        asked.append(bronze.integration.withColumn("stage", F.lit("integration")))
+    if bronze.pages is not None:
+        asked.append(bronze.pages.withColumns({"code": F.lit(None).cast("string"), "stage": F.lit("deref"), "reason": F.lit(None).cast("string")}))
+    none = bronze.headers.sparkSession.createDataFrame([], "code string, stage string, url string, status int, reason string")
+    return reduce(DataFrame.unionByName, map(failures, asked), none)
 
 
 def _names():
@@ -131,9 +160,11 @@ def _names():
 
 
 def write(tables: dict[str, DataFrame], path: str) -> None:
-    """Tables as Parquet, the graph as Turtle, reports as JSON."""
+    """Tables as Parquet, the graph as Turtle, reports (of lists, server errors and relations) as JSON."""
     for name in ("codelists", "items", "edges", "external_edges", "no_match", "ambiguous", "header_issues", "item_issues", "issues"):
         if name in tables:
             tables[name].write.mode("overwrite").parquet(f"{path}/{name}")
     triples.write_turtle(tables["triples"], f"{path}/ttl")
     reports.write_reports(tables["codes"], f"{path}/reports")
+    reports.write_http_5xx(tables["http_log"], f"{path}/reports/http_5xx")
+    reports.write_hierarchy_issues(tables, f"{path}/reports/hierarchy")

@@ -31,10 +31,10 @@ def read_rows(spark: SparkSession, path: str, field: str, schema: str) -> DataFr
     What isn't an object is left out; a single object counts as an array of one; a malformed field is null.
     """
     docs = spark.read.option("singleVariantColumn", "v").option("multiLine", True).json(path).select(F.col("_metadata.file_path").alias("file"), "v")
-    docs.createOrReplaceTempView("_documents")
     rows = spark.sql(
-        f"""SELECT d.file, x.pos, to_json(x.value) AS j FROM (SELECT file, coalesce(try_variant_get(v, '$.{field}'), v) AS a FROM _documents) d,
-        LATERAL variant_explode(CASE WHEN schema_of_variant(d.a) LIKE 'ARRAY%' THEN d.a ELSE parse_json(concat('[', to_json(d.a), ']')) END) x WHERE schema_of_variant(x.value) LIKE 'OBJECT%'"""
+        f"""SELECT d.file, x.pos, to_json(x.value) AS j FROM (SELECT file, coalesce(try_variant_get(v, '$.{field}'), v) AS a FROM {{documents}}) d,
+        LATERAL variant_explode(CASE WHEN schema_of_variant(d.a) LIKE 'ARRAY%' THEN d.a ELSE parse_json(concat('[', to_json(d.a), ']')) END) x WHERE schema_of_variant(x.value) LIKE 'OBJECT%'""",
+        documents=docs,
     )
     return rows.select("file", "pos", F.from_json("j", schema).alias("r")).select("file", "pos", "r.*")
 
@@ -48,6 +48,17 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
     return read_rows(spark, path, "codelistsItems", ITEM).withColumn("code", F.regexp_extract("file", r"([^/]+)\.[^./]*$", 1))
 
 
+def read_ci(spark: SparkSession, path: str) -> DataFrame:
+    """Configuration items, from lists or from documents that hold them as configurationItemSet."""
+    return read_rows(spark, path, "configurationItemSet", "uuid string, type string, attributes array<struct<name:string,value:string>>").drop("file", "pos")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """If there is such a file or folder, in whatever file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def request_urls(root: str, code: str = "code", codelist_id: str = "id") -> list:
     """The three addresses of a list: integration XML, header and items."""
     root = root.rstrip("/")
@@ -77,6 +88,40 @@ def _fetch(url: str, timeout: float) -> tuple[int, str, str]:
         return 0, str(e), ""
 
 
+RESPONSE = "url string, status int, reason string, body string, modified timestamp, run string"
+
+
+def fetch_cached(requests: DataFrame, cache: str, max_age_seconds: int = 86_400, fetch: Callable[[str, float], tuple[int, str, str]] = _fetch, timeout: float = 60) -> DataFrame:
+    """requests (with a column url) with status, reason, body and cached. Good answers of the cache table that are no older than
+    max_age_seconds are taken from it; the others are fetched once for each address, by all executors, and appended to it. What is returned reads
+    the table, so later steps are repeatable. A failed connection is status 0."""
+    import datetime
+    from uuid import uuid4
+
+    from corpusweave.operators.dedup import last_wins
+
+    spark, run, now = requests.sparkSession, uuid4().hex, F.lit(datetime.datetime.now(datetime.UTC))
+    known = spark.read.schema(RESPONSE).parquet(cache) if exists(spark, cache) else spark.createDataFrame([], RESPONSE)
+    good = last_wins(fresh(known, max_age_seconds, now).where("status BETWEEN 200 AND 399"), "url", F.col("modified"), F.col("run")).select("url", "status", "reason", "body")
+    missing = requests.select("url").where("url IS NOT NULL").distinct().join(good, "url", "left_anti")
+
+    def ask(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            yield pd.DataFrame([(u, *fetch(u, timeout)) for u in pdf["url"]], columns=["url", "status", "reason", "body"])
+
+    answers = missing.mapInPandas(ask, "url string, status int, reason string, body string")
+    answers.select("*", now.alias("modified"), F.lit(run).alias("run")).write.mode("append").parquet(cache)
+    new = spark.read.schema(RESPONSE).parquet(cache).where(F.col("run") == run).select("url", "status", "reason", "body")
+    return requests.join(good.withColumn("cached", F.lit(True)).unionByName(new.withColumn("cached", F.lit(False))), "url", "left")
+
+
+def failures(responses: DataFrame) -> DataFrame:
+    """code, stage, url, status and reason of server errors. responses: those columns and more."""
+    return responses.where("status BETWEEN 500 AND 599").select("code", "stage", "url", "status", "reason")
+
+
 class HttpSource(DataSource):
     """url, status, reason, body of addresses; a failed connection is status 0. Options: urls (line by line), per_task, timeout.
 
@@ -114,6 +159,15 @@ class _HttpReader(DataSourceReader):
             yield (url, *self.fetch(url, self.timeout))
 
 
+def integration_status(responses: DataFrame) -> DataFrame:
+    """code, ok, xml_parsed and message (null if all is well) of each list's integration answer. responses: code, url, status, reason, body."""
+    ok = F.col("status").between(200, 399)
+    parsed = integration_rows(responses, "x string")
+    failed = F.format_string("integration api failed with HTTP %d for %s; continuing from header+items JSON", "status", "url")
+    message = F.when(~F.coalesce(ok, F.lit(False)), failed).when(~F.col("xmlParsed"), F.lit("integration xml parse failed"))
+    return parsed.select("code", F.coalesce(ok, F.lit(False)).alias("ok"), F.col("xmlParsed").alias("xml_parsed"), message.alias("message"))
+
+
 def integration_rows(responses: DataFrame, schema: str) -> DataFrame:
     """Fields of integration XML bodies; a body that can't be parsed is a warning, with xmlParsed false."""
     parsed = responses.withColumn("x", F.from_xml("body", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))

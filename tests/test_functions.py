@@ -76,3 +76,10 @@ def test_audit_tree(spark):
     }
     for uri, want in cases.items():
         assert of(spark, lambda c: audit_category(F.lit("https://data.gov.sk/def/x/"), F.lit("1"), c), uri) == want, uri
+
+
+def test_case_folding(spark):
+    points = [c for c in [*range(1, 0x1400), *range(0x1E00, 0x2000), 0x2126, 0x212A, 0x212B, *range(0xFB00, 0xFB18), *range(0xFF21, 0xFF3B), 0x10400] if not 0x13A0 <= c <= 0x13FF]
+    texts = [f"a{chr(c)}b {chr(c)}" for c in points] + ["ΣΊΣΥΦΟΣ", "Straße", "STRASSE", "ıİi"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.casefold("t").alias("f")).collect()
+    assert [(r.t, r.f) for r in got if r.f != r.t.casefold()] == []

@@ -65,15 +65,22 @@ def test_score_worked_example(spark):
     asked = spark.createDataFrame([(1, "includes", 0, "01", 2)], "source_id long, relation string, pos int, raw_value string, item_id long")
     r = score.rank_candidates(asked, rows).first()
     assert (r.score, r.confidence, r.recommended, r["rank"]) == (20.25, 0.99, True, 1)
+    r = score.rank_candidates(asked, rows, with_signals=True).first()
+    assert r.signals == ["code_exact", "text_exact", "clue_text:01", "clue_tokens:01", "family_token_overlap:x", "family_parent_match:x-detail->x"]
+    rows = items(spark, {"id": 1, "codelist_code": "D", "item_code": "a", "item_uri": f"{DEF}x-detail/a"}, {"id": 2, "codelist_code": "X", "item_code": "b", "item_uri": f"{DEF}x/b"})
+    r = score.rank_candidates(asked.withColumn("raw_value", F.lit("?")), rows, with_signals=True).first()
+    assert (r.score, r.signals) == (5.5, ["family_token_overlap:x", "family_parent_match:x-detail->x"])  # families of URIs, where there is no pattern
 
 
 def test_global_resolution(spark):
-    ci = spark.createDataFrame([("u1", "PO", [("EA_Profil_PO_ico", "00151742"), ("Gen_Profil_nazov", "Office")]), ("u2", "PO", [("EA_Profil_PO_ico", "7")]), ("u3", "PO", [("EA_Profil_PO_ico", "0007")])], "uuid string, type string, attributes array<struct<name:string,value:string>>")
+    code = "Gen_Profil_kod_metais"
+    ci = spark.createDataFrame([("u1", "PO", [(code, "00151742"), ("EA_Profil_PO_ico", "00151742"), ("Gen_Profil_nazov", "Office")]), ("u4", "ISVS", [(code, "00151742")]), ("u2", "PO", [(code, "7")]), ("u3", "PO", [(code, "0007")])], "uuid string, type string, attributes array<struct<name:string,value:string>>")
     asked = raw(spark, (1, "A1 B2"), (1, "Alfa"), (1, "nothing"), (1, "151742"), (1, "7"))
     out = resolve.resolve_globally(asked, parent_items(spark), ci, pick_top=True)
     assert {r.target_id for r in out["edges"].collect()} == {10, 11}
     a = out["ambiguous"].first()
     assert (a.raw_value, a.reason, a.top_id, a.n_candidates, a.recommended) == ("Alfa", "ambiguous_text", 10, 2, False)
+    assert a.signals == ["text_exact", "clue_text:Alfa", "clue_tokens:alfa"]
     assert {r.raw_value for r in out["no_match"].collect()} == {"nothing", "7"}
     assert [(r.identifier, r.name) for r in out["external_edges"].collect()] == [("00151742", "Office")]
 
@@ -120,6 +127,8 @@ def test_ontology(spark, tmp_path):
     nodes = {n["@id"]: n for n in (json.loads(r.node) for r in ontology.jsonld_nodes(t).collect())}
     assert nodes["https://e/x/Kind"]["http://www.w3.org/2000/01/rdf-schema#label"] == [{"@language": "en", "@value": "Kind & co"}]
     assert nodes["https://e/x/Kind"]["http://www.w3.org/2000/01/rdf-schema#seeAlso"] == [{"@id": "_:egov-b1"}]
+    (d,) = (json.loads(r.document) for r in ontology.jsonld_documents(t).collect())
+    assert d["@context"] == ontology.context("egov") and {n["@id"] for n in d["@graph"]} == nodes.keys()
     assert ontology.context("egov")["@vocab"].endswith("/egov/") and len(ontology.context("egov")) == 15
 
 
@@ -223,6 +232,62 @@ def test_plan(spark, tmp_path):
     assert [(r.source_id, r.target_id) for r in everywhere["edges"].collect()] == [(1, 10)]
 
 
+def test_plan_reports_what_was_asked_for(spark, tmp_path):
+    b = raw_bronze(spark)
+    answer = [("A", "http://r/A", 503, "down", ""), ("B", "http://r/B", 200, "OK", "<r><x>1</x></r>"), ("X", "http://r/X", 200, "OK", "<r><x>")]
+    page = "znalosti o:</b></font><br> <font x><b>Tretia</b></font>"
+    items_ = b.items.withColumn("codelistItemNames", F.when(F.col("id") == 4, F.array(F.struct(*(F.lit(v).cast("string").alias(k) for k, v in names("TRETIA")[0].items())))).otherwise(F.col("codelistItemNames")))
+    pages = spark.createDataFrame([(f"{DEF}a/a3", 200, page), (f"{DEF}z/a3", 502, "")], "url string, status int, body string")
+    asked = spark.createDataFrame([("B", "json_items", "http://r/B/items", 500, "oops"), ("B", "json_header", "http://r/B/header", 200, "OK")], "code string, stage string, url string, status int, reason string")
+    out = registry.run(raw_bronze(spark, items=items_, integration=spark.createDataFrame(answer, "code string, url string, status int, reason string, body string"), pages=pages, requests=asked), config.Config(hierarchy={"A": "B"}))
+    said = {(r.code, r.message) for r in out["issues"].collect()}
+    assert ("A", "integration api failed with HTTP 503 for http://r/A; continuing from header+items JSON") in said and ("X", "integration xml parse failed") in said
+    assert any(c == "A" and "the expected page has the item's label" in m for c, m in said)
+    assert out["summary"].first().integrationFailures == 1
+    assert {r.code: r.integration_ok for r in out["codes"].collect()} == {"A": False, "B": True, "X": True, "U": True}
+    assert {(r.code, r.stage, r.status) for r in out["http_log"].collect()} == {("A", "integration", 503), ("B", "json_items", 500), (None, "deref", 502)}
+    registry.write(out, str(tmp_path / "out"))
+    read = lambda name: [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out" / "reports" / name)).collect()]
+    assert read("http_5xx/summary") == [{"total5xx": 3, "uniqueUrls": 3, "affectedCodelists": 2}] and len(read("http_5xx/entries")) == 3
+    (r,) = read("hierarchy/no_match")
+    assert r["source_id"] == 1 and [x["raw_value"] for x in r["issues"]] == ["nothing"]
+
+
+def test_command_line(spark, tmp_path):
+    from corpusweave.plans.__main__ import main
+
+    def put(name, value):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(value if isinstance(value, str) else json.dumps(value))
+
+    put("headers/h.json", {"codelists": [{"id": 1, "code": "A", "codelistState": "PUBLISHED", "temporal": False, "base": True}]})
+    put("details/A.json", {"code": "A", "base": True, "validFrom": "2020-01-01", "codelistNames": names("List"), "mainCodelistManagers": [{"value": "x 00000000-0000-0000-0000-000000000001"}]})
+    put("items/A.json", {"codelistsItems": [{"id": 1, "itemCode": "a1", "itemUri": f"{DEF}a/a1", "codelistItemState": "PUBLISHED", "validFrom": "2021-01-01", "codelistItemNames": names("Prvá")}]})
+    put("ci/c.json", {"configurationItemSet": [{"uuid": "00000000-0000-0000-0000-000000000001", "type": "PO", "attributes": [{"name": "EA_Profil_PO_ico", "value": "12345678"}]}]})
+    put("integration/i.json", {"code": "A", "url": "http://r/A", "status": 404, "reason": "no", "body": ""})
+    for k in range(2):
+        main(["--data-root", str(tmp_path), "--out", str(tmp_path / "out")])
+        ttl = "\n".join(r.value for r in spark.read.text(str(tmp_path / "out" / "ttl" / "code=A")).collect())
+        assert "@prefix skos: <http://www.w3.org/2004/02/skos/core#> ." in ttl and 'skos:prefLabel "Prvá"@sk' in ttl and f"<{DEF}a/a1> " in ttl and "12345678" in ttl
+        assert ("dct:source" in ttl, (tmp_path / "out" / "jsonld" / "graph=egov").exists()) == (False, k == 1)
+        assert spark.read.json(str(tmp_path / "out" / "reports" / "summary")).first().integrationFailures == 1
+        put("ontology/egov.rdf", RDF)  # for the second run
+
+
+def _asked(url, timeout):
+    return (500, "down", "") if "bad" in url else (200, "OK", url)
+
+
+def test_fetches_are_cached(spark, tmp_path):
+    asked = spark.createDataFrame([("A", "http://a"), ("B", "http://bad"), ("C", "http://a"), ("D", None)], "code string, url string")
+    cache = str(tmp_path / "cache")
+    get = lambda age: {r.code: (r.status, r.body, r.cached) for r in bronze.fetch_cached(asked, cache, age, _asked).collect()}
+    assert get(100) == {"A": (200, "http://a", False), "B": (500, "", False), "C": (200, "http://a", False), "D": (None, None, None)}
+    assert get(100) == {"A": (200, "http://a", True), "B": (500, "", False), "C": (200, "http://a", True), "D": (None, None, None)}
+    assert get(-1)["A"] == (200, "http://a", False)
+    assert spark.read.parquet(cache).count() == 5
+
+
 def test_audit_with_pages(spark):
     page = lambda t: f"znalosti o:</b></font><br> <font x><b>{t}</b></font>"
     pages = spark.createDataFrame([(f"{DEF}a/a3", 200, page("Tretia")), (f"{DEF}z/a3", 404, "")], "url string, status int, body string")
