@@ -19,6 +19,12 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with the value worked out once and written once into the plan, however often `use` mentions it. Without it, nested
+    functions that mention their argument several times outgrow what the JVM compiles."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(c: Column | str) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")

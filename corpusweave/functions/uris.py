@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusweave.functions.scalars import col, nonblank, strip
+from corpusweave.functions.scalars import col, let, nonblank, strip
 from corpusweave.functions.text import CODE_PATTERN, STOP_TOKENS, URI_PATTERN, words
 
 _PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
@@ -28,16 +28,22 @@ def is_http_uri(c: Column | str) -> Column:
 
 def normalize_uri(c: Column | str) -> Column:
     """Lower-case scheme, single slashes in the path; null unless http(s) with a host. A trailing slash stays."""
-    t = strip(c)
-    out = F.concat(F.lower(part(t, 1)), F.lit("://"), part(t, 2), F.regexp_replace(part(t, 3), "/+", "/"), part(t, 4), part(t, 5))
-    return F.when(t.rlike(r"(?i)^https?://[^/?#]+"), F.regexp_replace(F.regexp_replace(out, r"#$", ""), r"\?$", ""))
+
+    def tidy(t: Column) -> Column:
+        out = F.concat(F.lower(part(t, 1)), F.lit("://"), part(t, 2), F.regexp_replace(part(t, 3), "/+", "/"), part(t, 4), part(t, 5))
+        return F.when(t.rlike(r"(?i)^https?://[^/?#]+"), F.regexp_replace(F.regexp_replace(out, r"#$", ""), r"\?$", ""))
+
+    return let(strip(c), tidy)
 
 
 def normalize_http_uri(c: Column | str) -> Column:
     """As above, but without empty path segments, the trailing one included."""
-    t = strip(c)
-    out = F.concat(F.lower(part(t, 1)), F.lit("://"), part(t, 2), F.regexp_replace(F.regexp_replace(part(t, 3), "/+", "/"), "/$", ""), part(t, 4), part(t, 5))
-    return F.when(t.rlike(r"(?i)^https?://[^/?#]+"), out)
+
+    def tidy(t: Column) -> Column:
+        out = F.concat(F.lower(part(t, 1)), F.lit("://"), part(t, 2), F.regexp_replace(F.regexp_replace(part(t, 3), "/+", "/"), "/$", ""), part(t, 4), part(t, 5))
+        return F.when(t.rlike(r"(?i)^https?://[^/?#]+"), out)
+
+    return let(strip(c), tidy)
 
 
 def local_name(c: Column | str) -> Column:
@@ -47,8 +53,12 @@ def local_name(c: Column | str) -> Column:
 
 def uri_base(c: Column | str) -> Column:
     """The parent folder's URI, without query and fragment."""
-    path = F.regexp_replace(F.regexp_replace(part(c, 3), "/+$", ""), "[^/]*$", "")
-    return F.concat(part(c, 1), F.lit("://"), part(c, 2), F.when(path == "", F.lit("/")).otherwise(path))
+
+    def base(u: Column) -> Column:
+        path = F.regexp_replace(F.regexp_replace(part(u, 3), "/+$", ""), "[^/]*$", "")
+        return F.concat(part(u, 1), F.lit("://"), part(u, 2), F.coalesce(F.nullif(path, F.lit("")), F.lit("/")))
+
+    return let(col(c), base)
 
 
 def uri_tail(c: Column | str) -> Column:
@@ -126,16 +136,21 @@ def external_identifier(raw: Column | str, base: Column | str) -> Column:
     In this order: the whole text is a URI under the base; one is embedded; for legal subjects one to eight digits, padded; the only
     code-like token; the text itself if it has no white space.
     """
-    t, b = strip(raw), slashed(base)
-    rest = lambda u: F.nullif(F.regexp_replace(F.substring(u, F.length(b) + 1, F.length(u)), "^/+|/+$", ""), F.lit(""))
-    whole = normalize_uri(t)
-    first = normalize_uri(F.try_element_at(F.regexp_extract_all(t, F.lit(f"({URI_PATTERN})"), F.lit(1)), F.lit(1)))
-    codes = F.regexp_extract_all(t, F.lit(f"({CODE_PATTERN})"), F.lit(1))
-    digits, plain = F.regexp_replace(t, r"\D+", ""), F.regexp_replace(t, "^[/ ]+|[/ ]+$", "")
-    return (
-        F.when(whole.startswith(b), rest(whole))
-        .when(first.startswith(b), rest(first))
-        .when(external_kind(base) == "legal_subject", F.when(F.length(digits).between(1, 8), F.lpad(digits, 8, "0")))
-        .when(F.size(codes) == 1, F.try_element_at(codes, F.lit(1)))
-        .when((plain != "") & ~plain.rlike(r"(?U)\s") & ~F.contains(plain, F.lit("://")), plain)
-    )
+
+
+    def named(x: Column) -> Column:
+        t, b, whole, first = x["t"], x["b"], x["whole"], x["first"]
+        rest = lambda u: F.nullif(F.regexp_replace(F.substring(u, F.length(b) + 1, F.length(u)), "^/+|/+$", ""), F.lit(""))
+        codes = F.regexp_extract_all(t, F.lit(f"({CODE_PATTERN})"), F.lit(1))
+        digits, plain = F.regexp_replace(t, r"\D+", ""), F.regexp_replace(t, "^[/ ]+|[/ ]+$", "")
+        return (
+            F.when(whole.startswith(b), rest(whole))
+            .when(first.startswith(b), rest(first))
+            .when(external_kind(b) == "legal_subject", F.when(F.length(digits).between(1, 8), F.lpad(digits, 8, "0")))
+            .when(F.size(codes) == 1, F.try_element_at(codes, F.lit(1)))
+            .when((plain != "") & ~plain.rlike(r"(?U)\s") & ~F.contains(plain, F.lit("://")), plain)
+        )
+
+    t = strip(raw)
+    first = F.try_element_at(F.regexp_extract_all(t, F.lit(f"({URI_PATTERN})"), F.lit(1)), F.lit(1))
+    return let(F.struct(t.alias("t"), slashed(base).alias("b"), normalize_uri(t).alias("whole"), normalize_uri(first).alias("first")), named)

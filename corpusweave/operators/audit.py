@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusweave.functions.scalars import nonblank
+from corpusweave.functions.scalars import let, nonblank
 from corpusweave.functions.text import html_unescape, normalize_text
 from corpusweave.functions.uris import classify_base, kind_rank, normalize_uri, uri_base, uri_tail
 from corpusweave.operators.dedup import best_per_key
@@ -40,14 +40,18 @@ def infer_pattern(items: DataFrame, key: str, code: str, uri: str) -> DataFrame:
 def audit_category(pattern: Column | str, code: Column | str, uri: Column | str) -> Column:
     """skipped, invalid, ok, missing_tail, base_mismatch, tail_mismatch or mismatch."""
     p, k, raw = F.col(pattern) if isinstance(pattern, str) else pattern, nonblank(code), nonblank(uri)
-    now = normalize_uri(raw)
-    want = F.concat(p, k)
     trim = lambda x: F.regexp_replace(x, "/+$", "")
-    same_tail, same_base = uri_tail(now) == uri_tail(want), uri_base(now) == uri_base(want)
-    return (
-        F.when(k.isNull() | raw.isNull(), "skipped").when(now.isNull(), "invalid").when(now == want, "ok")
-        .when(trim(now) == trim(p), "missing_tail").when(same_tail & ~same_base, "base_mismatch").when(~same_tail & same_base, "tail_mismatch").otherwise("mismatch")
-    )
+    side = lambda x: F.struct(x.alias("uri"), uri_tail(x).alias("tail"), uri_base(x).alias("base"))
+
+    def category(x: Column) -> Column:
+        now, want = x["now"], x["want"]
+        same_tail, same_base = now["tail"] == want["tail"], now["base"] == want["base"]
+        return (
+            F.when(x["k"].isNull() | x["raw"].isNull(), "skipped").when(now["uri"].isNull(), "invalid").when(now["uri"] == want["uri"], "ok")
+            .when(trim(now["uri"]) == trim(x["p"]), "missing_tail").when(same_tail & ~same_base, "base_mismatch").when(~same_tail & same_base, "tail_mismatch").otherwise("mismatch")
+        )
+
+    return let(F.struct(k.alias("k"), raw.alias("raw"), p.alias("p"), let(normalize_uri(raw), side).alias("now"), let(F.concat(p, k), side).alias("want")), category)
 
 
 def inspect_page(body: Column | str, status: Column | str, title_pattern: str = TITLE) -> Column:
