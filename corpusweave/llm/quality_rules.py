@@ -151,5 +151,27 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(table(spark, sf_dir, "documents"), with_text=False)
 
 
-#: SQL can't express the line rules' verdict; a brute-force version is in the tests.
-ORACLE_SQL = None
+def _sql(rules: LineRules = LineRules()) -> str:
+    """All columns in DuckDB SQL, over words, windows of words and lines as rows."""
+    words = lambda c: f"regexp_extract_all({c}, '[^\\x20\\x09-\\x0D]+')"
+    having = lambda pattern: f"len(list_filter(w, lambda x: regexp_matches(x, '{pattern}')))"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
+t AS (SELECT *, {words('text')} AS w FROM d),
+p AS (SELECT k, i, array_to_string(w[i : i + {WINDOW - 1}], ' ') AS win FROM t, unnest(range(1, len(w) - {WINDOW - 2})) AS u(i)),
+r AS (SELECT k, count(DISTINCT i + j) AS n_repeat_words FROM (SELECT *, count(*) OVER (PARTITION BY k, win) AS n FROM p), unnest(range({WINDOW})) AS v(j) WHERE n > 1 GROUP BY k),
+l AS (SELECT k, i, lines[i] AS line FROM (SELECT k, string_split(text, chr(10)) AS lines FROM d), unnest(range(1, len(lines) + 1)) AS u(i)),
+x AS (SELECT *, len(w) AS n, row_number() OVER (PARTITION BY k, line ORDER BY i) > 1 AS again FROM (SELECT *, {words('line')} AS w FROM l) WHERE len(w) > 0),
+f AS (SELECT k, again, length(array_to_string(w, '')) AS size, again OR {having('^[|<>«»›‹•·/]+$')} >= {rules.separators}
+      OR {having('[#*$%&|<>]')} > greatest(1, {rules.most_symbol_words} * n) OR {having('[!?]{2,}$')} > greatest(1, {rules.most_shouts} * n)
+      OR (n >= {rules.upper_words} AND line <> lower(line) AND len(regexp_extract_all(line, '\\p{{Lu}}')) > {rules.most_upper} * len(regexp_extract_all(line, '\\p{{L}}')))
+      OR (n >= {rules.unpunctuated_words} AND NOT regexp_matches(line, '{_STOP.pattern}')) OR (n <= {rules.furniture_words} AND regexp_matches(lower(line), '{FURNITURE.pattern}')) AS fault FROM x),
+g AS (SELECT k, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(size) FILTER (fault), 0) AS lost_chars FROM f GROUP BY k),
+c AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+      coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(lost_chars, 0)::BIGINT AS lost_chars FROM t LEFT JOIN r USING (k) LEFT JOIN g USING (k)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c)
+SELECT *, NOT base_failed AND lost_chars <= {rules.most_lost} * word_chars AS kept FROM b
+"""
+
+
+ORACLE_SQL = _sql()

@@ -67,5 +67,13 @@ def op10_byte_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: DuckDB has no CRC-32, so the checksum is left to the tests; all else is compared.
-ORACLE_SQL = None
+#: CRC-32 byte by byte, as DuckDB has none: `tab` holds the remainders of the 256 bytes.
+ORACLE_SQL = """
+WITH r AS (SELECT list_transform(range(256), lambda i: list_reduce(range(1, 9), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i)) AS tab),
+d AS (SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
+      xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)::BIGINT AS text_crc32
+      FROM documents, r),
+o AS (SELECT *, row_number() OVER w - 1 AS place, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32 ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS whole FROM d WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32)),
+s AS (SELECT *, least(15, ((upto * 2 - size) * 16) // (2 * whole))::INTEGER AS shard FROM o)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, (place - min(place) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INTEGER AS grown_shard FROM s
+"""
