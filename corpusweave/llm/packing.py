@@ -23,8 +23,8 @@ END_ID = 0
 _UNIT = re.compile(r"[ \n]*+[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?=[.,!&%$*|])|[ \n]*+[^ \n]++|[ \n]+$")
 #: White space other than blank and line feed: such texts are encoded whole.
 _OTHER_SPACE = re.compile("[\t\r\f\v\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Encoded units that a worker remembers, and those encoded as one string.
-_REMEMBER = 1_200_000
+#: Encoded units that a worker remembers from task to task (about 200 bytes each), and those encoded as one string.
+_REMEMBER = 500_000
 _AT_ONCE = 2000
 #: UTF-8 bytes of texts that are encoded in one go.
 ENCODED_BYTES = 2_000_000
@@ -106,6 +106,16 @@ class Encoder:
         return out
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def shared_encoder(path: str) -> Encoder:
+    """This worker's encoder, which remembers the units of its earlier tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 
 
@@ -254,7 +264,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id (gapless from 0), offset, and ids if with_ids.
     """
     path = path or tokenizer_path()
-    found = cut_lineage(pieces(docs, lambda: Encoder(path), window, end_id, with_ids))
+    found = cut_lineage(pieces(docs, lambda: shared_encoder(path), window, end_id, with_ids))
     counts = found.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     lengths = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `window` rows
     places = docs.sparkSession.sparkContext.broadcast(Places(lengths, window))
