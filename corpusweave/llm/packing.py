@@ -23,8 +23,9 @@ END_ID = 0
 _UNIT = re.compile(r"[ \n]*+[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?=[.,!&%$*|])|[ \n]*+[^ \n]++|[ \n]+$")
 #: White space other than blank and line feed: such texts are encoded whole.
 _OTHER_SPACE = re.compile("[\t\r\f\v\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Encoded units that a worker remembers from task to task (about 200 bytes each), and those encoded as one string.
-_REMEMBER = 500_000
+#: Encoded units that a worker remembers from task to task (about 200 bytes each; those not met lately go first), and those encoded as one
+#: string.
+_REMEMBER = 600_000
 _AT_ONCE = 2000
 #: UTF-8 bytes of texts that are encoded in one go.
 ENCODED_BYTES = 2_000_000
@@ -46,6 +47,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.seen: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         vocab = self.tokenizer.get_vocab()
         self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)  # each character of a byte-level token is a byte
         for token, i in vocab.items():
@@ -74,8 +76,8 @@ class Encoder:
                 at = end
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.seen) > _REMEMBER:
-            self.seen.clear()
+        if len(self.seen) > _REMEMBER // 2:
+            self.old, self.seen = self.seen, {}
         out: list = [None] * len(texts)
         whole, open_texts, new = [], [], set()
         for k, text in enumerate(texts):
@@ -96,7 +98,8 @@ class Encoder:
                 open_texts.append((k, units, ids, missing))
             else:
                 out[k] = b"".join(ids)
-        self._learn(list(new))
+        self.seen.update((u, ids) for u in new if (ids := self.old.get(u)) is not None)
+        self._learn([u for u in new if u not in self.seen])
         for k, units, ids, missing in open_texts:
             for at in missing:
                 ids[at] = self.seen[units[at]]
