@@ -25,7 +25,7 @@ _UNIT = re.compile(r"[ \n]*+[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?=[.,!&%$*|])|
 _OTHER_SPACE = re.compile("[\t\r\f\v\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Encoded units that a worker remembers from task to task (about 200 bytes each; those not met lately go first), and those encoded as one
 #: string.
-_REMEMBER = 400_000
+_REMEMBER = 1_000_000
 _AT_ONCE = 200
 #: UTF-8 bytes of texts that are encoded in one go.
 ENCODED_BYTES = 2_000_000
