@@ -25,7 +25,7 @@ _UNIT = re.compile(r"[ \n]*+[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?=[.,!&%$*|])|
 _OTHER_SPACE = re.compile("[\t\r\f\v\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Encoded units that a worker remembers from task to task (about 200 bytes each; those not met lately go first), and those encoded as one
 #: string.
-_REMEMBER = 1_000_000
+_REMEMBER = 400_000
 _AT_ONCE = 200
 #: UTF-8 bytes of texts that are encoded in one go.
 ENCODED_BYTES = 2_000_000
@@ -40,7 +40,8 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 class Encoder:
     """Token ids of texts, as little-endian unsigned 32-bit bytes. A unit that was seen before isn't encoded again."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = _REMEMBER):
+        self.remember = remember
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -76,7 +77,7 @@ class Encoder:
                 at = end
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.seen) > _REMEMBER // 2:
+        if len(self.seen) > self.remember // 2:
             self.old, self.seen = self.seen, {}
         out: list = [None] * len(texts)
         whole, open_texts, new = [], [], set()
@@ -109,14 +110,14 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def shared_encoder(path: str) -> Encoder:
+def shared_encoder(path: str, remember: int = _REMEMBER) -> Encoder:
     """This worker's encoder, which remembers the units of its earlier tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, remember) not in _ENCODERS:
+        _ENCODERS[path, remember] = Encoder(path, remember)
+    return _ENCODERS[path, remember]
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
@@ -256,18 +257,19 @@ class Places:
         return sequence, offset
 
 
-def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False, remember: int = _REMEMBER) -> DataFrame:
     """Packs every document's ids, whole texts, into sequences of at most `window` ids with little padding.
 
     One best-fit-decreasing packing over all pieces: only the histogram of their lengths (at most `window` rows) comes to the
     driver, and the plan made from it goes to the tasks; a piece finds its place by its rank among the pieces of its length,
     which is its partition's offset (a join) plus its number there. A length that all pieces share is thus no hot key.
 
+    A worker remembers the ids of at most `remember` units, about 200 bytes each; more of them save time and alter no result.
     Null or empty text: the end id alone. Null id: kept as null. Repeated rows: each is packed. Empty input: no rows.
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id (gapless from 0), offset, and ids if with_ids.
     """
     path = path or tokenizer_path()
-    found = cut_lineage(pieces(docs, lambda: shared_encoder(path), window, end_id, with_ids))
+    found = cut_lineage(pieces(docs, lambda: shared_encoder(path, remember), window, end_id, with_ids))
     counts = found.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     lengths = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `window` rows
     places = docs.sparkSession.sparkContext.broadcast(Places(lengths, window))
@@ -289,7 +291,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 1024 ids."""
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(spark, sf_dir, "documents"), remember=1_000_000)
 
 
 #: SQL has no tokeniser; brute force and round trips are in the tests.

@@ -184,6 +184,13 @@ def test_encoder_same_as_whole_texts():
     assert e(texts) == e._encode(texts)
 
 
+def test_encoder_that_remembers_little():
+    texts = [f"wörd{k % 7} x{k}.  and {k},\nthe {k % 3}" for k in range(200)]
+    few, many = (packing.Encoder(packing.tokenizer_path(), n) for n in (4, 1_000_000))
+    for k in range(0, 200, 20):
+        assert few(texts[k : k + 20]) == many(texts[k : k + 20]) == many._encode(texts[k : k + 20])
+
+
 def test_pack_round_trip(spark, frame, odd_texts):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     e = packing.Encoder(packing.tokenizer_path())
