@@ -63,6 +63,15 @@ _SUFFIX = re.compile(r"[ \t]*(?:\*+/|-->)[ \t]*$", re.M)
 _END = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
+#: A line that names licences by identifiers: one, then any number joined by AND or OR; an exception after WITH is no licence.
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*(\(*[A-Za-z0-9][\w.+-]*\)*(?:[ \t]+(?:AND|OR|WITH|and|or|with)[ \t]+\(*[A-Za-z0-9][\w.+-]*\)*)*)")
+_OPERAND = re.compile(r"(?:(?:^|[ \t])(with|and|or)[ \t]+)?\(*([A-Za-z0-9][\w.+-]*)\)*", re.I)
+
+
+def _spdx(expression: str) -> list[str]:
+    return [m[2] for m in _OPERAND.finditer(expression) if (m[1] or "").lower() != "with"]
+
+
 def normalised(sentence: str) -> str:
     """Lower case, letters and digits only, single blanks; points inside numbers stay."""
     return " ".join(re.sub(r"(?<![0-9])\.|\.(?![0-9])|[^\w.]|_", " ", sentence.lower()).split())
@@ -86,13 +95,23 @@ def _named(sentence: str) -> tuple[str, bool]:
 
 
 def sentences(text: str) -> list[str]:
-    """The known sentences' identifiers in order of appearance, '' for any other sentence. A sentence may run over line ends, comment
+    """The known sentences' identifiers in order of appearance, '' for any other sentence, 'spdx:' and the identifier for each licence of
+    an SPDX line. A sentence may run over line ends, comment
     signs and full stops inside it: the longest run of pieces that is a known sentence counts."""
     text = _PREFIX.sub("", _SUFFIX.sub("", text))
+    text = re.sub(r"(SPDX-License-Identifier:[^\n]*\n)", r"\1\n", text)  # an SPDX line goes on to no other
     flat = re.sub(r"[ \t\r\f\v]*\n(?=[a-z(])", " ", text)
-    pieces = [x for s in _END.split(flat) if s.strip() for x in [normalised(s)] if x]
+    pieces = []
+    for s in _END.split(flat):
+        spdx = _SPDX.search(s)
+        pieces += [x for x in [normalised(s[: spdx.start()] if spdx else s)] if x]
+        pieces += [f"spdx:{name}" for name in (_spdx(spdx[1]) if spdx else [])]  # no normalised sentence holds a colon
     out, at = [], 0
     while at < len(pieces):
+        if pieces[at].startswith("spdx:"):
+            out.append(pieces[at])
+            at += 1
+            continue
         found, size, joined = "", 1, ""
         for n, piece in enumerate(pieces[at:], 1) if pieces[at] in _BEGUN or _named(pieces[at])[1] else [(1, pieces[at])]:
             joined = f"{joined} {piece}".lstrip()
@@ -126,7 +145,10 @@ def scan(text: str | None) -> list[tuple[str, list[str]]]:
         return []
     ids, out, at = sentences(text), [], 0
     while at < len(ids):
-        rule, end = next(((r, e) for r in RULES if ids[at] and (e := _matched(ids, at, r[1]))), (None, 0))
+        if ids[at].startswith("spdx:"):
+            rule, end = (ids[at][5:], [ids[at]]), at + 1
+        else:
+            rule, end = next(((r, e) for r in RULES if ids[at] and (e := _matched(ids, at, r[1]))), (None, 0))
         if rule:
             out.append(rule)
         at = end or at + 1

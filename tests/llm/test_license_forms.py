@@ -42,3 +42,19 @@ GPL2 = "# This program is free software; you can redistribute it and/or modify\n
 )
 def test_forms(text, want):
     assert [n for n, _ in licenses.scan(text)] == want
+
+
+@pytest.mark.parametrize(
+    ("line", "want"),
+    [
+        ("SPDX-License-Identifier: MIT", ["MIT"]), ("SPDX-License-Identifier: GPL-2.0-or-later OR BSD-3-Clause", ["GPL-2.0-or-later", "BSD-3-Clause"]), ("SPDX-License-Identifier:", []),
+        ("SPDX-License-Identifier: (MIT AND (LGPL-2.1+ OR Apache-2.0))", ["MIT", "LGPL-2.1+", "Apache-2.0"]), ("SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0", ["GPL-2.0"]),
+    ],
+)
+@pytest.mark.parametrize("form", ["{}", "# {}\nimport x", "// {}\nint x;", "/* {} */", " * {}\n(c) 2020 A", "Copyright A. {}"])
+def test_spdx_lines(line, want, form):
+    assert [n for n, _ in licenses.scan(form.format(line))] == want
+
+
+def test_spdx_line_between_sentences():
+    assert [n for n, _ in licenses.scan(f"SPDX-License-Identifier: ISC\n{APACHE}")] == ["ISC", "Apache-2.0"]
