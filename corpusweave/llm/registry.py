@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusweave.llm import chat, decontamination, licenses, ngram_join, packing, pii, quality_classifier, quality_rules, sharding, toxicity
+from corpusweave.llm import chat, decontamination, filter_audit, hard_negatives, licenses, ngram_join, packing, pii, quality_classifier, quality_rules, sharding, topk_search, toxicity
 
-_MODULES = [ngram_join, quality_rules, chat, quality_classifier, packing, licenses, decontamination, toxicity, pii, sharding]
+_MODULES = [ngram_join, quality_rules, chat, quality_classifier, packing, licenses, decontamination, toxicity, pii, sharding, topk_search, hard_negatives, filter_audit]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
