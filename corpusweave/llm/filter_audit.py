@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from corpusweave.llm.common import partitions, small_batches, table
 
-#: UTF-8 bytes of distinct texts that a task holds to find copies among its own rows, before the rest is shuffled.
+#: UTF-8 bytes of distinct texts that a task holds to find copies among its own rows, before the rest is shuffled; and of texts that a partition is
+#: meant to get then.
 HELD_BYTES = 64_000_000
 _CAPITALS = bytes(range(65, 91))
 _INNER = bytes(range(128, 192))  # bytes of a code point after its first
@@ -111,7 +112,8 @@ def masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long"), text.cast("binary"), F.xxhash64(text), F.coalesce(F.col(f"`{part_col}`").cast("string"), F.lit("")))
     local: RDD = rows.rdd.mapPartitions(_local(held_bytes))
-    n = partitions(docs.sparkSession)
+    # An RDD's partitions aren't sized while it runs, so their number follows the bytes of all texts.
+    n = max(partitions(docs.sparkSession), (docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // held_bytes + 1)
     # Settled rows have no text any more: they stay with their task's output, the others are dealt out by fingerprint.
     routed = local.filter(lambda x: x[0] is not None).repartitionAndSortWithinPartitions(n, lambda key: key[0] % n)
     settled = local.filter(lambda x: x[0] is None).values().union(routed.mapPartitions(_least))
