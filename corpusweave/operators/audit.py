@@ -92,6 +92,13 @@ def audit(items: DataFrame, patterns: DataFrame, pages: DataFrame | None = None,
     )
 
 
+def to_visit(audited: DataFrame, key: str = "codelist_code", uri: str = "item_uri") -> DataFrame:
+    """code, stage and request: the present and the expected address of each item whose URI is well-formed but not the expected one."""
+    off = audited.where("category IN ('base_mismatch', 'tail_mismatch', 'mismatch')")
+    sides = F.array(*(F.struct(F.lit(stage).alias("stage"), c.alias("request")) for stage, c in (("deref_current", normalize_uri(uri)), ("deref_expected", F.col("expected_uri")))))
+    return off.select(F.col(key).alias("code"), F.explode(sides).alias("x")).select("code", "x.stage", "x.request").where("request IS NOT NULL").distinct()
+
+
 def blocked(audited: DataFrame, key: str = "codelist_code") -> DataFrame:
     """Lists that strict auditing keeps from publication."""
     return audited.groupBy(key).agg(F.bool_or(F.col("level") == "error").alias("validation_blocked"))

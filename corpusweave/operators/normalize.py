@@ -84,14 +84,19 @@ def relations_raw(items: DataFrame) -> DataFrame:
     return stacked.select("source_id", "x.relation", F.posexplode("x.v").alias("pos", "raw_value"))
 
 
+def owners(headers: DataFrame) -> DataFrame:
+    """code and uuid: the last UUID of the manager in force, if there is one."""
+    from corpusweave.functions.temporal import current_or_latest
+
+    value = lambda c: current_or_latest(F.transform(c, lambda x: F.struct(F.lit(None).cast("string").alias("language"), x["value"].alias("value"), x["effectiveFrom"].alias("effectiveFrom"), x["effectiveTo"].alias("effectiveTo"))))["value"]
+    return headers.select("code", owner_uuid(F.coalesce(value("mainCodelistManagers"), value("codelistManagers"))).alias("uuid"))
+
+
 def publisher_icos(headers: DataFrame, ci: DataFrame) -> DataFrame:
     """code, ico and what failed: the manager in force's last UUID, looked up among the configuration items."""
     from corpusweave.functions.scalars import ci_attribute
-    from corpusweave.functions.temporal import current_or_latest
 
-    value = lambda c: current_or_latest(F.transform(c, lambda x: F.struct(F.lit(None).cast("string").alias("language"), x["value"].alias("value"), x["effectiveFrom"].alias("effectiveFrom"), x["effectiveTo"].alias("effectiveTo"))))["value"]
-    owners = headers.select("code", owner_uuid(F.coalesce(value("mainCodelistManagers"), value("codelistManagers"))).alias("uuid"))
     found = ci.select("uuid", F.lit(True).alias("known"), sanitize_ico(ci_attribute("attributes", "EA_Profil_PO_ico")).alias("ico"))
-    return owners.join(found, "uuid", "left").select(
+    return owners(headers).join(found, "uuid", "left").select(
         "code", "ico", F.when(F.col("uuid").isNull(), "no owner").when(F.col("known").isNull(), "owner not found").when(F.col("ico").isNull(), "owner without a number").alias("failure")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -127,28 +129,49 @@ def resolve_configured(raw: DataFrame, items: DataFrame, hierarchy: dict[str, st
 
 
 def with_external_predicate(edges: DataFrame, predicates: dict[str, str | dict[str, str]]) -> DataFrame:
-    """The predicate of the longest configured base that begins each edge's URI: the relation's own, else the base's default, else null."""
-    rows = [(base, rel, p) for base, v in predicates.items() for rel, p in ({"default": v} if isinstance(v, str) else v).items()]
-    known = F.broadcast(edges.sparkSession.createDataFrame(rows or [(None, None, None)], "base string, rel string, predicate string"))  # one row a configured base
+    """The predicate of the longest configured base that begins each edge's URI: the relation's own, else the base's default, else null.
+
+    A URI meets bases by its beginnings of the lengths that bases have, in an equi-join: each URI becomes as many rows as there are such lengths that it
+    reaches, however many bases there are.
+    """
+    spark = edges.sparkSession
+    own = lambda v: {"default": v} if isinstance(v, str) else v
+    known = spark.createDataFrame([(b, [*own(v).items()]) for b, v in predicates.items()] or [(None, None)], "base string, by array<struct<rel:string,predicate:string>>")
+    by = F.map_from_entries("by")
+    known = F.broadcast(known.where("base IS NOT NULL").select("base", by.alias("by")))  # one row a configured base
+    lengths = sorted({len(b) for b in predicates})
+    beginnings = F.transform(F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("uri")), lambda n: F.substring("uri", F.lit(1), n))
     key = ["source_id", "relation", "uri"]
-    longest = F.struct(F.length("base"), (F.col("rel") == F.col("relation")).cast("int"))
-    best = edges.select(*key).join(known, F.col("uri").startswith(F.col("base")) & F.col("rel").isin("default") | F.col("uri").startswith(F.col("base")) & (F.col("rel") == F.col("relation"))).groupBy(*key).agg(F.max_by("predicate", longest).alias("predicate"))
-    return edges.join(best, key, "left")
+    met = edges.select(*key, F.explode(beginnings).alias("base")).join(known, "base")
+    best = met.groupBy(*key).agg(F.max_by("by", F.length("base")).alias("by"))
+    predicate = F.coalesce(F.try_element_at("by", F.col("relation")), F.try_element_at("by", F.lit("default")))
+    return edges.join(best.select(*key, predicate.alias("predicate")), key, "left")
+
 
+def organisations(ci: DataFrame, number: Column) -> DataFrame:
+    """Numbers that exactly one organisation (PO) has, if that has an ICO. ci: uuid, type, attributes."""
+    from corpusweave.functions.scalars import ci_attribute
 
-def lookup_organisations(raw: DataFrame, ci: DataFrame, attribute: str) -> DataFrame:
+    # The attributes of an organisation.
+    hits = ci.select("uuid", F.coalesce(nonblank("type"), F.lit("PO")).alias("citype"), number.alias("number"), ci_attribute("attributes", "Gen_Profil_nazov", "Gen_Profil_anglicky_nazov").alias("name"), ci_attribute("attributes", "EA_Profil_PO_ico").alias("ico"))
+    return hits.where("number IS NOT NULL AND citype = 'PO'").groupBy("number").agg(F.count(F.lit(1)).alias("n"), *(F.min(c).alias(c) for c in ("uuid", "citype", "name", "ico"))).where("n = 1 AND ico IS NOT NULL")
+
+
+def lookup_organisations(raw: DataFrame, ci: DataFrame | Callable[[DataFrame], DataFrame], attribute: str) -> DataFrame:
     """Values of up to eight digits that exactly one organisation's attribute has, as external targets; without a URI none. Of the
-    configuration items only organisations (PO) take part."""
+    configuration items only organisations (PO) take part. Instead of a table, ci may be a search: given the distinct numbers, it returns its hits
+    (number, uuid, type, attributes), and a number with one hit counts."""
     from corpusweave.functions.scalars import ci_attribute, looks_like_ico
 
     wanted = raw.where(looks_like_ico("raw_value")).select(*_KEY, "raw_value", normalize_ico("raw_value").alias("number"))
-    # The attributes of an organisation.
-    hits = ci.select("uuid", F.coalesce(nonblank("type"), F.lit("PO")).alias("citype"), normalize_ico(ci_attribute("attributes", attribute)).alias("number"), ci_attribute("attributes", "Gen_Profil_nazov", "Gen_Profil_anglicky_nazov").alias("name"), ci_attribute("attributes", "EA_Profil_PO_ico").alias("ico"))
-    one = hits.where("number IS NOT NULL AND citype = 'PO'").groupBy("number").agg(F.count(F.lit(1)).alias("n"), *(F.min(c).alias(c) for c in ("uuid", "citype", "name", "ico"))).where("n = 1 AND ico IS NOT NULL")
+    if callable(ci):
+        one = organisations(ci(wanted.select("number").where("number IS NOT NULL").distinct()), F.col("number"))
+    else:
+        one = organisations(ci, normalize_ico(ci_attribute("attributes", attribute)))
     return wanted.join(one, "number").select(*_KEY, "raw_value", F.lit("legal_subject").alias("kind"), F.col("ico").alias("identifier"), "name", "citype", "uuid", F.lit("ico_lookup").alias("matched_via"), F.lit(attribute).alias("matched_attribute"))
 
 
-def resolve_globally(raw: DataFrame, items: DataFrame, ci: DataFrame | None = None, attribute: str = "Gen_Profil_kod_metais", pick_top: bool = False) -> dict[str, DataFrame]:
+def resolve_globally(raw: DataFrame, items: DataFrame, ci: DataFrame | Callable[[DataFrame], DataFrame] | None = None, attribute: str = "Gen_Profil_kod_metais", pick_top: bool = False) -> dict[str, DataFrame]:
     """edges, external_edges, no_match and ambiguous over all items: all targets of a value count; values without any are looked up
     as organisations, and then scored against what their text may mean. pick_top also accepts recommended candidates."""
     from corpusweave.operators.score import rank_candidates

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,17 +17,21 @@ from corpusweave.sources.config import Config
 
 @dataclass(frozen=True)
 class Bronze:
-    """headers, details (one row a code), items (with code and pos), ci, ontology (code and class arrays); or None: pages (url, status, body),
-    integration (code, url, status, reason, body) and requests (code, stage, url, status, reason) as they were answered."""
+    """headers, details (one row a code), items (with code and pos), ci, ontology (code and class arrays); or None: pages (url, status, body), or a function
+    that asks for them (code, stage, request), integration (code, url, status, reason, body) and requests (code, stage, url, status, reason) as they
+    were answered, notes (code, level, message) of what went wrong before, quarantine of what is no row, and a search of organisations by number."""
 
     headers: DataFrame
     details: DataFrame
     items: DataFrame
     ci: DataFrame
     ontology: DataFrame
-    pages: DataFrame | None = None
+    pages: DataFrame | Callable[[DataFrame], DataFrame] | None = None
     integration: DataFrame | None = None
     requests: DataFrame | None = None
+    notes: DataFrame | None = None
+    quarantine: DataFrame | None = None
+    organisations: Callable[[DataFrame], DataFrame] | None = None
 
 
 @dataclass(frozen=True)
@@ -90,7 +95,7 @@ def _order_key(state: str):
 
 
 def run(bronze: Bronze, config: Config = Config(), options: Options = Options()) -> dict[str, DataFrame]:
-    """codelists, items, edges, external_edges, no_match, (ambiguous,) triples, issues, header_issues, item_issues, codes, summary, http_log.
+    """codelists, items, edges, external_edges, no_match, (ambiguous,) triples, issues, header_issues, item_issues, codes, summary, http_log, (quarantine).
 
     A list fails without a start date, a base header or a valid item URI, or if strict auditing finds anything; ignored lists take part
     in the resolution but aren't published.
@@ -101,7 +106,10 @@ def run(bronze: Bronze, config: Config = Config(), options: Options = Options())
     items = settled(items)
     patterns = settled(audit.infer_pattern(items, "code", "itemCode", "itemUri"))
     named = items.withColumn("name", F.try_element_at(F.map_values(_names()), F.lit(1)))
-    audited = audit.audit(named, patterns, bronze.pages, "code", "itemCode", "itemUri", "name", options.strict_uri_audit)
+    judge = lambda pages: audit.audit(named, patterns, pages, "code", "itemCode", "itemUri", "name", options.strict_uri_audit)
+    if callable(bronze.pages):
+        bronze = replace(bronze, pages=bronze.pages(audit.to_visit(judge(None), "code", "itemUri")))
+    audited = judge(None if bronze.pages is None else bronze.pages.select("url", "status", "body").dropDuplicates(["url"]))
     said = lambda df, message: df.select("code", F.lit("error").alias("level"), F.lit(message).alias("message"))
     issues = audited.select("code", "level", "message").unionByName(normalize.undated(details)).unionByName(said(patterns.where("base IS NULL"), "No valid item URI to infer the pattern from"))
     issues = issues.unionByName(patterns.where("bases > 1").select("code", F.lit("warning").alias("level"), F.concat(F.lit("Several URI bases: "), F.col("bases").cast("string")).alias("message")))
@@ -109,6 +117,8 @@ def run(bronze: Bronze, config: Config = Config(), options: Options = Options())
     if bronze.integration is not None:
         integration = settled(integration_status(bronze.integration.join(details.select("code"), "code", "left_semi")))
         issues = issues.unionByName(integration.where("message IS NOT NULL").select("code", F.lit("warning").alias("level"), "message"))
+    if bronze.notes is not None:
+        issues = issues.unionByName(bronze.notes.join(headers.select("code"), "code", "left_semi"))
     issues = settled(issues)
     failed = issues.where("level = 'error'").select("code").distinct()
     owners = normalize.publisher_icos(details, bronze.ci)
@@ -121,7 +131,7 @@ def run(bronze: Bronze, config: Config = Config(), options: Options = Options())
     if options.mode == "configured":
         found = resolve.resolve_configured(raw, all_items, config.hierarchy, config.external)
     else:
-        found = resolve.resolve_globally(raw, all_items, bronze.ci, pick_top=options.pick_top)
+        found = resolve.resolve_globally(raw, all_items, bronze.organisations or bronze.ci, pick_top=options.pick_top)
         found["external_edges"] = found["external_edges"].withColumn("uri", F.concat(F.lit(triples.PUBLISHERS), "identifier")).withColumn("predicate", F.lit(None).cast("string"))
     found = {name: settled(df) for name, df in found.items()}
     lists = without_ignored(whole, [*config.ignore])
@@ -131,13 +141,14 @@ def run(bronze: Bronze, config: Config = Config(), options: Options = Options())
     graph = settled(graph)
     issues = issues.unionByName(unpublished)
     made = graph.select("code").distinct().withColumn("ttl_created", F.lit(True))
-    processed = details.select("code").join(made, "code", "left").select("code", F.coalesce("ttl_created", F.lit(False)).alias("ttl_created"))
+    tried = details.select("code") if bronze.notes is None else details.select("code").union(bronze.notes.join(headers, "code", "left_semi").where("level = 'error'").select("code")).distinct()
+    processed = tried.join(made, "code", "left").select("code", F.coalesce("ttl_created", F.lit(False)).alias("ttl_created"))
     if integration is not None:
         processed = processed.join(integration.groupBy("code").agg(F.bool_and("ok").alias("integration_ok")), "code", "left").withColumn("integration_ok", F.coalesce("integration_ok", F.lit(True)))
     else:
         processed = processed.withColumn("integration_ok", F.lit(True))
     codes = reports.per_code(processed, issues, header_issues.select("code", "kind"), item_issues.select("code", "kind"))
-    return {**found, "codelists": lists, "items": emitted, "edges": edges, "external_edges": external, "triples": graph, "issues": issues, "header_issues": header_issues, "item_issues": item_issues, "codes": codes, "summary": reports.summary(codes), "http_log": http_log(bronze)}
+    return {**found, "codelists": lists, "items": emitted, "edges": edges, "external_edges": external, "triples": graph, "issues": issues, "header_issues": header_issues, "item_issues": item_issues, "codes": codes, "summary": reports.summary(codes), "http_log": http_log(bronze)} | ({} if bronze.quarantine is None else {"quarantine": bronze.quarantine})
 
 
 def http_log(bronze: Bronze) -> DataFrame:
@@ -148,7 +159,8 @@ def http_log(bronze: Bronze) -> DataFrame:
     if bronze.integration is not None:
         asked.append(bronze.integration.withColumn("stage", F.lit("integration")))
     if bronze.pages is not None:
-        asked.append(bronze.pages.withColumns({"code": F.lit(None).cast("string"), "stage": F.lit("deref"), "reason": F.lit(None).cast("string")}))
+        unsaid = {"code": F.lit(None).cast("string"), "stage": F.lit("deref"), "reason": F.lit(None).cast("string")}
+        asked.append(bronze.pages.withColumns({c: v for c, v in unsaid.items() if c not in bronze.pages.columns}))
     none = bronze.headers.sparkSession.createDataFrame([], "code string, stage string, url string, status int, reason string")
     return reduce(DataFrame.unionByName, map(failures, asked), none)
 
@@ -161,7 +173,7 @@ def _names():
 
 def write(tables: dict[str, DataFrame], path: str) -> None:
     """Tables as Parquet, the graph as Turtle, reports (of lists, server errors and relations) as JSON."""
-    for name in ("codelists", "items", "edges", "external_edges", "no_match", "ambiguous", "header_issues", "item_issues", "issues"):
+    for name in ("codelists", "items", "edges", "external_edges", "no_match", "ambiguous", "header_issues", "item_issues", "issues", "quarantine"):
         if name in tables:
             tables[name].write.mode("overwrite").parquet(f"{path}/{name}")
     triples.write_turtle(tables["triples"], f"{path}/ttl")

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from corpusweave.functions.temporal import ENTRIES
 
@@ -15,6 +12,7 @@ _PERIODS = "array<struct<language:string,value:string,effectiveFrom:string,effec
 _RELATION = "array<struct<value:string>>"
 HEADER = "id bigint, code string, codelistState string, temporal string, base string, validFrom string, effectiveFrom string, effectiveTo string, locked string, lockedBy string"
 DETAIL = f"code string, uri string, base string, validFrom string, effectiveFrom string, effectiveTo string, codelistNames {ENTRIES}, codelistLabels {ENTRIES}, codelistNotes {ENTRIES}, codelistSource array<string>, mainCodelistManagers {_MANAGERS}, codelistManagers {_MANAGERS}"
+CI = "uuid string, type string, attributes array<struct<name:string,value:string>>"
 ITEM = (
     "id bigint, itemCode string, itemUri string, codelistItemState string, temporal string, published boolean, validFrom string, effectiveTo string, "
     + ", ".join(f"codelistItem{n} {ENTRIES}" for n in ("Names", "Labels", "Notes", "AbbreviatedNames", "AdditionalContents"))
@@ -25,18 +23,52 @@ ITEM = (
 )
 
 
+def documents(spark: SparkSession, path: str) -> DataFrame:
+    """file, place and body of the JSON documents in a folder. Spark passes over files without a byte."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.col("path").alias("file"), F.lit(1).alias("place"), F.regexp_replace(F.col("content").cast("string"), "^\ufeff", "").alias("body"))
+
+
+def elements(docs: DataFrame, field: str) -> DataFrame:
+    """Every element of an array field (or of the whole document, if it is an array): the columns of docs but body, then pos, value (JSON) and
+    reason, which is null for objects and else says why it is no row.
+
+    A document without the field, or with an object there, counts as an array of one. A document that isn't JSON is one element without pos.
+    docs: file, place, body and more.
+    """
+    others = [c for c in docs.columns if c != "body"]
+    names = ", ".join(f"d.`{c}`" for c in others)
+    parsed = docs.withColumn("v", F.expr("try_parse_json(body)"))
+    found = docs.sparkSession.sql(
+        f"""SELECT {names}, x.pos, to_json(x.value) AS value, CASE WHEN schema_of_variant(x.value) NOT LIKE 'OBJECT%' THEN 'not an object' END AS reason
+        FROM (SELECT *, coalesce(try_variant_get(v, '$.{field}'), v) AS a FROM {{parsed}} WHERE v IS NOT NULL) d,
+        LATERAL variant_explode(CASE WHEN schema_of_variant(d.a) LIKE 'ARRAY%' THEN d.a ELSE parse_json(concat('[', to_json(d.a), ']')) END) x""",
+        parsed=parsed,
+    )
+    broken = parsed.where("v IS NULL").select(*others, F.lit(None).cast("int").alias("pos"), F.coalesce("body", F.lit("")).alias("value"), F.lit("not JSON").alias("reason"))
+    return found.unionByName(broken)
+
+
+def rows_of(docs: DataFrame, field: str, schema: str) -> DataFrame:
+    """The objects of an array field, with the columns of docs but body, and pos. What `elements` gives a reason for is left out (see `quarantine`); a
+    malformed field is null. Of several places (pages), the rows of later ones have greater pos."""
+    others = [c for c in docs.columns if c not in ("body", "place")]
+    pos = (F.col("place").cast("long") - 1) * (1 << 31) + F.col("pos")
+    rows = elements(docs, field).where("reason IS NULL")
+    return rows.select(*others, pos.alias("pos"), F.from_json("value", schema).alias("r")).select(*others, "pos", "r.*")
+
+
+def quarantine(docs: DataFrame, field: str) -> DataFrame:
+    """The elements that are no rows: the columns of docs but body, pos, value and reason. Each element of the input is either here or in `rows_of`."""
+    return elements(docs, field).where("reason IS NOT NULL")
+
+
 def read_rows(spark: SparkSession, path: str, field: str, schema: str) -> DataFrame:
     """The objects of an array field (or of the whole document, if it is an array) in JSON documents, with file and pos.
 
     What isn't an object is left out; a single object counts as an array of one; a malformed field is null.
     """
-    docs = spark.read.option("singleVariantColumn", "v").option("multiLine", True).json(path).select(F.col("_metadata.file_path").alias("file"), "v")
-    rows = spark.sql(
-        f"""SELECT d.file, x.pos, to_json(x.value) AS j FROM (SELECT file, coalesce(try_variant_get(v, '$.{field}'), v) AS a FROM {{documents}}) d,
-        LATERAL variant_explode(CASE WHEN schema_of_variant(d.a) LIKE 'ARRAY%' THEN d.a ELSE parse_json(concat('[', to_json(d.a), ']')) END) x WHERE schema_of_variant(x.value) LIKE 'OBJECT%'""",
-        documents=docs,
-    )
-    return rows.select("file", "pos", F.from_json("j", schema).alias("r")).select("file", "pos", "r.*")
+    return rows_of(documents(spark, path), field, schema)
 
 
 def read_headers(spark: SparkSession, path: str) -> DataFrame:
@@ -50,7 +82,7 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ci(spark: SparkSession, path: str) -> DataFrame:
     """Configuration items, from lists or from documents that hold them as configurationItemSet."""
-    return read_rows(spark, path, "configurationItemSet", "uuid string, type string, attributes array<struct<name:string,value:string>>").drop("file", "pos")
+    return read_rows(spark, path, "configurationItemSet", CI).drop("file", "pos")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -60,7 +92,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def request_urls(root: str, code: str = "code", codelist_id: str = "id") -> list:
-    """The three addresses of a list: integration XML, header and items."""
+    """The three addresses of a list: integration XML, header and items (the first page; `items_request` is for all)."""
     root = root.rstrip("/")
     return [
         F.format_string(f"{root}/api/integration/read/codelist/%s", F.col(code)).alias("xml_url"),
@@ -69,52 +101,35 @@ def request_urls(root: str, code: str = "code", codelist_id: str = "id") -> list
     ]
 
 
+def items_request(root: str, code: str = "code", per_page: int = 10_000):
+    """The address of a list's items, with {page} where the page number goes."""
+    tail = f"/codelistitems?language=sk&pageNumber={{page}}&perPage={per_page}&sortBy=itemCode&ascending=true&lang=sk"
+    return F.concat(F.lit(f"{root.rstrip('/')}/api/codelist-repo/codelists/codelistheaders/"), F.col(code), F.lit(tail))
+
+
+def headers_request(root: str, per_page: int = 10_000) -> str:
+    return f"{root.rstrip('/')}/api/codelist-repo/codelists/codelistheaders?language=sk&pageNumber={{page}}&perPage={per_page}"
+
+
 def fresh(files: DataFrame, seconds: int, now=None) -> DataFrame:
     """Rows whose modified time is at most so many seconds ago."""
     now = F.current_timestamp() if now is None else now
     return files.where(F.col("modified") >= now - F.make_dt_interval(secs=F.lit(seconds)))
 
 
-def _fetch(url: str, timeout: float) -> tuple[int, str, str]:
+def fetch(url: str, timeout: float, data: bytes | None = None) -> tuple[int, str, str]:
+    """status, reason, body; a failed connection is status 0. With data it is posted as JSON."""
     import urllib.error
     import urllib.request
 
     try:
-        with urllib.request.urlopen(url, timeout=timeout) as r:  # noqa: S310
+        ask = urllib.request.Request(url, data, {"Content-Type": "application/json"} if data is not None else {})  # noqa: S310
+        with urllib.request.urlopen(ask, timeout=timeout) as r:  # noqa: S310
             return r.status, r.reason, r.read().decode("utf-8", "replace")
     except urllib.error.HTTPError as e:
         return e.code, str(e.reason), e.read().decode("utf-8", "replace")
     except (OSError, ValueError) as e:
-        return 0, str(e), ""
-
-
-RESPONSE = "url string, status int, reason string, body string, modified timestamp, run string"
-
-
-def fetch_cached(requests: DataFrame, cache: str, max_age_seconds: int = 86_400, fetch: Callable[[str, float], tuple[int, str, str]] = _fetch, timeout: float = 60) -> DataFrame:
-    """requests (with a column url) with status, reason, body and cached. Good answers of the cache table that are no older than
-    max_age_seconds are taken from it; the others are fetched once for each address, by all executors, and appended to it. What is returned reads
-    the table, so later steps are repeatable. A failed connection is status 0."""
-    import datetime
-    from uuid import uuid4
-
-    from corpusweave.operators.dedup import last_wins
-
-    spark, run, now = requests.sparkSession, uuid4().hex, F.lit(datetime.datetime.now(datetime.UTC))
-    known = spark.read.schema(RESPONSE).parquet(cache) if exists(spark, cache) else spark.createDataFrame([], RESPONSE)
-    good = last_wins(fresh(known, max_age_seconds, now).where("status BETWEEN 200 AND 399"), "url", F.col("modified"), F.col("run")).select("url", "status", "reason", "body")
-    missing = requests.select("url").where("url IS NOT NULL").distinct().join(good, "url", "left_anti")
-
-    def ask(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            yield pd.DataFrame([(u, *fetch(u, timeout)) for u in pdf["url"]], columns=["url", "status", "reason", "body"])
-
-    answers = missing.mapInPandas(ask, "url string, status int, reason string, body string")
-    answers.select("*", now.alias("modified"), F.lit(run).alias("run")).write.mode("append").parquet(cache)
-    new = spark.read.schema(RESPONSE).parquet(cache).where(F.col("run") == run).select("url", "status", "reason", "body")
-    return requests.join(good.withColumn("cached", F.lit(True)).unionByName(new.withColumn("cached", F.lit(False))), "url", "left")
+        return 0, f"{type(e).__name__}: {e}", ""
 
 
 def failures(responses: DataFrame) -> DataFrame:
@@ -122,49 +137,18 @@ def failures(responses: DataFrame) -> DataFrame:
     return responses.where("status BETWEEN 500 AND 599").select("code", "stage", "url", "status", "reason")
 
 
-class HttpSource(DataSource):
-    """url, status, reason, body of addresses; a failed connection is status 0. Options: urls (line by line), per_task, timeout.
-
-    Use: spark.dataSource.register(HttpSource); spark.read.format("registry_http").option("urls", ...).load(). Write the result to a table
-    and read that: all later steps are then repeatable.
-    """
-
-    fetch: Callable[[str, float], tuple[int, str, str]] = staticmethod(_fetch)
-
-    @classmethod
-    def name(cls) -> str:
-        return "registry_http"
-
-    def schema(self) -> str:
-        return "url string, status int, reason string, body string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _HttpReader([u for u in self.options.get("urls", "").splitlines() if u.strip()], int(self.options.get("per_task", 50)), float(self.options.get("timeout", 60)), type(self).fetch)
-
-
-class _Urls(InputPartition):
-    def __init__(self, urls: list[str]):
-        self.urls = urls
-
-
-class _HttpReader(DataSourceReader):
-    def __init__(self, urls: list[str], per_task: int, timeout: float, fetch):
-        self.urls, self.per_task, self.timeout, self.fetch = urls, per_task, timeout, fetch
-
-    def partitions(self) -> list[InputPartition]:
-        return [_Urls(self.urls[i : i + self.per_task]) for i in range(0, len(self.urls), self.per_task)] or [_Urls([])]
-
-    def read(self, partition: _Urls) -> Iterator[tuple]:
-        for url in partition.urls:
-            yield (url, *self.fetch(url, self.timeout))
+def probes(answers: DataFrame) -> DataFrame:
+    """url and what came of asking for it, in words: the status and the length of the page, or why there is none."""
+    said = F.when(F.col("status") == 0, F.col("reason")).otherwise(F.format_string("HTTP %d, %d chars", "status", F.length(F.coalesce("body", F.lit("")))))
+    return answers.select("url", said.alias("probe"))
 
 
 def integration_status(responses: DataFrame) -> DataFrame:
     """code, ok, xml_parsed and message (null if all is well) of each list's integration answer. responses: code, url, status, reason, body."""
     ok = F.col("status").between(200, 399)
     parsed = integration_rows(responses, "x string")
-    failed = F.format_string("integration api failed with HTTP %d for %s; continuing from header+items JSON", "status", "url")
-    message = F.when(~F.coalesce(ok, F.lit(False)), failed).when(~F.col("xmlParsed"), F.lit("integration xml parse failed"))
+    failed = F.format_string("no integration document: HTTP %d from %s, so header and items are used alone", "status", "url")
+    message = F.when(~F.coalesce(ok, F.lit(False)), failed).when(~F.col("xmlParsed"), F.lit("the integration document isn't XML"))
     return parsed.select("code", F.coalesce(ok, F.lit(False)).alias("ok"), F.col("xmlParsed").alias("xml_parsed"), message.alias("message"))
 
 
