@@ -46,7 +46,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)")  # texts with such a string are encoded whole
         self.seen: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         vocab = self.tokenizer.get_vocab()
@@ -64,7 +65,11 @@ class Encoder:
         self.seen.update(zip(alone, self._encode(alone), strict=True))
         for i in range(0, len(joined), _AT_ONCE):
             part = joined[i : i + _AT_ONCE]
-            (ids,) = self._encode(["".join(part)])
+            text = "".join(part)
+            if self.added.search(text):
+                self.seen.update(zip(part, self._encode(part), strict=True))
+                continue
+            (ids,) = self._encode([text])
             upto = np.cumsum(self.bytes_of[np.frombuffer(ids, "<u4")])
             ends = np.cumsum([len(u.encode()) for u in part])
             cuts = np.searchsorted(upto, ends)
@@ -82,7 +87,7 @@ class Encoder:
         out: list = [None] * len(texts)
         whole, open_texts, new = [], [], set()
         for k, text in enumerate(texts):
-            if _OTHER_SPACE.search(text):
+            if _OTHER_SPACE.search(text) or self.added.search(text):
                 whole.append(k)
                 continue
             units = _UNIT.findall(text)

@@ -223,3 +223,17 @@ def test_pack_query_fill(spark):
     df = packing.op5_packing(spark, SF01)
     total, windows = df.agg(F.sum("length"), F.countDistinct("sequence_id")).first()
     assert total / windows > 0.98 * 1024
+
+
+def test_ids_with_strings_of_added_tokens():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    end = "<|endoftext|>"
+    texts = [f"{end}hello world", f"hello {end} world", f"hello world{end}", f"a {end}{end} b, c", end, f"x<|endoftext {end[:-1]}> y", "no such thing, here", f"über {end}\n\n  z"]
+    rng = random.Random(5)
+    units = ["a", " b", "\n", ".", end, "<|", "|>", " é", "'s", "endoftext", "\t"]
+    texts += ["".join(rng.choice(units) for _ in range(rng.randrange(25))) for _ in range(1500)]
+    got = packing.Encoder(packing.tokenizer_path())(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert np.frombuffer(got[1], "<u4").tolist() == [31373, 220, 50256, 995]
