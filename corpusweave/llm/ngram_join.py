@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -428,13 +429,33 @@ def _verify_some(docs: DataFrame, pairs: DataFrame, classes: DataFrame, how: Joi
     return None if pairs.isEmpty() else cut_lineage(_verify(docs, pairs, classes, how, order, n, False))
 
 
+def _listed(place: np.ndarray, token: np.ndarray, held_by: np.ndarray, n: int, how: Join) -> list[tuple[int, int]]:
+    """Of a set's open tokens, in order of place: the tokens that a similar set may meet it at, each with the largest size of such a set.
+
+    If a similar set leaves it b misses, the first `common` tokens that both share (or all they need) stand among the first b + common places. The
+    least held of these is what both meet at. At each token the set has so many tokens there that are held as much or more: the last of the
+    least `common` places of those says from which b on it may be the one. So a token that nearly all sets hold is met at by no more sets than
+    could be similar, unless rarer ones are few.
+    """
+    need = min(how.common, -(-how.percent * n // 100))
+    least, out, heap = -(-how.percent * n // 100), [], []
+    for k in np.lexsort((token, held_by))[::-1].tolist():  # most held first
+        heapq.heappush(heap, -int(place[k]))
+        if len(heap) > need:
+            heapq.heappop(heap)
+        if len(heap) == need:
+            b = max(0, max(int(place[k]), -heap[0]) - how.common + 1, int(place[k]) - k)  # place - k tokens before it are in no other component
+            largest = (n - b) * (100 + how.percent) // how.percent - n
+            if largest >= least:
+                out.append((int(token[k]), largest))
+    return out
+
+
 def _open(shared: DataFrame, part_of: DataFrame, how: Join) -> DataFrame:
     """A row of each class that may be similar to one of another component: its open tokens, those that several components have, by
-    place, and the rarest of these, one of which a similar set shares.
+    place, and those of them at which a similar set may meet it (see `_listed`), by exact counts. A hot token counts as open, and as the most held.
 
-    What stands in a prefix and isn't open is in no set of another component, so a token behind more misses than a similar set may
-    have can't help. A similar set has `common` of the rest (or all it needs), so it has one of the rest without any `common` - 1
-    of them: the most frequent by exact counts are left out. A hot token counts as open, and as the most frequent.
+    What stands in a prefix and isn't open is in no set of another component, so a token behind more misses than a similar set may have can't help.
     """
     sig = F.struct("s1", "s2")
     named = shared.select("token", "salt", "s1", "s2", "n", "place", sig.alias("node")).join(part_of, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("node")
@@ -444,27 +465,53 @@ def _open(shared: DataFrame, part_of: DataFrame, how: Join) -> DataFrame:
         .where("a <> b OR salt > 0").withColumn("held_by", F.when(F.col("salt") > 0, F.lit(1 << 40)).otherwise(F.col("held_by")))
     )
     least = f"least({how.common}, cast(ceil({how.percent}L * n / 100) AS int))"
-    return cut_lineage(
+    found = (
         opened.groupBy("s1", "s2", "n", "component").agg(F.sort_array(F.collect_list(F.struct("place", "token", "held_by"))).alias("all"))
         .withColumn("all", F.expr(f"filter(all, (x, i) -> x.place - i <= n - ceil({how.percent}L * n / 100))")).where(f"size(all) >= {least}")
-        .select("s1", "s2", "n", "component", "all.place", "all.token", F.expr(f"slice(array_sort(transform(all, (x, i) -> struct(x.held_by AS held_by, x.token AS token, x.place AS place, x.place - i AS missed))), 1, size(all) - {least} + 1)").alias("rare"))
+        .select("s1", "s2", F.col("n").cast("long").alias("n"), "component", F.expr("transform(all, x -> cast(x.place AS bigint))").alias("place"), "all.token", "all.held_by")
     )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("token", pa.int64()), ("largest", pa.int64())]))
+        for batch in batches:
+            lists = [batch.column(k) for k in (4, 5, 6)]
+            rows = zip(batch.column(2).to_pylist(), *([x.values.to_numpy() for x in col] for col in lists), strict=True)
+            met = [[{"token": t, "largest": m} for t, m in _listed(place, token, held_by, n, how)] for n, place, token, held_by in rows]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(met, kind)], names=[*batch.schema.names[:6], "met"])
+
+    ids = "component struct<s1:bigint,s2:bigint>"
+    return cut_lineage(found.mapInArrow(tidied(run), f"s1 long, s2 long, n long, {ids}, place array<bigint>, token array<bigint>, met array<struct<token:bigint,largest:bigint>>"))
+
+
+def _pairs(opened: DataFrame, how: Join) -> DataFrame:
+    """Pairs of open classes of different components (l1, l2: the smaller set; s1, s2) that meet at a token and whose sizes fit each other's there.
+
+    Sets are dealt by token and by classes of their own and the other's size, and components meet before sets do: neither sets of one component nor
+    sets whose sizes can't fit are paired first and left out then.
+    """
+    class_of = lambda c: F.floor(F.log(c.cast("double")) / float(np.log(1.05))).cast("int")
+    span = lambda a, b: F.explode(F.sequence(class_of(a), class_of(b)))
+    n, largest = F.col("n"), F.col("largest")
+    met = opened.select("s1", "s2", "n", "component", F.explode("met").alias("r")).select("s1", "s2", "n", "component", "r.*")
+    x = met.where(largest >= n).withColumn("kx", class_of(n)).withColumn("ky", span(n, largest))
+    y = met.withColumn("ky", class_of(n)).withColumn("kx", span(F.ceil(F.lit(how.percent) * n / 100), F.least(largest, n)))
+    key = ["token", "kx", "ky"]
+    side = lambda df, a: df.select(*key, *(F.col(c).alias(f"{a}_{c}") for c in ("component", "s1", "s2", "n", "largest")))
+    x, y = side(x, "x"), side(y, "y")
+    parts = x.select(*key, "x_component").distinct().join(y.select(*key, "y_component").distinct(), key).where("x_component <> y_component")
+    both = parts.join(x, [*key, "x_component"]).join(y, [*key, "y_component"])
+    smaller = "(x_n < y_n OR x_n = y_n AND (x_s1 < y_s1 OR x_s1 = y_s1 AND x_s2 < y_s2))"
+    fits = both.where(f"x_n <= y_largest AND y_n <= x_largest AND {smaller}")
+    return fits.select(F.col("x_s1").alias("l1"), F.col("x_s2").alias("l2"), F.col("y_s1").alias("s1"), F.col("y_s2").alias("s2")).distinct()
+
 
 def _candidates(opened: DataFrame, how: Join) -> DataFrame:
     """Pairs of open classes (l1, l2: the smaller set; s1, s2, n) of different components that share as much of their prefixes as similar sets do."""
-    need, lead = _need(how.percent, "x.n", "y.n"), ["s1", "s2", "n", "component"]
-    rare = opened.select(*lead, F.explode("rare").alias("r")).select(*lead, "r.token", "r.place", "r.missed")
-    near = lambda t: f"{t}.place < {t}.n - {need} + {how.common} AND {t}.missed <= {t}.n - {need}"
-    pairs = (
-        rare.alias("x")
-        .join(rare.alias("y"), F.expr(f"x.token = y.token AND x.component <> y.component AND (x.n < y.n OR x.n = y.n AND (x.s1 < y.s1 OR x.s1 = y.s1 AND x.s2 < y.s2)) AND 100L * x.n >= {how.percent}L * y.n AND {near('x')} AND {near('y')}"))
-        .select(F.col("x.s1").alias("l1"), F.col("x.s2").alias("l2"), F.col("y.s1").alias("s1"), F.col("y.s2").alias("s2")).distinct()
-    )
+    need = _need(how.percent, "x.n", "y.n")
     own = opened.select(F.col("s1").alias("l1"), F.col("s2").alias("l2"), F.struct("n", "place", "token").alias("x"))
     other = opened.select("s1", "s2", F.struct("n", "place", "token").alias("y"))
     prefix = lambda t: f"slice({t}.token, 1, size(filter({t}.place, p -> p < {t}.n - {need} + {how.common})))"
-    return pairs.join(own, ["l1", "l2"]).join(other, ["s1", "s2"]).where(f"size(array_intersect({prefix('x')}, {prefix('y')})) >= least({how.common}L, {need})").select("l1", "l2", "s1", "s2", F.col("y.n").alias("n"))
+    return _pairs(opened, how).join(own, ["l1", "l2"]).join(other, ["s1", "s2"]).where(f"size(array_intersect({prefix('x')}, {prefix('y')})) >= least({how.common}L, {need})").select("l1", "l2", "s1", "s2", F.col("y.n").alias("n"))
 
 
 def _need(percent: int, a: str, b: str) -> str:

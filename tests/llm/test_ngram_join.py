@@ -162,3 +162,53 @@ def test_components(spark):
 def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert got(ngram_join.op1_ngram_jaccard(spark, SF)) == brute(docs)
+
+
+def templated(n, inserted=3, length=84, seed=4):
+    """Texts of one template with inserted words, each of which three texts share: none alike enough, but all with most shingles in common."""
+    rng = random.Random(seed)
+    template = [f"t{k}" for k in range(length + 3)]
+    words = [f"w{k // 3}" for k in range(n * inserted)]
+    rng.shuffle(words)
+    out = []
+    for i in range(n):
+        w = list(template)
+        for word, at in zip(words[i * inserted :], rng.sample(range(4, length - 4, 5), inserted), strict=False):
+            w.insert(at, word)
+        out.append((i, " ".join(w)))
+    return out
+
+
+def test_templated_texts_are_not_all_paired(spark, frame, monkeypatch):
+    made = []
+    plain = ngram_join._pairs
+    monkeypatch.setattr(ngram_join, "_pairs", lambda opened, how: made.append(plain(opened, how).count()) or plain(opened, how))
+    for n in (150, 300, 600):
+        rows = templated(n)
+        assert got(jaccard_components(frame(rows))) == brute(rows)
+    assert made[2] < 3 * max(made[0], 600), made
+    for inserted in (1, 2, 4):
+        rows = templated(120, inserted)
+        assert got(jaccard_components(frame(rows))) == brute(rows)
+
+
+def test_listed_tokens_meet():
+    """Of all pairs of random sets that are similar, the two meet at a token that both list for each other's size."""
+    rng, how, met = random.Random(1), Join(common=3), 0
+    for _ in range(300):
+        pool = sorted(rng.sample(range(1000), 60))
+        held = {t: rng.randrange(1, 9) for t in range(1000)}
+        a = sorted(rng.sample(pool, rng.randrange(3, 50)))
+        b = sorted(set(a) - set(rng.sample(a, len(a) // 12)) | set(rng.sample(range(1000), rng.randrange(3))))
+        if 100 * len({*a} & {*b}) < how.percent * len({*a} | {*b}):
+            continue
+        listed = []
+        for s in (a, b):
+            least = -(-how.percent * len(s) // 100)
+            top = [(k, t) for k, t in enumerate(s) if t in a and t in b][: len(s)]  # open are at least those that both hold
+            top = [(k, t) for i, (k, t) in enumerate(top) if k - i <= len(s) - least and k < len(s) - least + how.common]
+            place, token = (np.array(x) for x in zip(*top, strict=True))
+            listed.append(dict(ngram_join._listed(place, token, np.array([held[t] for t in token]), len(s), how)))
+        assert any(listed[0][t] >= len(b) and listed[1].get(t, 0) >= len(a) for t in listed[0])
+        met += 1
+    assert met > 50
