@@ -1,4 +1,4 @@
-"""Ontology files (flat RDF/XML) to triples, the code-to-class map, and JSON-LD."""
+"""Ontology files (RDF/XML) to triples, the code-to-class map, and JSON-LD."""
 
 from __future__ import annotations
 
@@ -7,57 +7,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusweave.operators.triples import PREFIXES
+from corpusweave.sources.rdfxml import Reader
 
 # The ontologies, whose names are also their prefixes.
 ONTOLOGIES = ["egov", "fin", "pper", "leg", "loca", "lsub"]
-_RDF = "{" + PREFIXES["rdf"] + "}"
-_XML = "{http://www.w3.org/XML/1998/namespace}"
 _SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("graph", "s", "p", "o", "o_kind", "o_lang", "o_dtype")])
 
 
-def _parse(graph: str, content: bytes):
-    """Triples of Descriptions and typed nodes, nested ones included."""
-    import xml.etree.ElementTree as ET
-
-    fresh = iter(range(1 << 40))
-
-    def name(tag: str) -> str:
-        return tag[1:].replace("}", "", 1)
-
-    def node(e):
-        about, node_id = e.get(f"{_RDF}about"), e.get(f"{_RDF}nodeID")
-        s = about if about is not None else f"_:{graph}-{node_id or f'n{next(fresh)}'}"
-        if e.tag != f"{_RDF}Description":
-            yield s, PREFIXES["rdf"] + "type", name(e.tag), "iri", None, None
-        for child in e:
-            p, res, nid = name(child.tag), child.get(f"{_RDF}resource"), child.get(f"{_RDF}nodeID")
-            if res is not None:
-                yield s, p, res, "iri", None, None
-            elif nid is not None:
-                yield s, p, f"_:{graph}-{nid}", "bnode", None, None
-            elif len(child):
-                inner = list(node(child[0]))
-                about = child[0].get(f"{_RDF}about")
-                target = about if about is not None else (inner[0][0] if inner else f"_:{graph}-n{next(fresh)}")
-                yield s, p, target, "iri" if about is not None else "bnode", None, None
-                yield from inner
-            else:
-                yield s, p, child.text or "", "literal", child.get(f"{_XML}lang"), child.get(f"{_RDF}datatype")
-
-    for top in ET.fromstring(content):
-        yield from node(top)
-
-
-def read_rdf_xml(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """graph (file name without ending), s, p, o, o_kind, o_lang, o_dtype of RDF/XML files; each file is parsed in one task."""
+#: Triples that a task hands on at once.
+_AT_ONCE = 10_000
+
+
+def read_rdf_xml(spark: SparkSession, paths: list[str], base: str = "") -> DataFrame:
+    """graph (file name without ending), s, p, o, o_kind, o_lang, o_dtype of RDF/XML files. A file is read by one task, node by node; what that holds besides the
+    file's bytes is bounded by its largest top-level node."""
     files = spark.read.format("binaryFile").load(paths).select(F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1).alias("graph"), "content")
 
     def run(batches):
-        for pdf in batches:
-            import pandas as pd
+        from itertools import batched
 
-            for g, c in zip(pdf["graph"], pdf["content"], strict=True):
-                yield pd.DataFrame([(g, *t) for t in _parse(g, bytes(c))], columns=_SCHEMA.names, dtype=object)
+        import pandas as pd
+
+        for pdf in batches:
+            for graph, content in zip(pdf["graph"], pdf["content"], strict=True):
+                for some in batched(Reader(graph, base).read(bytes(content)), _AT_ONCE):
+                    yield pd.DataFrame([(graph, *t) for t in some], columns=_SCHEMA.names, dtype=object)
 
     return files.mapInPandas(run, _SCHEMA).dropDuplicates()
 
