@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,32 +67,73 @@ def context(ontology: str) -> dict:
     }
 
 
+_COERCED = [t for t, v in context("").items() if isinstance(v, dict)]
+_TERMS = {t: v["@id"] if isinstance(v, dict) else v for t, v in context("").items() if ":" in (v["@id"] if isinstance(v, dict) else v) and not (v if isinstance(v, str) else "").startswith("http")}
+_NAMESPACES = {t: v for t, v in context("").items() if isinstance(v, str) and v.startswith("http") and not t.startswith("@")}
+
+
+def _full(name: str) -> str:
+    prefix, local = name.split(":", 1)
+    return _NAMESPACES[prefix] + local
+
+
+def _prefixed(c: Column) -> Column:
+    """An IRI by the context's prefixes, else as it is; null if it can't be written in full either, as its scheme is a prefix."""
+    names = [F.when(c.startswith(ns) & (F.length(c) > len(ns)) & ~F.substring(c, len(ns) + 1, 2).eqNullSafe("//"), F.concat(F.lit(f"{p}:"), F.substring(c, F.lit(len(ns) + 1), F.length(c)))) for p, ns in _NAMESPACES.items()]
+    return F.coalesce(*names, c)
+
+
+def _by_vocabulary(c: Column, graph: Column) -> Column:
+    """An IRI of the ontology's own vocabulary as its local name, if that is no term and can't be taken for something else; else by prefix."""
+    vocab = F.concat(F.lit(context("\0")["@vocab"].split("\0")[0]), graph, F.lit(context("\0")["@vocab"].split("\0")[1]))
+    local = F.substring(c, F.length(vocab) + 1, F.length(c))
+    plain = F.startswith(c, vocab) & (F.length(local) > 0) & ~F.contains(local, F.lit(":")) & ~F.startswith(local, F.lit("@")) & ~local.isin(*context(""))
+    return F.when(plain, local).otherwise(_prefixed(c))
+
+
 def jsonld_nodes(triples: DataFrame) -> DataFrame:
-    """graph, s and the node object of each subject as JSON: predicates in full, values as @id, @value, @language or @type."""
+    """graph, s and the node object of each subject as JSON, compacted by the ontology's context.
+
+    A predicate becomes the context's term for it (a term that stands for references only with references), a name of the ontology's own vocabulary, or a prefixed
+    name; types become @type; values plain strings, references, language or type objects; one value stands without an array.
+    """
+    p, o, graph = F.col("p"), F.col("o"), F.col("graph")
+    a_type = (p == PREFIXES["rdf"] + "type") & (F.col("o_kind") != "literal")
+    term = F.coalesce(*(F.when((p == _full(name)) & ((F.col("o_kind") != "literal") if t in _COERCED else F.lit(True)), t) for t, name in _TERMS.items()))
+    key = F.when(a_type, "@type").otherwise(F.coalesce(term, _by_vocabulary(p, graph)))
+    text = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    reference = F.when(F.col("o_kind") == "iri", _prefixed(o)).otherwise(o)
+    literal = (
+        F.when(F.col("o_lang").isNotNull(), F.to_json(F.struct(F.col("o_lang").alias("@language"), o.alias("@value"))))
+        .when(F.col("o_dtype").isNotNull() & (F.col("o_dtype") != PREFIXES["xsd"] + "string"), F.to_json(F.struct(_by_vocabulary(F.col("o_dtype"), graph).alias("@type"), o.alias("@value"))))
+        .otherwise(text(o))
+    )
     value = (
-        F.when(F.col("o_kind") != "literal", F.to_json(F.struct(F.col("o").alias("@id"))))
-        .when(F.col("o_lang").isNotNull(), F.to_json(F.struct(F.col("o_lang").alias("@language"), F.col("o").alias("@value"))))
-        .when(F.col("o_dtype").isNotNull(), F.to_json(F.struct(F.col("o_dtype").alias("@type"), F.col("o").alias("@value"))))
-        .otherwise(F.to_json(F.struct(F.col("o").alias("@value"))))
-    )
-    quoted = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
-    per = triples.groupBy("graph", "s", "p").agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_set(value)), ","), F.lit("]")).alias("v"))
-    body = F.array_join(F.array_sort(F.collect_list(F.concat(quoted(F.col("p")), F.lit(":"), "v"))), ",")
-    return per.groupBy("graph", "s").agg(body.alias("body")).select("graph", "s", F.concat(F.lit('{"@id":'), quoted(F.col("s")), F.lit(","), "body", F.lit("}")).alias("node"))
-
-
-def jsonld_documents(triples: DataFrame) -> DataFrame:
-    """graph and its document: the ontology's context and all node objects. A graph is what one file holds, which one task has parsed whole."""
+        F.when(F.col("o_kind") == "literal", literal).when(a_type, text(F.when(F.col("o_kind") == "iri", _by_vocabulary(o, graph)).otherwise(o)))
+        .when(F.coalesce(term.isin(*_COERCED), F.lit(False)), text(reference)).otherwise(F.to_json(F.struct(reference.alias("@id"))))
+    )
+    per = triples.groupBy("graph", "s", key.alias("key")).agg(F.array_sort(F.collect_set(value)).alias("v"))
+    values = F.when(F.size("v") == 1, F.col("v")[0]).otherwise(F.concat(F.lit("["), F.array_join("v", ","), F.lit("]")))
+    body = F.array_join(F.array_sort(F.collect_list(F.concat(text(F.col("key")), F.lit(":"), values))), ",")
+    subject = text(F.when(F.col("s").startswith("_:"), F.col("s")).otherwise(_prefixed(F.col("s"))))
+    return per.groupBy("graph", "s").agg(body.alias("body")).select("graph", "s", F.concat(F.lit('{"@id":'), subject, F.lit(","), "body", F.lit("}")).alias("node"))
+
+
+def _head() -> Column:
     import json
 
     template, name = json.dumps(context("\0")), json.dumps("\0")[1:-1]
-    nodes = jsonld_nodes(triples).groupBy("graph").agg(F.array_join(F.array_sort(F.collect_list("node")), ",\n").alias("nodes"))
-    return nodes.select("graph", F.concat(F.lit('{"@context":'), F.replace(F.lit(template), F.lit(name), F.col("graph")), F.lit(',"@graph":['), "nodes", F.lit("]}")).alias("document"))
+    return F.concat(F.lit('{"@context":'), F.replace(F.lit(template), F.lit(name), F.col("graph")), F.lit(',"@graph":['))
 
 
 def write_jsonld(triples: DataFrame, path: str) -> None:
-    """A document for each graph, in a folder of its own."""
-    jsonld_documents(triples).repartition("graph").write.mode("overwrite").partitionBy("graph").text(path)
+    """A document `<graph>.jsonld` for each graph: the ontology's context and all its node objects, node by node, so that a graph may be of any size."""
+    from corpusweave.sources.documents import FOOT, HEAD, LINE, write_documents
+
+    graphs = triples.select("graph").distinct()
+    row = lambda df, part, text: df.select(F.col("graph").alias("name"), F.lit(part).alias("part"), text.alias("text"))
+    rows = row(graphs, HEAD, _head()).union(row(jsonld_nodes(triples), LINE, F.col("node"))).union(row(graphs, FOOT, F.lit("]}")))
+    write_documents(rows, path, ".jsonld", ",\n")
 
 
 def no_triples(spark: SparkSession) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusweave.functions.text import ttl_escape
+from corpusweave.functions.text import safe_prefix, ttl_escape
 
 # Namespaces of the published graph.
 PREFIXES = {
@@ -152,32 +152,84 @@ def ntriples(triples: DataFrame) -> DataFrame:
     return triples.select(*(c for c in triples.columns if c == "code"), F.concat(_subject(), F.lit(" <"), "p", F.lit("> "), _term("o_kind", "o"), F.lit(" .")).alias("line"))
 
 
-def short(c: str) -> Column:
-    """An IRI as a prefixed name, if it is in one of the namespaces and the rest is plain; else in angle brackets."""
+def short(c: str, own: Column | None = None) -> Column:
+    """An IRI as a prefixed name, if it is in one of the namespaces and the rest is plain; else in angle brackets. own: a map of more namespaces that end in
+    a slash to prefixes, by which names go first."""
     local = lambda ns: F.substring(c, F.lit(len(ns) + 1), F.length(c))
     names = [F.when(F.col(c).startswith(ns) & local(ns).rlike("^[A-Za-z][A-Za-z0-9_-]*$"), F.concat(F.lit(f"{p}:"), local(ns))) for p, ns in PREFIXES.items()]
+    if own is not None:
+        tail = F.regexp_extract(c, "[^/]*$", 0)
+        base = F.substring(c, F.lit(1), F.length(c) - F.length(tail))
+        names.insert(0, F.when(tail.rlike("^[A-Za-z0-9_](?:[A-Za-z0-9_-]*)$"), F.concat(F.try_element_at(own, base), F.lit(":"), tail)))
     return F.coalesce(*names, F.concat(F.lit("<"), c, F.lit(">")))
 
 
-def turtle_blocks(triples: DataFrame, keys: list[str] | None = None, prefixed: bool = False) -> DataFrame:
+def turtle_blocks(triples: DataFrame, keys: list[str] | None = None, prefixed: bool = False, own: str | None = None) -> DataFrame:
     """A Turtle block for each subject: predicates and objects in order. One subject's triples are gathered, not a graph's. prefixed: names of
-    the known namespaces are prefixed, which asks for prefix_lines above."""
-    object_ = F.when(F.col("o_kind") == "iri", short("o")).otherwise(_term("o_kind", "o")) if prefixed else _term("o_kind", "o")
+    the known namespaces, and of those in the map column `own`, are prefixed, which asks for their lines above."""
+    extra = F.col(own) if own else None
+    object_ = F.when(F.col("o_kind") == "iri", short("o", extra)).otherwise(_term("o_kind", "o")) if prefixed else _term("o_kind", "o")
     po = F.concat(short("p") if prefixed else F.concat(F.lit("<"), "p", F.lit(">")), F.lit(" "), object_)
+    subject = F.when(F.col("s").startswith("_:"), F.col("s")).otherwise(short("s", extra)) if prefixed and own else _subject()
     keys = keys if keys is not None else [c for c in triples.columns if c == "code"]
-    return triples.groupBy(*keys, _subject().alias("subject")).agg(F.array_join(F.array_sort(F.collect_list(po)), " ;\n    ").alias("body")).select(*keys, "subject", F.concat("subject", F.lit(" "), "body", F.lit(" .")).alias("block"))
+    return triples.groupBy(*keys, subject.alias("subject")).agg(F.array_join(F.array_sort(F.collect_list(po)), " ;\n    ").alias("body")).select(*keys, "subject", F.concat("subject", F.lit(" "), "body", F.lit(" .")).alias("block"))
 
 
 def prefix_lines() -> str:
     return "\n".join(f"@prefix {p}: <{ns}> ." for p, ns in PREFIXES.items())
 
 
-def write_turtle(triples: DataFrame, path: str, per_file: int = 500_000) -> None:
-    """Turtle text with prefixes, a folder for each code list; a large list has a file for every `per_file` triples, about."""
-    files = triples.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / per_file).cast("int").alias("files"))
-    blocks = turtle_blocks(triples, ["code"], prefixed=True).join(files, "code").select("code", F.pmod(F.xxhash64("subject"), F.col("files")).cast("int").alias("file"), "subject", "block")
-    heads = files.select("code", F.explode(F.sequence(F.lit(0), F.col("files") - 1)).alias("file"), F.lit("").alias("subject"), F.lit(prefix_lines()).alias("block"))
-    heads.union(blocks).repartition("code", "file").sortWithinPartitions("code", "file", "subject").select("code", "block").write.mode("overwrite").partitionBy("code").text(path)
+def prefix_aliases(wanted: DataFrame, taken: tuple[str, ...] = ()) -> DataFrame:
+    """code, other, alias: a prefix for each list that a document names, free of those that came before in the same document.
+
+    wanted: code (the document), other, preferred (a safe name), rank (order within the document, without ties). A list gets its preferred name; if that is
+    taken, the preferred name and its own code; if that is taken too, the preferred name and the first free number from 2. A document's lists are few beside
+    its triples, so they are folded in one row.
+    """
+    fallback = lambda x: F.concat(x["preferred"], F.lit("_"), safe_prefix(x["other"]))
+    numbered = lambda x, used: F.filter(F.transform(F.sequence(F.lit(2), F.size(used) + 3), lambda i: F.concat(x["preferred"], F.lit("_"), i.cast("string"))), lambda a: ~F.array_contains(used, a))[0]
+
+    def step(acc: Column, x: Column) -> Column:
+        used = acc["used"]
+        alias = F.when(~F.array_contains(used, x["preferred"]), x["preferred"]).when(~F.array_contains(used, fallback(x)), fallback(x)).otherwise(numbered(x, used))
+        return F.struct(F.array_append(used, alias).alias("used"), F.array_append(acc["out"], F.struct(x["other"].alias("other"), alias.alias("alias"))).alias("out"))
+
+    start = F.struct(F.array(*map(F.lit, taken)).cast("array<string>").alias("used"), F.array().cast("array<struct<other:string,alias:string>>").alias("out"))
+    lists = F.sort_array(F.collect_list(F.struct("rank", F.col("other").cast("string").alias("other"), F.col("preferred").cast("string").alias("preferred"))))
+    folded = wanted.groupBy("code").agg(lists.alias("lists")).select("code", F.aggregate("lists", start, step)["out"].alias("out"))
+    return folded.select("code", F.explode("out").alias("x")).select("code", "x.other", "x.alias")
+
+
+def list_prefixes(codelists: DataFrame, near: DataFrame) -> DataFrame:
+    """code, prefixes: of each list's document the item namespaces of the list itself and then of the lists that its edges lead to or come from, in order of their
+    codes, as a map to prefixes. codelists: code, item_prefix, uri_pattern; near: code, neighbours."""
+    others = near.select("code", F.explode("neighbours").alias("other")).where("code <> other").select("code", "other", F.lit(1).alias("later"))
+    both = codelists.select("code", F.col("code").alias("other"), F.lit(0).alias("later")).unionByName(others)
+    named = codelists.select(F.col("code").alias("other"), safe_prefix(F.coalesce(F.nullif("item_prefix", F.lit("")), "code")).alias("preferred"), "uri_pattern")
+    wanted = both.join(named, "other").select("code", "other", "preferred", "uri_pattern", F.struct("later", "other").alias("rank"))
+    aliases = prefix_aliases(wanted, (*PREFIXES, "codelist")).join(named.select("other", "uri_pattern"), "other")
+    by_namespace = aliases.where("uri_pattern LIKE '%/'").groupBy("code", "uri_pattern").agg(F.min("alias").alias("alias"))  # lists may share a namespace
+    return by_namespace.groupBy("code").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("uri_pattern", "alias")))).alias("prefixes"))
+
+
+def write_turtle(triples: DataFrame, path: str, prefixes: DataFrame | None = None, per_file: int = 500_000) -> None:
+    """A Turtle file `<code>.ttl` for each list that has triples, with its prefixes; a large list has one more, `<code>.1.ttl` and so on, for every `per_file`
+    triples, about. All are put in place at once when the whole write has succeeded; files of lists that have no triples any more go.
+
+    prefixes: code and a map of further namespaces to prefixes (see `list_prefixes`).
+    """
+    from corpusweave.sources.documents import FOOT, HEAD, LINE, write_documents
+
+    none = F.create_map().cast("map<string,string>")
+    own = prefixes.select("code", "prefixes") if prefixes is not None else triples.select("code").distinct().withColumn("prefixes", none)
+    files = triples.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / per_file).cast("int").alias("files")).join(own, "code", "left").withColumn("prefixes", F.coalesce("prefixes", none))
+    name = F.when(F.col("file") == 0, F.col("code")).otherwise(F.concat("code", F.lit("."), F.col("file").cast("string"))).alias("name")
+    blocks = turtle_blocks(triples.join(files, "code").withColumn("file", F.pmod(F.xxhash64("s"), F.col("files")).cast("int")), ["code", "file"], True, "prefixes")
+    lines = F.array_join(F.transform(F.map_entries("prefixes"), lambda e: F.concat(F.lit("@prefix "), e["value"], F.lit(": <"), e["key"], F.lit("> .\n"))), "")
+    heads = files.select("code", F.explode(F.sequence(F.lit(0), F.col("files") - 1)).alias("file"), F.concat(F.lit(prefix_lines() + "\n"), lines).alias("text"))
+    row = lambda df, part, text: df.select(name, F.lit(part).alias("part"), text)
+    rows = row(heads, HEAD, F.col("text")).union(row(blocks, LINE, F.col("block").alias("text"))).union(row(heads, FOOT, F.lit("\n").alias("text")))
+    write_documents(rows, path, ".ttl")
 
 
 def neighbours(edges: DataFrame, items: DataFrame) -> DataFrame:

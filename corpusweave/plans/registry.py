@@ -148,7 +148,8 @@ def run(bronze: Bronze, config: Config = Config(), options: Options = Options())
     else:
         processed = processed.withColumn("integration_ok", F.lit(True))
     codes = reports.per_code(processed, issues, header_issues.select("code", "kind"), item_issues.select("code", "kind"))
-    return {**found, "codelists": lists, "items": emitted, "edges": edges, "external_edges": external, "triples": graph, "issues": issues, "header_issues": header_issues, "item_issues": item_issues, "codes": codes, "summary": reports.summary(codes), "http_log": http_log(bronze)} | ({} if bronze.quarantine is None else {"quarantine": bronze.quarantine})
+    prefixes = triples.list_prefixes(lists, triples.neighbours(edges, emitted))
+    return {**found, "prefixes": prefixes, "codelists": lists, "items": emitted, "edges": edges, "external_edges": external, "triples": graph, "issues": issues, "header_issues": header_issues, "item_issues": item_issues, "codes": codes, "summary": reports.summary(codes), "http_log": http_log(bronze)} | ({} if bronze.quarantine is None else {"quarantine": bronze.quarantine})
 
 
 def http_log(bronze: Bronze) -> DataFrame:
@@ -176,7 +177,7 @@ def write(tables: dict[str, DataFrame], path: str) -> None:
     for name in ("codelists", "items", "edges", "external_edges", "no_match", "ambiguous", "header_issues", "item_issues", "issues", "quarantine"):
         if name in tables:
             tables[name].write.mode("overwrite").parquet(f"{path}/{name}")
-    triples.write_turtle(tables["triples"], f"{path}/ttl")
+    triples.write_turtle(tables["triples"], f"{path}/ttl", tables["prefixes"])
     reports.write_reports(tables["codes"], f"{path}/reports")
     reports.write_http_5xx(tables["http_log"], f"{path}/reports/http_5xx")
     reports.write_hierarchy_issues(tables, f"{path}/reports/hierarchy")
