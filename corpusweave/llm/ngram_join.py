@@ -381,7 +381,7 @@ def _id_filter(ids: DataFrame, bits: int, expected: int) -> np.ndarray:
     out = np.zeros(((1 << bits) // size, size // 8), np.uint8)
     for row in ids.where("id IS NOT NULL").coalesce(32).mapInArrow(tidied(run), "at long, bits binary").toLocalIterator():
         out[row.at] |= np.frombuffer(row.bits, np.uint8)
-    return np.unpackbits(out.reshape(-1)).view(bool)
+    return out.reshape(-1)
 
 
 def _bit(column: pa.Array, bits: int) -> np.ndarray:
@@ -390,12 +390,13 @@ def _bit(column: pa.Array, bits: int) -> np.ndarray:
 
 def _ordered_sets(docs: DataFrame, how: Join, order, wanted) -> DataFrame:
     """s1, s2 and the ordered shingles of the documents whose ids pass the filter (those without id always do)."""
-    bits = len(wanted.value).bit_length() - 1
+    bits = len(wanted.value).bit_length() + 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            keep = wanted.value[_bit(batch.column(0), bits)] | batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            at = _bit(batch.column(0), bits)
+            keep = (wanted.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool) | batch.column(0).is_null().to_numpy(zero_copy_only=False)
             for part in slices([batch.filter(pa.array(keep))]):
                 out = {}
                 for s in shingle_sets(part.column(1), how.words):
