@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusweave.functions import scalars, temporal, text, uris
-from corpusweave.operators import audit, dedup, ontology, reports, resolve, triples
+from corpusweave.operators import audit, dedup, graphs, normalize, ontology, reports, resolve, triples
 from corpusweave.operators import score as scoring
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,8 +183,9 @@ def language_pivot(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT o_orderkey, coalesce(max(CASE WHEN l_quantity > 25 THEN l_shipdate END), max(o_orderdate))::DATE::VARCHAR AS last_modified FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
 def max_with_default(spark: SparkSession, sf: str) -> DataFrame:
-    last = _t(spark, sf, "lineitem").where("l_quantity > 25").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("last"))
-    return _t(spark, sf, "orders").join(last, "o_orderkey", "left").select("o_orderkey", _day(F.coalesce("last", "o_orderdate")).alias("last_modified"))
+    last = normalize.last_modified(_t(spark, sf, "lineitem").where("l_quantity > 25").select(F.col("l_orderkey").alias("code"), _day("l_shipdate").alias("validFrom")))
+    orders = _t(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").alias("code"), F.to_date("o_orderdate").alias("ordered"))
+    return orders.join(last, "code", "left").select("o_orderkey", F.coalesce("last_valid_from", "ordered").cast("string").alias("last_modified"))
 
 
 # URIs
@@ -385,7 +386,7 @@ _KEYS = f"""k AS (SELECT DISTINCT * FROM (SELECT 'uri' AS kind, 'https://data.go
 @query(f"WITH {_KEYS}, c AS (SELECT key, count(*) AS n FROM k WHERE kind = 'code' GROUP BY key) SELECT p_partkey, CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'unique' ELSE 'ambiguous' END AS match FROM part LEFT JOIN c ON key = CASE WHEN p_partkey % 10 = 0 THEN 'zzz' ELSE {_CODE} END")
 def singleton_match(spark: SparkSession, sf: str) -> DataFrame:
     items = _part_items(spark, sf)
-    counts = resolve.item_keys(items, ["item_code", "name_sk"]).where("kind = 'code'").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    counts = resolve.key_sizes(resolve.item_keys(items, ["item_code", "name_sk"])).where("kind = 'code'").select("key", "n")
     asked = items.select(F.col("id").alias("p_partkey"), F.when(F.col("id") % 10 == 0, "zzz").otherwise(F.col("item_code")).alias("key"))
     return asked.join(counts, "key", "left").select("p_partkey", F.when(F.col("n").isNull(), "none").when(F.col("n") == 1, "unique").otherwise("ambiguous").alias("match"))
 
@@ -502,9 +503,15 @@ def _ranked(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.rank_candidates(raw.join(items.select(F.col("id").alias("item_id"), "codelist_code"), "codelist_code").drop("codelist_code"), items)
 
 
+_WORDS = "list_filter(string_split(lower({}), ' '), lambda x: x <> 'detail')"
+_FAMILY = "list_filter(string_split({}, '-'), lambda x: x <> 'detail')"
 _RANKED = f"""v AS (SELECT (n_nationkey + 100)::BIGINT AS source_id, CASE n_nationkey % 3 WHEN 0 THEN r_name WHEN 1 THEN 'R' || r_regionkey ELSE 'https://data.gov.sk/def/regions/R' || r_regionkey END AS raw FROM nation JOIN region ON n_regionkey = r_regionkey),
  c AS (SELECT r_regionkey::BIGINT AS item_id, 'R' || r_regionkey AS code, 'https://data.gov.sk/def/regions/R' || r_regionkey AS uri, lower(r_name) AS name, list_distinct(list_concat({_TOKENS("'R' || r_regionkey")}, {_TOKENS('r_name')})) AS tokens FROM region),
- s AS (SELECT source_id, item_id, 9.25::DOUBLE + CASE WHEN raw = uri THEN 15 ELSE 0 END + CASE WHEN raw = code THEN 6 ELSE 0 END + CASE WHEN lower(raw) IN (lower(code), name) THEN 8 ELSE 0 END + least(2.0::DOUBLE, 0.75::DOUBLE * len(list_intersect({_TOKENS('raw')}, tokens))) AS score FROM v, c)"""
+ l AS (SELECT 'Krajiny detail' AS source_list, 'Krajiny' AS list, 'nations-detail' AS source_family, 'nations' AS family),
+ n AS (SELECT *, len(list_intersect({_WORDS.format('source_list')}, {_WORDS.format('list')})) AS lists, len(list_intersect({_FAMILY.format('source_family')}, {_FAMILY.format('family')})) AS families,
+       contains(lower(source_list), 'detail') AND NOT contains(lower(list), 'detail') AS detailed, regexp_replace(source_family, '-detail$', '') = family AS parent FROM l),
+ p AS (SELECT least(4.0::DOUBLE, 1.25::DOUBLE * lists) + CASE WHEN detailed AND lists >= 2 THEN 4.0 WHEN detailed AND lists > 0 THEN 2.5 ELSE 0 END + least(3.0::DOUBLE, 1.5::DOUBLE * families) + CASE WHEN parent THEN 4 ELSE 0 END AS of_lists FROM n),
+ s AS (SELECT source_id, item_id, of_lists + CASE WHEN raw = uri THEN 15 ELSE 0 END + CASE WHEN raw = code THEN 6 ELSE 0 END + CASE WHEN lower(raw) IN (lower(code), name) THEN 8 ELSE 0 END + least(2.0::DOUBLE, 0.75::DOUBLE * len(list_intersect({_TOKENS('raw')}, tokens))) AS score FROM v, c, p)"""
 
 
 @query(f"WITH {_RANKED} SELECT source_id, item_id, score FROM s")
@@ -705,3 +712,62 @@ def families(spark: SparkSession, sf: str) -> DataFrame:
     p = _t(spark, sf, "pages").select("page_id", uris.uri_family(F.concat("url", F.when(F.col("page_id") % 2 == 0, "-detail/").otherwise(""))).alias("family"))
     return p.select("page_id", "family", F.array_join(uris.family_tokens("family"), ",").alias("tokens"), uris.family_parent("family").alias("parent"))
 
+
+
+_PREFERRED = "lower(string_split(p_type, ' ')[1]) || CASE WHEN length(p_type) % 3 = 0 THEN '_' || lower(regexp_replace(p_type, '[^A-Za-z0-9_]', '_', 'g')) ELSE '' END"
+
+
+@query(f"""WITH RECURSIVE d AS (SELECT p_brand AS code, p_type AS other, {_PREFERRED} AS preferred, row_number() OVER (PARTITION BY p_brand ORDER BY p_type DESC) AS k FROM (SELECT DISTINCT p_brand, p_type FROM part)),
+r AS (SELECT code, 0::BIGINT AS k, ['skos', 'economy']::VARCHAR[] AS used, NULL::VARCHAR AS other, NULL::VARCHAR AS alias FROM (SELECT DISTINCT code FROM d)
+ UNION ALL SELECT code, k, list_append(used, alias), other, alias FROM (SELECT d.code, d.k, used, d.other, CASE WHEN NOT list_contains(used, preferred) THEN preferred
+  WHEN NOT list_contains(used, preferred || '_' || lower(regexp_replace(d.other, '[^A-Za-z0-9_]', '_', 'g'))) THEN preferred || '_' || lower(regexp_replace(d.other, '[^A-Za-z0-9_]', '_', 'g'))
+  ELSE preferred || '_' || list_filter(range(2, len(used) + 4), lambda i: NOT list_contains(used, preferred || '_' || i))[1] END AS alias FROM r JOIN d ON d.code = r.code AND d.k = r.k + 1))
+SELECT code, other, alias FROM r WHERE k > 0""")
+def prefix_aliases(spark: SparkSession, sf: str) -> DataFrame:
+    """Brands as documents that name part types, whose first words clash."""
+    first, safe = F.lower(F.split("p_type", " ")[0]), text.safe_prefix("p_type")
+    preferred = F.when(F.length("p_type") % 3 == 0, F.concat(first, F.lit("_"), safe)).otherwise(first)
+    lists = _t(spark, sf, "part").select(F.col("p_brand").alias("code"), F.col("p_type").alias("other"), preferred.alias("preferred")).distinct()
+    place = F.row_number().over(Window.partitionBy("code").orderBy(F.desc("other")))
+    return triples.prefix_aliases(lists.withColumn("rank", place), ("skos", "economy"))
+
+
+# Graphs
+
+
+@query("""WITH RECURSIVE r AS (SELECT p_partkey AS node, p_partkey // 2 AS ancestor, 1::BIGINT AS depth FROM part WHERE p_partkey > 1 UNION ALL SELECT node, ancestor // 2, depth + 1 FROM r WHERE ancestor > 1)
+SELECT node, ancestor, depth FROM r""")
+def hierarchy_closure(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as a tree in which each is above two others."""
+    return graphs.closure(_t(spark, sf, "part").where("p_partkey > 1").select(F.col("p_partkey").alias("child"), F.expr("p_partkey div 2").alias("parent")))
+
+
+@query("""WITH RECURSIVE e AS (SELECT s_suppkey AS child, (s_suppkey * s_suppkey + s_nationkey) % 100 AS parent FROM supplier),
+r AS (SELECT child AS node, parent AS place, 1::BIGINT AS depth FROM e UNION ALL SELECT node, parent, depth + 1 FROM r JOIN e ON child = place WHERE depth <= 100),
+c AS (SELECT node, min(depth) AS length FROM r WHERE node = place GROUP BY node)
+SELECT node, min(place) AS cycle, any_value(length) AS length FROM r JOIN c USING (node) GROUP BY node""")
+def hierarchy_cycles(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers that each have one above them, by chance, so that some are above themselves."""
+    edges = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("child"), ((F.col("s_suppkey") * F.col("s_suppkey") + F.col("s_nationkey")) % 100).alias("parent"))
+    return graphs.cycles(graphs.closure(edges))
+
+
+@query("""SELECT p_brand, (4 * count(*) - count(*) FILTER (p_partkey <= 1))::BIGINT AS triples, true AS renamed_equal, count(*) FILTER (p_size = 1) = 0 AS changed_equal FROM part GROUP BY p_brand""")
+def graph_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each brand a graph of its parts as blank nodes, with other names for these, and with some sizes changed."""
+    part = _t(spark, sf, "part")
+
+    def graph(version: str, name: Callable, size) -> DataFrame:
+        node = F.concat(F.lit("_:"), name(F.col("p_partkey")))
+        say = lambda p, o, kind: F.struct(node.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"))
+        has = F.struct(F.lit("http://e/brand").alias("s"), F.lit("has").alias("p"), node.alias("o"), F.lit("bnode").alias("o_kind"))
+        above = F.when(F.col("p_partkey") > 1, F.concat(F.lit("_:"), name(F.expr("p_partkey div 2"))))
+        rows = part.select("p_brand", F.explode(F.array(has, say("name", F.col("p_name"), "literal"), say("size", size.cast("string"), "literal"), say("above", above, "bnode"))).alias("t"))
+        none = F.lit(None).cast("string")
+        return rows.where("t.o IS NOT NULL").select(F.concat("p_brand", F.lit(version)).alias("graph"), "t.*", none.alias("o_lang"), none.alias("o_dtype"))
+
+    size = F.col("p_size")
+    versions = graph("/a", lambda k: k.cast("string"), size).unionByName(graph("/b", lambda k: F.md5(k.cast("string")), size)).unionByName(graph("/c", lambda k: k.cast("string"), F.when(size == 1, 0).otherwise(size)))
+    of = graphs.graph_hashes(versions).select(F.substring_index("graph", "/", 1).alias("p_brand"), F.substring_index("graph", "/", -1).alias("v"), F.struct("triples", "h0", "h1").alias("h"))
+    by = of.groupBy("p_brand").agg(*(F.max_by("h", F.col("v") == v).alias(v) for v in "abc"))
+    return by.select("p_brand", F.col("a.triples").alias("triples"), (F.col("a") == F.col("b")).alias("renamed_equal"), (F.col("a") == F.col("c")).alias("changed_equal"))
