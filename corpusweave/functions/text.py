@@ -10,11 +10,13 @@ from pyspark.sql.types import StringType
 from corpusweave.functions.scalars import col, strip
 
 # Words that say nothing about an item.
-STOP_TOKENS = "a aj alebo and at do for from in na o of po pod pre pri s sa so the to u v vo z za".split()
+STOP_TOKENS = [
+    "a", "aj", "alebo", "and", "at", "do", "for", "from", "in", "na", "o", "of", "po", "pod", "pre", "pri", "s", "sa", "so", "the", "to", "u", "v", "vo", "z", "za",
+]
 # Words that say nothing about a code list, beside those.
 CODELIST_STOP_TOKENS = [*STOP_TOKENS, "ciselnik", "číselník", "hodnota", "hodnoty", "kod", "kód", "kody", "kódy", "zoznam", "typ", "trieda"]
 # Words that mark a list of details.
-DETAIL_TOKENS = "detail detaily detailu detailov podrobnost podrobnosti podrobny podrobný podrobne podrobné".split()
+DETAIL_TOKENS = ["detail", "detaily", "detailu", "detailov", "podrobnost", "podrobnosti", "podrobny", "podrobný", "podrobne", "podrobné"]
 # Patterns of references inside free text.
 URI_PATTERN = r"(?i)https?://[^\s,;]+"
 CODE_PATTERN = r"\b(?:[A-Z]{1,}[A-Z0-9]*\d[A-Z0-9.]*|\d{2}(?:\.\d{1,2})+|\d{4,})\b"

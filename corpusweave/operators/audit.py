@@ -74,7 +74,7 @@ def audit(items: DataFrame, patterns: DataFrame, pages: DataFrame | None = None,
     """A row for each item whose URI isn't as its list's pattern says: category, expected URI, level and message.
 
     pages (url, status, body): what dereferencing found, if it was done. A mismatch that the expected URI's page supports, having the
-    item's label where the present one's page hasn't, says so. strict makes errors of warnings and so blocks the list.
+    item's label (of an array, any) where the present one's page hasn't, says so. strict makes errors of warnings and so blocks the list.
     """
     out = items.join(patterns.select(key, F.col("base").alias("pattern")), key).withColumn("category", audit_category("pattern", code, uri)).where("category NOT IN ('skipped', 'ok')")
     out = out.withColumn("expected_uri", F.concat("pattern", nonblank(code))).withColumn("normalized_uri", normalize_uri(uri))
@@ -83,7 +83,9 @@ def audit(items: DataFrame, patterns: DataFrame, pages: DataFrame | None = None,
         seen = pages.select("url", inspect_page("body", "status").alias("p")).select("url", F.col("p.ok").alias("ok"), page_texts(F.col("p")).alias("texts"))
         side = lambda c, to: seen.select(F.col("url").alias(c), F.col("ok").alias(f"{to}_ok"), F.col("texts").alias(f"{to}_texts"))
         out = out.join(side("expected_uri", "want"), "expected_uri", "left").join(side("normalized_uri", "now"), "normalized_uri", "left")
-        has = lambda to: F.coalesce(F.col(f"{to}_ok") & F.array_contains(f"{to}_texts", normalize_text(label)), F.lit(False))
+        labels = F.col(label) if items.schema[label].dataType.typeName() == "array" else F.array(label)
+        out = out.withColumn("labels", F.array_compact(F.transform(labels, lambda x: F.nullif(normalize_text(x), F.lit("")))))
+        has = lambda to: F.coalesce(F.col(f"{to}_ok") & F.arrays_overlap(f"{to}_texts", "labels"), F.lit(False))
         supported = has("want") & ~has("now")
     message = F.concat_ws(" ", F.lit("Item"), code, F.lit("has URI"), uri, F.lit("where"), "expected_uri", F.lit("was expected:"), "category")
     return out.select(

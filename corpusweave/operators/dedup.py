@@ -39,12 +39,14 @@ def select_best(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
 def duplicate_issues(df: DataFrame, key: str, canonical: Column, order_key: Column, row: Column, reasons: dict[str, str] = HEADER_REASONS) -> DataFrame:
     """Of each key with several rows: whether more than one is canonical (conflict) or not (shadow), and the rows in order.
 
-    order_key: a struct that sorts as the ranking does. The rows of a key are gathered, so a key's rows must fit a task: duplicates
-    of one registry code are few.
+    order_key: a struct that sorts as the ranking does. Only rows of keys with several are gathered; those of one key must fit a task, as
+    the report lists them all.
     """
-    got = df.groupBy(key).agg(
+    several = df.groupBy(F.col(key).alias("_several")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_several")
+    rows = df.join(several, F.col(key).eqNullSafe(F.col("_several")), "left_semi")
+    got = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(canonical).alias("n_canonical"), F.array_sort(F.collect_list(F.struct(order_key.alias("k"), row.alias("row")))).alias("all")
-    ).where("n > 1")
+    )
     kind = F.when(F.col("n_canonical") > 1, "conflict").otherwise("shadow")
     return got.select(
         key, kind.alias("kind"), F.when(kind == "conflict", reasons["conflict"]).otherwise(reasons["shadow"]).alias("reason"),

@@ -105,8 +105,8 @@ def run(bronze: Bronze, config: Config = Config(), options: Options = Options())
     items, item_issues = selected_items(bronze.items.join(details.select("code"), "code", "left_semi"))
     items = settled(items)
     patterns = settled(audit.infer_pattern(items, "code", "itemCode", "itemUri"))
-    named = items.withColumn("name", F.try_element_at(F.map_values(_names()), F.lit(1)))
-    judge = lambda pages: audit.audit(named, patterns, pages, "code", "itemCode", "itemUri", "name", options.strict_uri_audit)
+    named = items.withColumn("names", F.map_values(_names()))  # in all languages
+    judge = lambda pages: audit.audit(named, patterns, pages, "code", "itemCode", "itemUri", "names", options.strict_uri_audit)
     if callable(bronze.pages):
         bronze = replace(bronze, pages=bronze.pages(audit.to_visit(judge(None), "code", "itemUri")))
     audited = judge(None if bronze.pages is None else bronze.pages.select("url", "status", "body").dropDuplicates(["url"]))
