@@ -174,7 +174,7 @@ def scan(docs: DataFrame, found: list, id_col: str = "doc_id", text_col: str = "
 
 
 def drop_contaminated(docs: DataFrame, found: list, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, in whose text no test string occurs."""
+    """The rows, with all their columns, in whose text no test string occurs. Null and empty texts hold none and stay."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -427,7 +427,7 @@ def find(docs: DataFrame, model: PiiModel | None = None, id_col: str = "doc_id",
 
 
 def redact_rows(docs: DataFrame, model: PiiModel, text_col: str = "text") -> DataFrame:
-    """The rows with their texts redacted and all other columns as they are."""
+    """The rows with their texts redacted and all other columns as they are. Null and empty texts stay as they are."""
     small_batches(docs.sparkSession)
     model, schema = docs.sparkSession.sparkContext.broadcast(model), docs.schema
     at = docs.columns.index(text_col)

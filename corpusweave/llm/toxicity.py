@@ -317,7 +317,7 @@ def score(docs: DataFrame, model: Toxicity, id_col: str = "doc_id", text_col: st
 
 
 def drop_toxic(docs: DataFrame, model: Toxicity, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text scores below the threshold."""
+    """The rows, with all their columns, whose text scores below the threshold. Null and empty texts have the floor score and stay."""
     small_batches(docs.sparkSession)
     shared, at, of = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col), {}
 
