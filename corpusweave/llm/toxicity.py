@@ -41,14 +41,16 @@ _WRITTEN = re.compile(rf"(?<!\S)\S*?(?:{_LETTER}[{_DISGUISE}]|[{_DISGUISE}]{_LET
 #: Where a written word may consist of several.
 _INNER = re.compile(r"[-_./,;:~|\\…–—]+")
 _DRAWN_OUT = re.compile(r"(.)\1{3,}")
+#: As many runs of equal characters as a word that the lexicon holds whole may have, and one more.
+_RUNS = re.compile(rf"(?:(.)\1*){{1,{MOST_LETTERS + 1}}}")
 _BETWEEN = r"(?: [._\-*~/] |[ ._\-*~/])"
 _ALONE = r"[\w@$!|+€*](?![^\W_]|[@$])"
 _APART = re.compile(rf"(?<![^\W_])(?<![@$]){_ALONE}(?>(?:{_BETWEEN}{_ALONE}){{2,}})")
 _NEXT = re.compile(rf"{_BETWEEN}({_ALONE})")
 #: Holds wherever _APART does, in a text with single blanks (from its first separator on).
 _HINT = re.compile(rf"[ ._\-*~/]{_ALONE}{_BETWEEN}{_ALONE}")
-#: Readings kept at each character, and how far below the likeliest reading from its start on a word may lie.
-BEAM, MARGIN = 12, 12.0
+#: Readings kept for each pair of last symbols, and how far below the likeliest reading from its start on a word may lie.
+READINGS, MARGIN = 8, 12.0
 _INDEX = {c: i for i, c in enumerate(ALPHABET)}
 _OTHER = len(ALPHABET) - 1
 
@@ -82,7 +84,7 @@ class CharModel:
         p3 = (c3 + 5 * p2) / (c3.sum(2, keepdims=True) + 5)
         self.logp = np.log(p3)
 
-    def decode(self, seen: str, best: int = 8) -> list[str]:
+    def decode(self, seen: str, best: int = READINGS) -> list[str]:
         """The likeliest intended words for the written one, best first: list Viterbi over (last two symbols), one column for each run of equal
         characters; a run of a letter may stand for one or two of it."""
         logp, runs = self.logp, [m[0] for m in re.finditer(r"(.)\1*", seen)]
@@ -143,18 +145,26 @@ class Restorer:
         return out
 
     def starting(self, seen: str, k: int) -> list[list[tuple[float, str]]]:
-        """For each end from k + 1 on, the likeliest words of seen[k:end], best first."""
-        logp, out, beam = self.logp, [], [(0.0, "", 0, 0)]
-        for i in range(k, min(len(seen), k + MOST_LETTERS)):
-            c = seen[i]
+        """For each end from k + 1 on, the likeliest words of seen[k:end]: list Viterbi over (last two symbols). A run of equal characters may
+        stand for one letter, so the ends reach over MOST_LETTERS runs."""
+        logp, out, runs = self.logp, [], 0
+        paths: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
+        for i in range(k, len(seen)):
+            c, again = seen[i], i > k and seen[i] == seen[i - 1]
+            runs += not again
+            if runs > MOST_LETTERS:
+                break
             options = [(m, -1.5 if c.isalpha() else -0.4) for m in MEANT.get(c, "")]
             if c.isalpha() or not options:
                 options.append((c, -0.1))
-            new = [(score + cost + logp[a][b][z], text + m, b, z) for m, cost in options for z in [_INDEX.get(m, _OTHER)] for score, text, a, b in beam]
-            if i > k and c == seen[i - 1]:  # a letter drawn out
-                new += [(score - 0.7, text, a, b) for score, text, a, b in beam]
-            beam = sorted(new, reverse=True)[:BEAM]
-            out.append([(score + logp[a][b][0], text) for score, text, a, b in beam])
+            new = {at: [(score - 0.7, text) for score, text in found] for at, found in paths.items()} if again else {}
+            for (a, b), found in paths.items():
+                for m, cost in options:
+                    z = _INDEX.get(m, _OTHER)
+                    cost += logp[a][b][z]
+                    new.setdefault((b, z), []).extend((score + cost, text + m) for score, text in found)
+            paths = {at: sorted(found, reverse=True)[:READINGS] if len(found) > READINGS else found for at, found in new.items()}
+            out.append([(score + logp[a][b][0], text) for (a, b), found in paths.items() for score, text in found])
         return out
 
     def apart(self, seen: str) -> list[str]:
@@ -174,19 +184,24 @@ class Restorer:
         return out
 
     def restored(self, low: str) -> list[str]:
-        """Intended words of the disguised tokens of a lower-cased text: of each token and of its parts between hyphens and the like. Of more
-        than MOST_LETTERS characters, only the beginning is decoded, as only beginnings are features of such a word."""
+        """Intended words of the disguised tokens of a lower-cased text: of each token and of its parts between hyphens and the like. Where
+        more than MOST_LETTERS runs of equal characters follow each other, every reading has more letters than that, so only its beginnings are
+        features, and only these are decoded."""
         out = []
         for written in {m[0] for m in _WRITTEN.finditer(low)}:
-            s = _DRAWN_OUT.sub(r"\1\1\1", written).strip("\"'([{<«“”")  # runs say no more beyond three
+            s = written.strip("\"'([{<«“”")
             t = s.rstrip(_EDGE)
             forms = {t, *_INNER.split(t)}
             if len(s) == len(t) + 1:  # a last sign may stand for a letter
                 forms.add(s)
-            for x in forms:
-                x = x[: MOST_LETTERS + 1]
-                if len(x) >= 3 and _DISGUISED.search(x) and sum(map(str.isalpha, x)) * 3 >= len(x):
+            for x in forms | {_evenly(x) for x in forms}:
+                x = _RUNS.match(_DRAWN_OUT.sub(r"\1\1\1", x))[0] if x else x  # runs say no more beyond three
+                if len(x) < 3 or sum(map(str.isalpha, x)) * 3 < len(x):
+                    continue
+                if _DISGUISED.search(x):
                     out.extend(self.word(x))
+                elif x not in forms:
+                    out.append(x)
         return out
 
     def words(self, text: str | None) -> set[str]:
@@ -195,7 +210,9 @@ class Restorer:
         flat = " ".join(tokens)
         if _HINT.search(flat):
             for m in _APART.finditer(flat):
-                out.update(self.apart(_DRAWN_OUT.sub(r"\1\1\1", _letters(m[0]))))
+                letters = _letters(m[0])
+                for x in {letters, _evenly(letters)}:
+                    out.update(self.apart(_DRAWN_OUT.sub(r"\1\1\1", x)))
         out.update(self.restored(flat))
         return out
 
@@ -205,6 +222,15 @@ def _letters(run: str) -> str:
     return run[0] + "".join(m[1] for m in _NEXT.finditer(run, 1))
 
 
+def _evenly(written: str) -> str:
+    """The word of which each letter is written equally often, so that double letters stay double: the runs' lengths by their greatest common
+    divisor."""
+    if len(written) < 2 or written[0] != written[1]:
+        return written
+    times = math.gcd(*(len(m[0]) for m in re.finditer(r"(.)\1*", written)))
+    return written[::times]
+
+
 #: Lengths of word beginnings that are features beside whole words; a beginning carries a final *.
 BEGINNINGS = (4, 5, 6)
 
