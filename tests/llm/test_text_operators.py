@@ -97,7 +97,7 @@ def test_hits(spark, frame, odd_texts, block_bytes):
     rows = [(k, "; ".join([say(rng.randrange(40)), rng.choice(items)[1] or "", say(5)]).title()) for k in range(60)] + odd_texts
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = decontamination.matchers(bench, block_bytes=block_bytes)
-    assert (len(found) > 1) == (block_bytes == 300)
+    assert isinstance(found, decontamination.Patterns) == (block_bytes == 300)
     out = decontamination.scan(frame(rows), found).collect()
     hits = {t: brute_hits(t, items) for t in {t for _, t in rows}}
     want = Counter((i, n, h, tuple(x)) for i, t in rows for n, h, x in [hits[t]])
@@ -107,6 +107,22 @@ def test_hits(spark, frame, odd_texts, block_bytes):
     assert Counter(r.text for r in kept.collect()) == Counter(t for _, t in rows if not hits[t][1])
 
 
+def test_large_benchmark(spark, frame):
+    """Beyond block_bytes a benchmark is met in a join, with the same result; what is broadcast doesn't grow with it."""
+    rng = random.Random(7)
+    say = lambda n: " ".join(rng.choice(WORDS) + str(rng.randrange(50)) for _ in range(n))
+    items = [(f"i{k}", say(rng.choice([4, 10, 60, 400]))) for k in range(1500)]
+    held = [t for _, t in items]
+    rows = [(k, f"{say(30)} {held[k % 40] if k % 3 else ''} {say(20)}") for k in range(300)] + [(k, rows_text) for k, rows_text in enumerate([held[0]] * 200)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    small, large = decontamination.matchers(bench), decontamination.matchers(bench, block_bytes=1000)
+    assert not isinstance(small, decontamination.Patterns) and isinstance(large, decontamination.Patterns)
+    got = [Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in decontamination.scan(frame(rows), m).collect()) for m in (small, large)]
+    assert got[0] == got[1] and sum(n for (_, _, hit, _), n in got[0].items() if hit) >= 400
+    shifts, sieve = large.tables.value
+    assert set(shifts) == {4, 10} and all(t.nbytes == decontamination.SHIFTS for t in shifts.values()) and sieve.nbytes * 8 == decontamination.FILTER_BITS
+
+
 def test_hits_of_nothing(spark, frame):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [(r.n_words, r.n_hit) for r in decontamination.scan(frame([(1, "a b")]), decontamination.matchers(none)).collect()] == [(2, 0)]
