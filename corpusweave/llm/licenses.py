@@ -53,7 +53,21 @@ RULES = [
     ("ISC", ["isc-grant"]), ("Unlicense", ["unlicense"]), ("MPL-2.0", ["mpl-2"]), ("GPL-2.0-or-later", ["gpl-2-later"]), ("LGPL-2.1-or-later", ["lgpl-2.1-later"]), ("LGPL-3.0-or-later", ["lgpl-3-later"]), ("AGPL-3.0-or-later", ["agpl-3-later"]),
     ("Apache-2.0", ["apache-2-text"]), ("GPL-2.0-only", ["gpl-2-text"]), ("GPL-3.0-only", ["gpl-3-text"]), ("LGPL-2.1-only", ["lgpl-2.1-text"]), ("LGPL-3.0-only", ["lgpl-3-text"]), ("AGPL-3.0-only", ["agpl-3-text"]), ("CC-BY-NC-4.0", ["cc-by-nc-4"]), ("CC-BY-4.0", ["cc-by-4"]), ("CC0-1.0", ["cc0"]), ("proprietary", ["reserved"]),
 ]
-_HINT = re.compile(r"licen[sc]e|permission|redistribut|copyright notice|software is provided|rights reserved|public domain|free software", re.I)
+# Names of public licences in normalised form, with the versions they come in; {} stands for one of them.
+NAMES = {
+    "MIT": (r"mit(?: license)?", [""]), "ISC": (r"isc license", [""]), "Zlib": (r"zlib license", [""]), "Unlicense": (r"unlicense", [""]), "0BSD": (r"0bsd|zero clause bsd license", [""]),
+    "Apache-{}": (r"apache(?: software)?(?: license)?{}(?: license)?", ["2.0"]), "MPL-{}": (r"(?:mozilla public license|mpl){}", ["1.1", "2.0"]), "EPL-{}": (r"(?:eclipse public license|epl){}", ["1.0", "2.0"]),
+    "BSL-{}": (r"boost software license{}", ["1.0"]), "CDDL-{}": (r"(?:common development and distribution license|cddl)(?: cddl)?{}", ["1.0", "1.1"]), "Artistic-{}": (r"artistic license{}", ["1.0", "2.0"]),
+    "EUPL-{}": (r"(?:european union public licence|eupl){}", ["1.1", "1.2"]), "BSD-{}-Clause": (r"bsd{} clause(?: license)?|(?:the )?{} clause bsd(?: license)?", ["2", "3"]),
+}
+# The licences with 'or later' forms, and their versions.
+GNU = {"GPL": ("general public license", ["1.0", "2.0", "3.0"]), "LGPL": ("lesser general public license", ["2.1", "3.0"]), "AGPL": ("affero general public license", ["3.0"])}
+# The parts of the public licences of Creative Commons, short and in words.
+CREATIVE = {"BY": "attribution", "NC": "noncommercial", "SA": "sharealike", "ND": "noderivatives"}
+#: What stands before or after a licence's name where it says that something is under that licence.
+_BEFORE = r"(?<!not )\b(?:licensed|licenced|released|distributed|redistributed|available|published|provided|covered|is|are|be)(?: \w+)? (?:under|by)|\bsubject to|\bunder the terms|\bsee"
+_AFTER = r"licensed|licenced"
+_HINT = re.compile(r"licen[sc]e|GPL|\bCC[ -]BY|\bCC0|\bBSD\b|\bMPL\b|\bEU?PL\b|\bCDDL\b|apache|permission|redistribut|copyright notice|software is provided|rights reserved|public domain|free software", re.I)
 #: Other sentences that may stand between two of a rule's. The name of a licence counts to the text only next to it.
 MOST_BETWEEN = 3
 _NEXT_TO = frozenset(["mit-name"])
@@ -94,11 +108,64 @@ def _named(sentence: str) -> tuple[str, bool]:
     return "", False
 
 
+def _names() -> dict[str, str]:
+    """Patterns of the names in normalised sentences, by identifier."""
+    number = lambda v: rf" ?(?:version |v ?)?{re.escape(v.removesuffix('.0'))}" + (r"(?:\.0)?" if v.endswith(".0") else "") + r"(?![.\d])" if v else ""
+    out = {}
+    for name, (form, versions) in NAMES.items():
+        for v in versions:
+            clause = name.startswith("BSD")
+            out[name.format(v)] = form.replace("bsd{}", f"bsd {v}").replace("{}", v) if clause else form.replace("{}", number(v))
+    for name, (words, versions) in GNU.items():
+        for v in versions:
+            plain = rf"(?:gnu )?(?:{words}|{name.lower()})(?: {name.lower()})?{number(v)}"
+            out[f"{name}-{v}-or-later"] = rf"{plain}(?: license)? or (?:at your option )?(?:any )?(?:later|newer)(?: versions?)?"
+            out[f"{name}-{v}-only"] = plain
+    for parts in ("BY-NC-SA", "BY-NC-ND", "BY-NC", "BY-SA", "BY-ND", "BY"):
+        short, long = (" ".join(f(x) for x in parts.split("-")) for f in (str.lower, CREATIVE.get))
+        for v in ("4.0", "3.0", "2.5", "2.0"):
+            out[f"CC-{parts}-{v}"] = rf"(?:creative commons )?(?:cc {short}|(?:cc )?{long})(?: license)?{number(v)}(?: (?:international|unported|generic))?(?: license)?"
+    out["CC0-1.0"] = rf"(?:creative commons )?cc0{number('1.0')}(?: universal)?"
+    return out
+
+
+_NAMES = _names()
+_NUMBERED = list(_NAMES)
+_ANY = "|".join(f"(?P<n{k}>{_NAMES[name]})" for k, name in enumerate(_NUMBERED))
+_NAME = re.compile(rf"(?:the |a |an )?(?:{_ANY})\b")
+_STATED = re.compile(rf"(?:{_BEFORE})(?: (?:the )?(?:terms of|conditions of|terms and conditions of|of))*(?: (?:either|both))? (?=(?:the |a |an |gnu |creative )?\w)")
+_LINKED = re.compile(r" (?:and|or|and or)(?: under)? ")
+#: Holds in every sentence with a name.
+_SOME_NAME = re.compile(r"licen[sc]e|gpl|creative commons|\b(?:cc0?|mpl|epl|eupl|cddl|apache|bsd|0bsd|mit)")
+_IS_A_NAME = re.compile(rf"(?:the )?(?:{_ANY})(?: license)?")
+_ADJECTIVE = re.compile(rf"\b(?:{_ANY}) (?:{_AFTER})\b")
+
+
+def notices(sentence: str) -> list[str]:
+    """The licences that a normalised sentence says something is under: it is a licence's name, or holds one after words such as 'licensed
+    under', with more names joined by 'and' or 'or', or before 'licensed'. A name beside other words is none, nor is one after 'not'."""
+    if not _SOME_NAME.search(sentence):
+        return []
+    which = lambda m: _NUMBERED[int(next(k for k, v in m.groupdict().items() if v is not None)[1:])]
+    if (m := _IS_A_NAME.fullmatch(sentence)) and sentence != "mit":
+        return [which(m)]
+    out = [(m.start(), which(m)) for m in _ADJECTIVE.finditer(sentence) if not sentence.endswith(("not ", "not a "), 0, m.start())]
+    for stated in _STATED.finditer(sentence):
+        at = stated.end()
+        while m := _NAME.match(sentence, at):
+            out.append((at, which(m)))
+            link = _LINKED.match(sentence, m.end())
+            at = link.end() if link else len(sentence)
+    return list(dict.fromkeys(name for _, name in sorted(out)))
+
+
 def sentences(text: str) -> list[str]:
     """The known sentences' identifiers in order of appearance, '' for any other sentence, 'spdx:' and the identifier for each licence of
-    an SPDX line. A sentence may run over line ends, comment
+    an SPDX line, 'name:' and the identifier for each licence that another sentence names as one that holds. A sentence may run over line ends, comment
     signs and full stops inside it: the longest run of pieces that is a known sentence counts."""
     text = _PREFIX.sub("", _SUFFIX.sub("", text))
+    text = re.sub(r"(?i)\b(v)\.\s+(?=\d)", r"\1 ", text)  # the point of 'v. 2.0' ends no sentence
+    text = re.sub(r"(?m)^(?!.*SPDX)(.*?\b[AL]?GPL[ -]?v?[0-9.]+)\+", r"\1 or later", text)
     text = re.sub(r"(SPDX-License-Identifier:[^\n]*\n)", r"\1\n", text)  # an SPDX line goes on to no other
     flat = re.sub(r"[ \t\r\f\v]*\n(?=[a-z(])", " ", text)
     pieces = []
@@ -120,7 +187,7 @@ def sentences(text: str) -> list[str]:
                 found, size = known, n
             if joined not in _BEGUN and not more:
                 break
-        out.append(found)
+        out += [found] if found else [f"name:{name}" for name in notices(pieces[at])] or [""]
         at += size
     return out
 
@@ -145,7 +212,7 @@ def scan(text: str | None) -> list[tuple[str, list[str]]]:
         return []
     ids, out, at = sentences(text), [], 0
     while at < len(ids):
-        if ids[at].startswith("spdx:"):
+        if ids[at].startswith(("spdx:", "name:")):
             rule, end = (ids[at][5:], [ids[at]]), at + 1
         else:
             rule, end = next(((r, e) for r in RULES if ids[at] and (e := _matched(ids, at, r[1]))), (None, 0))
