@@ -244,5 +244,5 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.array_join("sentence_ids", ",").alias("sentence_ids"), F.size("licenses").cast("long").alias("n_licenses"))
 
 
-#: Sentence splitting and rule matching have a brute-force version in the tests.
+#: Sentence splitting and rule matching are tested on forms and planted sentences.
 ORACLE_SQL = None
