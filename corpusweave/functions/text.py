@@ -48,6 +48,15 @@ def html_unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else " ".join(html.unescape(x).split()))
 
 
+def markup_unescape(c: Column | str) -> Column:
+    """The four entities that markup itself needs resolved, where they end in a semicolon (of `&amp;lt;` only the first), and ASCII white space squeezed.
+    All else stays: other entities, and beginnings of these, as the `&amp` that a cut text ends with, which `html_unescape` reads as HTML does."""
+    out = col(c)
+    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        out = F.replace(out, F.lit(entity), F.lit(sign))
+    return F.regexp_replace(F.regexp_replace(out, r"[\t\n\f\r ]+", " "), r"^\p{Zs}+|\p{Zs}+$", "")
+
+
 def words(values: list[str]) -> Column:
     return F.array(*map(F.lit, values))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,10 +56,10 @@ def audit_category(pattern: Column | str, code: Column | str, uri: Column | str)
     return let(F.struct(k.alias("k"), raw.alias("raw"), p.alias("p"), let(normalize_uri(raw), side).alias("now"), let(F.concat(p, k), side).alias("want")), category)
 
 
-def inspect_page(body: Column | str, status: Column | str, title_pattern: str = TITLE) -> Column:
-    """Title, labels and flags of a dereferenced page; ok if it has a title, whatever else."""
+def inspect_page(body: Column | str, status: Column | str, title_pattern: str = TITLE, unescape: Callable[[Column], Column] = html_unescape) -> Column:
+    """Title, labels and flags of a dereferenced page; ok if it has a title, whatever else. unescape: how the title's entities are resolved."""
     b = F.col(body) if isinstance(body, str) else body
-    title = F.nullif(html_unescape(F.regexp_extract(b, title_pattern, 1)), F.lit(""))
+    title = F.nullif(unescape(F.regexp_extract(b, title_pattern, 1)), F.lit(""))
     labels = F.regexp_extract_all(b, F.lit(_LABEL), F.lit(1))
     return F.struct(
         title.alias("title"), labels.alias("pref_labels"), F.contains(b, F.lit("rdf:type")).alias("has_rdf_type"), F.contains(b, F.lit("skos:prefLabel")).alias("has_pref_label"),
