@@ -12,21 +12,22 @@ _BITS = (1 << 40) - 1
 def closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
     """node, ancestor, depth: all that is reached upwards from each node, with the fewest steps. A node on a cycle reaches itself.
 
-    Paths are doubled: each round joins the paths that the last one found, so their number of rounds is the logarithm of the longest way. Each round is settled
-    in the shared folder. Rows with a null end are no edges; repeated edges count once; an edge from a node to itself is a cycle of one.
+    Paths are doubled: with all pairs of up to n steps known, those of exactly n steps, followed by a known one, give all of up to twice as many, so the number of
+    rounds is the logarithm of the longest way. A way has one place n steps from its start, so in a tree each pair is found once, and only pairs that weren't known are
+    settled in the shared folder. Rows with a null end are no edges; repeated edges count once; an edge from a node to itself is a cycle of one.
     """
     from corpusweave.plans.registry import settled
 
-    paths = settled(edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).cast("long").alias("depth")).where("node IS NOT NULL AND ancestor IS NOT NULL").distinct())
-    size = paths.count()
+    known = found = settled(edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).cast("long").alias("depth")).where("node IS NOT NULL AND ancestor IS NOT NULL").distinct())
+    steps = 1
     while True:
-        upper = paths.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("above"), F.col("depth").alias("more"))
-        longer = paths.join(upper, "ancestor").select("node", F.col("above").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"))
-        found = settled(paths.union(longer).groupBy("node", "ancestor").agg(F.min("depth").alias("depth")))
-        total = found.agg(F.count(F.lit(1)), F.sum("depth")).first()
-        if total[0] == size:  # a round without a new pair finds no shorter way either: each way of up to twice the last length was there
-            return found
-        paths, size = found, total[0]
+        furthest = found.where(F.col("depth") == steps)
+        if furthest.isEmpty():  # every way of more steps has a place this far from its start
+            return known
+        upper = known.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("above"), F.col("depth").alias("more"))
+        longer = furthest.join(upper, "ancestor").select("node", F.col("above").alias("ancestor"), (F.lit(steps).cast("long") + F.col("more")).alias("depth"))
+        found = settled(longer.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")).join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti"))
+        known, steps = known.union(found), 2 * steps
 
 
 def cycles(reached: DataFrame) -> DataFrame:

@@ -33,6 +33,21 @@ def test_closure_and_cycles(spark):
     assert graphs.closure(spark.createDataFrame([], "child int, parent int")).count() == 0
 
 
+def test_closure_settles_each_pair_of_a_tree_once(spark, monkeypatch):
+    from corpusweave.plans import registry
+
+    rows, settle = [], registry.settled
+    monkeypatch.setattr(registry, "settled", lambda df: (rows.append((d := settle(df)).count()), d)[1])
+    edges = [(k, k // 2) for k in range(2, 200)] + [(1000 + k, 999 + k) for k in range(1, 40)]
+    want = reached_by_hand(edges)
+    got = graphs.closure(spark.createDataFrame(edges, "child int, parent int"))
+    assert {(r.node, r.ancestor): r.depth for r in got.collect()} == want and sum(rows) == len(want)
+    rng = random.Random(9)
+    edges = [(100 * g + rng.randrange(n), 100 * g + rng.randrange(n)) for g in range(40) for n in [rng.randrange(1, 25)] for _ in range(rng.randrange(2 * n))]
+    got = graphs.closure(spark.createDataFrame(edges, "child int, parent int")).collect()
+    assert {(r.node, r.ancestor): r.depth for r in got} == reached_by_hand(edges) and len(got) == len(reached_by_hand(edges))
+
+
 def a_graph(rng, name, n=14, extra=0):
     """Triples with blank nodes that chains, trees and equal values link; the names of the blank nodes are by chance."""
     ids = rng.sample(range(1000), n)
