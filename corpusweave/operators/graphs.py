@@ -1,4 +1,8 @@
-"""Graphs as tables of edges or triples: what is reached from where, cycles, and comparison whatever blank nodes are called."""
+"""Graphs as tables of edges or triples: what is reached from where, cycles, and comparison whatever blank nodes are called.
+
+Settled tables keep the size that was guessed from the files they come from, and what a small file says may be many times as large. So joins with them say that
+both sides are sorted; by that guess, all nodes would be broadcast and held by every task.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Bits of each sum of hashes, so that sums of very many stay within a long.
 _BITS = (1 << 40) - 1
+#: Triples of a partition in which they are made distinct.
+_ROWS = 150_000
 
 
 def closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
@@ -25,8 +31,8 @@ def closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> D
         if furthest.isEmpty():  # every way of more steps has a place this far from its start
             return known
         upper = known.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("above"), F.col("depth").alias("more"))
-        longer = furthest.join(upper, "ancestor").select("node", F.col("above").alias("ancestor"), (F.lit(steps).cast("long") + F.col("more")).alias("depth"))
-        found = settled(longer.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")).join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti"))
+        longer = furthest.join(upper.hint("merge"), "ancestor").select("node", F.col("above").alias("ancestor"), (F.lit(steps).cast("long") + F.col("more")).alias("depth"))
+        found = settled(longer.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")).join(known.select("node", "ancestor").hint("merge"), ["node", "ancestor"], "left_anti"))
         known, steps = known.union(found), 2 * steps
 
 
@@ -44,34 +50,50 @@ def _sum(h: Column) -> list[Column]:
     return [F.sum(h.bitwiseAND(_BITS)), F.sum(F.shiftrightunsigned(h, 24))]
 
 
-def colours(triples: DataFrame, graph: str = "graph") -> DataFrame:
-    """graph, node, colour of the blank nodes: a hash of all that is said of a node and by it, to any distance, that doesn't depend on names.
+def _distinct(triples: DataFrame, graph: str) -> DataFrame:
+    """Each triple of a graph once, settled. Rows are dealt by all that they hold into as many partitions as their number asks for, so that what a task keeps of
+    them doesn't grow with the input."""
+    from corpusweave.plans.registry import settled
 
-    Each round hashes a node's colour with its triples' predicates, other ends and directions, as sums, so that a node with very many triples is summed in the
-    tasks first. It ends when a round tells no more nodes apart than the last.
-    """
+    t = triples.select(F.col(graph).alias("graph"), "s", "p", "o", "o_kind", "o_lang", "o_dtype")
+    return settled(t.repartition(t.count() // _ROWS + 1, *t.columns).distinct())
+
+
+def _colours(t: DataFrame) -> DataFrame:
+    """The colours of distinct triples' blank nodes."""
     from corpusweave.plans.registry import settled
 
-    t = triples.select(F.col(graph).alias("graph"), "s", "p", "o", "o_kind", "o_lang", "o_dtype").distinct()
     blank = lambda c: F.startswith(F.col(c), F.lit("_:"))
     fixed = F.xxhash64(F.lit("o"), "o", "o_kind", F.coalesce("o_lang", F.lit("")), F.coalesce("o_dtype", F.lit("")))
     out = t.where(blank("s")).select("graph", F.col("s").alias("node"), F.xxhash64(F.lit("out"), "p").alias("by"), F.when(F.col("o_kind") == "bnode", F.col("o")).alias("other"), F.when(F.col("o_kind") != "bnode", fixed).alias("end"))
     into = t.where(F.col("o_kind") == "bnode").select("graph", F.col("o").alias("node"), F.xxhash64(F.lit("in"), "p").alias("by"), F.when(blank("s"), F.col("s")).alias("other"), F.when(~blank("s"), F.xxhash64(F.lit("s"), "s")).alias("end"))
-    ends = settled(out.unionByName(into))
-    now = settled(ends.select("graph", "node").distinct().withColumn("colour", F.lit(0).cast("long")))
+    ends = out.unionByName(into)
+    a, b = _sum(F.when(F.col("other").isNull(), F.xxhash64("by", "end")))
+    now = settled(ends.groupBy("graph", "node").agg(F.coalesce(a, F.lit(0)).alias("a"), F.coalesce(b, F.lit(0)).alias("b")).withColumn("colour", F.lit(0).cast("long")))
+    links = settled(ends.where("other IS NOT NULL").select("graph", "node", "by", "other"))
     kinds = 0
     while True:
         far = now.select("graph", F.col("node").alias("other"), F.col("colour").alias("far"))
-        seen = ends.join(far, ["graph", "other"], "left").withColumn("h", F.xxhash64("by", F.coalesce("end", "far")))
-        a, b = _sum(F.col("h"))
-        new = now.join(seen.groupBy("graph", "node").agg(a.alias("a"), b.alias("b")), ["graph", "node"]).select("graph", "node", F.xxhash64("colour", "a", "b").alias("colour"))
-        new = settled(new)
+        a, b = _sum(F.xxhash64("by", "far"))
+        seen = links.join(far.hint("merge"), ["graph", "other"]).groupBy("graph", "node").agg(a.alias("more_a"), b.alias("more_b"))
+        all_of = lambda c: F.col(c) + F.coalesce(f"more_{c}", F.lit(0))
+        new = settled(now.join(seen.hint("merge"), ["graph", "node"], "left").select("graph", "node", "a", "b", F.xxhash64("colour", all_of("a"), all_of("b")).alias("colour")))
         told_apart = new.select("graph", "colour").distinct().count()
         if told_apart == kinds:
-            return now if kinds else new
+            return (now if kinds else new).select("graph", "node", "colour")
         now, kinds = new, told_apart
 
 
+def colours(triples: DataFrame, graph: str = "graph") -> DataFrame:
+    """graph, node, colour of the blank nodes: a hash of all that is said of a node and by it, to any distance, that doesn't depend on names.
+
+    Each round hashes a node's colour with its triples' predicates, other ends and directions, as sums, so that a node with very many triples is summed in the
+    tasks first. What doesn't change, the sums over ends that aren't blank, is worked out once; only links between blank nodes are followed each round. It ends when a
+    round tells no more nodes apart than the last.
+    """
+    return _colours(_distinct(triples, graph))
+
+
 def graph_hashes(triples: DataFrame, graph: str = "graph") -> DataFrame:
     """graph, triples, h0, h1, alike: the number of a graph's distinct triples, and hashes that are equal for graphs that differ in the names of blank nodes and
     the order of triples only, and else differ (but for chance, of 80 bits).
@@ -80,14 +102,12 @@ def graph_hashes(triples: DataFrame, graph: str = "graph") -> DataFrame:
     different ways, as two rings of three and one of six, can't be told apart.
     triples: graph, s, p, o, o_kind, o_lang, o_dtype.
     """
-    from corpusweave.plans.registry import settled
-
-    named = settled(colours(triples, graph))
-    t = triples.select(F.col(graph).alias("graph"), "s", "p", "o", "o_kind", "o_lang", "o_dtype").distinct()
-    side = lambda c: named.select("graph", F.col("node").alias(c), F.col("colour").alias(f"{c}_colour"))
+    t = _distinct(triples, graph)
+    named = _colours(t)
+    side = lambda c: named.select("graph", F.col("node").alias(c), F.col("colour").alias(f"{c}_colour")).hint("merge")
     end = lambda c: F.coalesce(F.col(f"{c}_colour").cast("string"), F.col(c))
     h = F.xxhash64(end("s"), F.col("s_colour").isNull(), "p", end("o"), "o_kind", F.coalesce("o_lang", F.lit("")), F.coalesce("o_dtype", F.lit("")))
-    to = t.join(side("s"), ["graph", "s"], "left").join(side("o").withColumn("o_kind", F.lit("bnode")), ["graph", "o", "o_kind"], "left").withColumn("h", h)
+    to = t.join(side("s"), ["graph", "s"], "left").join(side("o").withColumn("o_kind", F.lit("bnode")).hint("merge"), ["graph", "o", "o_kind"], "left").withColumn("h", h)
     a, b = _sum(F.col("h"))
     sums = to.groupBy("graph").agg(F.count(F.lit(1)).alias("triples"), a.alias("h0"), b.alias("h1"))
     alike = named.groupBy("graph", "colour").agg(F.count(F.lit(1)).alias("n")).groupBy("graph").agg(F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("alike"))

@@ -73,3 +73,16 @@ def test_graphs_are_compared_by_what_they_say(spark):
     assert not any(same(x, y) for x, y in (("a", "c"), ("c", "d"), ("a", "e"), ("i", "t"), ("a", "i")))
     alike = {r.graph: r.alike for r in graphs.graph_hashes(spark.createDataFrame(rows, TRIPLE)).collect()}
     assert alike["u"] == 3 and alike["i"] == 0
+
+
+def test_no_table_of_nodes_is_broadcast(spark, monkeypatch, tmp_path):
+    from corpusweave.plans import registry
+
+    plans, settle = [], registry.settled
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(registry, "settled", lambda df: (plan(df), settle(df))[1])
+    spark.createDataFrame(a_graph(random.Random(5), "a"), TRIPLE).write.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([(2, 1), (3, 2)], "child int, parent int").write.parquet(str(tmp_path / "e"))
+    plan(graphs.graph_hashes(spark.read.parquet(str(tmp_path / "t"))))
+    graphs.closure(spark.read.parquet(str(tmp_path / "e")))
+    assert sum("SortMergeJoin" in p for p in plans) > 2 and not any("Broadcast" in p for p in plans)
